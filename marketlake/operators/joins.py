@@ -72,6 +72,9 @@ def orphans(fact: DataFrame, dim: DataFrame, fact_fk_col: str, dim_pk_col: str,
 
     NULL FKs are not counted. No DISTINCT on the dimension: an anti join does not need it.
     """
-    f = fact.where(F.col(fact_fk_col) != F.lit(unknown_key))
+    from pyspark.sql import types as T
+    fk_type = fact.schema[fact_fk_col].dataType
+    unknown = F.lit(str(unknown_key)) if isinstance(fk_type, T.StringType) else F.lit(unknown_key)
+    f = fact.where(F.col(fact_fk_col) != unknown)
     d = dim.select(F.col(dim_pk_col).alias("_pk"))
     return f.join(d, f[fact_fk_col] == d["_pk"], "left_anti")

@@ -162,3 +162,112 @@ def q_kpi_reviews_monthly(spark, sf_dir):
 @register("kpi_marketplace_monthly")
 def q_kpi_marketplace_monthly(spark, sf_dir):
     return present(lake(spark, sf_dir).kpi_marketplace_monthly)
+
+
+# ---------------- quality ----------------
+
+def _silver(lk: Lake) -> dict:
+    return {"geolocation_aggregated": lk.geolocation_aggregated, "orders_enriched": lk.orders_enriched,
+            "reviews_enriched": lk.reviews_enriched}
+
+
+def _gold(lk: Lake) -> dict:
+    from .checks import GOLD_TABLES
+    return {t: getattr(lk, t) for t in GOLD_TABLES}
+
+
+@register("check_count")
+def q_check_count(spark, sf_dir):
+    from ..operators.quality import Check, table_checks, union_results
+    lk = lake(spark, sf_dir)
+    return union_results([table_checks(lk.raw[t], "bronze", t, [Check("non_empty")]) for t in lk.s.bronze_tables])
+
+
+@register("check_null_rate")
+def q_check_null_rate(spark, sf_dir):
+    from ..operators.quality import Check, table_checks
+    lk = lake(spark, sf_dir)
+    return table_checks(lk.raw["olist_orders"], "bronze", "olist_orders", [
+        Check("null_rate", "order_id", max_rate=lk.s.max_null_rate),
+        Check("null_rate", "order_delivered_customer_date", max_rate=lk.s.max_null_rate, blocking=False),
+        Check("not_null", "customer_id")])
+
+
+@register("check_date_range")
+def q_check_date_range(spark, sf_dir):
+    from ..operators.quality import Check, table_checks, union_results
+    lk = lake(spark, sf_dir)
+    return union_results([
+        table_checks(lk.raw["olist_orders"], "bronze", "olist_orders", [
+            Check("date_range", "order_purchase_timestamp", lk.s.data_min_date, lk.s.data_max_date, blocking=False),
+            Check("date_range", "order_delivered_customer_date", "1995-01-01", "2001-12-31", blocking=False)]),
+        table_checks(lk.raw["olist_order_reviews"], "bronze", "olist_order_reviews", [
+            Check("date_range", "review_creation_date", "1995-01-01", "2001-12-31", blocking=False)]),
+    ])
+
+
+@register("check_value_range")
+def q_check_value_range(spark, sf_dir):
+    from ..operators.quality import Check, table_checks, union_results
+    lk = lake(spark, sf_dir)
+    s = lk.s
+    return union_results([
+        table_checks(lk.raw["olist_geolocation"], "bronze", "olist_geolocation", [
+            Check("value_range", "geolocation_lat", s.lat_min, s.lat_max, blocking=False),
+            Check("value_range", "geolocation_lng", s.lng_min, s.lng_max, blocking=False)]),
+        table_checks(lk.raw["olist_order_reviews"], "bronze", "olist_order_reviews", [
+            Check("value_range", "review_score", s.review_score_min, s.review_score_max)]),
+        table_checks(lk.orders_enriched, "silver", "orders_enriched", [
+            Check("value_range", "valor_total_pedido", s.order_total_min, s.order_total_max)]),
+    ])
+
+
+@register("check_no_duplicates")
+def q_check_no_duplicates(spark, sf_dir):
+    from ..operators.quality import check_no_duplicates, union_results
+    lk = lake(spark, sf_dir)
+    return union_results([
+        check_no_duplicates(lk.raw["olist_order_items"], "bronze", "olist_order_items", ["order_id", "order_item_id"]),
+        check_no_duplicates(lk.orders_enriched, "silver", "orders_enriched", ["order_id"]),
+        check_no_duplicates(lk.dim_customers, "gold", "dim_customers", ["customer_unique_id"]),
+    ])
+
+
+@register("check_fk_integrity")
+def q_check_fk_integrity(spark, sf_dir):
+    from ..operators.quality import check_fk_integrity, union_results
+    lk = lake(spark, sf_dir)
+    items = lk.fact_order_items
+    return union_results([
+        check_fk_integrity(items, lk.dim_products, "product_id", "product_id", "gold", "fact_order_items"),
+        check_fk_integrity(items, lk.dim_sellers, "seller_id", "seller_id", "gold", "fact_order_items"),
+        check_fk_integrity(items, lk.fact_sales, "order_id", "order_id", "gold", "fact_order_items"),
+        check_fk_integrity(lk.fact_sales, lk.dim_calendar, "date_key", "date_key", "gold", "fact_sales"),
+    ])
+
+
+@register("check_reconciliation")
+def q_check_reconciliation(spark, sf_dir):
+    from ..operators.quality import check_reconciliation
+    lk = lake(spark, sf_dir)
+    return check_reconciliation(lk.fact_sales, "valor_total_pedido", lk.kpi_marketplace_monthly,
+                                "receita_total", "gold", "kpi_marketplace_monthly")
+
+
+@register("suite_bronze")
+def q_suite_bronze(spark, sf_dir):
+    from .checks import bronze_suite
+    return bronze_suite(lake(spark, sf_dir).raw)
+
+
+@register("suite_silver")
+def q_suite_silver(spark, sf_dir):
+    from .checks import silver_suite
+    lk = lake(spark, sf_dir)
+    return silver_suite(lk.raw, _silver(lk))
+
+
+@register("suite_gold")
+def q_suite_gold(spark, sf_dir):
+    from .checks import gold_suite
+    return gold_suite(_gold(lake(spark, sf_dir)))

@@ -73,3 +73,37 @@ q("kpi_marketplace_monthly",
 
 def oracle_queries() -> dict[str, str]:
     return dict(ORACLE)
+
+
+# ---------------- quality ----------------
+from . import checks as C  # noqa: E402
+from marketlake.config import DEFAULT as _S  # noqa: E402
+
+q("check_count", C.union([C.non_empty("bronze", t) for t in _S.bronze_tables]))
+q("check_null_rate", C.union([
+    C.null_rate("bronze", "olist_orders", "order_id", _S.max_null_rate),
+    C.null_rate("bronze", "olist_orders", "order_delivered_customer_date", _S.max_null_rate, blocking=False),
+    C.not_null("bronze", "olist_orders", "customer_id")]))
+q("check_date_range", C.union([
+    C.date_range("bronze", "olist_orders", "order_purchase_timestamp", _S.data_min_date, _S.data_max_date, blocking=False),
+    C.date_range("bronze", "olist_orders", "order_delivered_customer_date", "1995-01-01", "2001-12-31", blocking=False),
+    C.date_range("bronze", "olist_order_reviews", "review_creation_date", "1995-01-01", "2001-12-31", blocking=False)]))
+q("check_value_range", C.union([
+    C.value_range("bronze", "olist_geolocation", "geolocation_lat", _S.lat_min, _S.lat_max, blocking=False),
+    C.value_range("bronze", "olist_geolocation", "geolocation_lng", _S.lng_min, _S.lng_max, blocking=False),
+    C.value_range("bronze", "olist_order_reviews", "review_score", _S.review_score_min, _S.review_score_max),
+    C.value_range("silver", "orders_enriched", "valor_total_pedido", _S.order_total_min, _S.order_total_max)]))
+q("check_no_duplicates", C.union([
+    C.no_duplicates("bronze", "olist_order_items", ["order_id", "order_item_id"]),
+    C.no_duplicates("silver", "orders_enriched", ["order_id"]),
+    C.no_duplicates("gold", "dim_customers", ["customer_unique_id"])]))
+q("check_fk_integrity", C.union([
+    C.fk_integrity("gold", "fact_order_items", "fact_order_items", "product_id", "dim_products", "product_id"),
+    C.fk_integrity("gold", "fact_order_items", "fact_order_items", "seller_id", "dim_sellers", "seller_id"),
+    C.fk_integrity("gold", "fact_order_items", "fact_order_items", "order_id", "fact_sales", "order_id"),
+    C.fk_integrity("gold", "fact_sales", "fact_sales", "date_key", "dim_calendar", "date_key", string_key=False)]))
+q("check_reconciliation", C.reconciliation("gold", "kpi_marketplace_monthly", "fact_sales", "valor_total_pedido",
+                                           "kpi_marketplace_monthly", "receita_total"))
+q("suite_bronze", C.bronze_suite())
+q("suite_silver", C.silver_suite())
+q("suite_gold", C.gold_suite())
