@@ -271,3 +271,85 @@ def q_suite_silver(spark, sf_dir):
 def q_suite_gold(spark, sf_dir):
     from .checks import gold_suite
     return gold_suite(_gold(lake(spark, sf_dir)))
+
+
+# ---------------- dimensional modelling ----------------
+
+def _round_geo(df: DataFrame) -> DataFrame:
+    return df.withColumns({"lat": F.round("lat", 6), "lng": F.round("lng", 6)})
+
+
+@register("surrogate_key")
+def q_surrogate_key(spark, sf_dir):
+    from ..operators.modeling import surrogate_key
+    d = lake(spark, sf_dir).dim_customers.select("customer_unique_id")
+    return surrogate_key(d, "customer_unique_id", "customer_key")
+
+
+@register("fk_or_unknown")
+def q_fk_or_unknown(spark, sf_dir):
+    from ..operators.joins import fk_or_unknown
+    lk = lake(spark, sf_dir)
+    f = lk.fact_sales.select("order_id", "customer_unique_id")
+    dim = lk.dim_customers_keyed.where(F.col("customer_key") != -1)
+    return fk_or_unknown(f, "customer_unique_id", dim, "customer_unique_id", "customer_key", "customer_key")
+
+
+@register("dim_customers_keyed")
+def q_dim_customers_keyed(spark, sf_dir):
+    return _round_geo(lake(spark, sf_dir).dim_customers_keyed)
+
+
+@register("dim_sellers_keyed")
+def q_dim_sellers_keyed(spark, sf_dir):
+    return _round_geo(lake(spark, sf_dir).dim_sellers_keyed)
+
+
+@register("dim_products_keyed")
+def q_dim_products_keyed(spark, sf_dir):
+    return lake(spark, sf_dir).dim_products_keyed
+
+
+@register("unknown_member")
+def q_unknown_member(spark, sf_dir):
+    """The Unknown rows of the three keyed dimensions (built from their data-derived schemas)."""
+    lk = lake(spark, sf_dir)
+    parts = [(lk.dim_customers_keyed, "customer_key", "customer_unique_id"),
+             (lk.dim_products_keyed, "product_key", "product_id"),
+             (lk.dim_sellers_keyed, "seller_key", "seller_id")]
+    out = None
+    for df, key, biz in parts:
+        u = df.where(F.col(key) == -1).select(F.lit(key).alias("dimension"), F.col(key).alias("member_key"),
+                                              F.col(biz).alias("business_key"))
+        out = u if out is None else out.unionByName(u)
+    return out
+
+
+@register("reviews_context")
+def q_reviews_context(spark, sf_dir):
+    return lake(spark, sf_dir).reviews_context
+
+
+@register("fact_sales_item")
+def q_fact_sales_item(spark, sf_dir):
+    return present(lake(spark, sf_dir).fact_sales_item)
+
+
+@register("fact_reviews_keyed")
+def q_fact_reviews_keyed(spark, sf_dir):
+    return lake(spark, sf_dir).fact_reviews_keyed
+
+
+@register("dim_time_pt")
+def q_dim_time_pt(spark, sf_dir):
+    return gold.dim_time_pt(gold.order_date_bounds(lake(spark, sf_dir).orders_enriched))
+
+
+@register("suite_gold_keyed")
+def q_suite_gold_keyed(spark, sf_dir):
+    from .checks import gold_suite
+    lk = lake(spark, sf_dir)
+    g = _gold(lk)
+    g.update({"dim_customers_keyed": lk.dim_customers_keyed, "dim_products_keyed": lk.dim_products_keyed,
+              "dim_sellers_keyed": lk.dim_sellers_keyed, "fact_sales_item": lk.fact_sales_item})
+    return gold_suite(g)

@@ -107,3 +107,43 @@ q("check_reconciliation", C.reconciliation("gold", "kpi_marketplace_monthly", "f
 q("suite_bronze", C.bronze_suite())
 q("suite_silver", C.silver_suite())
 q("suite_gold", C.gold_suite())
+
+
+# ---------------- dimensional modelling ----------------
+from .base import sk  # noqa: E402
+
+q("surrogate_key", f"SELECT customer_unique_id, {sk('customer_unique_id')} AS customer_key FROM dim_customers")
+q("fk_or_unknown", """
+SELECT f.order_id, f.customer_unique_id, COALESCE(d.customer_key, -1) AS customer_key
+FROM fact_sales f LEFT JOIN (SELECT * FROM dim_customers_keyed WHERE customer_key <> -1) d
+  ON f.customer_unique_id = d.customer_unique_id""")
+q("dim_customers_keyed", "SELECT * REPLACE (round(lat, 6) AS lat, round(lng, 6) AS lng) FROM dim_customers_keyed")
+q("dim_sellers_keyed", "SELECT * REPLACE (round(lat, 6) AS lat, round(lng, 6) AS lng) FROM dim_sellers_keyed")
+q("dim_products_keyed", "SELECT * FROM dim_products_keyed")
+q("unknown_member", """
+SELECT 'customer_key' AS dimension, customer_key AS member_key, customer_unique_id AS business_key FROM dim_customers_keyed WHERE customer_key = -1
+UNION ALL SELECT 'product_key', product_key, product_id FROM dim_products_keyed WHERE product_key = -1
+UNION ALL SELECT 'seller_key', seller_key, seller_id FROM dim_sellers_keyed WHERE seller_key = -1""")
+q("reviews_context", "SELECT * FROM reviews_context")
+q("fact_sales_item", """
+SELECT * REPLACE (CAST(preco_produto AS DOUBLE) AS preco_produto, CAST(valor_frete AS DOUBLE) AS valor_frete,
+                  CAST(valor_total_item AS DOUBLE) AS valor_total_item) FROM fact_sales_item""")
+q("fact_reviews_keyed", "SELECT * FROM fact_reviews_keyed")
+q("dim_time_pt", "SELECT * FROM dim_time_pt")
+
+
+def _suite_gold_keyed() -> str:
+    rows = [C.gold_suite()]
+    for t, key in [("dim_customers_keyed", "customer_key"), ("dim_products_keyed", "product_key"),
+                   ("dim_sellers_keyed", "seller_key")]:
+        rows.append(C.no_duplicates("gold", t, [key]))
+        rows.append(C.unknown_present("gold", t, key))
+    for t, key in [("dim_customers_keyed", "customer_key"), ("dim_products_keyed", "product_key"),
+                   ("dim_sellers_keyed", "seller_key")]:
+        rows.append(C.fk_integrity("gold", "fact_sales_item", "fact_sales_item", key, t, key, string_key=False))
+    rows.append(C.fk_integrity("gold", "fact_sales_item", "fact_sales_item", "date_key", "dim_calendar", "date_key",
+                               string_key=False))
+    return C.union(rows)
+
+
+q("suite_gold_keyed", _suite_gold_keyed())
