@@ -353,3 +353,45 @@ def q_suite_gold_keyed(spark, sf_dir):
     g.update({"dim_customers_keyed": lk.dim_customers_keyed, "dim_products_keyed": lk.dim_products_keyed,
               "dim_sellers_keyed": lk.dim_sellers_keyed, "fact_sales_item": lk.fact_sales_item})
     return gold_suite(g)
+
+
+# ---------------- business queries ----------------
+from . import analytics as A  # noqa: E402
+
+
+def _analytic(name: str, fn, **kw):
+    def q(spark, sf_dir):
+        return present(fn(lake(spark, sf_dir), **kw))
+    q.__name__ = f"q_{name}"
+    register(name)(q)
+
+
+for _name, _fn, _kw in [
+    ("delivery_by_state", A.delivery_by_state, {}),
+    ("cancel_rate_by_period", A.cancel_rate_by_period, {}),
+    ("on_time_overall", A.on_time_overall, {}),
+    ("revenue_by_quarter", A.revenue_by_quarter, {}),
+    ("revenue_growth", A.revenue_growth, {}),
+    ("ticket_by_category", A.ticket_by_category, {}),
+    ("installment_share", A.installment_share, {}),
+    ("seller_ranking", A.seller_ranking, {}),
+    ("same_state_delivery", A.same_state_delivery, {}),
+    ("nps_by_category", A.nps_by_category, {}),
+    ("nps_best_worst", A.nps_best_worst, {}),
+    ("delay_score_corr", A.delay_score_corr, {}),
+    ("score_by_punctuality", A.score_by_punctuality, {}),
+    ("top_categories", A.top_categories, {}),
+    ("payment_mix", A.payment_mix, {}),
+    ("sla_light_by_state", A.sla_light_by_state, {}),
+    ("top_delay_states", A.top_delay_states, {}),
+    ("delivery_scatter", A.delivery_scatter, {}),
+    ("delivery_histogram", A.delivery_histogram, {}),
+    ("seller_revenue_nps", A.seller_revenue_nps, {}),
+    ("executive_cards", A.executive_cards, {}),
+    ("revenue_in_year", A.revenue_by_year, {}),
+    ("top_sellers_in_region", A.top_sellers_in_region, {}),
+    ("category_sku_count", A.category_sku_count, {}),
+    ("share_by_state", A.share_by_state, {}),
+    ("sliced_kpis", A.sliced_kpis, {"period": (199601, 199712), "state": "SP"}),
+]:
+    _analytic(_name, _fn, **_kw)

@@ -147,3 +147,10 @@ def _suite_gold_keyed() -> str:
 
 
 q("suite_gold_keyed", _suite_gold_keyed())
+
+
+# ---------------- business queries ----------------
+from . import analytics as _AN  # noqa: E402
+
+for _n, _body in _AN.QUERIES.items():
+    q(_n, _body, _AN.EXTRA)
