@@ -154,3 +154,17 @@ from . import analytics as _AN  # noqa: E402
 
 for _n, _body in _AN.QUERIES.items():
     q(_n, _body, _AN.EXTRA)
+
+
+# ---------------- streaming ingest and incremental upsert ----------------
+q("csv_stream_ingest", "SELECT * FROM olist_order_reviews")
+q("csv_ingest_rerun", "SELECT * FROM olist_orders")
+q("upsert_latest", """
+SELECT customer_unique_id, customer_id, customer_city, customer_state, customer_zip_code_prefix, order_purchase_timestamp
+FROM (SELECT c.*, o.order_purchase_timestamp,
+             row_number() OVER (PARTITION BY c.customer_unique_id
+                                ORDER BY o.order_purchase_timestamp DESC NULLS LAST,
+                                         CASE WHEN o.order_purchase_timestamp >= TIMESTAMP '1998-01-01' THEN 1 ELSE 0 END DESC,
+                                         c.customer_id DESC) AS rn
+      FROM olist_customers c JOIN olist_orders o ON c.customer_id = o.customer_id)
+WHERE rn = 1""")
