@@ -15,11 +15,18 @@ from ..operators.modeling import (calendar_columns, calendar_frame, calendar_pt_
 
 
 def geo_lookup(geo: DataFrame, materialize: bool = True) -> DataFrame:
-    """Zip -> region lookup, broadcast only behind a row-count check."""
+    """Zip -> region/centroid lookup, broadcast only behind a row-count check. Pass the result
+    of this function as ``geo`` to the dimension builders to check (and materialise) it once."""
     return sized_broadcast(geo.select("zip_code_prefix", "regiao_brasil", "lat", "lng"),
                            materialize=materialize)
 
 
+def _geo(geo: DataFrame, materialize: bool) -> DataFrame:
+    if "state" not in geo.columns:  # already a checked lookup
+        return geo
+    return geo_lookup(geo, materialize)
+
+
 def dim_customers(customers: DataFrame, geo: DataFrame, geo_materialize: bool = True) -> DataFrame:
     """One row per person (customer_unique_id), the record with the largest customer_id,
     with the region of its zip (NULL when the zip is unknown).
@@ -29,7 +36,7 @@ def dim_customers(customers: DataFrame, geo: DataFrame, geo_materialize: bool =
     """
     latest = latest_per_key(customers, "customer_unique_id", "customer_id",
                             ["customer_city", "customer_state", "customer_zip_code_prefix"])
-    g = geo_lookup(geo, geo_materialize)
+    g = _geo(geo, geo_materialize)
     j = latest.join(g, latest.customer_zip_code_prefix == g.zip_code_prefix, "left")
     return j.select("customer_unique_id", "customer_city", "customer_state",
                     "customer_zip_code_prefix", "regiao_brasil")
@@ -37,7 +44,7 @@ def dim_customers(customers: DataFrame, geo: DataFrame, geo_materialize: bool =
 
 def dim_sellers(sellers: DataFrame, geo: DataFrame, geo_materialize: bool = True) -> DataFrame:
     """Sellers with the region of their zip."""
-    g = geo_lookup(geo, geo_materialize)
+    g = _geo(geo, geo_materialize)
     j = sellers.join(g, sellers.seller_zip_code_prefix == g.zip_code_prefix, "left")
     return j.select("seller_id", "seller_city", "seller_state", "seller_zip_code_prefix", "regiao_brasil")
 
@@ -191,7 +198,7 @@ def reviews_context(reviews_enriched_df: DataFrame, orders_enriched_df: DataFram
 
 def dim_customers_keyed(dim_customers_df: DataFrame, geo: DataFrame, s=DEFAULT) -> DataFrame:
     """Customer dimension with surrogate key, centroid and the Unknown member."""
-    g = sized_broadcast(geo.select("zip_code_prefix", "lat", "lng"))
+    g = _geo(geo, False).select("zip_code_prefix", "lat", "lng")
     d = dim_customers_df.join(g, dim_customers_df.customer_zip_code_prefix == g.zip_code_prefix, "left")
     d = d.select(F.col("customer_unique_id"), F.col("customer_city").alias("cidade"),
                  F.col("customer_state").alias("estado"), "regiao_brasil", "lat", "lng")
@@ -200,7 +207,7 @@ def dim_customers_keyed(dim_customers_df: DataFrame, geo: DataFrame, s=DEFAULT)
 
 
 def dim_sellers_keyed(dim_sellers_df: DataFrame, geo: DataFrame, s=DEFAULT) -> DataFrame:
-    g = sized_broadcast(geo.select("zip_code_prefix", "lat", "lng"))
+    g = _geo(geo, False).select("zip_code_prefix", "lat", "lng")
     d = dim_sellers_df.join(g, dim_sellers_df.seller_zip_code_prefix == g.zip_code_prefix, "left")
     d = d.select("seller_id", F.col("seller_city").alias("cidade"), F.col("seller_state").alias("estado"),
                  "regiao_brasil", "lat", "lng")
@@ -233,37 +240,44 @@ FACT_SALES_ITEM_COLUMNS = [
 
 
 def fact_sales_item(items: DataFrame, orders_enriched_df: DataFrame, dim_c: DataFrame,
-                    dim_p: DataFrame, dim_s: DataFrame) -> DataFrame:
-    """Item-grain sales fact with -1 FKs for misses, partition columns ano/mes."""
+                    dim_p: DataFrame, dim_s: DataFrame, materialize: bool = False) -> DataFrame:
+    """Item-grain sales fact with -1 FKs for misses, partition columns ano/mes.
+
+    The customer key is resolved at order grain (fewer rows to move than items) before the
+    items are joined; product and seller keys are resolved at item grain.
+    """
     o = orders_enriched_df.select(
         "order_id", "customer_unique_id", "order_status",
         F.col("forma_pagamento_principal").alias("payment_type"), "max_parcelas",
         "dias_para_entrega", "dias_estimados", "entregue_no_prazo", "dias_atraso",
         date_key("order_purchase_timestamp").alias("date_key"),
         F.year("order_purchase_timestamp").alias("ano"), F.month("order_purchase_timestamp").alias("mes"))
+    o = fk_or_unknown(o, "customer_unique_id", dim_c.where(F.col("customer_key") != -1),
+                      "customer_unique_id", "customer_key", "customer_key", materialize=materialize)
     f = items.join(o, "order_id", "inner")
-    f = fk_or_unknown(f, "customer_unique_id", dim_c.where(F.col("customer_key") != -1),
-                      "customer_unique_id", "customer_key", "customer_key")
-    f = fk_or_unknown(f, "product_id", dim_p.where(F.col("product_key") != -1), "product_id", "product_key", "product_key")
-    f = fk_or_unknown(f, "seller_id", dim_s.where(F.col("seller_key") != -1), "seller_id", "seller_key", "seller_key")
-    return f.select(
-        "order_id", "order_item_id", "customer_key", "product_key", "seller_key", "date_key",
-        F.col("price").alias("preco_produto"), F.col("freight_value").alias("valor_frete"),
-        (F.col("price") + F.col("freight_value")).alias("valor_total_item"),
-        F.lit(1).alias("quantidade"), "order_status", "payment_type", "max_parcelas",
-        "dias_para_entrega", "dias_estimados", "entregue_no_prazo", "dias_atraso", "ano", "mes",
-    )
+    f = fk_or_unknown(f, "product_id", dim_p.where(F.col("product_key") != -1), "product_id", "product_key",
+                      "product_key", materialize=materialize)
+    f = fk_or_unknown(f, "seller_id", dim_s.where(F.col("seller_key") != -1), "seller_id", "seller_key",
+                      "seller_key", materialize=materialize)
+    return f.select(*[c if c not in ("preco_produto", "valor_frete", "valor_total_item", "quantidade") else
+                      {"preco_produto": F.col("price").alias("preco_produto"),
+                       "valor_frete": F.col("freight_value").alias("valor_frete"),
+                       "valor_total_item": (F.col("price") + F.col("freight_value")).alias("valor_total_item"),
+                       "quantidade": F.lit(1).alias("quantidade")}[c]
+                      for c in FACT_SALES_ITEM_COLUMNS])
 
 
 def fact_reviews_keyed(reviews_ctx: DataFrame, orders_enriched_df: DataFrame, dim_c: DataFrame,
-                       dim_p: DataFrame, dim_s: DataFrame) -> DataFrame:
+                       dim_p: DataFrame, dim_s: DataFrame, materialize: bool = False) -> DataFrame:
     """Review fact with customer/product/seller keys (-1 for misses)."""
     o = orders_enriched_df.select("order_id", "customer_unique_id")
     r = reviews_ctx.join(o, "order_id", "left")
     r = fk_or_unknown(r, "customer_unique_id", dim_c.where(F.col("customer_key") != -1),
-                      "customer_unique_id", "customer_key", "customer_key")
-    r = fk_or_unknown(r, "product_id", dim_p.where(F.col("product_key") != -1), "product_id", "product_key", "product_key")
-    r = fk_or_unknown(r, "seller_id", dim_s.where(F.col("seller_key") != -1), "seller_id", "seller_key", "seller_key")
+                      "customer_unique_id", "customer_key", "customer_key", materialize=materialize)
+    r = fk_or_unknown(r, "product_id", dim_p.where(F.col("product_key") != -1), "product_id", "product_key",
+                      "product_key", materialize=materialize)
+    r = fk_or_unknown(r, "seller_id", dim_s.where(F.col("seller_key") != -1), "seller_id", "seller_key",
+                      "seller_key", materialize=materialize)
     return r.select(
         "review_id", "customer_key", "seller_key", "product_key", "date_key", "review_score",
         "tempo_ate_avaliacao", F.col("review_sentiment").alias("sentimento"),

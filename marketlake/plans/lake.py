@@ -52,13 +52,18 @@ class Lake:
         return silver.reviews_enriched(self.raw)
 
     # gold
+    @cached_property
+    def geo_lookup(self) -> DataFrame:
+        """Size-checked (and, in-plan, materialised) zip lookup shared by all dimensions."""
+        return gold.geo_lookup(self.geolocation_aggregated, self.materialize_lookups)
+
     @cached_property
     def dim_customers(self) -> DataFrame:
-        return gold.dim_customers(self.raw["olist_customers"], self.geolocation_aggregated, self.materialize_lookups)
+        return gold.dim_customers(self.raw["olist_customers"], self.geo_lookup)
 
     @cached_property
     def dim_sellers(self) -> DataFrame:
-        return gold.dim_sellers(self.raw["olist_sellers"], self.geolocation_aggregated, self.materialize_lookups)
+        return gold.dim_sellers(self.raw["olist_sellers"], self.geo_lookup)
 
     @cached_property
     def dim_products(self) -> DataFrame:
@@ -93,11 +98,11 @@ class Lake:
 
     @cached_property
     def dim_customers_keyed(self) -> DataFrame:
-        return gold.dim_customers_keyed(self.dim_customers, self.geolocation_aggregated, self.s)
+        return gold.dim_customers_keyed(self.dim_customers, self.geo_lookup, self.s)
 
     @cached_property
     def dim_sellers_keyed(self) -> DataFrame:
-        return gold.dim_sellers_keyed(self.dim_sellers, self.geolocation_aggregated, self.s)
+        return gold.dim_sellers_keyed(self.dim_sellers, self.geo_lookup, self.s)
 
     @cached_property
     def dim_products_keyed(self) -> DataFrame:
@@ -106,9 +111,11 @@ class Lake:
     @cached_property
     def fact_sales_item(self) -> DataFrame:
         return gold.fact_sales_item(self.raw["olist_order_items"], self.orders_enriched,
-                                    self.dim_customers_keyed, self.dim_products_keyed, self.dim_sellers_keyed)
+                                    self.dim_customers_keyed, self.dim_products_keyed, self.dim_sellers_keyed,
+                                    materialize=self.materialize_lookups)
 
     @cached_property
     def fact_reviews_keyed(self) -> DataFrame:
         return gold.fact_reviews_keyed(self.reviews_context, self.orders_enriched, self.dim_customers_keyed,
-                                       self.dim_products_keyed, self.dim_sellers_keyed)
+                                       self.dim_products_keyed, self.dim_sellers_keyed,
+                                       materialize=self.materialize_lookups)

@@ -53,3 +53,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared folder, unique per call."""
     base = shared_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def stage(df, name: str = "stage"):
+    """Materialise ``df`` as a Parquet table in the shared folder and return a frame reading it.
+
+    Cuts the lineage (lost executors re-read files instead of recomputing) and computes the
+    frame once; later counts are answered from Parquet footers. Used for lookups that are
+    size-checked and then joined.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)
