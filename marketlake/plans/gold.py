@@ -113,14 +113,19 @@ def fact_order_items(items: DataFrame) -> DataFrame:
 
 # ---------------- monthly KPIs ----------------
 
-def kpi_sales_monthly(fact_sales_df: DataFrame) -> DataFrame:
+def _distinct(c: str, approx: bool):
+    """Exact distinct count, or the HyperLogLog++ sketch (bounded memory, ~1% error) at scale."""
+    return F.approx_count_distinct(c, 0.01) if approx else F.count_distinct(c)
+
+
+def kpi_sales_monthly(fact_sales_df: DataFrame, approx_distinct: bool = False) -> DataFrame:
     """Revenue, ticket, orders, distinct customers, cancel and on-time rates, mean delivery days."""
     n = F.count("order_id")
     return fact_sales_df.groupBy(month_key("date_key").alias("ano_mes")).agg(
         F.sum("valor_total_pedido").alias("receita_total"),
         safe_ratio(F.sum("valor_total_pedido"), n).alias("ticket_medio"),
         n.alias("qtd_pedidos"),
-        F.count_distinct("customer_unique_id").alias("qtd_clientes_unicos"),
+        _distinct("customer_unique_id", approx_distinct).alias("qtd_clientes_unicos"),
         safe_ratio(F.count_if(F.col("order_status") == "canceled"), n).alias("taxa_cancelamento"),
         safe_ratio(F.count_if(F.col("entregue_no_prazo")),
                    F.count_if(F.col("entregue_no_prazo").isNotNull())).alias("taxa_entrega_no_prazo"),
@@ -128,7 +133,7 @@ def kpi_sales_monthly(fact_sales_df: DataFrame) -> DataFrame:
     )
 
 
-def kpi_sellers_monthly(fact_sales_df: DataFrame, items: DataFrame) -> DataFrame:
+def kpi_sellers_monthly(fact_sales_df: DataFrame, items: DataFrame, approx_distinct: bool = False) -> DataFrame:
     """Distinct active sellers per month.
 
     Items are first reduced to distinct (order, seller) pairs (map-side pre-aggregation
@@ -137,7 +142,7 @@ def kpi_sellers_monthly(fact_sales_df: DataFrame, items: DataFrame) -> DataFrame
     pairs = items.select("order_id", "seller_id").distinct()
     months = fact_sales_df.select("order_id", month_key("date_key").alias("ano_mes"))
     return (months.join(pairs, "order_id")
-            .groupBy("ano_mes").agg(F.count_distinct("seller_id").alias("qtd_sellers_ativos")))
+            .groupBy("ano_mes").agg(_distinct("seller_id", approx_distinct).alias("qtd_sellers_ativos")))
 
 
 def kpi_reviews_monthly(fact_reviews_df: DataFrame) -> DataFrame:
@@ -153,14 +158,15 @@ KPI_COLUMNS = ["ano_mes", "receita_total", "ticket_medio", "qtd_pedidos", "qtd_c
                "prazo_medio_entrega_dias", "nps_score", "nota_media_reviews"]
 
 
-def kpi_marketplace_monthly(fact_sales_df: DataFrame, fact_reviews_df: DataFrame, items: DataFrame) -> DataFrame:
+def kpi_marketplace_monthly(fact_sales_df: DataFrame, fact_reviews_df: DataFrame, items: DataFrame,
+                            approx_distinct: bool = False) -> DataFrame:
     """Sales months, left-joined with seller and review months.
 
     Month-grain aggregates hold at most 12 rows per calendar year, so both right sides
     are broadcast; review months without sales are dropped (as coded).
     """
-    sm = kpi_sales_monthly(fact_sales_df)
-    se = bounded_broadcast(kpi_sellers_monthly(fact_sales_df, items))
+    sm = kpi_sales_monthly(fact_sales_df, approx_distinct)
+    se = bounded_broadcast(kpi_sellers_monthly(fact_sales_df, items, approx_distinct))
     rm = bounded_broadcast(kpi_reviews_monthly(fact_reviews_df))
     return sm.join(se, "ano_mes", "left").join(rm, "ano_mes", "left").select(*KPI_COLUMNS)
 

@@ -109,3 +109,19 @@ def write_landing_csv(df: DataFrame, landing_dir: str) -> str:
     tests and the registered ingest queries to produce source files from tables."""
     df.write.mode("errorifexists").options(**CSV_OPTIONS).csv(landing_dir)
     return landing_dir
+
+
+def remembered_schema(spark: SparkSession, landing_dir: str, file_glob: str, schema_file: str) -> T.StructType:
+    """S3: infer the column types once with a batch read of the files present, store the schema
+    as JSON next to the checkpoint, and reuse it on every later run (schema memory)."""
+    import json
+    try:
+        text = spark.read.text(schema_file).collect()
+        if text:
+            return T.StructType.fromJson(json.loads("".join(r.value for r in text)))
+    except Exception:  # noqa: BLE001 - no stored schema yet
+        pass
+    inferred = (spark.read.options(**CSV_OPTIONS).option("inferSchema", "true")
+                .option("pathGlobFilter", file_glob).csv(landing_dir).schema)
+    spark.createDataFrame([(inferred.json(),)], "value string").coalesce(1).write.mode("overwrite").text(schema_file)
+    return inferred

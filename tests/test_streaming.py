@@ -54,3 +54,44 @@ def test_ingest_all_runs_each_dataset_independently(spark, tmp_base):
 def test_manual_frames_get_manual_load(spark):
     df = add_ingestion_metadata(spark.range(2))
     assert {r._source_file for r in df.collect()} == {"manual_load"}
+
+
+def test_schema_is_inferred_once_and_remembered(spark, tmp_base):
+    from marketlake.streaming.ingest import remembered_schema
+    landing = f"{tmp_base}/landing"
+    _write(f"{landing}/olist_geolocation_dataset.csv",
+           "geolocation_zip_code_prefix,geolocation_lat,geolocation_lng\n01037,-23.5,-46.6\n")
+    s1 = remembered_schema(spark, landing, "olist_geolocation*.csv", f"{tmp_base}/ck/schema")
+    assert dict((f.name, f.dataType.simpleString()) for f in s1.fields)["geolocation_lat"] == "double"
+    _write(f"{landing}/olist_geolocation_2.csv", "geolocation_zip_code_prefix,geolocation_lat,geolocation_lng\nx,y,z\n")
+    assert remembered_schema(spark, landing, "olist_geolocation*.csv", f"{tmp_base}/ck/schema") == s1
+
+
+def test_header_checked_against_declared_schema(spark, tmp_base):
+    import pytest
+    landing = f"{tmp_base}/landing"
+    _write(f"{landing}/olist_order_reviews_dataset.csv", "wrong,header\n1,2\n")
+    with pytest.raises(Exception):
+        ingest_csv(spark, landing, "olist_order_reviews*.csv", f"{tmp_base}/t", f"{tmp_base}/ck", REVIEWS,
+                   enforce_header=True)
+
+
+def test_append_with_added_column_reads_with_merge_schema(spark, tmp_base):
+    from marketlake.sources.files import read_table, write_table
+    a = spark.createDataFrame([("o1",)], "order_id string")
+    b = spark.createDataFrame([("o2", "order_id nulo")], "order_id string, motivo_rejeicao string")
+    write_table(a, tmp_base, "silver", "q", register_table=False)
+    write_table(b, tmp_base, "silver", "q", mode="append", register_table=False)
+    rows = {r.order_id: r.motivo_rejeicao for r in read_table(spark, tmp_base, "silver", "q", merge_schema=True).collect()}
+    assert rows == {"o1": None, "o2": "order_id nulo"}
+
+
+def test_approx_distinct_option_is_close(spark):
+    from marketlake.plans import gold
+    from marketlake.plans.lake import Lake
+    from tests.conftest import SF_SMALL
+    lk = Lake.from_testdata(spark, SF_SMALL)
+    exact = {r.ano_mes: r.qtd_clientes_unicos for r in gold.kpi_sales_monthly(lk.fact_sales).collect()}
+    approx = {r.ano_mes: r.qtd_clientes_unicos for r in gold.kpi_sales_monthly(lk.fact_sales, True).collect()}
+    assert exact.keys() == approx.keys()
+    assert all(abs(exact[k] - approx[k]) <= max(2, 0.05 * exact[k]) for k in exact)
