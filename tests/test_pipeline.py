@@ -64,3 +64,11 @@ def test_gate_blocks_after_logging(spark, tmp_base):
         run_pipeline(spark, raw, tmp_base, run_id="g1", layers=("bronze",))
     logs = read_table(spark, tmp_base, "bronze", "quality_logs").where("run_id = 'g1'")
     assert logs.count() == 12  # every check was logged before the gate raised
+
+
+def test_ensure_layout_creates_namespaces_and_log_tables(spark, tmp_base):
+    from marketlake.sources.files import ensure_layout
+    ns = {r[0] for r in ensure_layout(spark, tmp_base).collect()}
+    assert {"bronze", "silver", "gold"} <= ns
+    for layer in ("bronze", "silver", "gold"):
+        assert "quality_logs" in {r.tableName for r in spark.sql(f"SHOW TABLES IN {layer}").collect()}
