@@ -82,20 +82,28 @@ def revenue_growth(lk: Lake) -> DataFrame:
 def ticket_by_category(lk: Lake, approx: bool = False) -> DataFrame:
     """Mean and median item price and mean volume per category.
 
-    The exact median (``percentile``) keeps one counter per distinct price of a category;
-    ``approx=True`` switches to the bounded-memory ``percentile_approx`` sketch.
+    The exact median comes from the two-pass histogram operator (no category is gathered in
+    one task); ``approx=True`` uses the bounded-memory ``percentile_approx`` sketch instead.
     """
+    from ..operators.quantiles import exact_median
     items = lk.fact_order_items.select("product_id", "preco_produto")
-    p = lk.dim_products_keyed.where(F.col("product_key") != -1).select(
-        "product_id", F.col("category_en").alias("product_category"), "volume_cm3")
+    raw_p = lk.raw["olist_products"].select(
+        "product_id",
+        (F.col("product_length_cm") * F.col("product_height_cm") * F.col("product_width_cm")).alias("volume_cm3"))
+    p = lk.dim_products.select("product_id", "product_category").join(raw_p, "product_id")
     j = items.join(p, "product_id", "left")
-    price = F.col("preco_produto").cast("double")
-    med = F.percentile_approx(price, 0.5, 10000) if approx else F.percentile(price, F.lit(0.5))
-    return j.groupBy("product_category").agg(
+    base = j.groupBy("product_category").agg(
         F.count(F.lit(1)).alias("qtd_itens"),
         F.round(F.avg("preco_produto").cast("double"), 6).alias("preco_medio"),
-        F.round(med, 6).alias("preco_mediano"),
-        F.avg("volume_cm3").alias("volume_medio_cm3"))
+        F.avg("volume_cm3").alias("volume_medio_cm3"),
+        *([F.percentile_approx(F.col("preco_produto").cast("double"), 0.5, 10000).alias("preco_mediano")]
+          if approx else []))
+    if approx:
+        return base.withColumn("preco_mediano", F.round("preco_mediano", 6))
+    med = exact_median(j, "product_category", "preco_produto", out="preco_mediano")
+    out = base.join(med, base.product_category.eqNullSafe(med.product_category), "left").drop(med.product_category)
+    return out.select("product_category", "qtd_itens", "preco_medio", F.round("preco_mediano", 6).alias("preco_mediano"),
+                      "volume_medio_cm3")
 
 
 # N6

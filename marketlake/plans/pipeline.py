@@ -7,6 +7,7 @@ in one write, and only then the gate raises if a blocking check failed (Q7).
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass, field
@@ -26,6 +27,7 @@ class RunReport:
     run_id: str
     tables: dict[str, str] = field(default_factory=dict)
     checks: dict[str, list] = field(default_factory=dict)
+    seconds: dict[str, float] = field(default_factory=dict)
 
 
 def _gate(spark: SparkSession, results: DataFrame, base: str, layer: str, run_id: str,
@@ -108,14 +110,24 @@ def run_pipeline(spark: SparkSession, raw: Mapping[str, DataFrame], base: str, r
     for this run (e.g. raw NULL order ids that the silver layer quarantines by design)."""
     report = RunReport(run_id or uuid.uuid4().hex[:12])
     ensure_layout(spark, base, s)
-    bronze = run_bronze(spark, raw, base, report, s, gate, relax) if "bronze" in layers else \
-        {t: read_table(spark, base, s.bronze, t) for t in s.bronze_tables}
+    t0 = time.perf_counter()
+    if "bronze" in layers:
+        bronze = run_bronze(spark, raw, base, report, s, gate, relax)
+        report.seconds["bronze"] = round(time.perf_counter() - t0, 3)
+    else:
+        bronze = {t: read_table(spark, base, s.bronze, t) for t in s.bronze_tables}
     if "silver" in layers or "gold" in layers:
-        silver_t = run_silver(spark, bronze, base, report, s, gate, relax) if "silver" in layers else \
-            {t: read_table(spark, base, s.silver, t)
-             for t in ("geolocation_aggregated", "orders_enriched", "reviews_enriched")}
+        t0 = time.perf_counter()
+        if "silver" in layers:
+            silver_t = run_silver(spark, bronze, base, report, s, gate, relax)
+            report.seconds["silver"] = round(time.perf_counter() - t0, 3)
+        else:
+            silver_t = {t: read_table(spark, base, s.silver, t)
+                        for t in ("geolocation_aggregated", "orders_enriched", "reviews_enriched")}
         if "gold" in layers:
+            t0 = time.perf_counter()
             run_gold(spark, bronze, silver_t, base, report, s, gate, relax)
+            report.seconds["gold"] = round(time.perf_counter() - t0, 3)
     return report
 
 
