@@ -80,15 +80,17 @@ def ingest_csv(spark: SparkSession, landing_dir: str, file_glob: str, table_path
 
 def ingest_all(spark: SparkSession, landing_dir: str, base: str, checkpoint_base: str, layer: str = "bronze",
                datasets: dict[str, str] | None = None, schemas: dict[str, T.StructType] | None = None,
-               timeout_s: float | None = None) -> dict[str, IngestResult]:
+               timeout_s: float | None = None, subfolders: bool = False) -> dict[str, IngestResult]:
     """Ingest every dataset; each has its own checkpoint, so the streams are independent and
-    run concurrently (all started, then awaited)."""
+    run concurrently (all started, then awaited). Files are matched by name in one shared
+    landing folder, or with ``subfolders=True`` in ``<landing>/<table>/``."""
     from ..sources.files import table_path
     datasets = datasets or RAW_FILES
     schemas = schemas or RAW_SCHEMAS
     running = {}
     for table, glob in datasets.items():
-        df = add_ingestion_metadata(csv_stream(spark, landing_dir, glob, schemas[table]))
+        src = f"{landing_dir.rstrip('/')}/{table}" if subfolders else landing_dir
+        df = add_ingestion_metadata(csv_stream(spark, src, glob, schemas[table]))
         q = (df.writeStream.format("parquet").outputMode("append")
              .option("checkpointLocation", f"{checkpoint_base.rstrip('/')}/{table}")
              .trigger(availableNow=True).start(table_path(base, layer, table)))
