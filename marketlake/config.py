@@ -37,7 +37,7 @@ class Settings:
     review_score_max: int = 5
 
     # a side is broadcast only when a size check proves it is below this many rows
-    broadcast_max_rows: int = 2_000_000
+    broadcast_max_rows: int = 1_000_000
 
     # surrogate keys: hex characters of md5(key) used as the ordering bucket
     surrogate_bucket_hex: int = 4

@@ -29,3 +29,30 @@ def test_scans_are_pruned(spark):
 def test_latest_per_person_is_an_aggregate_not_a_window(spark):
     p = _plan(QUERIES["dim_customers"](spark, SF_SMALL))
     assert "Window" not in p
+
+
+@pytest.mark.parametrize("name", ["payments_per_order", "items_per_order", "dim_customers",
+                                  "geolocation_aggregated", "kpi_sellers_monthly", "check_no_duplicates"])
+def test_per_key_reductions_aggregate_before_the_shuffle(spark, name):
+    """A key holding a large share of rows is pre-reduced on every map task (partial aggregate
+    below the exchange), so no task receives the raw rows of a hot key."""
+    p = _plan(QUERIES[name](spark, SF_SMALL))
+    assert "partial_" in p, p
+
+
+@pytest.mark.parametrize("name", ["top_sellers_in_region", "upsert_latest"])
+def test_top_k_per_group_is_limited_before_the_shuffle(spark, name):
+    p = _plan(QUERIES[name](spark, SF_SMALL))
+    assert "WindowGroupLimit" in p
+
+
+def test_month_grain_sides_are_broadcast(spark):
+    p = _plan(QUERIES["kpi_marketplace_monthly"](spark, SF_SMALL))
+    assert "BroadcastHashJoin" in p
+
+
+def test_exact_median_has_no_single_group_window(spark):
+    """The exact median does not use Spark's ``percentile`` aggregate, whose buffer holds every
+    distinct value of a group in one task; it uses the two-pass histogram operator."""
+    p = _plan(QUERIES["ticket_by_category"](spark, SF_SMALL))
+    assert "percentile(" not in p
