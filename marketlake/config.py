@@ -69,3 +69,11 @@ WEEKDAYS_PT = ["Domingo", "Segunda-feira", "Terca-feira", "Quarta-feira",
 # SLA traffic light thresholds on the on-time share.
 SLA_GREEN_MIN = 0.90
 SLA_YELLOW_MIN = 0.80
+
+# Documented raw volumes of the original marketplace dataset (expected-volume check).
+EXPECTED_COUNTS = {
+    "olist_orders": 99441,
+    "olist_order_items": 112650,
+    "olist_sellers": 3095,
+    "product_category_names": 71,
+}

@@ -449,3 +449,13 @@ def q_upsert_latest(spark, sf_dir):
                              [F.col("order_purchase_timestamp").desc_nulls_last(), F.col("customer_id").desc_nulls_last()])
     changes = c.where(F.col("order_purchase_timestamp") >= cutoff).select(*cols)
     return upsert_latest(snapshot, changes, ["customer_unique_id"], "order_purchase_timestamp", ["customer_id"])
+
+
+@register("check_expected_volume")
+def q_check_expected_volume(spark, sf_dir):
+    """Q16: raw volumes against the documented counts (logged, not blocking)."""
+    from ..config import EXPECTED_COUNTS
+    from ..operators.quality import Check, table_checks, union_results
+    lk = lake(spark, sf_dir)
+    return union_results([table_checks(lk.raw[t], "bronze", t, [Check("expected_count", lo=n, blocking=False)])
+                          for t, n in EXPECTED_COUNTS.items()])

@@ -168,3 +168,10 @@ FROM (SELECT c.*, o.order_purchase_timestamp,
                                          c.customer_id DESC) AS rn
       FROM olist_customers c JOIN olist_orders o ON c.customer_id = o.customer_id)
 WHERE rn = 1""")
+
+from marketlake.config import EXPECTED_COUNTS as _EXP  # noqa: E402
+
+q("check_expected_volume", C.union([
+    C.row("bronze", t, f"expected_count({n})", f"COUNT(*) = {n}", "COUNT(*)",
+          f"'expected={n} actual=' || CAST(COUNT(*) AS VARCHAR)", t, blocking=False)
+    for t, n in _EXP.items()]))
