@@ -63,8 +63,7 @@ def compare(spark, con, name, fn, sql, sf_dir):
     res = con.execute(sql)
     d_cols = [d[0] for d in res.description]
     d_rows = [dict(zip(d_cols, r)) for r in res.fetchall()]
-    d_types = dict(con.execute(f"DESCRIBE ({sql})").fetchall() and
-                   [(r[0], r[1]) for r in con.execute(f"DESCRIBE ({sql})").fetchall()])
+    d_types = {r[0]: r[1] for r in con.execute(f"DESCRIBE ({sql})").fetchall()}
     t2 = time.time()
     out = {"name": name, "spark_rows": len(s_rows), "oracle_rows": len(d_rows),
            "spark_s": round(t1 - t0, 2), "oracle_s": round(t2 - t1, 2)}
