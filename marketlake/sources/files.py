@@ -78,3 +78,33 @@ def upsert_latest(existing: DataFrame, changes: DataFrame, key: list[str], order
     order = [F.col(order_col).desc_nulls_last(), F.col("_src").desc()]
     order += [F.col(c).desc_nulls_last() for c in (tie_breakers or [])]
     return dedupe_latest(u, key, order).drop("_src")
+
+
+def upsert_partitions(changes: DataFrame, base: str, layer: str, name: str, key: list[str], order_col: str,
+                      partition_cols: list[str], tie_breakers: list[str] | None = None) -> str:
+    """Incremental load into a partitioned table (MERGE by key, latest wins).
+
+    Only partitions touched by ``changes`` are read: their partition values (one row per
+    partition, so a bounded result) become a static partition filter, merged with
+    ``upsert_latest`` and rewritten with dynamic partition overwrite; all other partitions are
+    left as they are. The merged rows are staged in the shared folder first, because the plan
+    reads the table it replaces.
+    """
+    from functools import reduce
+
+    from ..session import stage
+    spark = changes.sparkSession
+    existing = read_table(spark, base, layer, name)
+    touched = changes.select(*partition_cols).distinct().collect()
+    if not touched:
+        return table_path(base, layer, name)
+
+    def same(row):
+        return reduce(lambda a, b: a & b,
+                      [F.col(c).eqNullSafe(F.lit(row[c]).cast(existing.schema[c].dataType)) for c in partition_cols])
+
+    current = existing.where(reduce(lambda a, b: a | b, [same(r) for r in touched]))
+    merged = upsert_latest(current, changes.select(*existing.columns), key, order_col, tie_breakers)
+    staged = stage(merged, f"upsert-{name}")
+    return write_table(staged, base, layer, name, mode="overwrite", partition_by=partition_cols,
+                       dynamic_partitions=True)
