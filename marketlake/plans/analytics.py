@@ -118,7 +118,7 @@ def seller_metrics(lk: Lake) -> DataFrame:
     """Per seller: revenue (item prices), distinct orders, mean review score and NPS over the
     reviews of its orders (each order counted once per seller), on-time share."""
     so = lk.raw["olist_order_items"].groupBy("seller_id", "order_id").agg(F.sum("price").alias("receita"))
-    o = lk.orders_enriched.select("order_id", "entregue_no_prazo")
+    o = lk.orders_sla.select("order_id", "entregue_no_prazo")
     rv = lk.fact_reviews.groupBy("order_id").agg(
         F.sum("review_score").alias("_s"), F.count("review_id").alias("_n"),
         F.count_if(F.col("review_score") >= 4).alias("_p"), F.count_if(F.col("review_score") <= 2).alias("_d"))
@@ -149,7 +149,7 @@ def same_state_delivery(lk: Lake) -> DataFrame:
     pairs = lk.raw["olist_order_items"].select("order_id", "seller_id").distinct()
     sellers = sized_broadcast(lk.raw["olist_sellers"].select("seller_id", "seller_state"))
     cust = lk.raw["olist_customers"].select("customer_id", "customer_state")
-    o = lk.orders_enriched.select("order_id", "customer_id", "dias_para_entrega")
+    o = lk.orders_sla.select("order_id", "customer_id", "dias_para_entrega")
     j = (pairs.join(o, "order_id").join(cust, "customer_id", "left").join(sellers, "seller_id", "left"))
     same = (F.col("seller_state") == F.col("customer_state"))
     return j.groupBy(same.alias("mesmo_estado")).agg(

@@ -173,17 +173,18 @@ def kpi_marketplace_monthly(fact_sales_df: DataFrame, fact_reviews_df: DataFrame
 
 # ---------------- documented (DOC) builders ----------------
 
-def reviews_context(reviews_enriched_df: DataFrame, orders_enriched_df: DataFrame, items: DataFrame,
+def reviews_context(reviews_enriched_df: DataFrame, orders_sla: DataFrame, items: DataFrame,
                     products: DataFrame, sellers: DataFrame, categories: DataFrame) -> DataFrame:
     """Review with its order's SLA, first item's product/seller/category context.
 
-    One item per order (lowest item id, then product, seller) keeps the review grain.
+    ``orders_sla`` is any order-grain frame with the SLA fields (valid orders); one item per
+    order (lowest item id, then product, seller) keeps the review grain.
     """
     first_item = latest_per_key(
         items.select("order_id", (-F.col("order_item_id")).alias("_neg_item"), "product_id", "seller_id"),
         "order_id", "_neg_item", ["product_id", "seller_id"])
-    o = orders_enriched_df.select("order_id", "order_delivered_customer_date",
-                                  F.col("entregue_no_prazo").alias("entregue_antes_prazo"))
+    o = orders_sla.select("order_id", "order_delivered_customer_date",
+                          F.col("entregue_no_prazo").alias("entregue_antes_prazo"))
     cat = sized_broadcast(categories.select(F.col("product_category_name").alias("_cat"),
                                             F.col("product_category_name_english").alias("category_name_en")))
     p = products.select("product_id", F.col("product_category_name").alias("category_name_pt"))

@@ -43,6 +43,10 @@ class Lake:
     def orders_enriched(self) -> DataFrame:
         return silver.orders_enriched(self.raw)
 
+    @cached_property
+    def orders_sla(self) -> DataFrame:
+        return silver.orders_sla(self.raw)
+
     @cached_property
     def quarantine(self) -> DataFrame:
         return silver.quarantine(self.raw)
@@ -93,7 +97,7 @@ class Lake:
     @cached_property
     def reviews_context(self) -> DataFrame:
         r = self.raw
-        return gold.reviews_context(self.reviews_enriched, self.orders_enriched, r["olist_order_items"],
+        return gold.reviews_context(self.reviews_enriched, self.orders_sla, r["olist_order_items"],
                                     r["olist_products"], r["olist_sellers"], r["product_category_names"])
 
     @cached_property

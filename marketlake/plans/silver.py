@@ -60,6 +60,13 @@ def orders_enriched(raw: Raw, rules=ORDER_RULES_CODE) -> DataFrame:
     return j.withColumns(sla_columns()).select(*ORDER_COLUMNS)
 
 
+def orders_sla(raw: Raw, rules=ORDER_RULES_CODE) -> DataFrame:
+    """Valid orders with their SLA fields only (no joins): the order-grain input for queries that
+    need punctuality but no customer, payment or item context."""
+    orders = raw["olist_orders"].where(rejection_reason(rules).isNull())
+    return orders.withColumns(sla_columns())
+
+
 def quarantine(raw: Raw, rules=ORDER_RULES_CODE) -> DataFrame:
     """Rejected orders with their reason (one tagged pass, complement of B2's filter)."""
     tagged = tag_rejections(raw["olist_orders"], rules)
