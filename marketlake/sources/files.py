@@ -18,14 +18,36 @@ def table_path(base: str, layer: str, name: str) -> str:
 
 
 def read_table(spark: SparkSession, base: str, layer: str, name: str, merge_schema: bool = False) -> DataFrame:
-    """Scan a stored table; ``merge_schema`` reconciles files written with added columns."""
-    return spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(table_path(base, layer, name))
+    """Scan a stored table; ``merge_schema`` reconciles files written with added columns.
+    A partitioned table without rows has no files to infer a schema from; it is then read
+    through its catalog entry when that entry points at the same location."""
+    from pyspark.errors import AnalysisException
+    path = table_path(base, layer, name)
+    try:
+        return spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(path)
+    except AnalysisException:
+        if _catalog_location(spark, f"{layer}.{name}") == _normalise(path):
+            return spark.table(f"{layer}.{name}")
+        raise
+
+
+def _normalise(path: str) -> str:
+    return path.rstrip("/").replace("file://", "").replace("file:", "")
+
+
+def _catalog_location(spark: SparkSession, fq: str) -> str | None:
+    if not spark.catalog.tableExists(fq):
+        return None
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {fq}").where("col_name = 'Location'").collect()
+    return _normalise(rows[0]["data_type"]) if rows else None
 
 
-def register(spark: SparkSession, base: str, layer: str, name: str) -> None:
+def register(spark: SparkSession, base: str, layer: str, name: str, schema=None) -> None:
+    """Register the Parquet directory as an external table (schema given, so empty tables work)."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
     spark.sql(f"DROP TABLE IF EXISTS {layer}.{name}")
-    spark.sql(f"CREATE TABLE {layer}.{name} USING parquet LOCATION '{table_path(base, layer, name)}'")
+    spark.catalog.createTable(f"{layer}.{name}", path=table_path(base, layer, name), source="parquet",
+                              schema=schema)
 
 
 def write_table(df: DataFrame, base: str, layer: str, name: str, mode: str = "overwrite",
@@ -44,7 +66,7 @@ def write_table(df: DataFrame, base: str, layer: str, name: str, mode: str = "ov
         w = w.option("partitionOverwriteMode", "dynamic")
     w.parquet(path)
     if register_table:
-        register(df.sparkSession, base, layer, name)
+        register(df.sparkSession, base, layer, name, df.schema if mode == "overwrite" else None)
     return path
 
 
@@ -52,10 +74,7 @@ def ensure_layout(spark: SparkSession, base: str, s=DEFAULT) -> DataFrame:
     """One namespace per layer, a quality log table in each; returns the layer namespaces."""
     from ..operators.quality import LOG_SCHEMA
     for layer in (s.bronze, s.silver, s.gold):
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
-        cols = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in LOG_SCHEMA.fields)
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {layer}.quality_logs ({cols}) USING parquet "
-                  f"LOCATION '{table_path(base, layer, 'quality_logs')}'")
+        register(spark, base, layer, "quality_logs", LOG_SCHEMA)
     ns = spark.sql("SHOW SCHEMAS")
     return ns.where(F.col(ns.columns[0]).isin(s.bronze, s.silver, s.gold))
 
