@@ -266,12 +266,13 @@ def fact_sales_item(items: DataFrame, orders_enriched_df: DataFrame, dim_c: Data
                       "product_key", materialize=materialize)
     f = fk_or_unknown(f, "seller_id", dim_s.where(F.col("seller_key") != -1), "seller_id", "seller_key",
                       "seller_key", materialize=materialize)
-    return f.select(*[c if c not in ("preco_produto", "valor_frete", "valor_total_item", "quantidade") else
-                      {"preco_produto": F.col("price").alias("preco_produto"),
-                       "valor_frete": F.col("freight_value").alias("valor_frete"),
-                       "valor_total_item": (F.col("price") + F.col("freight_value")).alias("valor_total_item"),
-                       "quantidade": F.lit(1).alias("quantidade")}[c]
-                      for c in FACT_SALES_ITEM_COLUMNS])
+    measures = {
+        "preco_produto": F.col("price"),
+        "valor_frete": F.col("freight_value"),
+        "valor_total_item": F.col("price") + F.col("freight_value"),
+        "quantidade": F.lit(1),
+    }
+    return f.select(*[measures[c].alias(c) if c in measures else F.col(c) for c in FACT_SALES_ITEM_COLUMNS])
 
 
 def fact_reviews_keyed(reviews_ctx: DataFrame, orders_enriched_df: DataFrame, dim_c: DataFrame,
