@@ -12,7 +12,7 @@ import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, Settings
@@ -28,6 +28,16 @@ class RunReport:
     tables: dict[str, str] = field(default_factory=dict)
     checks: dict[str, list] = field(default_factory=dict)
     seconds: dict[str, float] = field(default_factory=dict)
+    rows: dict[str, int] = field(default_factory=dict)
+
+
+def _write(report: RunReport, df: DataFrame, base: str, layer: str, name: str, **kw) -> str:
+    """Write once and take the row count from the same job (``observe``), not from a re-run."""
+    obs = Observation(f"rows_{layer}_{name}_{report.run_id}")
+    path = write_table(df.observe(obs, F.count(F.lit(1)).alias("rows")), base, layer, name, **kw)
+    report.tables[name] = path
+    report.rows[name] = int(obs.get.get("rows", 0))
+    return path
 
 
 def _gate(spark: SparkSession, results: DataFrame, base: str, layer: str, run_id: str,
@@ -55,7 +65,7 @@ def run_bronze(spark: SparkSession, raw: Mapping[str, DataFrame] | None, base: s
     were already written by the streaming ingest (``streaming.ingest_all``) and are only checked."""
     if raw is not None:
         for t in s.bronze_tables:
-            report.tables[t] = write_table(raw[t], base, s.bronze, t)
+            _write(report, raw[t], base, s.bronze, t)
     stored = {t: read_table(spark, base, s.bronze, t) for t in s.bronze_tables}
     _gate(spark, checks.bronze_suite(stored, s), base, s.bronze, report.run_id, report, gate, relax)
     return stored
@@ -63,14 +73,13 @@ def run_bronze(spark: SparkSession, raw: Mapping[str, DataFrame] | None, base: s
 
 def run_silver(spark: SparkSession, bronze: Mapping[str, DataFrame], base: str, report: RunReport,
                s: Settings = DEFAULT, gate: bool = True, relax=frozenset()) -> dict[str, DataFrame]:
-    report.tables["geolocation_aggregated"] = write_table(silver.geolocation_aggregated(bronze, s), base, s.silver,
-                                                          "geolocation_aggregated")
-    report.tables["orders_enriched"] = write_table(silver.orders_enriched(bronze), base, s.silver, "orders_enriched")
+    _write(report, silver.geolocation_aggregated(bronze, s), base, s.silver, "geolocation_aggregated")
+    _write(report, silver.orders_enriched(bronze), base, s.silver, "orders_enriched")
     # quarantine: partitioned by run, so a re-run replaces its own rows and keeps other runs
     q = silver.quarantine(bronze).withColumn("run_id", F.lit(report.run_id))
-    report.tables["quarantine"] = write_table(q, base, s.silver, "quarantine", mode="overwrite",
-                                              partition_by=["run_id"], dynamic_partitions=True)
-    report.tables["reviews_enriched"] = write_table(silver.reviews_enriched(bronze), base, s.silver, "reviews_enriched")
+    _write(report, q, base, s.silver, "quarantine", mode="overwrite", partition_by=["run_id"],
+           dynamic_partitions=True)
+    _write(report, silver.reviews_enriched(bronze), base, s.silver, "reviews_enriched")
     stored = {t: read_table(spark, base, s.silver, t)
               for t in ("geolocation_aggregated", "orders_enriched", "reviews_enriched")}
     _gate(spark, checks.silver_suite(bronze, stored, s), base, s.silver, report.run_id, report, gate, relax)
@@ -89,17 +98,16 @@ def run_gold(spark: SparkSession, bronze: Mapping[str, DataFrame], silver_t: Map
         "dim_calendar": gold.dim_calendar(oe, s),
     }
     for t, df in out.items():
-        report.tables[t] = write_table(df, base, G, t)
+        _write(report, df, base, G, t)
     fs = gold.fact_sales(oe).withColumns({"ano": (F.col("date_key") / 10000).cast("int"),
                                           "mes": (F.col("date_key") / 100 % 100).cast("int")})
     # Fact partitioned by year and month (partition pruning for period filters)
-    report.tables["fact_sales"] = write_table(fs, base, G, "fact_sales", partition_by=["ano", "mes"])
-    report.tables["fact_reviews"] = write_table(gold.fact_reviews(rv), base, G, "fact_reviews")
-    report.tables["fact_order_items"] = write_table(gold.fact_order_items(bronze["olist_order_items"]), base, G,
-                                                    "fact_order_items")
+    _write(report, fs, base, G, "fact_sales", partition_by=["ano", "mes"])
+    _write(report, gold.fact_reviews(rv), base, G, "fact_reviews")
+    _write(report, gold.fact_order_items(bronze["olist_order_items"]), base, G, "fact_order_items")
     stored = {t: read_table(spark, base, G, t) for t in report.tables if t in checks.GOLD_TABLES}
     kpi = gold.kpi_marketplace_monthly(stored["fact_sales"], stored["fact_reviews"], bronze["olist_order_items"])
-    report.tables["kpi_marketplace_monthly"] = write_table(kpi, base, G, "kpi_marketplace_monthly")
+    _write(report, kpi, base, G, "kpi_marketplace_monthly")
     stored["kpi_marketplace_monthly"] = read_table(spark, base, G, "kpi_marketplace_monthly")
     _gate(spark, checks.gold_suite(stored, s), base, G, report.run_id, report, gate, relax)
     return stored

@@ -105,3 +105,10 @@ def test_incremental_upsert_rewrites_only_touched_partitions(spark, tmp_base):
     out = {r.order_id: (r.order_status, r.version, r.mes) for r in read_table(spark, tmp_base, "gold", "f").collect()}
     assert out == {"o1": ("delivered", 1, 1), "o2": ("delivered", 2, 1), "o3": ("shipped", 1, 2),
                    "o4": ("shipped", 2, 1)}
+
+
+def test_row_counts_come_from_the_writes(run):
+    spark, base, raw, rep = run
+    assert rep.rows["olist_orders"] == raw["olist_orders"].count()
+    assert rep.rows["orders_enriched"] + rep.rows["quarantine"] == rep.rows["olist_orders"]
+    assert rep.rows["fact_sales"] == read_table(spark, base, "gold", "fact_sales").count()
