@@ -27,6 +27,7 @@ def main(argv=None) -> int:
     p.add_argument("--layers", default="bronze,silver,gold")
     p.add_argument("--relax", action="append", default=[], help="table:check logged but not blocking")
     p.add_argument("--run-id")
+    p.add_argument("--documented", action="store_true", help="also build the documented keyed star")
     q = sub.add_parser("query")
     q.add_argument("name")
     q.add_argument("--sf-dir", required=True)
@@ -55,8 +56,9 @@ def main(argv=None) -> int:
         from .sources.raw_views import RawTables
         raw = RawTables(spark, a.sf_dir).as_dict()
     relax = {tuple(r.split(":", 1)) for r in a.relax}
-    rep = run_pipeline(spark, raw, a.base, a.run_id, layers=tuple(a.layers.split(",")), relax=relax)
-    print(json.dumps({"run_id": rep.run_id, "seconds": rep.seconds, "tables": rep.tables,
+    rep = run_pipeline(spark, raw, a.base, a.run_id, layers=tuple(a.layers.split(",")), relax=relax,
+                       documented=a.documented)
+    print(json.dumps({"run_id": rep.run_id, "seconds": rep.seconds, "rows": rep.rows,
                       "failed_checks": [r for rows in rep.checks.values() for r in rows if not r["passed"]]},
                      default=str))
     return 0

@@ -52,13 +52,19 @@ def register(spark: SparkSession, base: str, layer: str, name: str, schema=None)
 
 def write_table(df: DataFrame, base: str, layer: str, name: str, mode: str = "overwrite",
                 partition_by: list[str] | None = None, dynamic_partitions: bool = False,
-                register_table: bool = True) -> str:
+                register_table: bool = True, cluster_by: list[str] | None = None) -> str:
     """Full refresh (overwrite data and schema) or append; optional Hive-style partitions.
 
+    Partitioned writes are first range-partitioned on (partition columns, ``cluster_by``): each
+    task then covers a contiguous range and writes to one or two partition folders, so the file
+    count stays near the task count (instead of tasks x partitions) and a hot partition value is
+    split over several tasks by the sampled range bounds. AQE may coalesce the ranges.
     ``dynamic_partitions`` overwrites only the partitions present in ``df`` (incremental loads).
-    Never overwrite a table that ``df`` itself reads: cut the lineage first (``checkpoint``).
+    Never overwrite a table that ``df`` itself reads: stage it first (``session.stage``).
     """
     path = table_path(base, layer, name)
+    if partition_by:
+        df = df.repartitionByRange(*partition_by, *(cluster_by or []))
     w = df.write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)

@@ -112,3 +112,14 @@ def test_row_counts_come_from_the_writes(run):
     assert rep.rows["olist_orders"] == raw["olist_orders"].count()
     assert rep.rows["orders_enriched"] + rep.rows["quarantine"] == rep.rows["olist_orders"]
     assert rep.rows["fact_sales"] == read_table(spark, base, "gold", "fact_sales").count()
+
+
+def test_documented_star_passes_key_checks(spark, tmp_base):
+    raw = RawTables(spark, SF_SMALL).as_dict()
+    rep = run_pipeline(spark, raw, tmp_base, run_id="d1", relax=RELAX, documented=True)
+    names = {r["check_name"] for r in rep.checks["gold"]}
+    assert "unknown_member(customer_key)" in names and "fk_integrity(product_key -> product_key)" in names
+    assert all(r["passed"] for r in rep.checks["gold"]), [r for r in rep.checks["gold"] if not r["passed"]]
+    f = read_table(spark, tmp_base, "gold", "fact_sales_item")
+    assert rep.rows["fact_sales_item"] == f.count()
+    assert f.where("customer_key = -1 OR product_key = -1 OR seller_key = -1").count() == 0
