@@ -36,7 +36,7 @@ def _write(report: RunReport, df: DataFrame, base: str, layer: str, name: str, *
     """Write once and take the row count from the same job (``observe``), not from a re-run."""
     t0 = time.perf_counter()
     obs = Observation(f"rows_{layer}_{name}_{report.run_id}")
-    path = write_table(df.observe(obs, F.count(F.lit(1)).alias("rows")), base, layer, name, **kw)
+    path = write_table(df, base, layer, name, observation=obs, **kw)
     report.table_seconds[name] = round(time.perf_counter() - t0, 3)
     report.tables[name] = path
     report.rows[name] = int(obs.get.get("rows", 0))
