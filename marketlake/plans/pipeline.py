@@ -81,7 +81,7 @@ def run_silver(spark: SparkSession, bronze: Mapping[str, DataFrame], base: str,
     # quarantine: partitioned by run, so a re-run replaces its own rows and keeps other runs
     q = silver.quarantine(bronze).withColumn("run_id", F.lit(report.run_id))
     _write(report, q, base, s.silver, "quarantine", mode="overwrite", partition_by=["run_id"],
-           dynamic_partitions=True)
+           cluster_by=["customer_id", "order_purchase_timestamp"], dynamic_partitions=True)
     _write(report, silver.reviews_enriched(bronze), base, s.silver, "reviews_enriched")
     stored = {t: read_table(spark, base, s.silver, t)
               for t in ("geolocation_aggregated", "orders_enriched", "reviews_enriched")}

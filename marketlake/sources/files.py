@@ -56,18 +56,19 @@ def write_table(df: DataFrame, base: str, layer: str, name: str, mode: str = "ov
                 observation=None) -> str:
     """Full refresh (overwrite data and schema) or append; optional Hive-style partitions.
 
-    Partitioned writes are first range-partitioned on (partition columns, ``cluster_by``): each
-    task then covers a contiguous range and writes to one or two partition folders, so the file
-    count stays near the task count (instead of tasks x partitions) and a hot partition value is
-    split over several tasks by the sampled range bounds. AQE may coalesce the ranges.
+    With ``cluster_by`` (a high-cardinality key), partitioned writes are first range-partitioned on
+    (partition columns, cluster_by): each task then covers a contiguous range and writes to one or
+    two partition folders, so the file count stays near the task count (instead of tasks x
+    partitions) and a hot partition value is split over several tasks by the sampled range
+    bounds. Without it the frame's own distribution is kept (never one task per partition value).
     ``dynamic_partitions`` overwrites only the partitions present in ``df`` (incremental loads).
     ``observation`` (a ``pyspark.sql.Observation``) receives the written row count as ``rows``;
     it is attached above the range exchange, so the range-sampling job does not count too.
     Never overwrite a table that ``df`` itself reads: stage it first (``session.stage``).
     """
     path = table_path(base, layer, name)
-    if partition_by:
-        df = df.repartitionByRange(*partition_by, *(cluster_by or []))
+    if partition_by and cluster_by:
+        df = df.repartitionByRange(*partition_by, *cluster_by)
     if observation is not None:
         df = df.observe(observation, F.count(F.lit(1)).alias("rows"))
     w = df.write.mode(mode)
