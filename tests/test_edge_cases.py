@@ -158,3 +158,22 @@ def test_region_map(spark):
     df = spark.createDataFrame([("SP",), ("AM",), ("DF",), ("XX",), (None,)], "s string")
     assert [r.r for r in df.select(region_of_state("s").alias("r")).collect()] == \
         ["Sudeste", "Norte", "Centro-Oeste", "Desconhecido", "Desconhecido"]
+
+
+def test_orders_enriched_payment_rules(spark):
+    from marketlake.plans import silver
+    orders = spark.createDataFrame([("o1", "c1", "delivered", None, None, None, None, None)],
+                                   "order_id string, customer_id string, order_status string, "
+                                   "order_purchase_timestamp timestamp_ntz, order_approved_at timestamp_ntz, "
+                                   "order_delivered_carrier_date timestamp_ntz, order_delivered_customer_date timestamp_ntz, "
+                                   "order_estimated_delivery_date timestamp_ntz")
+    pays = spark.createDataFrame([("o1", "boleto", 1, Decimal("90.00")), ("o1", "voucher", 1, Decimal("5.00")),
+                                  ("o1", "voucher", 2, Decimal("5.00"))],
+                                 "order_id string, payment_type string, payment_installments int, payment_value decimal(18,2)")
+    raw = {"olist_orders": orders, "olist_order_payments": pays,
+           "olist_order_items": spark.createDataFrame([], "order_id string, order_item_id int, price decimal(18,2), "
+                                                          "freight_value decimal(18,2)"),
+           "olist_customers": spark.createDataFrame([("c1", "u1")], "customer_id string, customer_unique_id string")}
+    assert silver.orders_enriched(raw).collect()[0].forma_pagamento_principal == "boleto"
+    r = silver.orders_enriched(raw, payment_rule="most_frequent").collect()[0]
+    assert r.forma_pagamento_principal == "voucher" and r.max_parcelas == 2
