@@ -36,8 +36,10 @@ class Settings:
     review_score_min: int = 1
     review_score_max: int = 5
 
-    # a side is broadcast only when a size check proves it is below this many rows
+    # a side is broadcast only when a count proves it is below this many rows and the rows
+    # times a conservative per-row width (schema-based) stay below this many bytes
     broadcast_max_rows: int = 1_000_000
+    broadcast_max_bytes: int = 64 * 1024 * 1024
 
     # surrogate keys: hex characters of md5(key) used as the ordering bucket
     surrogate_bucket_hex: int = 4

@@ -4,13 +4,31 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..config import DEFAULT
 
 
+def row_width(schema: T.StructType) -> int:
+    """Conservative in-memory bytes per row: fixed widths for numbers and dates, 64 for strings."""
+    fixed = {T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.DateType: 4,
+             T.LongType: 8, T.DoubleType: 8, T.FloatType: 4, T.TimestampType: 8, T.TimestampNTZType: 8}
+    total = 8  # row header
+    for f in schema.fields:
+        dt = f.dataType
+        if isinstance(dt, T.DecimalType):
+            total += 8 if dt.precision <= 18 else 16
+        elif type(dt) in fixed:
+            total += fixed[type(dt)]
+        else:
+            total += 64
+    return total
+
+
 def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT.broadcast_max_rows,
-                    materialize: bool = False) -> DataFrame:
-    """Return ``broadcast(df)`` only when a count proves it has at most ``max_rows`` rows.
+                    materialize: bool = False, max_bytes: int = DEFAULT.broadcast_max_bytes) -> DataFrame:
+    """Return ``broadcast(df)`` only when a count proves it has at most ``max_rows`` rows and
+    ``rows x row_width(schema)`` is at most ``max_bytes``.
 
     ``materialize=True`` first stores ``df`` as a Parquet table in the shared checkpoint folder
     so the check and the join read the same stored rows instead of computing them twice (use
@@ -22,7 +40,7 @@ def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT.broadcast_max_rows,
         from ..session import stage
         df = stage(df, "lookup")
     n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return F.broadcast(df) if n <= max_rows and n * row_width(df.schema) <= max_bytes else df
 
 
 def bounded_broadcast(df: DataFrame) -> DataFrame:
@@ -77,7 +95,6 @@ def orphans(fact: DataFrame, dim: DataFrame, fact_fk_col: str, dim_pk_col: str,
 
     NULL FKs are not counted. No DISTINCT on the dimension: an anti join does not need it.
     """
-    from pyspark.sql import types as T
     fk_type = fact.schema[fact_fk_col].dataType
     unknown = F.lit(str(unknown_key)) if isinstance(fk_type, T.StringType) else F.lit(unknown_key)
     f = fact.where(F.col(fact_fk_col) != unknown)

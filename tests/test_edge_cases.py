@@ -177,3 +177,21 @@ def test_orders_enriched_payment_rules(spark):
     assert silver.orders_enriched(raw).collect()[0].forma_pagamento_principal == "boleto"
     r = silver.orders_enriched(raw, payment_rule="most_frequent").collect()[0]
     assert r.forma_pagamento_principal == "voucher" and r.max_parcelas == 2
+
+
+def test_sized_broadcast_checks_rows_and_bytes(spark):
+    from marketlake.operators.joins import row_width, sized_broadcast
+    small = spark.range(10).selectExpr("id", "cast(id as string) s")
+    assert row_width(small.schema) == 8 + 8 + 64
+
+    def is_broadcast(df):
+        j = spark.range(100).join(df, "id")
+        return "BroadcastHashJoin" in j._jdf.queryExecution().executedPlan().toString()
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert is_broadcast(sized_broadcast(small, max_rows=10))
+        assert not is_broadcast(sized_broadcast(small, max_rows=9))
+        assert not is_broadcast(sized_broadcast(small, max_rows=10, max_bytes=799))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
