@@ -66,3 +66,28 @@ def stage(df, name: str = "stage"):
     path = scratch_path(spark, name)
     df.write.mode("errorifexists").parquet(path)
     return spark.read.parquet(path)
+
+
+def scale_settings(largest_shuffle_bytes: int, total_cores: int,
+                   target_partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
+    """Session settings sized for a cluster run (the library itself never pins them).
+
+    The initial shuffle partition count makes each reduce task read about
+    ``target_partition_bytes`` of the largest shuffle (spill-free sort/aggregate buffers on
+    typical executors), but at least two tasks per core; AQE then coalesces smaller stages
+    and splits partitions that are still several times the target (hot keys).
+    Example: a 20 TB items shuffle on 1000 executors x 8 cores -> 81,920 partitions (~10 waves).
+    """
+    n = max(2 * total_cores, -(-largest_shuffle_bytes // target_partition_bytes))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes // 2),
+        "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
+    }
