@@ -21,7 +21,7 @@ q("region_of_state", """
 SELECT customer_state, {region} AS regiao_brasil, COUNT(*) AS qtd_clientes FROM olist_customers GROUP BY customer_state
 """.replace("{region}", region_case("customer_state")))
 
-q("payments_per_order", "SELECT * FROM payments_agg")
+q("payments_per_order", "SELECT * FROM pay_by_order")
 
 q("payments_mode_per_order", """
 SELECT order_id, max(CASE WHEN rn = 1 THEN payment_type END) AS forma_pagamento_frequente,
@@ -33,7 +33,7 @@ FROM (SELECT order_id, payment_type, cnt,
 GROUP BY order_id""")
 
 q("items_per_order", """
-SELECT order_id, CAST(valor_total_pedido AS DOUBLE) AS valor_total_pedido, quantidade_itens FROM items_agg""")
+SELECT order_id, CAST(valor_total_pedido AS DOUBLE) AS valor_total_pedido, quantidade_itens FROM items_by_order""")
 
 q("sla_fields", f"""
 SELECT order_id, customer_id,
