@@ -459,3 +459,19 @@ def q_check_expected_volume(spark, sf_dir):
     lk = lake(spark, sf_dir)
     return union_results([table_checks(lk.raw[t], "bronze", t, [Check("expected_count", lo=n, blocking=False)])
                           for t, n in EXPECTED_COUNTS.items()])
+
+
+# ---------------- documented variants ----------------
+
+@register("quarantine_documented")
+def q_quarantine_documented(spark, sf_dir):
+    """Documented rule list (NULL order_id or NULL customer_id), first failing rule's reason."""
+    from . import silver
+    return silver.quarantine(lake(spark, sf_dir).raw, silver.ORDER_RULES_DOC)
+
+
+@register("orders_enriched_most_frequent")
+def q_orders_enriched_most_frequent(spark, sf_dir):
+    """Documented main payment type = the order's most frequent type (ties -> smallest name)."""
+    from . import silver
+    return present(silver.orders_enriched(lake(spark, sf_dir).raw, payment_rule="most_frequent"))

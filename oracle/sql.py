@@ -175,3 +175,21 @@ q("check_expected_volume", C.union([
     C.row("bronze", t, f"expected_count({n})", f"COUNT(*) = {n}", "COUNT(*)",
           f"'expected={n} actual=' || CAST(COUNT(*) AS VARCHAR)", t, blocking=False)
     for t, n in _EXP.items()]))
+
+
+# ---------------- documented variants ----------------
+q("quarantine_documented", """
+SELECT *, CASE WHEN order_id IS NULL THEN 'order_id nulo' ELSE 'customer_id nulo' END AS motivo_rejeicao
+FROM olist_orders WHERE order_id IS NULL OR customer_id IS NULL""")
+
+q("orders_enriched_most_frequent", """
+SELECT oe.* REPLACE (CAST(oe.valor_total_pedido AS DOUBLE) AS valor_total_pedido,
+                     pm.tipo AS forma_pagamento_principal)
+FROM orders_enriched oe
+LEFT JOIN (SELECT order_id, max(CASE WHEN rn = 1 THEN payment_type END) AS tipo
+           FROM (SELECT order_id, payment_type,
+                        row_number() OVER (PARTITION BY order_id ORDER BY CASE WHEN payment_type IS NULL THEN 1 ELSE 0 END,
+                                           cnt DESC, payment_type ASC) AS rn
+                 FROM (SELECT order_id, payment_type, count(payment_type) AS cnt FROM olist_order_payments GROUP BY 1, 2))
+           GROUP BY order_id) pm
+  ON oe.order_id = pm.order_id""")
