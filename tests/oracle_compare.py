@@ -7,7 +7,6 @@ Comparison: column names (sorted), mapped types, row count, and the multiset of
 
 from __future__ import annotations
 
-import datetime as dt
 import decimal
 import math
 import os
