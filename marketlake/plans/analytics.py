@@ -322,8 +322,10 @@ def share_by_state(lk: Lake) -> DataFrame:
 
 # P12
 def sliced_sales(lk: Lake, period: tuple[int, int] | None = None, state: str | None = None,
-                 category: str | None = None) -> DataFrame:
-    """Dashboard slicers on the item-grain fact: period (yyyyMM range), customer state, category."""
+                 category: str | None = None, seller_state: str | None = None) -> DataFrame:
+    """Dashboard slicers on the item-grain fact: period (yyyyMM range), customer state, category,
+    seller state. Each slicer is a join to a keyed dimension plus a filter (dimension sides are
+    size-checked by the planner's statistics and AQE)."""
     f = lk.fact_sales_item
     if period is not None:
         ym = F.col("ano") * 100 + F.col("mes")
@@ -334,6 +336,9 @@ def sliced_sales(lk: Lake, period: tuple[int, int] | None = None, state: str | N
     if category is not None:
         p = lk.dim_products_keyed.select("product_key", "category_en")
         f = f.join(p, "product_key").where(F.col("category_en") == category)
+    if seller_state is not None:
+        sl = lk.dim_sellers_keyed.select("seller_key", F.col("estado").alias("seller_state"))
+        f = f.join(sl, "seller_key").where(F.col("seller_state") == seller_state)
     return f
 
 

@@ -195,3 +195,14 @@ def test_sized_broadcast_checks_rows_and_bytes(spark):
         assert not is_broadcast(sized_broadcast(small, max_rows=10, max_bytes=799))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_slicers_compose(spark):
+    from marketlake.plans import analytics
+    from marketlake.plans.lake import Lake
+    from tests.conftest import SF_SMALL
+    lk = Lake.from_testdata(spark, SF_SMALL)
+    all_rows = analytics.sliced_sales(lk).count()
+    sp = analytics.sliced_sales(lk, state="SP").count()
+    sp_sel = analytics.sliced_sales(lk, state="SP", seller_state="SP").count()
+    assert all_rows >= sp >= sp_sel and sp > 0
