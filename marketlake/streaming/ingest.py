@@ -20,6 +20,11 @@ from ..schemas import RAW_FILES, RAW_SCHEMAS
 CSV_OPTIONS = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"',
                "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
+# Datasets with free-text columns whose quoted values may span lines. Only these are read with
+# multiLine (a multi-line CSV file cannot be split, so it is one task per file); all other
+# datasets are read as splittable CSV, so a large file is spread over many tasks.
+MULTILINE_DATASETS = frozenset({"olist_order_reviews"})
+
 
 def source_file_column(df: DataFrame) -> Column:
     """File path for file-based frames; 'manual_load' for frames without file metadata."""
@@ -45,10 +50,12 @@ class IngestResult:
 
 def csv_stream(spark: SparkSession, landing_dir: str, file_glob: str, schema: T.StructType,
                enforce_header: bool = False, max_files_per_trigger: int | None = None,
-               recursive: bool = False) -> DataFrame:
+               recursive: bool = False, multi_line: bool = True) -> DataFrame:
     """File stream of one dataset. ``enforce_header`` checks header names against the
-    declared schema (T4); ``recursive`` also picks up files in sub-folders (one per delivery)."""
-    r = spark.readStream.format("csv").schema(schema).options(**CSV_OPTIONS).option("pathGlobFilter", file_glob)
+    declared schema (T4); ``recursive`` also picks up files in sub-folders (one per delivery);
+    ``multi_line=False`` makes large files splittable when no value spans lines."""
+    r = (spark.readStream.format("csv").schema(schema).options(**CSV_OPTIONS)
+         .option("multiLine", str(multi_line).lower()).option("pathGlobFilter", file_glob))
     if recursive:
         r = r.option("recursiveFileLookup", "true")
     if enforce_header:
@@ -90,7 +97,8 @@ def ingest_all(spark: SparkSession, landing_dir: str, base: str, checkpoint_base
     running = {}
     for table, glob in datasets.items():
         src = f"{landing_dir.rstrip('/')}/{table}" if subfolders else landing_dir
-        df = add_ingestion_metadata(csv_stream(spark, src, glob, schemas[table]))
+        df = add_ingestion_metadata(csv_stream(spark, src, glob, schemas[table],
+                                               multi_line=table in MULTILINE_DATASETS))
         q = (df.writeStream.format("parquet").outputMode("append")
              .option("checkpointLocation", f"{checkpoint_base.rstrip('/')}/{table}")
              .trigger(availableNow=True).start(table_path(base, layer, table)))
