@@ -23,7 +23,8 @@ def _share(count_col: str) -> F.Column:
 
 
 def _customer_state(lk: Lake) -> DataFrame:
-    return lk.dim_customers.select("customer_unique_id", "customer_state")
+    """Person -> state (same rows as dim_customers; the region lookup is not needed here)."""
+    return lk.customer_latest.select("customer_unique_id", "customer_state")
 
 
 # N1
@@ -313,8 +314,9 @@ def category_sku_count(lk: Lake, k: int = 5) -> DataFrame:
 def share_by_state(lk: Lake) -> DataFrame:
     """Customer (persons) and seller counts and shares per state. Both sides are
     state-grain aggregates (at most one row per state), so the outer join is small."""
-    c = lk.dim_customers.groupBy(F.col("customer_state").alias("estado")).agg(F.count(F.lit(1)).alias("qtd_clientes"))
-    s = lk.dim_sellers.groupBy(F.col("seller_state").alias("estado")).agg(F.count(F.lit(1)).alias("qtd_sellers"))
+    c = lk.customer_latest.groupBy(F.col("customer_state").alias("estado")).agg(F.count(F.lit(1)).alias("qtd_clientes"))
+    # dim_sellers is one row per raw seller; the state needs no region lookup
+    s = lk.raw["olist_sellers"].groupBy(F.col("seller_state").alias("estado")).agg(F.count(F.lit(1)).alias("qtd_sellers"))
     j = c.join(bounded_broadcast(s), "estado", "full").fillna(0, subset=["qtd_clientes", "qtd_sellers"])
     return j.select("estado", "qtd_clientes", _share("qtd_clientes").alias("share_clientes"),
                     "qtd_sellers", _share("qtd_sellers").alias("share_sellers"))

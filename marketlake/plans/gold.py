@@ -27,15 +27,22 @@ def _geo(geo: DataFrame, materialize: bool) -> DataFrame:
     return geo_lookup(geo, materialize)
 
 
-def dim_customers(customers: DataFrame, geo: DataFrame, geo_materialize: bool = True) -> DataFrame:
+def customer_latest(customers: DataFrame) -> DataFrame:
+    """One row per person: the record with the largest customer_id (W1 as an aggregate)."""
+    return latest_per_key(customers, "customer_unique_id", "customer_id",
+                          ["customer_city", "customer_state", "customer_zip_code_prefix"])
+
+
+def dim_customers(customers: DataFrame, geo: DataFrame, geo_materialize: bool = True,
+                  latest_done: bool = False) -> DataFrame:
     """One row per person (customer_unique_id), the record with the largest customer_id,
     with the region of its zip (NULL when the zip is unknown).
 
     The latest record is chosen first (aggregate with map-side pre-reduction), then the
     region lookup is joined; the lookup is many-to-one, so the order does not change rows.
+    ``latest_done`` means ``customers`` already is ``customer_latest(...)``.
     """
-    latest = latest_per_key(customers, "customer_unique_id", "customer_id",
-                            ["customer_city", "customer_state", "customer_zip_code_prefix"])
+    latest = customers if latest_done else customer_latest(customers)
     g = _geo(geo, geo_materialize)
     j = latest.join(g, latest.customer_zip_code_prefix == g.zip_code_prefix, "left")
     return j.select("customer_unique_id", "customer_city", "customer_state",

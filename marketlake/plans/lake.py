@@ -61,9 +61,14 @@ class Lake:
         """Size-checked (and, in-plan, materialised) zip lookup shared by all dimensions."""
         return gold.geo_lookup(self.geolocation_aggregated, self.materialize_lookups)
 
+    @cached_property
+    def customer_latest(self) -> DataFrame:
+        """Latest record per person without the region lookup (for state-level analytics)."""
+        return gold.customer_latest(self.raw["olist_customers"])
+
     @cached_property
     def dim_customers(self) -> DataFrame:
-        return gold.dim_customers(self.raw["olist_customers"], self.geo_lookup)
+        return gold.dim_customers(self.customer_latest, self.geo_lookup, latest_done=True)
 
     @cached_property
     def dim_sellers(self) -> DataFrame:
