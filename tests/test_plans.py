@@ -56,3 +56,53 @@ def test_exact_median_has_no_single_group_window(spark):
     distinct value of a group in one task; it uses the two-pass histogram operator."""
     p = _plan(QUERIES["ticket_by_category"](spark, SF_SMALL))
     assert "percentile(" not in p
+
+
+def _indent(line: str) -> int:
+    return len(line) - len(line.lstrip(" :+-"))
+
+
+def _unreduced_single_partition_inputs(plan: str) -> list[str]:
+    """Scans that reach an ``Exchange SinglePartition`` without passing an aggregate or limit."""
+    lines = plan.split("\n")
+    bad = []
+    for i, line in enumerate(lines):
+        if "Exchange SinglePartition" not in line:
+            continue
+        base = _indent(line)
+        sub = []
+        for nxt in lines[i + 1:]:
+            if nxt.strip() and _indent(nxt) <= base:
+                break
+            sub.append(nxt)
+        for j, s in enumerate(sub):
+            if "Scan " not in s and "FileScan" not in s and "Range (" not in s:
+                continue
+            depth, reduced = _indent(s), False
+            for up in reversed(sub[:j]):
+                if _indent(up) < depth:
+                    depth = _indent(up)
+                    if any(k in up for k in ("Aggregate", "Limit", "TakeOrdered")):
+                        reduced = True
+                        break
+            if not reduced:
+                bad.append(s.strip()[:120])
+    return bad
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - SKIP))
+def test_single_partition_exchanges_only_see_reduced_data(spark, name):
+    """Every row reaching a single-partition exchange has passed an aggregate (bounded by its
+    grouping domain, or one row per task) or a limit; raw rows never funnel into one task."""
+    plan = _plan(QUERIES[name](spark, SF_SMALL))
+    assert _unreduced_single_partition_inputs(plan) == []
+
+
+def test_single_partition_detector_flags_a_global_window(spark):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+    bad = spark.range(1000).withColumn("rn", F.row_number().over(Window.orderBy("id")))
+    assert _unreduced_single_partition_inputs(_plan(bad))
+    ok = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count() \
+        .withColumn("rn", F.row_number().over(Window.orderBy("k")))
+    assert _unreduced_single_partition_inputs(_plan(ok)) == []
