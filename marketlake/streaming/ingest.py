@@ -87,10 +87,13 @@ def ingest_csv(spark: SparkSession, landing_dir: str, file_glob: str, table_path
 
 def ingest_all(spark: SparkSession, landing_dir: str, base: str, checkpoint_base: str, layer: str = "bronze",
                datasets: dict[str, str] | None = None, schemas: dict[str, T.StructType] | None = None,
-               timeout_s: float | None = None, subfolders: bool = False) -> dict[str, IngestResult]:
+               timeout_s: float | None = None, subfolders: bool = False,
+               max_files_per_trigger: int | None = 1000) -> dict[str, IngestResult]:
     """Ingest every dataset; each has its own checkpoint, so the streams are independent and
     run concurrently (all started, then awaited). Files are matched by name in one shared
-    landing folder, or with ``subfolders=True`` in ``<landing>/<table>/``."""
+    landing folder, or with ``subfolders=True`` in ``<landing>/<table>/``.
+    ``max_files_per_trigger`` bounds each micro-batch: ``availableNow`` still drains the whole
+    backlog, but in batches of at most that many files, each committed to the checkpoint."""
     from ..sources.files import table_path
     datasets = datasets or RAW_FILES
     schemas = schemas or RAW_SCHEMAS
@@ -98,7 +101,8 @@ def ingest_all(spark: SparkSession, landing_dir: str, base: str, checkpoint_base
     for table, glob in datasets.items():
         src = f"{landing_dir.rstrip('/')}/{table}" if subfolders else landing_dir
         df = add_ingestion_metadata(csv_stream(spark, src, glob, schemas[table],
-                                               multi_line=table in MULTILINE_DATASETS))
+                                               multi_line=table in MULTILINE_DATASETS,
+                                               max_files_per_trigger=max_files_per_trigger))
         q = (df.writeStream.format("parquet").outputMode("append")
              .option("checkpointLocation", f"{checkpoint_base.rstrip('/')}/{table}")
              .trigger(availableNow=True).start(table_path(base, layer, table)))
@@ -109,7 +113,8 @@ def ingest_all(spark: SparkSession, landing_dir: str, base: str, checkpoint_base
         if q.exception() is not None:
             raise q.exception()
         rows = sum(int(p.get("numInputRows", 0)) for p in q.recentProgress)
-        out[table] = IngestResult(table_path(base, layer, table), rows, len(q.recentProgress))
+        batches = sum(1 for p in q.recentProgress if p.get("numInputRows", 0))
+        out[table] = IngestResult(table_path(base, layer, table), rows, batches)
     return out
 
 

@@ -95,3 +95,13 @@ def test_approx_distinct_option_is_close(spark):
     approx = {r.ano_mes: r.qtd_clientes_unicos for r in gold.kpi_sales_monthly(lk.fact_sales, True).collect()}
     assert exact.keys() == approx.keys()
     assert all(abs(exact[k] - approx[k]) <= max(2, 0.05 * exact[k]) for k in exact)
+
+
+def test_backlog_is_drained_in_bounded_batches(spark, tmp_base):
+    landing = f"{tmp_base}/landing/olist_order_reviews"
+    for i in range(5):
+        _write(f"{landing}/part{i}.csv", HEADER + f"r{i},o{i},5,,ok,2018-01-01 00:00:00,2018-01-02 00:00:00\n")
+    res = ingest_all(spark, f"{tmp_base}/landing", tmp_base, f"{tmp_base}/ck",
+                     datasets={"olist_order_reviews": "*.csv"}, subfolders=True, max_files_per_trigger=2)
+    assert res["olist_order_reviews"].rows_added == 5
+    assert res["olist_order_reviews"].batches == 3
