@@ -14,7 +14,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     """Local/test session. On a cluster, submit with the cluster's own settings instead."""
     cpus = os.environ.get("BENCH_CPUS", "8")
     master = master or f"local[{cpus}]"
-    parts = shuffle_partitions or int(cpus) * 2
+    parts = shuffle_partitions or int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", int(cpus) * 2))
     builder = (
         SparkSession.builder.master(master).appName(app_name)
         .config("spark.ui.enabled", "false")
