@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..config import REGION_OF_STATE, DEFAULT
+from ..config import DEFAULT, REGION_OF_STATE, SLA_GREEN_MIN, SLA_YELLOW_MIN
 
 
 def col(c) -> Column:
@@ -87,3 +87,10 @@ def non_blank(c) -> Column:
 def money_out(c) -> Column:
     """Exact decimal money presented as DOUBLE."""
     return col(c).cast("double")
+
+
+def sla_light(rate) -> Column:
+    """SLA traffic light of an on-time share: verde >= 90%, amarelo 80-89%, vermelho < 80%, NULL stays NULL."""
+    r = col(rate)
+    return (F.when(r >= SLA_GREEN_MIN, "verde").when(r >= SLA_YELLOW_MIN, "amarelo")
+            .when(r.isNotNull(), "vermelho"))

@@ -11,8 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..config import SLA_GREEN_MIN, SLA_YELLOW_MIN
-from ..functions.exprs import month_key, nps, safe_ratio
+from ..functions.exprs import month_key, nps, safe_ratio, sla_light
 from ..operators.joins import bounded_broadcast, sized_broadcast
 from .lake import Lake
 
@@ -237,10 +236,8 @@ def _on_time_by_state(lk: Lake) -> DataFrame:
 # N14
 def sla_light_by_state(lk: Lake) -> DataFrame:
     s = _on_time_by_state(lk)
-    rate = F.col("taxa_entrega_no_prazo")
-    light = (F.when(rate >= SLA_GREEN_MIN, "verde").when(rate >= SLA_YELLOW_MIN, "amarelo")
-             .when(rate.isNotNull(), "vermelho"))
-    return s.select("customer_state", "taxa_entrega_no_prazo", "qtd_entregues", light.alias("semaforo"))
+    return s.select("customer_state", "taxa_entrega_no_prazo", "qtd_entregues",
+                    sla_light("taxa_entrega_no_prazo").alias("semaforo"))
 
 
 # N15 / O3

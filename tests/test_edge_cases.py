@@ -206,3 +206,18 @@ def test_slicers_compose(spark):
     sp = analytics.sliced_sales(lk, state="SP").count()
     sp_sel = analytics.sliced_sales(lk, state="SP", seller_state="SP").count()
     assert all_rows >= sp >= sp_sel and sp > 0
+
+
+def test_sla_light_thresholds(spark):
+    from marketlake.functions.exprs import sla_light
+    df = spark.createDataFrame([(0.95,), (0.9,), (0.899,), (0.8,), (0.799,), (None,)], "r double")
+    assert [x.l for x in df.select(sla_light("r").alias("l")).collect()] == \
+        ["verde", "verde", "amarelo", "amarelo", "vermelho", None]
+
+
+def test_nps_formula(spark):
+    from marketlake.functions.exprs import nps
+    df = spark.createDataFrame([(5, "a"), (4, "b"), (3, "c"), (2, "d"), (1, "e"), (5, "f")], "s int, r string")
+    assert df.agg(nps("s", "r").alias("n")).collect()[0].n == pytest.approx((3 - 2) / 6 * 100)
+    empty = spark.createDataFrame([], "s int, r string")
+    assert empty.agg(nps("s", "r").alias("n")).collect()[0].n is None
