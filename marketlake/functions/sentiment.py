@@ -63,3 +63,31 @@ def sentiment_label(text) -> Column:
 
 def lexicon_scorer(df: DataFrame, text_col: str, out_col: str) -> DataFrame:
     return df.withColumn(out_col, sentiment_label(text_col))
+
+
+def pandas_lexicon_scorer(df: DataFrame, text_col: str, out_col: str) -> DataFrame:
+    """The same lexicon scorer as an Arrow-batched ``mapInPandas`` step.
+
+    This is the plug-in shape for scorers that need Python (for example a local model): whole
+    Arrow batches per call, vectorised string operations, no per-row Python UDF. The native
+    ``lexicon_scorer`` stays the default because it runs inside the JVM.
+    """
+    import pandas as pd
+
+    pos, neg = frozenset(POSITIVE_WORDS), frozenset(NEGATIVE_WORDS)
+    table = str.maketrans(ACCENTS_FROM, ACCENTS_TO)
+    schema = f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in df.schema.fields)}, `{out_col}` string"
+
+    def label(batches):
+        for pdf in batches:
+            text = pdf[text_col]
+            blank = text.isna() | (text.fillna("").str.strip(" ") == "")
+            toks = text.fillna("").str.lower().str.translate(table).str.split(r"[^a-z]+", regex=True)
+            score = toks.map(lambda ws: sum(w in pos for w in ws) - sum(w in neg for w in ws))
+            out = pd.Series(NEUTRAL, index=pdf.index)
+            out[score > 0] = POSITIVE
+            out[score < 0] = NEGATIVE
+            out[blank] = NO_COMMENT
+            yield pdf.assign(**{out_col: out})
+
+    return df.mapInPandas(label, schema)

@@ -221,3 +221,16 @@ def test_nps_formula(spark):
     assert df.agg(nps("s", "r").alias("n")).collect()[0].n == pytest.approx((3 - 2) / 6 * 100)
     empty = spark.createDataFrame([], "s int, r string")
     assert empty.agg(nps("s", "r").alias("n")).collect()[0].n is None
+
+
+def test_pandas_scorer_equals_native_scorer(spark):
+    from marketlake.functions.sentiment import lexicon_scorer, pandas_lexicon_scorer
+    from marketlake.plans.lake import Lake
+    from tests.conftest import SF_SMALL
+    r = Lake.from_testdata(spark, SF_SMALL).raw["olist_order_reviews"].select("review_id", "review_comment_message")
+    extra = spark.createDataFrame([("x1", "Produto ÓTIMO, recomendo"), ("x2", "\n\t"), ("x3", "péssimo atraso"),
+                                   ("x4", ""), ("x5", None)], "review_id string, review_comment_message string")
+    r = r.unionByName(extra)
+    a = {x.review_id: x.s for x in lexicon_scorer(r, "review_comment_message", "s").collect()}
+    b = {x.review_id: x.s for x in pandas_lexicon_scorer(r, "review_comment_message", "s").collect()}
+    assert a == b and a["x1"] == "positivo" and a["x3"] == "negativo" and a["x5"] == "sem_comentario"
