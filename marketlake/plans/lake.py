@@ -128,3 +128,71 @@ class Lake:
         return gold.fact_reviews_keyed(self.reviews_context, self.orders_enriched, self.dim_customers_keyed,
                                        self.dim_products_keyed, self.dim_sellers_keyed,
                                        materialize=self.materialize_lookups)
+
+
+class StoredLake(Lake):
+    """Silver and gold frames read from a pipeline run's stored tables (what dashboards query).
+
+    Same properties as ``Lake``, so every analytics function runs unchanged on the stored
+    star; ``fact_sales`` is read with partition pruning available on ``ano``/``mes``.
+    """
+
+    def __init__(self, spark: SparkSession, base: str, settings: Settings = DEFAULT):
+        from ..sources.files import read_table
+        self._read = lambda layer, name: read_table(spark, base, layer, name)
+        raw = {t: self._read(settings.bronze, t) for t in settings.bronze_tables}
+        super().__init__(raw, settings, materialize_lookups=False)
+
+    def _silver(self, name: str) -> DataFrame:
+        return self._read(self.s.silver, name)
+
+    def _gold(self, name: str) -> DataFrame:
+        return self._read(self.s.gold, name)
+
+    @cached_property
+    def geolocation_aggregated(self) -> DataFrame:
+        return self._silver("geolocation_aggregated")
+
+    @cached_property
+    def orders_enriched(self) -> DataFrame:
+        return self._silver("orders_enriched")
+
+    @cached_property
+    def reviews_enriched(self) -> DataFrame:
+        return self._silver("reviews_enriched")
+
+    @cached_property
+    def customer_latest(self) -> DataFrame:
+        return self._gold("dim_customers")
+
+    @cached_property
+    def dim_customers(self) -> DataFrame:
+        return self._gold("dim_customers")
+
+    @cached_property
+    def dim_sellers(self) -> DataFrame:
+        return self._gold("dim_sellers")
+
+    @cached_property
+    def dim_products(self) -> DataFrame:
+        return self._gold("dim_products")
+
+    @cached_property
+    def dim_calendar(self) -> DataFrame:
+        return self._gold("dim_calendar")
+
+    @cached_property
+    def fact_sales(self) -> DataFrame:
+        return self._gold("fact_sales").drop("ano", "mes")
+
+    @cached_property
+    def fact_reviews(self) -> DataFrame:
+        return self._gold("fact_reviews")
+
+    @cached_property
+    def fact_order_items(self) -> DataFrame:
+        return self._gold("fact_order_items")
+
+    @cached_property
+    def kpi_marketplace_monthly(self) -> DataFrame:
+        return self._gold("kpi_marketplace_monthly")

@@ -123,3 +123,14 @@ def test_documented_star_passes_key_checks(spark, tmp_base):
     f = read_table(spark, tmp_base, "gold", "fact_sales_item")
     assert rep.rows["fact_sales_item"] == f.count()
     assert f.where("customer_key = -1 OR product_key = -1 OR seller_key = -1").count() == 0
+
+
+def test_analytics_on_stored_star_equal_in_plan_results(run):
+    from marketlake.plans import analytics as A
+    from marketlake.plans.lake import Lake, StoredLake
+    spark, base, raw, _ = run
+    stored, live = StoredLake(spark, base), Lake(raw)
+    for fn in (A.executive_cards, A.sla_light_by_state, A.seller_ranking, A.nps_by_category, A.payment_mix):
+        a = sorted(map(tuple, fn(stored).collect()), key=repr)
+        b = sorted(map(tuple, fn(live).collect()), key=repr)
+        assert a == b, fn.__name__
