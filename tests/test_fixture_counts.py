@@ -49,3 +49,14 @@ def test_revenue_reconciles_to_the_published_total(lk):
     a = lk.fact_sales.agg(F.sum("valor_total_pedido")).collect()[0][0]
     b = lk.kpi_marketplace_monthly.agg(F.sum("receita_total")).collect()[0][0]
     assert a == b == Decimal("3116940782.45")
+
+
+def test_per_order_aggregates_and_dropped_review_month(lk):
+    from marketlake.operators.aggregates import items_per_order, payments_per_order
+    from marketlake.plans import gold
+    n_pay = payments_per_order(lk.raw["olist_order_payments"]).count()
+    n_items = items_per_order(lk.raw["olist_order_items"]).count()
+    assert n_pay == n_items == 14743
+    assert lk.raw["olist_orders"].count() - n_items == 257  # orders without any item
+    assert gold.kpi_reviews_monthly(lk.fact_reviews).count() == 81
+    assert lk.kpi_marketplace_monthly.count() == 80  # the review-only month is dropped
