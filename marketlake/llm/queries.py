@@ -2,25 +2,123 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import packing, token_store
-from .common import table
+from . import decontaminate, embedding_dedup, jaccard, line_dedup, packing, pii, quality, token_counts, token_store
+from .common import batches, table
+
+
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"))
+
+
+def _pii_digests(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    kinds = pii.BASE_KINDS
+    for b in batches(it):
+        counts, digests, spans = {k: [] for k in kinds}, [], []
+        for found in b.column(1).to_pylist():
+            told = [f"{s['kind']}:{s['start']}:{s['end']}" for s in found]
+            base = [t for s, t in zip(found, told) if s["kind"] in kinds]
+            for k in kinds:
+                counts[k].append(sum(s["kind"] == k for s in found))
+            digests.append(hashlib.sha256(",".join(base).encode()).hexdigest())
+            spans.append(",".join(told))
+        yield pa.RecordBatch.from_pydict({"doc_id": b.column(0), **{f"n_{k}": pa.array(counts[k], pa.int64()) for k in kinds},
+                                          "base_sha256": pa.array(digests, pa.string()), "spans": pa.array(spans, pa.string())})
+
+
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_pii(table(spark, sf_dir, "documents"))
+    return found.mapInArrow(_pii_digests, "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string")
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = token_store.write_tokens(table(spark, sf_dir, "documents"), scratch_path(spark, "tokens"))
     return token_store.read_documents(manifest)
 
 
+def _line_digests(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches(it):
+        n_lines, n_dropped, digests = [], [], []
+        for text, keep in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
+            lines = (text or "").split("\n")
+            n_lines.append(len(lines))
+            if keep is None:
+                n_dropped.append(0)
+                kept = text or ""
+            else:
+                stay = line_dedup.kept_lines(keep, len(lines))
+                n_dropped.append(len(lines) - int(stay.sum()))
+                kept = "\n".join(line for line, k in zip(lines, stay) if k)
+            digests.append(hashlib.sha256(kept.encode()).hexdigest())
+        yield pa.RecordBatch.from_pydict({"doc_id": b.column(0), "n_lines": pa.array(n_lines, pa.int64()),
+                                          "n_dropped": pa.array(n_dropped, pa.int64()), "kept_sha256": pa.array(digests, pa.string())})
+
+
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    joined = line_dedup.with_bitmaps(docs, line_dedup.keep_bitmaps(docs))
+    return joined.select("doc_id", "text", "_keep").mapInArrow(_line_digests, "doc_id long, n_lines long, n_dropped long, kept_sha256 string")
+
+
+def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.train(docs, table(spark, sf_dir, "labels"))
+    scored = quality.score(docs, model)
+    return scored.select("doc_id", quality.is_held_out().alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"), n=3, num=90, den=100).select("doc_id", "n_shingles", "component_id")
+
+
 QUERIES = {
+    "op1_decontamination": op1_decontamination,
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op3_token_counts": op3_token_counts,
+    "op4_pii": op4_pii,
     "op6_token_files": op6_token_files,
+    "op7_line_dedup": op7_line_dedup,
+    "op8_embedding_dedup": op8_embedding_dedup,
+    "op9_quality": op9_quality,
+    "op10_ngram_jaccard": op10_ngram_jaccard,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+# Dropping repeated lines, in DuckDB.
+OP7_SQL = r"""
+WITH lines AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+         unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS pos
+  FROM documents),
+keyed AS (
+  SELECT *, translate(trim(line, chr(32) || chr(9) || chr(11) || chr(12) || chr(13)),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM lines),
+first_doc AS (SELECT key, min(doc_id) AS first_id FROM keyed WHERE length(key) >= 10 GROUP BY key),
+marked AS (
+  SELECT k.*, f.first_id IS NOT NULL AND f.first_id <> k.doc_id AS dropped
+  FROM keyed k LEFT JOIN first_doc f ON f.key = k.key)
+SELECT doc_id, count(*)::BIGINT AS n_lines, (count(*) FILTER (WHERE dropped))::BIGINT AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT dropped), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+"""
+
+ORACLE_SQL: dict[str, str] = {"op7_line_dedup": OP7_SQL}
