@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import decontaminate, embedding_dedup, jaccard, line_dedup, packing, pii, quality, token_counts, token_store
+from . import decontaminate, embedding_dedup, jaccard, line_dedup, packing, pii, quality, suffix_dedup, token_counts, token_store
 from .common import batches, table
 
 
@@ -46,6 +46,13 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.mapInArrow(_pii_digests, "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string")
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = suffix_dedup.kept_text(table(spark, sf_dir, "documents"))
+    n_removed = F.aggregate("removed", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return kept.select("doc_id", (F.octet_length("kept") + n_removed).alias("n_bytes"), n_removed.alias("n_removed"),
+                       F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = token_store.write_tokens(table(spark, sf_dir, "documents"), scratch_path(spark, "tokens"))
     return token_store.read_documents(manifest)
@@ -95,6 +102,7 @@ QUERIES = {
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_token_counts": op3_token_counts,
     "op4_pii": op4_pii,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_token_files": op6_token_files,
     "op7_line_dedup": op7_line_dedup,
     "op8_embedding_dedup": op8_embedding_dedup,
