@@ -38,7 +38,8 @@ def best_match(pattern: str, text: str, most: int) -> tuple[int, int] | None:
     for i, c in enumerate(pattern):
         masks[c] = masks.get(c, 0) | 1 << i
     full, top = (1 << m) - 1, 1 << m - 1
-    pv, mv, score, best = full, 0, m, None
+    pv, mv, score = full, 0, m
+    best = (m, 0) if m <= most else None  # the empty substring
     for j, c in enumerate(text):
         eq = masks.get(c, 0)
         xv = eq | mv
