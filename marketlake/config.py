@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from .schemas import RAW_FILES
+
 
 @dataclass(frozen=True)
 class Settings:
@@ -44,11 +46,8 @@ class Settings:
     # surrogate keys: hex characters of md5(key) used as the ordering bucket
     surrogate_bucket_hex: int = 4
 
-    bronze_tables: tuple = field(default=(
-        "olist_orders", "olist_customers", "olist_order_items", "olist_products",
-        "olist_sellers", "olist_order_payments", "olist_order_reviews",
-        "olist_geolocation", "product_category_names",
-    ))
+    # the raw datasets, in the order of the declared source files
+    bronze_tables: tuple = field(default=tuple(RAW_FILES))
 
 
 DEFAULT = Settings()

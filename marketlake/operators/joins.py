@@ -1,92 +1,92 @@
-"""Join helpers: size-checked broadcast, surrogate-key lookup (J9), orphan detection."""
+"""Join helpers: measured broadcast sides, surrogate-key lookups (J9), orphan detection."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import DEFAULT
 
+FIXED_BYTES = {T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.DateType: 4, T.LongType: 8,
+               T.DoubleType: 8, T.FloatType: 4, T.TimestampType: 8, T.TimestampNTZType: 8}
+ROW_HEADER_BYTES = 8
+
 
-def row_width(schema: T.StructType) -> int:
-    """Conservative in-memory bytes per row: fixed widths for numbers and dates, 64 for strings."""
-    fixed = {T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.DateType: 4,
-             T.LongType: 8, T.DoubleType: 8, T.FloatType: 4, T.TimestampType: 8, T.TimestampNTZType: 8}
-    total = 8  # row header
+def row_bytes(schema: T.StructType) -> Column:
+    """Bytes of a row's values: fixed widths for numbers and dates, the true length of strings."""
+    size = F.lit(ROW_HEADER_BYTES)
     for f in schema.fields:
-        dt = f.dataType
-        if isinstance(dt, T.DecimalType):
-            total += 8 if dt.precision <= 18 else 16
-        elif type(dt) in fixed:
-            total += fixed[type(dt)]
+        if isinstance(f.dataType, T.DecimalType):
+            size = size + (8 if f.dataType.precision <= 18 else 16)
+        elif type(f.dataType) in FIXED_BYTES:
+            size = size + FIXED_BYTES[type(f.dataType)]
+        elif isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            size = size + 8 + F.coalesce(F.octet_length(F.col(f.name)), F.lit(0))
         else:
-            total += 64
-    return total
-
+            raise TypeError(f"no size for {f.name}: {f.dataType.simpleString()}")
+    return size
 
-def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT.broadcast_max_rows,
-                    materialize: bool = False, max_bytes: int = DEFAULT.broadcast_max_bytes) -> DataFrame:
-    """Return ``broadcast(df)`` only when a count proves it has at most ``max_rows`` rows and
-    ``rows x row_width(schema)`` is at most ``max_bytes``.
-
-    ``materialize=True`` first stores ``df`` as a Parquet table in the shared checkpoint folder
-    so the check and the join read the same stored rows instead of computing them twice (use
-    it for lookups derived from large inputs); the count then comes from file footers. Above the bound the plain DataFrame is
-    returned and Spark plans a shuffle join (AQE may still convert it at run time from
-    measured sizes, and splits skewed partitions).
-    """
-    if materialize:
-        from ..session import stage
-        df = stage(df, "lookup")
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows and n * row_width(df.schema) <= max_bytes else df
 
+def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT.broadcast_max_rows,
+                   max_bytes: int = DEFAULT.broadcast_max_bytes) -> bool:
+    """Whether a full count of rows and bytes stays within the bounds. One aggregate with partial
+    sums per partition: only one row per partition is moved, however large ``df`` is."""
+    m = df.agg(F.count(F.lit(1)).alias("rows"), F.sum(row_bytes(df.schema)).alias("bytes")).first()
+    return m["rows"] <= max_rows and (m["bytes"] or 0) <= max_bytes
 
-def bounded_broadcast(df: DataFrame) -> DataFrame:
-    """Broadcast a side whose row count is bounded by its key domain (caller states the bound).
 
-    Used for month-grain and state-grain aggregates: a month key has at most
-    12 values per calendar year and a state key at most 27 values, whatever the data volume.
-    """
-    return F.broadcast(df)
+def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT.broadcast_max_rows,
+                    max_bytes: int = DEFAULT.broadcast_max_bytes) -> DataFrame:
+    """``broadcast(df)`` if its measured rows and bytes are within the bounds, else ``df`` as it is, for
+    which Spark plans a shuffle join (AQE still splits skewed partitions). For stored or cheap sides,
+    as measuring runs the frame once."""
+    return F.broadcast(df) if fits_broadcast(df, max_rows, max_bytes) else df
 
 
-def unique_lookup(dim: DataFrame, biz_col: str, sk_col: str, new_col: str) -> DataFrame:
-    """(business key -> surrogate key) with a lazy uniqueness assertion.
+@dataclass(frozen=True)
+class KeyLookup:
+    """Business key -> surrogate key of one dimension.
 
-    A duplicated business key would fan out the fact; the aggregate keeps one row per key
-    and ``raise_error`` fails the job if a key carries more than one surrogate key.
-    Partial aggregation keeps a hot key from landing whole in one task.
+    It owns the names of both keys, whether business keys may repeat, and whether the pairs may be
+    broadcast. Rows without a business key never match a fact, so they are left out. A repeated
+    business key would multiply facts: unless ``unique`` says that the dimension has one row per key by
+    construction, the lookup fails the job when it meets one.
     """
-    lk = f"_lk_{biz_col}"
-    g = dim.groupBy(F.col(biz_col).alias(lk)).agg(
-        F.min(sk_col).alias(new_col), F.count(F.lit(1)).alias("_n"))
-    return g.select(
-        lk,
-        F.when(F.col("_n") > 1,
-               F.raise_error(F.concat(F.lit(f"duplicate business key in dimension {biz_col}: "),
-                                      F.col(lk).cast("string"))).cast(g.schema[new_col].dataType))
-         .otherwise(F.col(new_col)).alias(new_col),
-    )
-
-
-def fk_or_unknown(df: DataFrame, biz_key_col: str, dim: DataFrame, dim_biz_col: str,
-                  dim_sk_col: str, new_col: str, unknown_key: int = DEFAULT.unknown_key,
-                  lookup_max_rows: int | None = DEFAULT.broadcast_max_rows,
-                  materialize: bool = False) -> DataFrame:
-    """Resolve a business key to the dimension's surrogate key; misses become ``unknown_key``.
-
-    The lookup is broadcast only when its row count is proven below ``lookup_max_rows``;
-    ``materialize`` checkpoints it first when the dimension is computed in the same plan
-    (stored dimensions are counted cheaply from their files).
-    """
-    lookup = unique_lookup(dim, dim_biz_col, dim_sk_col, new_col)
-    if lookup_max_rows:
-        lookup = sized_broadcast(lookup, lookup_max_rows, materialize=materialize)
-    lk = f"_lk_{dim_biz_col}"
-    out = df.join(lookup, df[biz_key_col] == lookup[lk], "left").drop(lk)
-    return out.withColumn(new_col, F.coalesce(F.col(new_col), F.lit(unknown_key).cast(out.schema[new_col].dataType)))
+
+    dimension: DataFrame
+    business: str
+    surrogate: str
+    unique: bool = False
+    small: bool = False
+
+    @classmethod
+    def of(cls, dimension: DataFrame, business: str, surrogate: str, unique: bool = False,
+           source: DataFrame | None = None) -> "KeyLookup":
+        """``source`` is a cheap frame with at least the dimension's business keys (a stored table);
+        its measured size decides on the broadcast. Without one, Spark decides at run time."""
+        small = source is not None and fits_broadcast(source.select(F.col(business), F.lit(0).cast("long").alias("_key")))
+        return cls(dimension, business, surrogate, unique, small)
+
+    def pairs(self) -> DataFrame:
+        named = self.dimension.where(F.col(self.business).isNotNull() & (F.col(self.surrogate) != DEFAULT.unknown_key))
+        if self.unique:
+            return named.select(F.col(self.business).alias("_business"), F.col(self.surrogate).alias("_surrogate"))
+        message = F.concat(F.lit(f"duplicate business key in {self.business}: "), F.col("_business").cast("string"))
+        one = named.groupBy(F.col(self.business).alias("_business")).agg(
+            F.min(self.surrogate).alias("_surrogate"), F.count(F.lit(1)).alias("_rows"))
+        kind = self.dimension.schema[self.surrogate].dataType
+        return one.select("_business", F.when(F.col("_rows") == 1, F.col("_surrogate"))
+                          .otherwise(F.raise_error(message).cast(kind)).alias("_surrogate"))
+
+    def resolve(self, facts: DataFrame, missing: int = DEFAULT.unknown_key) -> DataFrame:
+        """``facts`` with the surrogate key of their column ``business``; no match gives ``missing`` (M3)."""
+        pairs = F.broadcast(self.pairs()) if self.small else self.pairs()
+        joined = facts.join(pairs, facts[self.business] == pairs["_business"], "left")
+        key = F.coalesce("_surrogate", F.lit(missing).cast(self.dimension.schema[self.surrogate].dataType))
+        return joined.select(*[facts[c] for c in facts.columns], key.alias(self.surrogate))
 
 
 def orphans(fact: DataFrame, dim: DataFrame, fact_fk_col: str, dim_pk_col: str,

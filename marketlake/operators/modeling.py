@@ -30,14 +30,15 @@ def surrogate_key(df: DataFrame, key: str, sk_col: str, hex_chars: int = DEFAULT
 
     key order = (first ``hex_chars`` hex digits of md5(key), key). Each bucket is numbered
     in parallel with a window partitioned by bucket; the bucket's offset comes from a
-    16**hex_chars-row table of bucket counts (bounded by construction, so broadcast).
-    Equal to ROW_NUMBER() OVER (ORDER BY substr(md5(key), 1, hex_chars), key).
-    Keys must be unique (check with ``check_no_duplicates``).
+    (16**hex_chars + 1)-row table of bucket counts (bounded by construction, so broadcast).
+    Equal to ROW_NUMBER() OVER (ORDER BY coalesce(substr(md5(key), 1, hex_chars), ''), key).
+    Every row gets a key: a NULL business key has a bucket of its own, which comes first.
+    Business keys must be unique (check with ``check_no_duplicates``).
     """
-    bucket = F.substring(F.md5(F.col(key).cast("string")), 1, hex_chars)
+    bucket = F.coalesce(F.substring(F.md5(F.col(key).cast("string")), 1, hex_chars), F.lit(""))
     b = df.withColumn("_bucket", bucket)
     counts = b.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    # <= 16**hex_chars rows: a single-partition running sum over this table is bounded
+    # <= 16**hex_chars + 1 rows: a single-partition running sum over this table is bounded
     offsets = counts.select(
         "_bucket",
         (F.sum("_n").over(Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1))).alias("_off"),

@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import month_key, nps, safe_ratio, sla_light
-from ..operators.joins import bounded_broadcast, sized_broadcast
+from ..operators.joins import sized_broadcast
+from ..operators.quantiles import median_of_counts, value_counts
 from .lake import Lake
 
 
@@ -39,7 +40,7 @@ def delivery_by_state(lk: Lake) -> DataFrame:
 # N2
 def cancel_rate_by_period(lk: Lake) -> DataFrame:
     """Seasonality: cancellation rate per calendar month across years."""
-    f = lk.fact_sales
+    f = lk.priced_orders
     mes = (F.col("date_key") / 100 % 100).cast("int")
     return f.groupBy(mes.alias("mes")).agg(
         F.count("order_id").alias("qtd_pedidos"),
@@ -49,7 +50,7 @@ def cancel_rate_by_period(lk: Lake) -> DataFrame:
 
 # N3
 def on_time_overall(lk: Lake) -> DataFrame:
-    f = lk.fact_sales
+    f = lk.priced_orders
     on_time = F.col("entregue_no_prazo")
     return f.agg(
         F.count("order_id").alias("qtd_pedidos"),
@@ -60,7 +61,7 @@ def on_time_overall(lk: Lake) -> DataFrame:
 
 # N4
 def revenue_by_quarter(lk: Lake) -> DataFrame:
-    f = lk.fact_sales
+    f = lk.priced_orders
     ano = (F.col("date_key") / 10000).cast("int")
     tri = (((F.col("date_key") / 100 % 100).cast("int") - 1) / 3 + 1).cast("int")
     return f.groupBy(ano.alias("ano"), tri.alias("trimestre")).agg(
@@ -71,7 +72,7 @@ def revenue_by_quarter(lk: Lake) -> DataFrame:
 def revenue_growth(lk: Lake) -> DataFrame:
     """Month-over-month revenue growth. The window runs over the month-grain aggregate
     (at most 12 rows per calendar year), so its single partition is bounded."""
-    m = lk.fact_sales.groupBy(month_key("date_key").alias("ano_mes")).agg(
+    m = lk.priced_orders.groupBy(month_key("date_key").alias("ano_mes")).agg(
         F.sum("valor_total_pedido").alias("receita_total"))
     prev = F.lag("receita_total").over(Window.orderBy("ano_mes"))
     return m.select("ano_mes", "receita_total", prev.alias("receita_mes_anterior"),
@@ -82,33 +83,32 @@ def revenue_growth(lk: Lake) -> DataFrame:
 def ticket_by_category(lk: Lake, approx: bool = False) -> DataFrame:
     """Mean and median item price and mean volume per category.
 
-    The exact median comes from the two-pass histogram operator (no category is gathered in
-    one task); ``approx=True`` uses the bounded-memory ``percentile_approx`` sketch instead.
+    Items are scanned and joined once and counted per (category, price), which spreads a hot category by
+    price after a partial count on every map task; mean, median and volume all come from those counts.
+    ``approx=True`` uses the bounded-memory ``percentile_approx`` sketch for the median instead.
     """
-    from ..operators.quantiles import exact_median
     items = lk.fact_order_items.select("product_id", "preco_produto")
-    raw_p = lk.raw["olist_products"].select(
-        "product_id",
-        (F.col("product_length_cm") * F.col("product_height_cm") * F.col("product_width_cm")).alias("volume_cm3"))
-    p = lk.dim_products.select("product_id", "product_category").join(raw_p, "product_id")
+    p = sized_broadcast(lk.dim_products.select("product_id", "product_category", (
+        F.col("product_length_cm") * F.col("product_height_cm") * F.col("product_width_cm")).cast("long").alias("volume_cm3")))
     j = items.join(p, "product_id", "left")
-    base = j.groupBy("product_category").agg(
-        F.count(F.lit(1)).alias("qtd_itens"),
-        F.round(F.avg("preco_produto").cast("double"), 6).alias("preco_medio"),
-        F.avg("volume_cm3").alias("volume_medio_cm3"),
-        *([F.percentile_approx(F.col("preco_produto").cast("double"), 0.5, 10000).alias("preco_mediano")]
-          if approx else []))
+    counts = value_counts(j, "product_category", "preco_produto", F.sum("volume_cm3").alias("_v"), F.count("volume_cm3").alias("_nv"))
+    priced = F.when(F.col("preco_produto").isNotNull(), F.col("_n"))
+    base = counts.groupBy("product_category").agg(
+        F.sum("_n").alias("qtd_itens"),
+        F.round(safe_ratio(F.sum(F.col("preco_produto") * F.col("_n")), F.sum(priced)), 6).alias("preco_medio"),
+        safe_ratio(F.sum("_v"), F.sum("_nv")).alias("volume_medio_cm3"))
     if approx:
-        return base.withColumn("preco_mediano", F.round("preco_mediano", 6))
-    med = exact_median(j, "product_category", "preco_produto", out="preco_mediano")
-    out = base.join(med, base.product_category.eqNullSafe(med.product_category), "left").drop(med.product_category)
-    return out.select("product_category", "qtd_itens", "preco_medio", F.round("preco_mediano", 6).alias("preco_mediano"),
-                      "volume_medio_cm3")
+        med = j.groupBy("product_category").agg(F.percentile_approx(F.col("preco_produto").cast("double"), 0.5, 10000).alias("preco_mediano"))
+    else:
+        med = median_of_counts(counts, "product_category", "preco_produto", out="preco_mediano")
+    med = med.withColumnRenamed("product_category", "_c")
+    return base.join(med, base.product_category.eqNullSafe(med["_c"]), "left").select(
+        "product_category", "qtd_itens", "preco_medio", F.round("preco_mediano", 6).alias("preco_mediano"), "volume_medio_cm3")
 
 
 # N6
 def installment_share(lk: Lake) -> DataFrame:
-    f = lk.fact_sales
+    f = lk.priced_orders
     return f.agg(F.count("order_id").alias("qtd_pedidos"),
                  F.count_if(F.col("max_parcelas") > 1).alias("qtd_parcelados"),
                  safe_ratio(F.count_if(F.col("max_parcelas") > 1), F.count("order_id")).alias("taxa_parcelado"))
@@ -184,7 +184,7 @@ def nps_best_worst(lk: Lake, k: int = 10) -> DataFrame:
 
 def _reviews_with_sla(lk: Lake) -> DataFrame:
     r = lk.fact_reviews.select("order_id", "review_id", "review_score")
-    f = lk.fact_sales.select("order_id", "dias_para_entrega", "dias_atraso", "entregue_no_prazo")
+    f = lk.priced_orders.select("order_id", "dias_para_entrega", "dias_atraso", "entregue_no_prazo")
     return r.join(f, "order_id")
 
 
@@ -249,14 +249,14 @@ def top_delay_states(lk: Lake, k: int = 10) -> DataFrame:
 
 # N16
 def delivery_scatter(lk: Lake) -> DataFrame:
-    return lk.fact_sales.where(F.col("dias_para_entrega").isNotNull()).select(
+    return lk.priced_orders.where(F.col("dias_para_entrega").isNotNull()).select(
         "order_id", "dias_para_entrega", "dias_estimados")
 
 
 # N17 / A16
 def delivery_histogram(lk: Lake, lo: int = 0, hi: int = 60, width: int = 5) -> DataFrame:
     d = F.col("dias_para_entrega")
-    f = lk.fact_sales.where(d.between(lo, hi))
+    f = lk.priced_orders.where(d.between(lo, hi))
     b = (F.floor((d - lo) / width) * width + lo).cast("int")
     return f.groupBy(b.alias("faixa_inicio")).agg(F.count(F.lit(1)).alias("qtd_pedidos"))
 
@@ -265,7 +265,7 @@ def delivery_histogram(lk: Lake, lo: int = 0, hi: int = 60, width: int = 5) -> D
 def executive_cards(lk: Lake) -> DataFrame:
     """Global cards from the facts (not an average of monthly rates). Sales and reviews are
     aggregated in one pass over their union (no join of the two one-row results)."""
-    s = lk.fact_sales.select("order_id", "valor_total_pedido", "entregue_no_prazo",
+    s = lk.priced_orders.select("order_id", "valor_total_pedido", "entregue_no_prazo",
                              F.lit(None).cast("int").alias("review_score"), F.lit(None).cast("string").alias("review_id"))
     r = lk.fact_reviews.select(F.lit(None).cast("string").alias("order_id"),
                                F.lit(None).cast(s.schema["valor_total_pedido"].dataType).alias("valor_total_pedido"),
@@ -280,15 +280,22 @@ def executive_cards(lk: Lake) -> DataFrame:
         safe_ratio(F.count_if(on_time), F.count_if(on_time.isNotNull())).alias("taxa_entrega_no_prazo"))
 
 
+def _year(f: DataFrame) -> F.Column:
+    """The stored fact's partition column, on which filters prune; else derived from the date key."""
+    return F.col("ano") if "ano" in f.columns else (F.col("date_key") / 10000).cast("int")
+
+
 # N20
-def revenue_by_year(lk: Lake) -> DataFrame:
-    f = lk.fact_sales
-    return f.groupBy((F.col("date_key") / 10000).cast("int").alias("ano")).agg(
+def revenue_by_year(lk: Lake, year: int | None = None) -> DataFrame:
+    f = lk.priced_orders
+    if year is not None:
+        f = f.where(_year(f) == year)
+    return f.groupBy(_year(f).alias("ano")).agg(
         F.sum("valor_total_pedido").alias("receita_total"), F.count("order_id").alias("qtd_pedidos"))
 
 
 def revenue_in_year(lk: Lake, year: int) -> DataFrame:
-    return revenue_by_year(lk).where(F.col("ano") == year)
+    return revenue_by_year(lk, year)
 
 
 def top_sellers_in_region(lk: Lake, k: int = 5) -> DataFrame:
@@ -309,12 +316,12 @@ def category_sku_count(lk: Lake, k: int = 5) -> DataFrame:
 
 
 def share_by_state(lk: Lake) -> DataFrame:
-    """Customer (persons) and seller counts and shares per state. Both sides are
-    state-grain aggregates (at most one row per state), so the outer join is small."""
+    """Customer (persons) and seller counts and shares per state. Both sides are aggregated to one row
+    per state text before the outer join."""
     c = lk.customer_latest.groupBy(F.col("customer_state").alias("estado")).agg(F.count(F.lit(1)).alias("qtd_clientes"))
     # dim_sellers is one row per raw seller; the state needs no region lookup
     s = lk.raw["olist_sellers"].groupBy(F.col("seller_state").alias("estado")).agg(F.count(F.lit(1)).alias("qtd_sellers"))
-    j = c.join(bounded_broadcast(s), "estado", "full").fillna(0, subset=["qtd_clientes", "qtd_sellers"])
+    j = c.join(s, "estado", "full").fillna(0, subset=["qtd_clientes", "qtd_sellers"])
     return j.select("estado", "qtd_clientes", _share("qtd_clientes").alias("share_clientes"),
                     "qtd_sellers", _share("qtd_sellers").alias("share_sellers"))
 
@@ -328,7 +335,8 @@ def sliced_sales(lk: Lake, period: tuple[int, int] | None = None, state: str | N
     f = lk.fact_sales_item
     if period is not None:
         ym = F.col("ano") * 100 + F.col("mes")
-        f = f.where(ym.between(period[0], period[1]))
+        # the year range prunes partitions of the stored fact; the months are exact
+        f = f.where(F.col("ano").between(period[0] // 100, period[1] // 100) & ym.between(period[0], period[1]))
     if state is not None:
         c = lk.dim_customers_keyed.select("customer_key", F.col("estado").alias("customer_state"))
         f = f.join(c, "customer_key").where(F.col("customer_state") == state)

@@ -12,6 +12,7 @@ from ..functions.exprs import non_blank
 from ..operators.quality import (Check, check_fk_integrity, check_no_duplicates, check_ratio,
                                  check_reconciliation, check_unknown_present, table_checks,
                                  union_results)
+from .silver import ORDER_RULES_CODE, rejection_reason
 
 
 def bronze_suite(raw: Mapping[str, DataFrame], s=DEFAULT, expected_counts: Mapping[str, int] | None = None) -> DataFrame:
@@ -32,9 +33,10 @@ def bronze_suite(raw: Mapping[str, DataFrame], s=DEFAULT, expected_counts: Mappi
     return union_results(frames)
 
 
-def silver_suite(raw: Mapping[str, DataFrame], silver: Mapping[str, DataFrame], s=DEFAULT) -> DataFrame:
+def silver_suite(raw: Mapping[str, DataFrame], silver: Mapping[str, DataFrame], s=DEFAULT,
+                 rules=ORDER_RULES_CODE) -> DataFrame:
     """Q10 (coded) + Q13/Q17 (documented): geo, orders_enriched, reviews_enriched checks,
-    quarantine rate, duplicate order ids, score range and sentiment coverage."""
+    quarantine rate under ``rules``, duplicate order ids, score range and sentiment coverage."""
     L = s.silver
     geo, oe, rv = silver["geolocation_aggregated"], silver["orders_enriched"], silver["reviews_enriched"]
     frames = [
@@ -48,7 +50,7 @@ def silver_suite(raw: Mapping[str, DataFrame], silver: Mapping[str, DataFrame],
             Check("non_empty"), Check("not_null", "review_id"),
             Check("value_range", "review_score", s.review_score_min, s.review_score_max)]),
         check_ratio(raw["olist_orders"], L, "quarantine", "quarantine_rate",
-                    F.count_if(F.col("order_id").isNull()), F.count(F.lit(1)), max_rate=s.max_quarantine_rate),
+                    F.count_if(rejection_reason(rules).isNotNull()), F.count(F.lit(1)), max_rate=s.max_quarantine_rate),
         check_no_duplicates(oe, L, "orders_enriched", ["order_id"]),
         check_ratio(rv, L, "reviews_enriched", "sentiment_coverage",
                     F.count_if(non_blank("review_comment_message") & F.col("review_sentiment").isNotNull()),
@@ -57,6 +59,7 @@ def silver_suite(raw: Mapping[str, DataFrame], silver: Mapping[str, DataFrame],
     return union_results(frames)
 
 
+KEYED_DIMS = {"dim_customers_keyed": "customer_key", "dim_products_keyed": "product_key", "dim_sellers_keyed": "seller_key"}
 GOLD_TABLES = ["dim_customers", "dim_sellers", "dim_products", "dim_calendar", "fact_sales",
                "fact_order_items", "fact_reviews", "kpi_marketplace_monthly"]
 
@@ -73,16 +76,35 @@ def gold_suite(gold: Mapping[str, DataFrame], s=DEFAULT) -> DataFrame:
         frames.append(table_checks(gold[t], L, t, checks))
     frames.append(check_reconciliation(gold["fact_sales"], "valor_total_pedido",
                                        gold["kpi_marketplace_monthly"], "receita_total", L, "kpi_marketplace_monthly"))
-    keyed = {"dim_customers_keyed": "customer_key", "dim_products_keyed": "product_key",
-             "dim_sellers_keyed": "seller_key"}
-    for t, key in keyed.items():
-        if t in gold:
-            frames.append(check_no_duplicates(gold[t], L, t, [key]))
-            frames.append(check_unknown_present(gold[t], key, L, t))
+    frames += _star_dims(gold, L)
     if "fact_sales_item" in gold:
-        f = gold["fact_sales_item"]
-        for t, key in keyed.items():
-            if t in gold:
-                frames.append(check_fk_integrity(f, gold[t], key, key, L, "fact_sales_item"))
-        frames.append(check_fk_integrity(f, gold["dim_calendar"], "date_key", "date_key", L, "fact_sales_item"))
+        frames += _star_fact(gold, "fact_sales_item", L, calendar=True)
     return union_results(frames)
+
+
+def _star_fact(gold: Mapping[str, DataFrame], fact: str, layer: str, calendar: bool) -> list[DataFrame]:
+    """FKs of a keyed fact: each one is in its dimension (review dates may lie outside the calendar)."""
+    frames = [check_fk_integrity(gold[fact], gold[t], key, key, layer, fact) for t, key in KEYED_DIMS.items() if t in gold]
+    if calendar:
+        frames.append(check_fk_integrity(gold[fact], gold["dim_calendar"], "date_key", "date_key", layer, fact))
+    return frames
+
+
+def star_suite(gold: Mapping[str, DataFrame], items: DataFrame, orders: DataFrame, s=DEFAULT) -> DataFrame:
+    """The documented star: unique keys and one Unknown member per dimension, no NULL FK and no orphan in both
+    keyed facts, and the items that no valid order claims (logged, not blocking)."""
+    claimed = items.select("order_id").join(orders.select("order_id", F.lit(1).alias("_valid")), "order_id", "left")
+    dropped = check_ratio(claimed, s.gold, "fact_sales_item", "items_without_order", F.count_if(F.col("_valid").isNull()),
+                          F.count(F.lit(1)), blocking=False)
+    keys = [Check("not_null", k) for k in KEYED_DIMS.values()]
+    return union_results([
+        *_star_dims(gold, s.gold),
+        table_checks(gold["fact_sales_item"], s.gold, "fact_sales_item", [*keys, Check("not_null", "date_key")]),
+        table_checks(gold["fact_reviews_keyed"], s.gold, "fact_reviews_keyed", keys),
+        *_star_fact(gold, "fact_sales_item", s.gold, calendar=True),
+        *_star_fact(gold, "fact_reviews_keyed", s.gold, calendar=False), dropped])
+
+
+def _star_dims(gold: Mapping[str, DataFrame], layer: str) -> list[DataFrame]:
+    return [frame for t, key in KEYED_DIMS.items() if t in gold for frame in
+            (check_no_duplicates(gold[t], layer, t, [key]), check_unknown_present(gold[t], key, layer, t))]

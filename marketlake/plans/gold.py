@@ -2,27 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT
 from ..functions.exprs import date_key, days_between, month_key, nps, safe_ratio
-from ..operators.joins import bounded_broadcast, fk_or_unknown, sized_broadcast
+from ..operators.joins import KeyLookup, sized_broadcast
 from ..operators.modeling import (calendar_columns, calendar_frame, calendar_pt_columns,
                                   latest_per_key, surrogate_key, with_unknown_member)
+from ..session import stage
 
 # ---------------- dimensions ----------------
 
 
 def geo_lookup(geo: DataFrame, materialize: bool = True) -> DataFrame:
-    """Zip -> region/centroid lookup, broadcast only behind a row-count check. Pass the result
-    of this function as ``geo`` to the dimension builders to check (and materialise) it once."""
-    return sized_broadcast(geo.select("zip_code_prefix", "regiao_brasil", "lat", "lng"),
-                           materialize=materialize)
+    """Zip -> region/centroid lookup, broadcast only if its measured size allows. Pass the result
+    of this function as ``geo`` to the dimension builders to measure (and stage) it once:
+    ``materialize`` stages the aggregate first, which has one row per zip prefix."""
+    lookup = geo.select("zip_code_prefix", "regiao_brasil", "lat", "lng")
+    return sized_broadcast(stage(lookup, "geo") if materialize else lookup)
 
 
 def _geo(geo: DataFrame, materialize: bool) -> DataFrame:
-    if "state" not in geo.columns:  # already a checked lookup
+    if "state" not in geo.columns:  # already a measured lookup
         return geo
     return geo_lookup(geo, materialize)
 
@@ -86,8 +88,23 @@ def dim_time_pt(bounds: DataFrame) -> DataFrame:
     return calendar_frame(bounds).select(*calendar_pt_columns())
 
 
+def documented_bounds(spark: SparkSession, s=DEFAULT) -> DataFrame:
+    """One-row bounds of the documented period."""
+    return spark.range(1).select(F.to_date(F.lit(s.data_min_date)).alias("min_date"), F.to_date(F.lit(s.data_max_date)).alias("max_date"))
+
+
+def dim_time_documented(orders: DataFrame, s=DEFAULT) -> DataFrame:
+    """B17 over the documented period (1,096 days), with the number of orders bought on each day."""
+    days = dim_time_pt(documented_bounds(orders.sparkSession, s))
+    bought = orders.groupBy(date_key("order_purchase_timestamp").alias("date_key")).agg(F.count(F.lit(1)).alias("qtd_pedidos"))
+    return days.join(bought, "date_key", "left").fillna(0, subset=["qtd_pedidos"])
+
+
 # ---------------- facts ----------------
 
+PRICED_ORDER_COLUMNS = ["order_id", "date_key", "valor_total_pedido", "order_status", "dias_para_entrega",
+                        "dias_estimados", "dias_atraso", "entregue_no_prazo", "max_parcelas"]
+
 FACT_SALES_COLUMNS = ["order_id", "customer_unique_id", "date_key", "valor_total_pedido",
                       "forma_pagamento_principal", "max_parcelas", "quantidade_itens",
                       "dias_para_entrega", "dias_estimados", "dias_atraso", "entregue_no_prazo",
@@ -101,6 +118,13 @@ def fact_sales(orders_enriched: DataFrame) -> DataFrame:
             .select(*FACT_SALES_COLUMNS))
 
 
+def priced_orders(orders: DataFrame) -> DataFrame:
+    """The columns of ``fact_sales`` that need no customer, from orders with payments and items only."""
+    return (orders.where(F.col("valor_total_pedido").isNotNull())
+            .withColumn("date_key", date_key("order_purchase_timestamp"))
+            .select(*PRICED_ORDER_COLUMNS))
+
+
 def fact_reviews(reviews_enriched: DataFrame) -> DataFrame:
     """One row per review, keyed by review creation date."""
     return reviews_enriched.select(
@@ -141,14 +165,11 @@ def kpi_sales_monthly(fact_sales_df: DataFrame, approx_distinct: bool = False) -
 
 
 def kpi_sellers_monthly(fact_sales_df: DataFrame, items: DataFrame, approx_distinct: bool = False) -> DataFrame:
-    """Distinct active sellers per month.
-
-    Items are first reduced to distinct (order, seller) pairs (map-side pre-aggregation
-    collapses a hot order), then joined to the order's month.
-    """
-    pairs = items.select("order_id", "seller_id").distinct()
+    """Distinct active sellers per month (J7): one join on the order, then a distinct count, whose
+    partial aggregate already reduces repeated sellers of a month before they are shuffled.
+    Only the order and its date are used of ``fact_sales_df``; any priced order-grain frame will do."""
     months = fact_sales_df.select("order_id", month_key("date_key").alias("ano_mes"))
-    return (months.join(pairs, "order_id")
+    return (months.join(items.select("order_id", "seller_id"), "order_id")
             .groupBy("ano_mes").agg(_distinct("seller_id", approx_distinct).alias("qtd_sellers_ativos")))
 
 
@@ -166,15 +187,16 @@ KPI_COLUMNS = ["ano_mes", "receita_total", "ticket_medio", "qtd_pedidos", "qtd_c
 
 
 def kpi_marketplace_monthly(fact_sales_df: DataFrame, fact_reviews_df: DataFrame, items: DataFrame,
-                            approx_distinct: bool = False) -> DataFrame:
+                            approx_distinct: bool = False, priced_orders_df: DataFrame | None = None) -> DataFrame:
     """Sales months, left-joined with seller and review months.
 
-    Month-grain aggregates hold at most 12 rows per calendar year, so both right sides
-    are broadcast; review months without sales are dropped (as coded).
+    All three sides are month-grain aggregates (at most 12 rows per calendar year); Spark measures
+    them at run time and broadcasts. Review months without sales are dropped (as coded).
+    ``priced_orders_df`` (orders and dates without the customer join) serves the seller months.
     """
     sm = kpi_sales_monthly(fact_sales_df, approx_distinct)
-    se = bounded_broadcast(kpi_sellers_monthly(fact_sales_df, items, approx_distinct))
-    rm = bounded_broadcast(kpi_reviews_monthly(fact_reviews_df))
+    se = kpi_sellers_monthly(fact_sales_df if priced_orders_df is None else priced_orders_df, items, approx_distinct)
+    rm = kpi_reviews_monthly(fact_reviews_df)
     return sm.join(se, "ano_mes", "left").join(rm, "ano_mes", "left").select(*KPI_COLUMNS)
 
 
@@ -253,26 +275,32 @@ FACT_SALES_ITEM_COLUMNS = [
 ]
 
 
+def star_lookups(dim_c: DataFrame, dim_p: DataFrame, dim_s: DataFrame, sources: dict | None = None) -> dict[str, KeyLookup]:
+    """Lookups of the three keyed dimensions. ``sources`` names stored tables with their business keys (the
+    raw datasets or the stored dimensions), whose size decides on broadcasting. The customer dimension has
+    one row per person by construction; sellers and products come from raw rows, so repeats are refused."""
+    src = sources or {}
+    return {"customer": KeyLookup.of(dim_c, "customer_unique_id", "customer_key", unique=True, source=src.get("customer")),
+            "product": KeyLookup.of(dim_p, "product_id", "product_key", source=src.get("product")),
+            "seller": KeyLookup.of(dim_s, "seller_id", "seller_key", source=src.get("seller"))}
+
+
 def fact_sales_item(items: DataFrame, orders_enriched_df: DataFrame, dim_c: DataFrame,
-                    dim_p: DataFrame, dim_s: DataFrame, materialize: bool = False) -> DataFrame:
+                    dim_p: DataFrame, dim_s: DataFrame, sources: dict | None = None) -> DataFrame:
     """Item-grain sales fact with -1 FKs for misses, partition columns ano/mes.
 
     The customer key is resolved at order grain (fewer rows to move than items) before the
-    items are joined; product and seller keys are resolved at item grain.
+    items are joined; product and seller keys are resolved at item grain. Items without a valid order
+    have no place in the fact; ``items_without_order`` counts them.
     """
-    o = orders_enriched_df.select(
+    look = star_lookups(dim_c, dim_p, dim_s, sources)
+    o = look["customer"].resolve(orders_enriched_df.select(
         "order_id", "customer_unique_id", "order_status",
         F.col("forma_pagamento_principal").alias("payment_type"), "max_parcelas",
         "dias_para_entrega", "dias_estimados", "entregue_no_prazo", "dias_atraso",
         date_key("order_purchase_timestamp").alias("date_key"),
-        F.year("order_purchase_timestamp").alias("ano"), F.month("order_purchase_timestamp").alias("mes"))
-    o = fk_or_unknown(o, "customer_unique_id", dim_c.where(F.col("customer_key") != -1),
-                      "customer_unique_id", "customer_key", "customer_key", materialize=materialize)
-    f = items.join(o, "order_id", "inner")
-    f = fk_or_unknown(f, "product_id", dim_p.where(F.col("product_key") != -1), "product_id", "product_key",
-                      "product_key", materialize=materialize)
-    f = fk_or_unknown(f, "seller_id", dim_s.where(F.col("seller_key") != -1), "seller_id", "seller_key",
-                      "seller_key", materialize=materialize)
+        F.year("order_purchase_timestamp").alias("ano"), F.month("order_purchase_timestamp").alias("mes")))
+    f = look["seller"].resolve(look["product"].resolve(items.join(o, "order_id", "inner")))
     measures = {
         "preco_produto": F.col("price"),
         "valor_frete": F.col("freight_value"),
@@ -282,19 +310,20 @@ def fact_sales_item(items: DataFrame, orders_enriched_df: DataFrame, dim_c: Data
     return f.select(*[measures[c].alias(c) if c in measures else F.col(c) for c in FACT_SALES_ITEM_COLUMNS])
 
 
+def items_without_order(items: DataFrame, orders: DataFrame) -> DataFrame:
+    """Items that ``fact_sales_item`` leaves out: their order id is NULL or no valid order has it."""
+    return items.join(orders.select("order_id"), "order_id", "left_anti")
+
+
 def fact_reviews_keyed(reviews_ctx: DataFrame, orders_enriched_df: DataFrame, dim_c: DataFrame,
-                       dim_p: DataFrame, dim_s: DataFrame, materialize: bool = False) -> DataFrame:
-    """Review fact with customer/product/seller keys (-1 for misses)."""
-    o = orders_enriched_df.select("order_id", "customer_unique_id")
-    r = reviews_ctx.join(o, "order_id", "left")
-    r = fk_or_unknown(r, "customer_unique_id", dim_c.where(F.col("customer_key") != -1),
-                      "customer_unique_id", "customer_key", "customer_key", materialize=materialize)
-    r = fk_or_unknown(r, "product_id", dim_p.where(F.col("product_key") != -1), "product_id", "product_key",
-                      "product_key", materialize=materialize)
-    r = fk_or_unknown(r, "seller_id", dim_s.where(F.col("seller_key") != -1), "seller_id", "seller_key",
-                      "seller_key", materialize=materialize)
+                       dim_p: DataFrame, dim_s: DataFrame, sources: dict | None = None) -> DataFrame:
+    """Review fact with customer/product/seller keys (-1 for misses), under the documented names."""
+    look = star_lookups(dim_c, dim_p, dim_s, sources)
+    r = reviews_ctx.join(orders_enriched_df.select("order_id", "customer_unique_id"), "order_id", "left")
+    for name in ("customer", "product", "seller"):
+        r = look[name].resolve(r)
     return r.select(
         "review_id", "customer_key", "seller_key", "product_key", "date_key", "review_score",
-        "tempo_ate_avaliacao", F.col("review_sentiment").alias("sentimento"),
-        "entregue_antes_prazo", "category_name_en",
+        F.col("tempo_ate_avaliacao").alias("tempo_ate_avaliacao_dias"), F.col("review_sentiment").alias("sentimento"),
+        "entregue_antes_prazo", F.col("category_name_en").alias("category_en"),
     )

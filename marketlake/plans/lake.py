@@ -86,6 +86,11 @@ class Lake:
     def fact_sales(self) -> DataFrame:
         return gold.fact_sales(self.orders_enriched)
 
+    @cached_property
+    def priced_orders(self) -> DataFrame:
+        """``fact_sales`` without its customer: no customer join for queries that don't use one."""
+        return gold.priced_orders(silver.orders_priced(self.raw))
+
     @cached_property
     def fact_reviews(self) -> DataFrame:
         return gold.fact_reviews(self.reviews_enriched)
@@ -96,7 +101,8 @@ class Lake:
 
     @cached_property
     def kpi_marketplace_monthly(self) -> DataFrame:
-        return gold.kpi_marketplace_monthly(self.fact_sales, self.fact_reviews, self.raw["olist_order_items"])
+        return gold.kpi_marketplace_monthly(self.fact_sales, self.fact_reviews, self.raw["olist_order_items"],
+                                            priced_orders_df=self.priced_orders)
 
     # documented extensions
     @cached_property
@@ -121,24 +127,31 @@ class Lake:
     def fact_sales_item(self) -> DataFrame:
         return gold.fact_sales_item(self.raw["olist_order_items"], self.orders_enriched,
                                     self.dim_customers_keyed, self.dim_products_keyed, self.dim_sellers_keyed,
-                                    materialize=self.materialize_lookups)
+                                    self.key_sources)
 
     @cached_property
     def fact_reviews_keyed(self) -> DataFrame:
         return gold.fact_reviews_keyed(self.reviews_context, self.orders_enriched, self.dim_customers_keyed,
-                                       self.dim_products_keyed, self.dim_sellers_keyed,
-                                       materialize=self.materialize_lookups)
+                                       self.dim_products_keyed, self.dim_sellers_keyed, self.key_sources)
+
+    @cached_property
+    def key_sources(self) -> dict[str, DataFrame]:
+        """Stored tables that hold the business keys of the keyed dimensions."""
+        r = self.raw
+        return {"customer": r["olist_customers"], "product": r["olist_products"], "seller": r["olist_sellers"]}
 
 
 class StoredLake(Lake):
     """Silver and gold frames read from a pipeline run's stored tables (what dashboards query).
 
     Same properties as ``Lake``, so every analytics function runs unchanged on the stored
-    star; ``fact_sales`` is read with partition pruning available on ``ano``/``mes``.
+    star. ``fact_sales`` and ``fact_sales_item`` keep their partition columns ``ano`` and ``mes``, on which
+    period filters prune. The keyed star is read when the run stored it (``documented=True``), else built.
     """
 
     def __init__(self, spark: SparkSession, base: str, settings: Settings = DEFAULT):
         from ..sources.files import read_table
+        self._spark, self._base = spark, base
         self._read = lambda layer, name: read_table(spark, base, layer, name)
         raw = {t: self._read(settings.bronze, t) for t in settings.bronze_tables}
         super().__init__(raw, settings, materialize_lookups=False)
@@ -183,7 +196,39 @@ class StoredLake(Lake):
 
     @cached_property
     def fact_sales(self) -> DataFrame:
-        return self._gold("fact_sales").drop("ano", "mes")
+        return self._gold("fact_sales")
+
+    @cached_property
+    def priced_orders(self) -> DataFrame:
+        return self.fact_sales
+
+    def _stored_or(self, name: str, build) -> DataFrame:
+        from ..sources.files import table_exists, table_path
+        return self._gold(name) if table_exists(self._spark, table_path(self._base, self.s.gold, name)) else build(self)
+
+    @cached_property
+    def dim_customers_keyed(self) -> DataFrame:
+        return self._stored_or("dim_customers_keyed", Lake.dim_customers_keyed.func)
+
+    @cached_property
+    def dim_sellers_keyed(self) -> DataFrame:
+        return self._stored_or("dim_sellers_keyed", Lake.dim_sellers_keyed.func)
+
+    @cached_property
+    def dim_products_keyed(self) -> DataFrame:
+        return self._stored_or("dim_products_keyed", Lake.dim_products_keyed.func)
+
+    @cached_property
+    def fact_sales_item(self) -> DataFrame:
+        return self._stored_or("fact_sales_item", Lake.fact_sales_item.func)
+
+    @cached_property
+    def reviews_context(self) -> DataFrame:
+        return self._stored_or("reviews_context", Lake.reviews_context.func)
+
+    @cached_property
+    def fact_reviews_keyed(self) -> DataFrame:
+        return self._stored_or("fact_reviews_keyed", Lake.fact_reviews_keyed.func)
 
     @cached_property
     def fact_reviews(self) -> DataFrame:

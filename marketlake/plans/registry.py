@@ -151,7 +151,7 @@ def q_kpi_sales_monthly(spark, sf_dir):
 @register("kpi_sellers_monthly")
 def q_kpi_sellers_monthly(spark, sf_dir):
     lk = lake(spark, sf_dir)
-    return gold.kpi_sellers_monthly(lk.fact_sales, lk.raw["olist_order_items"])
+    return gold.kpi_sellers_monthly(lk.priced_orders, lk.raw["olist_order_items"])
 
 
 @register("kpi_reviews_monthly")
@@ -288,11 +288,10 @@ def q_surrogate_key(spark, sf_dir):
 
 @register("fk_or_unknown")
 def q_fk_or_unknown(spark, sf_dir):
-    from ..operators.joins import fk_or_unknown
+    from ..operators.joins import KeyLookup
     lk = lake(spark, sf_dir)
-    f = lk.fact_sales.select("order_id", "customer_unique_id")
-    dim = lk.dim_customers_keyed.where(F.col("customer_key") != -1)
-    return fk_or_unknown(f, "customer_unique_id", dim, "customer_unique_id", "customer_key", "customer_key")
+    look = KeyLookup.of(lk.dim_customers_keyed, "customer_unique_id", "customer_key", unique=True, source=lk.raw["olist_customers"])
+    return look.resolve(lk.fact_sales.select("order_id", "customer_unique_id"))
 
 
 @register("dim_customers_keyed")
@@ -349,10 +348,49 @@ def q_dim_time_pt(spark, sf_dir):
 def q_suite_gold_keyed(spark, sf_dir):
     from .checks import gold_suite
     lk = lake(spark, sf_dir)
-    g = _gold(lk)
-    g.update({"dim_customers_keyed": lk.dim_customers_keyed, "dim_products_keyed": lk.dim_products_keyed,
-              "dim_sellers_keyed": lk.dim_sellers_keyed, "fact_sales_item": lk.fact_sales_item})
-    return gold_suite(g)
+    return gold_suite({**_gold(lk), **_staged_star(lk, ("fact_sales_item",))})
+
+
+def _staged_star(lk: Lake, facts: tuple[str, ...]) -> dict[str, DataFrame]:
+    """The keyed dimensions and facts, each computed once and read by all its checks; the facts are built
+    on the staged dimensions."""
+    from ..session import stage
+    out = {}
+    for t in ("dim_customers_keyed", "dim_products_keyed", "dim_sellers_keyed", *facts):
+        lk.__dict__[t] = out[t] = stage(getattr(lk, t), t)
+    return out
+
+
+@register("suite_star_keyed")
+def q_suite_star_keyed(spark, sf_dir):
+    """Documented checks of the keyed star: keys, Unknown members, FKs of both facts, items left out."""
+    from .checks import star_suite
+    lk = lake(spark, sf_dir)
+    return star_suite({"dim_calendar": lk.dim_calendar, **_staged_star(lk, ("fact_sales_item", "fact_reviews_keyed"))},
+                      lk.raw["olist_order_items"], lk.orders_sla)
+
+
+@register("dim_time_documented")
+def q_dim_time_documented(spark, sf_dir):
+    """The calendar of the documented period, with the orders bought on each day."""
+    return gold.dim_time_documented(lake(spark, sf_dir).raw["olist_orders"])
+
+
+@register("surrogate_key_nulls")
+def q_surrogate_key_nulls(spark, sf_dir):
+    """Surrogate keys of a business key that is NULL in one row: every row gets a key."""
+    from ..operators.modeling import surrogate_key
+    return surrogate_key(lake(spark, sf_dir).raw["olist_orders"].select("order_id").distinct(), "order_id", "order_key")
+
+
+@register("median_scale")
+def q_median_scale(spark, sf_dir):
+    """Exact median of a decimal with four places: the discount of every item, per return flag."""
+    from ..operators.quantiles import exact_median
+    from ..sources.tables import read_base
+    li = read_base(spark, sf_dir, "lineitem").select("l_returnflag", (
+        F.col("l_extendedprice").cast("decimal(12,2)") * F.col("l_discount").cast("decimal(4,2)")).cast("decimal(18,4)").alias("desconto"))
+    return exact_median(li, "l_returnflag", "desconto", out="desconto_mediano").withColumn("desconto_mediano", F.round("desconto_mediano", 6))
 
 
 # ---------------- business queries ----------------
@@ -388,7 +426,8 @@ for _name, _fn, _kw in [
     ("delivery_histogram", A.delivery_histogram, {}),
     ("seller_revenue_nps", A.seller_revenue_nps, {}),
     ("executive_cards", A.executive_cards, {}),
-    ("revenue_in_year", A.revenue_by_year, {}),
+    ("revenue_by_year", A.revenue_by_year, {}),
+    ("revenue_in_year", A.revenue_in_year, {"year": 1996}),
     ("top_sellers_in_region", A.top_sellers_in_region, {}),
     ("category_sku_count", A.category_sku_count, {}),
     ("share_by_state", A.share_by_state, {}),
@@ -402,24 +441,104 @@ for _name, _fn, _kw in [
 def _ingest_roundtrip(spark, sf_dir, table: str, runs: int, split: bool = False) -> DataFrame:
     """Write a raw table to CSV files in a fresh landing folder under the shared folder,
     stream-ingest it ``runs`` times with one checkpoint, return the ingested rows."""
-    from ..session import scratch_path
-    from ..streaming.ingest import ingest_csv, write_landing_csv
     src = lake(spark, sf_dir).raw[table]
-    root = scratch_path(spark, f"ingest-{table}")
+    if not split:
+        return _ingest(spark, src.schema, [src], runs)[0]
+    # two deliveries: the second file set arrives after the first ingest
+    early = F.col("order_purchase_timestamp") < F.lit("1998-01-01")
+    return _ingest(spark, src.schema, [src.where(early), src.where(~early | F.col("order_purchase_timestamp").isNull())], runs)[0]
+
+
+def _ingest(spark, schema, deliveries: list[DataFrame], runs: int = 1) -> tuple[DataFrame, DataFrame]:
+    """Deliver frames as CSV one after the other, ingesting after each (and ``runs`` times at the end);
+    returns the table's data columns and the whole table."""
+    from ..session import scratch_path
+    from ..sources.files import read_path
+    from ..streaming.ingest import data_columns, ingest_csv, write_landing_csv
+    root = scratch_path(spark, "ingest")
     landing, out, ckpt = f"{root}/landing", f"{root}/table", f"{root}/checkpoint"
-    if split:
-        # two deliveries: the second file set arrives after the first ingest
-        first = src.where(F.col("order_purchase_timestamp") < F.lit("1998-01-01"))
-        second = src.where(~(F.col("order_purchase_timestamp") < F.lit("1998-01-01"))
-                           | F.col("order_purchase_timestamp").isNull())
-        write_landing_csv(first, f"{landing}/batch1")
-        ingest_csv(spark, landing, "*.csv", out, ckpt, src.schema, recursive=True)
-        write_landing_csv(second, f"{landing}/batch2")
-    else:
-        write_landing_csv(src, f"{landing}/batch1")
-    for _ in range(runs):
-        ingest_csv(spark, landing, "*.csv", out, ckpt, src.schema, recursive=True)
-    return spark.read.parquet(out).drop("_ingestion_timestamp", "_source_file")
+    for i, frame in enumerate(deliveries):
+        write_landing_csv(frame, f"{landing}/batch{i}")
+        for _ in range(1 if i < len(deliveries) - 1 else runs):
+            ingest_csv(spark, landing, "*.csv", out, ckpt, schema, recursive=True)
+    whole = read_path(spark, out)
+    return data_columns(whole), whole
+
+
+def _halves(spark, sf_dir) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Sellers, and two deliveries of them."""
+    src = lake(spark, sf_dir).raw["olist_sellers"]
+    first = F.substring("seller_id", -1, 1).cast("int") < 5
+    return src, src.where(first), src.where(~first)
+
+
+@register("csv_reordered_columns")
+def q_csv_reordered_columns(spark, sf_dir):
+    """A second delivery has the same columns in the opposite order: they are found by name."""
+    src, a, b = _halves(spark, sf_dir)
+    return _ingest(spark, src.schema, [a, b.select(*reversed(src.columns))])[0]
+
+
+@register("csv_new_column")
+def q_csv_new_column(spark, sf_dir):
+    """A second delivery brings a column that isn't declared: it is added, and NULL in earlier rows."""
+    src, a, b = _halves(spark, sf_dir)
+    return _ingest(spark, src.schema, [a, b.select(F.concat(F.lit("canal "), "seller_state").alias("canal"), *src.columns)])[0].select(*src.columns, "canal")
+
+
+@register("csv_ingest_metadata")
+def q_csv_ingest_metadata(spark, sf_dir):
+    """Ingestion time and source file of every row; records that don't parse."""
+    src = lake(spark, sf_dir).raw["olist_sellers"]
+    whole = _ingest(spark, src.schema, [src])[1]
+    return whole.groupBy("seller_state").agg(
+        F.count(F.lit(1)).alias("linhas"), F.count_if(F.col("_source_file").endswith(".csv")).alias("com_arquivo"),
+        F.count_if(F.col("_ingestion_timestamp") <= F.current_timestamp()).alias("com_horario"), F.count("_corrupt_record").alias("corrompidas"))
+
+
+@register("append_added_column")
+def q_append_added_column(spark, sf_dir):
+    """A stored table gets rows with one more column; earlier rows read as NULL."""
+    from ..session import scratch_path
+    from ..sources.files import read_table, write_table
+    src, a, b = _halves(spark, sf_dir)
+    base = scratch_path(spark, "append")
+    write_table(a, base, "silver", "sellers", register_table=False)
+    write_table(b.withColumn("motivo", F.concat(F.lit("lote 2 "), "seller_state")), base, "silver", "sellers", mode="append", register_table=False)
+    return read_table(spark, base, "silver", "sellers", merge_schema=True).select(*src.columns, "motivo")
+
+
+@register("upsert_moved_partition")
+def q_upsert_moved_partition(spark, sf_dir):
+    """Canceled orders move to the next year's partition; no copy stays in the old one."""
+    from ..session import scratch_path
+    from ..sources.files import read_table, upsert_partitions, write_table
+    o = lake(spark, sf_dir).raw["olist_orders"].where(F.col("order_id").isNotNull()).select(
+        "order_id", "order_status", F.lit(0).alias("versao"), F.year("order_purchase_timestamp").alias("ano"))
+    base = scratch_path(spark, "moved")
+    write_table(o, base, "gold", "pedidos", partition_by=["ano"], register_table=False)
+    moved = o.where(F.col("order_status") == "canceled").withColumns({"ano": F.col("ano") + 1, "versao": F.lit(1)})
+    upsert_partitions(moved, base, "gold", "pedidos", ["order_id"], "versao", ["ano"])
+    return read_table(spark, base, "gold", "pedidos").select("order_id", "order_status", "versao", "ano")
+
+
+@register("quality_log")
+def q_quality_log(spark, sf_dir):
+    """Q8: the log rows of the bronze suite (without the time of the check)."""
+    from ..operators.quality import log_frame
+    from .checks import bronze_suite
+    return log_frame(bronze_suite(lake(spark, sf_dir).raw), "run-1").drop("checked_at")
+
+
+@register("partitioned_fact_month")
+def q_partitioned_fact_month(spark, sf_dir):
+    """The fact stored by year and month, written and read back."""
+    from ..session import scratch_path
+    from ..sources.files import read_table, write_table
+    f = lake(spark, sf_dir).fact_sales.withColumns({"ano": (F.col("date_key") / 10000).cast("int"), "mes": (F.col("date_key") / 100 % 100).cast("int")})
+    base = scratch_path(spark, "fact")
+    write_table(f, base, "gold", "fact_sales", partition_by=["ano", "mes"], cluster_by=["order_id"], register_table=False, files_per_partition=1)
+    return present(read_table(spark, base, "gold", "fact_sales"))
 
 
 @register("csv_stream_ingest")

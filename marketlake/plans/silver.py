@@ -43,31 +43,42 @@ def tag_rejections(df: DataFrame, rules=ORDER_RULES_CODE) -> DataFrame:
     return df.withColumn("motivo_rejeicao", rejection_reason(rules))
 
 
+def payments_of_orders(raw: Raw, payment_rule: str) -> DataFrame:
+    pay = payments_per_order(raw["olist_order_payments"])
+    if payment_rule == "largest":
+        return pay
+    if payment_rule == "most_frequent":
+        mode = payments_mode_per_order(raw["olist_order_payments"]).select(
+            "order_id", F.col("forma_pagamento_frequente").alias("_mode"))
+        return (pay.join(mode, "order_id")
+                .select("order_id", F.col("_mode").alias("forma_pagamento_principal"), "max_parcelas"))
+    raise ValueError(f"unknown payment_rule {payment_rule!r}")
+
+
+def orders_priced(raw: Raw, rules=ORDER_RULES_CODE, payment_rule: str = "largest") -> DataFrame:
+    """Valid orders with payment and item aggregates and SLA fields, without the customer join:
+    the input of every query that uses no customer column.
+
+    Both aggregates come out of their GROUP BY hash-partitioned on order_id, so joining them
+    to the orders shares that partitioning.
+    """
+    orders = raw["olist_orders"].where(rejection_reason(rules).isNull())
+    return (orders.join(payments_of_orders(raw, payment_rule), "order_id", "left")
+            .join(items_per_order(raw["olist_order_items"]), "order_id", "left")
+            .withColumns(sla_columns()))
+
+
 def orders_enriched(raw: Raw, rules=ORDER_RULES_CODE, payment_rule: str = "largest") -> DataFrame:
     """B2: valid orders with customer person, payment and item aggregates and SLA fields.
 
     ``payment_rule``: "largest" (type of the largest payment, as coded) or "most_frequent"
     (the documented rule: the order's most frequent payment type).
 
-    Join order: both aggregates come out of their GROUP BY hash-partitioned on order_id,
-    so joining them to the orders first shares that partitioning; customers are joined on
-    customer_id last. Outer joins are not reordered by Catalyst, so this order is kept.
+    Customers are joined on customer_id last; outer joins are not reordered by Catalyst, so
+    the joins on order_id keep their shared partitioning.
     """
-    orders = raw["olist_orders"].where(rejection_reason(rules).isNull())
-    pay = payments_per_order(raw["olist_order_payments"])
-    if payment_rule == "most_frequent":
-        mode = payments_mode_per_order(raw["olist_order_payments"]).select(
-            "order_id", F.col("forma_pagamento_frequente").alias("_mode"))
-        pay = (pay.join(mode, "order_id")
-               .select("order_id", F.col("_mode").alias("forma_pagamento_principal"), "max_parcelas"))
-    elif payment_rule != "largest":
-        raise ValueError(f"unknown payment_rule {payment_rule!r}")
-    items = items_per_order(raw["olist_order_items"])
     cust = raw["olist_customers"].select("customer_id", "customer_unique_id")
-    j = (orders.join(pay, "order_id", "left")
-               .join(items, "order_id", "left")
-               .join(cust, "customer_id", "left"))
-    return j.withColumns(sla_columns()).select(*ORDER_COLUMNS)
+    return orders_priced(raw, rules, payment_rule).join(cust, "customer_id", "left").select(*ORDER_COLUMNS)
 
 
 def orders_sla(raw: Raw, rules=ORDER_RULES_CODE) -> DataFrame:

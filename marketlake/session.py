@@ -33,10 +33,10 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; a private temp folder only when unset.
+    """The folder named by ``spark.checkpoint.dir``, shared by the driver and all executors.
 
-    On a cluster this must be a shared file system (HDFS, object store); the
-    temp fallback exists for local tests where the setting is absent.
+    Where it is unset, a local session (one machine, as in tests) sets a private temp folder as
+    its own; on a cluster that would leave files on each machine's own disk, so it is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -44,6 +44,8 @@ def shared_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError("spark.checkpoint.dir must name a folder shared by the driver and all executors")
         configured = tempfile.mkdtemp(prefix="marketlake-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -59,13 +61,26 @@ def stage(df, name: str = "stage"):
     """Materialise ``df`` as a Parquet table in the shared folder and return a frame reading it.
 
     Cuts the lineage (lost executors re-read files instead of recomputing) and computes the
-    frame once; later counts are answered from Parquet footers. Used for lookups that are
-    size-checked and then joined.
+    frame once; later counts are answered from Parquet footers. ``remove_staged`` deletes the
+    folder once nothing reads the frame any more.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.mode("errorifexists").parquet(path)
-    return spark.read.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._staged_path = path
+    return out
+
+
+def remove_path(spark: SparkSession, path: str) -> bool:
+    """Delete a file or folder on whatever file system the path names."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True))
+
+
+def remove_staged(df) -> None:
+    """Delete the folder of a frame made by ``stage``."""
+    remove_path(df.sparkSession, df._staged_path)
 
 
 def scale_settings(largest_shuffle_bytes: int, total_cores: int,

@@ -6,9 +6,12 @@ tables in the session catalog so SQL can address them as ``layer.table``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import json
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import Window
+from pyspark.sql import types as T
 
 from ..config import DEFAULT
 
@@ -19,10 +22,15 @@ def table_path(base: str, layer: str, name: str) -> str:
 
 def read_table(spark: SparkSession, base: str, layer: str, name: str, merge_schema: bool = False) -> DataFrame:
     """Scan a stored table; ``merge_schema`` reconciles files written with added columns.
-    A partitioned table without rows has no files to infer a schema from; it is then read
-    through its catalog entry when that entry points at the same location."""
+
+    A table with a recorded schema (the ingest records one as columns arrive) is read with it. A
+    partitioned table without rows has no files to infer a schema from; it is then read through its
+    catalog entry when that entry points at the same location."""
     from pyspark.errors import AnalysisException
-    path = table_path(base, layer, name)
+    path = current_path(spark, table_path(base, layer, name))
+    recorded = recorded_schema(spark, path)
+    if recorded is not None:
+        return spark.read.schema(recorded).parquet(path)
     try:
         return spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(path)
     except AnalysisException:
@@ -31,6 +39,64 @@ def read_table(spark: SparkSession, base: str, layer: str, name: str, merge_sche
         raise
 
 
+def read_path(spark: SparkSession, path: str) -> DataFrame:
+    """A table's folder, with its recorded schema if there is one."""
+    path = current_path(spark, path)
+    recorded = recorded_schema(spark, path)
+    return (spark.read.schema(recorded) if recorded is not None else spark.read).parquet(path)
+
+
+def _fs(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def read_small_text(spark: SparkSession, path: str) -> str | None:
+    """Content of a small metadata file, or None if there is no such file."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_small_text(spark: SparkSession, path: str, text: str) -> None:
+    """Replace a small metadata file: write beside it, then rename."""
+    fs, p = _fs(spark, path)
+    tmp = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.tmp")
+    stream = fs.create(tmp, True)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    if fs.exists(p):
+        fs.delete(p, False)
+    if not fs.rename(tmp, p):
+        raise OSError(f"could not write {path}")
+
+
+def recorded_schema(spark: SparkSession, path: str) -> T.StructType | None:
+    """The schema recorded in a table's folder (a hidden file), or None."""
+    text = read_small_text(spark, f"{path}/_schema.json")
+    return T.StructType.fromJson(json.loads(text)) if text else None
+
+
+def record_schema(spark: SparkSession, path: str, schema: T.StructType) -> None:
+    write_small_text(spark, f"{path}/_schema.json", schema.json())
+
+
+def table_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return bool(fs.exists(p))
+
+
+def current_path(spark: SparkSession, path: str) -> str:
+    """Where a table's data are: the version its pointer names, or the folder itself."""
+    version = read_small_text(spark, f"{path}/_current")
+    return f"{path}/{version.strip()}" if version else path
+
+
 def _normalise(path: str) -> str:
     return path.rstrip("/").replace("file://", "").replace("file:", "")
 
@@ -46,29 +112,33 @@ def register(spark: SparkSession, base: str, layer: str, name: str, schema=None)
     """Register the Parquet directory as an external table (schema given, so empty tables work)."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
     spark.sql(f"DROP TABLE IF EXISTS {layer}.{name}")
-    spark.catalog.createTable(f"{layer}.{name}", path=table_path(base, layer, name), source="parquet",
-                              schema=schema)
+    path = current_path(spark, table_path(base, layer, name))
+    spark.catalog.createTable(f"{layer}.{name}", path=path, source="parquet", schema=schema)
 
 
 def write_table(df: DataFrame, base: str, layer: str, name: str, mode: str = "overwrite",
                 partition_by: list[str] | None = None, dynamic_partitions: bool = False,
                 register_table: bool = True, cluster_by: list[str] | None = None,
-                observation=None) -> str:
+                observation=None, files_per_partition: int = 8) -> str:
     """Full refresh (overwrite data and schema) or append; optional Hive-style partitions.
 
-    With ``cluster_by`` (a high-cardinality key), partitioned writes are first range-partitioned on
-    (partition columns, cluster_by): each task then covers a contiguous range and writes to one or
-    two partition folders, so the file count stays near the task count (instead of tasks x
-    partitions) and a hot partition value is split over several tasks by the sampled range
-    bounds. Without it the frame's own distribution is kept (never one task per partition value).
-    ``dynamic_partitions`` overwrites only the partitions present in ``df`` (incremental loads).
-    ``observation`` (a ``pyspark.sql.Observation``) receives the written row count as ``rows``;
-    it is attached above the range exchange, so the range-sampling job does not count too.
-    Never overwrite a table that ``df`` itself reads: stage it first (``session.stage``).
+    A full refresh writes a new version folder and then switches the table's pointer file to it, so
+    a failed write leaves the old table as it was and readers never see half a table; the version
+    before the last is deleted. The refresh may read the table it replaces.
+    With ``cluster_by``, partitioned writes are first hash-distributed on the partition columns and
+    ``cluster_by`` modulo ``files_per_partition``: a partition value is written by at most that many
+    tasks, so a hot one is split, the file count stays bounded, and no sampling pass is needed.
+    Without it the frame's own distribution is kept (never one task per partition value).
+    ``dynamic_partitions`` overwrites only the partitions present in ``df`` (incremental loads); it and
+    ``append`` work on the current version. ``observation`` (a ``pyspark.sql.Observation``) receives the
+    written row count as ``rows``.
     """
-    path = table_path(base, layer, name)
+    spark = df.sparkSession
+    root = table_path(base, layer, name)
+    refresh = mode == "overwrite" and not dynamic_partitions
     if partition_by and cluster_by:
-        df = df.repartitionByRange(*partition_by, *cluster_by)
+        salt = F.pmod(F.xxhash64(*cluster_by), F.lit(files_per_partition))
+        df = df.repartition(*[F.col(c) for c in partition_by], salt)
     if observation is not None:
         df = df.observe(observation, F.count(F.lit(1)).alias("rows"))
     w = df.write.mode(mode)
@@ -76,10 +146,26 @@ def write_table(df: DataFrame, base: str, layer: str, name: str, mode: str = "ov
         w = w.partitionBy(*partition_by)
     if dynamic_partitions:
         w = w.option("partitionOverwriteMode", "dynamic")
-    w.parquet(path)
+    if refresh:
+        old = read_small_text(spark, f"{root}/_current")
+        version = f"v-{uuid.uuid4().hex[:12]}"
+        w.parquet(f"{root}/{version}")
+        write_small_text(spark, f"{root}/_current", version)
+        _drop_versions(spark, root, {version, (old or "").strip()})
+    else:
+        w.parquet(current_path(spark, root))
     if register_table:
-        register(df.sparkSession, base, layer, name, df.schema if mode == "overwrite" else None)
-    return path
+        register(spark, base, layer, name, df.schema if mode == "overwrite" else None)
+    return current_path(spark, root)
+
+
+def _drop_versions(spark: SparkSession, root: str, keep: set[str]) -> None:
+    """Delete versions that are neither current nor the one before (which running reads may hold)."""
+    fs, p = _fs(spark, root)
+    for status in fs.listStatus(p):
+        name = status.getPath().getName()
+        if name.startswith("v-") and name not in keep:
+            fs.delete(status.getPath(), True)
 
 
 def ensure_layout(spark: SparkSession, base: str, s=DEFAULT) -> DataFrame:
@@ -112,30 +198,48 @@ def upsert_latest(existing: DataFrame, changes: DataFrame, key: list[str], order
 
 
 def upsert_partitions(changes: DataFrame, base: str, layer: str, name: str, key: list[str], order_col: str,
-                      partition_cols: list[str], tie_breakers: list[str] | None = None) -> str:
+                      partition_cols: list[str], tie_breakers: list[str] | None = None,
+                      max_partitions: int = 10_000) -> str:
     """Incremental load into a partitioned table (MERGE by key, latest wins).
 
-    Only partitions touched by ``changes`` are read: their partition values (one row per
-    partition, so a bounded result) become a static partition filter, merged with
-    ``upsert_latest`` and rewritten with dynamic partition overwrite; all other partitions are
-    left as they are. The merged rows are staged in the shared folder first, because the plan
-    reads the table it replaces.
+    Touched are the partitions the changes name and those that now hold one of their keys (a key whose
+    partition value changed leaves its old partition); the latter come from a semi-join that reads
+    key and partition columns only. Touched partitions are read through a semi-join with their
+    values (at most ``max_partitions`` rows, checked), which prunes the scan, merged with
+    ``upsert_latest``, staged, and written with dynamic partition overwrite; partitions left without
+    rows are deleted. All others stay as they are. A failure before the write changes nothing; after
+    it, a rerun of the same changes gives the same table.
     """
-    from functools import reduce
-
-    from ..session import stage
+    from ..session import remove_path, remove_staged, stage
     spark = changes.sparkSession
+    path = current_path(spark, table_path(base, layer, name))
     existing = read_table(spark, base, layer, name)
-    touched = changes.select(*partition_cols).distinct().collect()
-    if not touched:
-        return table_path(base, layer, name)
-
-    def same(row):
-        return reduce(lambda a, b: a & b,
-                      [F.col(c).eqNullSafe(F.lit(row[c]).cast(existing.schema[c].dataType)) for c in partition_cols])
-
-    current = existing.where(reduce(lambda a, b: a | b, [same(r) for r in touched]))
-    merged = upsert_latest(current, changes.select(*existing.columns), key, order_col, tie_breakers)
-    staged = stage(merged, f"upsert-{name}")
-    return write_table(staged, base, layer, name, mode="overwrite", partition_by=partition_cols,
-                       dynamic_partitions=True)
+    moved = existing.select(*key, *partition_cols).join(changes.select(*key), key, "left_semi")
+    parts = changes.select(*partition_cols).unionByName(moved.select(*partition_cols)).distinct()
+    rows = parts.limit(max_partitions + 1).collect()
+    if len(rows) > max_partitions:
+        raise ValueError(f"the changes touch more than {max_partitions} partitions of {layer}.{name}: refresh the table instead")
+    if not rows:
+        return path
+    schema = T.StructType([T.StructField(c, existing.schema[c].dataType, True) for c in partition_cols])
+    touched = spark.createDataFrame(rows, schema)
+    t = touched.select(*[F.col(c).alias(f"_t_{c}") for c in partition_cols])
+    same = [existing[c].eqNullSafe(t[f"_t_{c}"]) for c in partition_cols]
+    current = existing.join(F.broadcast(t), same, "left_semi")
+    before = {_parent(r[0]) for r in current.select(F.input_file_name()).distinct().collect()}
+    staged = stage(upsert_latest(current, changes.select(*existing.columns), key, order_col, tie_breakers), f"upsert-{name}")
+    write_table(staged, base, layer, name, mode="overwrite", partition_by=partition_cols, dynamic_partitions=True,
+                register_table=_catalog_location(spark, f"{layer}.{name}") == _normalise(path))
+    # partitions without rows are not overwritten: what they held has moved
+    filled = spark.createDataFrame(staged.select(*partition_cols).distinct().collect(), schema)
+    k = filled.select(*[F.col(c).alias(f"_k_{c}") for c in partition_cols])
+    after = read_table(spark, base, layer, name)
+    full = after.join(F.broadcast(k), [after[c].eqNullSafe(k[f"_k_{c}"]) for c in partition_cols], "left_semi")
+    for folder in before - {_parent(r[0]) for r in full.select(F.input_file_name()).distinct().collect()}:
+        remove_path(spark, folder)
+    remove_staged(staged)
+    return path
+
+
+def _parent(path: str) -> str:
+    return path.rpartition("/")[0]

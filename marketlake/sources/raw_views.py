@@ -16,8 +16,9 @@ from .tables import BaseTables
 
 MONEY = "decimal(18,2)"
 
-# 27 two-letter states concatenated; state i is characters 1+2i..2+2i.
-STATE_STRING = "SPRJMGESPRSCRSMTMSGODFMAPICERNPBPEALSEBAAMRRAPPATOROAC"
+# The state of index 0..26.
+STATES = ["SP", "RJ", "MG", "ES", "PR", "SC", "RS", "MT", "MS", "GO", "DF", "MA", "PI", "CE", "RN", "PB",
+          "PE", "AL", "SE", "BA", "AM", "RR", "AP", "PA", "TO", "RO", "AC"]
 
 # Payment type by l_partkey % 4.
 PAYMENT_TYPES = ["credit_card", "boleto", "voucher", "debit_card"]
@@ -32,7 +33,7 @@ def _k(prefix: str, c: str) -> Column:
 
 
 def _state(idx: Column) -> Column:
-    return F.substring(F.lit(STATE_STRING), (idx * 2 + 1).cast("int"), 2)
+    return F.element_at(F.array(*[F.lit(x) for x in STATES]), idx.cast("int") + 1)
 
 
 def _secs(n: Column) -> Column:

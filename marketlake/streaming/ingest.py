@@ -1,29 +1,42 @@
 """Incremental CSV ingest into raw (bronze) tables with Structured Streaming.
 
-Each dataset is a file stream over a shared landing folder, filtered to its file
-name pattern, read with a declared schema and the marketplace CSV dialect
-(header, quoted multi-line fields, quotes escaped by doubling). The file source
-log in the checkpoint makes every file count once: a re-run adds nothing, a new
-file adds only its rows. ``availableNow`` drains what is there and stops.
+Two steps per dataset:
+
+1. A file stream over a shared landing folder, filtered to the dataset's file name pattern, appends each new
+   file's path to an arrivals table, exactly once per file (its checkpoint remembers every file);
+   ``availableNow`` drains what is there, in bounded batches, and stops. File contents aren't read.
+2. Arrived files are read in loads of at most ``max_files_per_trigger``. A load is planned (its number and
+   files are written down) before its data are written, and its data go to a folder of its own, so a load
+   that failed is repeated into the same folder: no file is lost or counted twice.
+
+Files are read by their own header: columns are found by name, whatever their order. A file that lacks a
+declared column is refused; a column that isn't declared is added to the table as text (or refused).
+Records that don't fit are kept with their raw text in ``_corrupt_record`` and counted.
 """
 
 from __future__ import annotations
 
+import csv
+import json
+import time
+from collections import defaultdict
+from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import RAW_FILES, RAW_SCHEMAS
+from ..sources.files import read_small_text, record_schema, recorded_schema, write_small_text
 
 CSV_OPTIONS = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"',
                "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
-
-# Datasets with free-text columns whose quoted values may span lines. Only these are read with
-# multiLine (a multi-line CSV file cannot be split, so it is one task per file); all other
-# datasets are read as splittable CSV, so a large file is spread over many tasks.
-MULTILINE_DATASETS = frozenset({"olist_order_reviews"})
+CORRUPT = "_corrupt_record"
+LOAD = "_load"
+METADATA = ["_ingestion_timestamp", "_source_file", CORRUPT, LOAD]
+MAX_FILES = 1000
+BINARY_FILE = "path string, modificationTime timestamp, length long, content binary"  # fixed by Spark
 
 
 def source_file_column(df: DataFrame) -> Column:
@@ -41,82 +54,199 @@ def add_ingestion_metadata(df: DataFrame) -> DataFrame:
                            "_source_file": source_file_column(df)})
 
 
+def data_columns(df: DataFrame) -> DataFrame:
+    """A bronze table without the ingest's own columns."""
+    return df.drop(*METADATA)
+
+
 @dataclass
 class IngestResult:
     table_path: str
     rows_added: int
     batches: int
+    corrupt_rows: int = 0
+    new_columns: tuple[str, ...] = ()
+
+
+class HeaderError(ValueError):
+    """A file's header doesn't fit the declared columns."""
+
 
+class CorruptRecordError(ValueError):
+    """A dataset declared to have one line per record has records that don't parse."""
 
-def csv_stream(spark: SparkSession, landing_dir: str, file_glob: str, schema: T.StructType,
-               enforce_header: bool = False, max_files_per_trigger: int | None = None,
-               recursive: bool = False, multi_line: bool = True) -> DataFrame:
-    """File stream of one dataset. ``enforce_header`` checks header names against the
-    declared schema (T4); ``recursive`` also picks up files in sub-folders (one per delivery);
-    ``multi_line=False`` makes large files splittable when no value spans lines."""
-    r = (spark.readStream.format("csv").schema(schema).options(**CSV_OPTIONS)
-         .option("multiLine", str(multi_line).lower()).option("pathGlobFilter", file_glob))
+
+# ---------------- step 1: arrivals ----------------
+
+def arrivals_stream(spark: SparkSession, landing_dir: str, file_glob: str, max_files: int = MAX_FILES,
+                    recursive: bool = False) -> DataFrame:
+    """Stream of the paths of new files; contents are not read."""
+    r = spark.readStream.format("binaryFile").schema(BINARY_FILE).option("pathGlobFilter", file_glob).option("maxFilesPerTrigger", str(max_files))
     if recursive:
         r = r.option("recursiveFileLookup", "true")
-    if enforce_header:
-        r = r.option("enforceSchema", "false")
-    if max_files_per_trigger:
-        r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return r.load(landing_dir)
+    return r.load(landing_dir).select("path", "length")
+
+
+def start_arrivals(stream: DataFrame, checkpoint: str):
+    return (stream.writeStream.format("parquet").outputMode("append").option("checkpointLocation", f"{checkpoint}/stream")
+            .trigger(availableNow=True).start(f"{checkpoint}/arrivals"))
+
+
+def await_all(queries: Mapping[str, object], timeout_s: float | None = None) -> None:
+    """Wait until every stream has drained. If one fails or the time runs out, stop the others and raise."""
+    deadline = None if timeout_s is None else time.monotonic() + timeout_s
+    try:
+        for name, q in queries.items():
+            left = None if deadline is None else max(0.001, deadline - time.monotonic())
+            finished = q.awaitTermination(left) if left is not None else q.awaitTermination()
+            if finished is False:
+                raise TimeoutError(f"ingest of {name} did not finish in {timeout_s}s")
+            if q.exception() is not None:
+                raise q.exception()
+    finally:
+        for q in queries.values():
+            if q.isActive:
+                q.stop()
+
 
+# ---------------- step 2: loads ----------------
+
+def header_of(spark: SparkSession, path: str) -> tuple[str, ...]:
+    """Column names in a file's first line (only that line is read); () for an empty file."""
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    stream = p.getFileSystem(spark._jsc.hadoopConfiguration()).open(p)
+    try:
+        line = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8")).readLine()
+    finally:
+        stream.close()
+    return tuple(next(csv.reader([line.lstrip("﻿")]))) if line else ()
+
+
+def read_layout(spark: SparkSession, paths: list[str], header: tuple[str, ...], schema: T.StructType,
+                columns: list[str], multi_line: bool) -> DataFrame:
+    """Files that share a header, as the table's columns by name, with the ingest's own columns."""
+    kinds = {f.name: f.dataType for f in schema.fields}
+    layout = T.StructType([T.StructField(c, kinds.get(c, T.StringType()), True) for c in header] + [T.StructField(CORRUPT, T.StringType(), True)])
+    df = (spark.read.schema(layout).options(**CSV_OPTIONS).option("multiLine", str(multi_line).lower())
+          .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).csv(paths))
+    return add_ingestion_metadata(df).select(
+        *[F.col(c) if c in header else F.lit(None).cast(kinds.get(c, T.StringType())).alias(c) for c in columns],
+        CORRUPT, "_ingestion_timestamp", "_source_file")
+
+
+def _plan_path(checkpoint: str, load: int) -> str:
+    return f"{checkpoint}/loads/{load:08d}.json"
+
+
+def _planned(spark: SparkSession, checkpoint: str) -> dict[int, dict]:
+    """All loads planned so far: number -> {"files": [...], "done": bool}."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/loads")
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(folder):
+        return {}
+    names = [s.getPath().getName() for s in fs.listStatus(folder)]
+    return {int(n[:-5]): json.loads(read_small_text(spark, f"{checkpoint}/loads/{n}")) for n in sorted(names) if n.endswith(".json")}
+
+
+def load_arrivals(spark: SparkSession, name: str, table_path: str, checkpoint: str, schema: T.StructType,
+                  multi_line: bool = True, on_new_column: str = "widen", max_files: int = MAX_FILES,
+                  deadline: float | None = None) -> IngestResult:
+    """Load every arrived file that no finished load holds; unfinished loads are repeated first."""
+    planned = _planned(spark, checkpoint)
+    listed = {f for plan in planned.values() for f in plan["files"]}
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/arrivals")
+    if folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        arrived = [r["path"] for r in spark.read.schema("path string").parquet(f"{checkpoint}/arrivals").collect()]  # names of files
+    else:
+        arrived = []
+    fresh = sorted(set(arrived) - listed)
+    number = max(planned, default=-1) + 1
+    for i in range(0, len(fresh), max_files):
+        planned[number] = {"files": fresh[i:i + max_files], "done": False}
+        write_small_text(spark, _plan_path(checkpoint, number), json.dumps(planned[number]))
+        number += 1
+
+    known = recorded_schema(spark, table_path)
+    added = [f.name for f in known.fields if f.name not in schema.names and f.name not in METADATA] if known else []
+    result = IngestResult(table_path, 0, 0)
+    for load, plan in sorted(planned.items()):
+        if plan["done"]:
+            continue
+        if deadline is not None and time.monotonic() > deadline:
+            raise TimeoutError(f"ingest of {name} did not finish in time; load {load} is repeated by the next run")
+        layouts = defaultdict(list)
+        for path in plan["files"]:
+            header = header_of(spark, path)
+            if header:
+                layouts[header].append(path)
+        for header, paths in layouts.items():
+            missing = [c for c in schema.names if c not in header]
+            new = [c for c in header if c not in schema.names and c not in added]
+            if missing or len(set(header)) < len(header) or (new and on_new_column != "widen"):
+                raise HeaderError(f"{name}: header {header} of {paths[0]} lacks {missing}, has undeclared {new}")
+            added += new
+            result.new_columns += tuple(new)
+        columns = [*schema.names, *added]
+        frames = [read_layout(spark, paths, header, schema, columns, multi_line) for header, paths in layouts.items()]
+        if frames:
+            rows = frames[0]
+            for f in frames[1:]:
+                rows = rows.unionByName(f)
+            seen = Observation(f"load_{name}_{load}")
+            rows = rows.observe(seen, F.count(F.lit(1)).alias("rows"), F.count_if(F.col(CORRUPT).isNotNull()).alias("corrupt"))
+            target = f"{table_path}/{LOAD}={load}"
+            rows.write.mode("overwrite").parquet(target)
+            if not multi_line and seen.get["corrupt"]:
+                raise CorruptRecordError(f"{name}: {seen.get['corrupt']} records of load {load} don't parse line by line; declare it multi-line")
+            record_schema(spark, table_path, T.StructType([*rows.schema.fields, T.StructField(LOAD, T.IntegerType(), True)]))
+            result.rows_added += seen.get["rows"]
+            result.corrupt_rows += seen.get["corrupt"]
+            result.batches += 1
+        write_small_text(spark, _plan_path(checkpoint, load), json.dumps(plan | {"done": True}))
+    return result
+
+
+# ---------------- whole ingest ----------------
 
 def ingest_csv(spark: SparkSession, landing_dir: str, file_glob: str, table_path: str, checkpoint: str,
-               schema: T.StructType, timeout_s: float | None = None, **kw) -> IngestResult:
-    """Append new files of one dataset to a Parquet table, exactly once per file."""
-    df = add_ingestion_metadata(csv_stream(spark, landing_dir, file_glob, schema, **kw))
-    q = (df.writeStream.format("parquet").outputMode("append")
-         .option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True)
-         .start(table_path))
-    finished = q.awaitTermination(timeout_s) if timeout_s else q.awaitTermination()
-    if finished is False:
-        q.stop()
-        raise TimeoutError(f"ingest of {file_glob} did not finish in {timeout_s}s")
-    if q.exception() is not None:
-        raise q.exception()
-    progress = q.recentProgress
-    rows = sum(int(p.get("numInputRows", 0)) for p in progress)
-    batches = sum(1 for p in progress if p.get("numInputRows", 0))
-    return IngestResult(table_path, rows, batches)
+               schema: T.StructType | None = None, timeout_s: float | None = None, recursive: bool = False,
+               multi_line: bool = True, on_new_column: str = "widen", max_files_per_trigger: int | None = None) -> IngestResult:
+    """Append the new files of one dataset to a table, exactly once per file.
+
+    Without a ``schema`` the column types are inferred once and remembered beside the checkpoint (S3).
+    ``multi_line=False`` declares that every record is one line, so large files are split over tasks; a
+    record that doesn't parse then fails the load. ``on_new_column``: "widen" or "reject".
+    """
+    checkpoint = checkpoint.rstrip("/")
+    schema = schema or remembered_schema(spark, landing_dir, file_glob, f"{checkpoint}/schema")
+    max_files = max_files_per_trigger or MAX_FILES
+    deadline = None if timeout_s is None else time.monotonic() + timeout_s
+    await_all({file_glob: start_arrivals(arrivals_stream(spark, landing_dir, file_glob, max_files, recursive), checkpoint)}, timeout_s)
+    return load_arrivals(spark, file_glob, table_path, checkpoint, schema, multi_line, on_new_column, max_files, deadline)
 
 
 def ingest_all(spark: SparkSession, landing_dir: str, base: str, checkpoint_base: str, layer: str = "bronze",
-               datasets: dict[str, str] | None = None, schemas: dict[str, T.StructType] | None = None,
-               timeout_s: float | None = None, subfolders: bool = False,
-               max_files_per_trigger: int | None = 1000) -> dict[str, IngestResult]:
-    """Ingest every dataset; each has its own checkpoint, so the streams are independent and
-    run concurrently (all started, then awaited). Files are matched by name in one shared
-    landing folder, or with ``subfolders=True`` in ``<landing>/<table>/``.
-    ``max_files_per_trigger`` bounds each micro-batch: ``availableNow`` still drains the whole
-    backlog, but in batches of at most that many files, each committed to the checkpoint."""
+               datasets: dict[str, str] | None = None, schemas: Mapping[str, T.StructType | None] | None = None,
+               timeout_s: float | None = None, subfolders: bool = False, max_files_per_trigger: int | None = MAX_FILES,
+               single_line: frozenset[str] = frozenset(), on_new_column: str = "widen") -> dict[str, IngestResult]:
+    """Ingest every dataset; each has its own checkpoint. The arrival streams run concurrently and are
+    awaited together (one failure or the time-out stops all of them and raises); then each dataset is loaded.
+    Files are matched by name in one shared landing folder, or with ``subfolders=True`` in
+    ``<landing>/<table>/``. ``single_line`` names the datasets declared to have one line per record; all
+    others are read as multi-line. A dataset whose schema is None has it inferred once and remembered."""
     from ..sources.files import table_path
     datasets = datasets or RAW_FILES
     schemas = schemas or RAW_SCHEMAS
-    running = {}
-    for table, glob in datasets.items():
-        src = f"{landing_dir.rstrip('/')}/{table}" if subfolders else landing_dir
-        df = add_ingestion_metadata(csv_stream(spark, src, glob, schemas[table],
-                                               multi_line=table in MULTILINE_DATASETS,
-                                               max_files_per_trigger=max_files_per_trigger))
-        q = (df.writeStream.format("parquet").outputMode("append")
-             .option("checkpointLocation", f"{checkpoint_base.rstrip('/')}/{table}")
-             .trigger(availableNow=True).start(table_path(base, layer, table)))
-        running[table] = q
-    out = {}
-    for table, q in running.items():
-        q.awaitTermination(timeout_s) if timeout_s else q.awaitTermination()
-        if q.exception() is not None:
-            raise q.exception()
-        rows = sum(int(p.get("numInputRows", 0)) for p in q.recentProgress)
-        batches = sum(1 for p in q.recentProgress if p.get("numInputRows", 0))
-        out[table] = IngestResult(table_path(base, layer, table), rows, batches)
-    return out
-
+    max_files = max_files_per_trigger or MAX_FILES
+    deadline = None if timeout_s is None else time.monotonic() + timeout_s
+    folder = {t: f"{landing_dir.rstrip('/')}/{t}" if subfolders else landing_dir for t in datasets}
+    checkpoint = {t: f"{checkpoint_base.rstrip('/')}/{t}" for t in datasets}
+    await_all({t: start_arrivals(arrivals_stream(spark, folder[t], glob, max_files), checkpoint[t]) for t, glob in datasets.items()}, timeout_s)
+    return {t: load_arrivals(spark, t, table_path(base, layer, t), checkpoint[t],
+                             schemas[t] or remembered_schema(spark, folder[t], glob, f"{checkpoint[t]}/schema"),
+                             t not in single_line, on_new_column, max_files, deadline)
+            for t, glob in datasets.items()}
 
 
 def write_landing_csv(df: DataFrame, landing_dir: str) -> str:
@@ -128,15 +258,12 @@ def write_landing_csv(df: DataFrame, landing_dir: str) -> str:
 
 def remembered_schema(spark: SparkSession, landing_dir: str, file_glob: str, schema_file: str) -> T.StructType:
     """S3: infer the column types once with a batch read of the files present, store the schema
-    as JSON next to the checkpoint, and reuse it on every later run (schema memory)."""
-    import json
-    try:
-        text = spark.read.text(schema_file).collect()
-        if text:
-            return T.StructType.fromJson(json.loads("".join(r.value for r in text)))
-    except Exception:  # noqa: BLE001 - no stored schema yet
-        pass
+    as JSON next to the checkpoint, and reuse it on every later run (schema memory). Only a missing
+    file counts as none: one that can't be read is an error, not a reason to infer again."""
+    text = read_small_text(spark, schema_file)
+    if text is not None:
+        return T.StructType.fromJson(json.loads(text))
     inferred = (spark.read.options(**CSV_OPTIONS).option("inferSchema", "true")
                 .option("pathGlobFilter", file_glob).csv(landing_dir).schema)
-    spark.createDataFrame([(inferred.json(),)], "value string").coalesce(1).write.mode("overwrite").text(schema_file)
+    write_small_text(spark, schema_file, inferred.json())
     return inferred

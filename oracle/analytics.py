@@ -124,6 +124,9 @@ SELECT CAST(SUM(valor_total_pedido) AS DOUBLE) AS receita_total,
        {ratio('count_if(entregue_no_prazo)', 'count_if(entregue_no_prazo IS NOT NULL)')} AS taxa_entrega_no_prazo
 FROM fact_sales""",
     "revenue_in_year": """
+SELECT 1996 AS ano, CAST(SUM(valor_total_pedido) AS DOUBLE) AS receita_total, COUNT(order_id) AS qtd_pedidos
+FROM fact_sales WHERE date_key BETWEEN 19960101 AND 19961231""",
+    "revenue_by_year": """
 SELECT CAST(date_key // 10000 AS INTEGER) AS ano, CAST(SUM(valor_total_pedido) AS DOUBLE) AS receita_total,
        COUNT(order_id) AS qtd_pedidos FROM fact_sales GROUP BY 1""",
     "top_sellers_in_region": """

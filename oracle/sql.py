@@ -110,7 +110,7 @@ q("suite_gold", C.gold_suite())
 
 
 # ---------------- dimensional modelling ----------------
-from .base import sk  # noqa: E402
+from .base import GOLD, sk  # noqa: E402
 
 q("surrogate_key", f"SELECT customer_unique_id, {sk('customer_unique_id')} AS customer_key FROM dim_customers")
 q("fk_or_unknown", """
@@ -149,6 +149,35 @@ def _suite_gold_keyed() -> str:
 q("suite_gold_keyed", _suite_gold_keyed())
 
 
+KEYED_DIMS = [("dim_customers_keyed", "customer_key"), ("dim_products_keyed", "product_key"), ("dim_sellers_keyed", "seller_key")]
+
+
+def _suite_star_keyed() -> str:
+    rows = []
+    for t, key in KEYED_DIMS:
+        rows += [C.no_duplicates("gold", t, [key]), C.unknown_present("gold", t, key)]
+    for fact in ("fact_sales_item", "fact_reviews_keyed"):
+        rows += [C.not_null("gold", fact, key) for _, key in KEYED_DIMS]
+        rows += [C.fk_integrity("gold", fact, fact, key, t, key, string_key=False) for t, key in KEYED_DIMS]
+    rows += [C.not_null("gold", "fact_sales_item", "date_key"),
+             C.fk_integrity("gold", "fact_sales_item", "fact_sales_item", "date_key", "dim_calendar", "date_key", string_key=False),
+             C.ratio("gold", "fact_sales_item", "items_without_order", "count_if(valid IS NULL)", "COUNT(*)",
+                     "(SELECT valid FROM olist_order_items LEFT JOIN (SELECT order_id, 1 AS valid FROM olist_orders "
+                     "WHERE order_id IS NOT NULL) USING (order_id))", blocking=False)]
+    return C.union(rows)
+
+
+q("suite_star_keyed", _suite_star_keyed())
+q("dim_time_documented", """
+SELECT d.*, (SELECT COUNT(*) FROM olist_orders WHERE CAST(order_purchase_timestamp AS DATE) = d.date) AS qtd_pedidos
+FROM (""" + GOLD["dim_time_pt"].replace("calendar_days", "documented_days") + ") d")
+q("surrogate_key_nulls", f"SELECT order_id, {sk('order_id')} AS order_key FROM (SELECT DISTINCT order_id FROM olist_orders)")
+q("median_scale", """
+SELECT l_returnflag, round(median(CAST(CAST(CAST(l_extendedprice AS DECIMAL(12,2)) * CAST(l_discount AS DECIMAL(4,2)) AS DECIMAL(18,4)) AS DOUBLE)), 6)
+       AS desconto_mediano
+FROM lineitem GROUP BY l_returnflag""")
+
+
 # ---------------- business queries ----------------
 from . import analytics as _AN  # noqa: E402
 
@@ -159,6 +188,25 @@ for _n, _body in _AN.QUERIES.items():
 # ---------------- streaming ingest and incremental upsert ----------------
 q("csv_stream_ingest", "SELECT * FROM olist_order_reviews")
 q("csv_ingest_rerun", "SELECT * FROM olist_orders")
+q("csv_reordered_columns", "SELECT * FROM olist_sellers")
+q("csv_new_column", """
+SELECT *, CASE WHEN CAST(right(seller_id, 1) AS INTEGER) >= 5 THEN 'canal ' || seller_state END AS canal FROM olist_sellers""")
+q("append_added_column", """
+SELECT *, CASE WHEN CAST(right(seller_id, 1) AS INTEGER) >= 5 THEN 'lote 2 ' || seller_state END AS motivo FROM olist_sellers""")
+q("csv_ingest_metadata", """
+SELECT seller_state, COUNT(*) AS linhas, COUNT(*) AS com_arquivo, COUNT(*) AS com_horario, CAST(0 AS BIGINT) AS corrompidas
+FROM olist_sellers GROUP BY seller_state""")
+q("upsert_moved_partition", """
+SELECT order_id, order_status, CASE WHEN order_status = 'canceled' THEN 1 ELSE 0 END AS versao,
+       CAST(year(order_purchase_timestamp) + CASE WHEN order_status = 'canceled' THEN 1 ELSE 0 END AS INTEGER) AS ano
+FROM olist_orders WHERE order_id IS NOT NULL""")
+q("quality_log", f"""
+SELECT substr(sha256('run-1|' || layer || '|' || table_name || '|' || check_name), 1, 16) AS check_id, *, 'run-1' AS run_id
+FROM ({C.bronze_suite()})""")
+q("partitioned_fact_month", """
+SELECT * REPLACE (CAST(valor_total_pedido AS DOUBLE) AS valor_total_pedido), CAST(date_key // 10000 AS INTEGER) AS ano,
+       CAST(date_key // 100 % 100 AS INTEGER) AS mes
+FROM fact_sales""")
 q("upsert_latest", """
 SELECT customer_unique_id, customer_id, customer_city, customer_state, customer_zip_code_prefix, order_purchase_timestamp
 FROM (SELECT c.*, o.order_purchase_timestamp,

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from marketlake.functions.exprs import non_blank, region_of_state, sla_columns
 from marketlake.functions.sentiment import sentiment_label
 from marketlake.operators.aggregates import geo_centroids, geo_in_bounds, items_per_order, payments_per_order
-from marketlake.operators.joins import fk_or_unknown, orphans
+from marketlake.operators.joins import KeyLookup, orphans
 from marketlake.operators.modeling import latest_per_key, surrogate_key, unknown_member
 from marketlake.operators.quality import Check, check_reconciliation, duplicates, table_checks
 from marketlake.plans import gold
@@ -88,11 +88,11 @@ def test_fk_null_unknown_orphan(spark):
 def test_fk_lookup_refuses_duplicate_business_keys(spark):
     fact = spark.createDataFrame([("a",), ("z",)], "k string")
     dim_ok = spark.createDataFrame([("a", 1)], "k string, sk long")
-    out = {r.k: r.sk for r in fk_or_unknown(fact, "k", dim_ok, "k", "sk", "sk").collect()}
+    out = {r.k: r.sk for r in KeyLookup.of(dim_ok, "k", "sk").resolve(fact).collect()}
     assert out == {"a": 1, "z": -1}
     dim_dup = spark.createDataFrame([("a", 1), ("a", 2)], "k string, sk long")
     with pytest.raises(Exception, match="duplicate business key"):
-        fk_or_unknown(fact, "k", dim_dup, "k", "sk", "sk").collect()
+        KeyLookup.of(dim_dup, "k", "sk").resolve(fact).collect()
 
 
 def test_unknown_member_types(spark):
@@ -180,9 +180,9 @@ def test_orders_enriched_payment_rules(spark):
 
 
 def test_sized_broadcast_checks_rows_and_bytes(spark):
-    from marketlake.operators.joins import row_width, sized_broadcast
+    from marketlake.operators.joins import row_bytes, sized_broadcast
     small = spark.range(10).selectExpr("id", "cast(id as string) s")
-    assert row_width(small.schema) == 8 + 8 + 64
+    assert [r.b for r in small.select(row_bytes(small.schema).alias("b")).collect()] == [8 + 8 + 8 + 1] * 10
 
     def is_broadcast(df):
         j = spark.range(100).join(df, "id")
@@ -192,7 +192,7 @@ def test_sized_broadcast_checks_rows_and_bytes(spark):
     try:
         assert is_broadcast(sized_broadcast(small, max_rows=10))
         assert not is_broadcast(sized_broadcast(small, max_rows=9))
-        assert not is_broadcast(sized_broadcast(small, max_rows=10, max_bytes=799))
+        assert not is_broadcast(sized_broadcast(small, max_rows=10, max_bytes=249))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
@@ -234,3 +234,68 @@ def test_pandas_scorer_equals_native_scorer(spark):
     a = {x.review_id: x.s for x in lexicon_scorer(r, "review_comment_message", "s").collect()}
     b = {x.review_id: x.s for x in pandas_lexicon_scorer(r, "review_comment_message", "s").collect()}
     assert a == b and a["x1"] == "positivo" and a["x3"] == "negativo" and a["x5"] == "sem_comentario"
+
+
+def test_fk_lookup_leaves_out_null_business_keys(spark):
+    fact = spark.createDataFrame([("a", 1), (None, 2), ("z", 3)], "k string, n int")
+    dim = spark.createDataFrame([("a", 7), (None, 8), (None, 9)], "k string, sk int")
+    out = {r.n: r.sk for r in KeyLookup.of(dim, "k", "sk").resolve(fact).collect()}
+    assert out == {1: 7, 2: -1, 3: -1}
+
+
+def test_fk_lookup_broadcasts_by_the_measured_size_of_its_source(spark):
+    dim = spark.createDataFrame([("a", 7)], "k string, sk int")
+    assert KeyLookup.of(dim, "k", "sk", source=dim).small
+    assert not KeyLookup.of(dim, "k", "sk").small
+
+
+def test_surrogate_key_keeps_rows_without_a_business_key(spark):
+    df = spark.createDataFrame([("b",), (None,), ("a",)], "k string")
+    out = {r.k: r.sk for r in surrogate_key(df, "k", "sk").collect()}
+    assert out[None] == 1 and sorted(out.values()) == [1, 2, 3]
+
+
+@pytest.mark.parametrize("values,scale", [(["1.005", "1.005", "1.007"], 3), (["0.29"] * 3, 2), (["-3.1", "5.2"], 1), (["7"], 0), (["0.0001", "99.9999"], 4)])
+def test_median_keeps_the_scale(spark, values, scale):
+    import statistics
+
+    from marketlake.operators.quantiles import exact_median
+    df = spark.createDataFrame([("g", Decimal(v)) for v in values], f"g string, v decimal(18,{scale})")
+    assert exact_median(df, "g", "v").collect()[0].mediana == pytest.approx(statistics.median(map(float, values)))
+
+
+def test_median_refuses_floating_point(spark):
+    from marketlake.operators.quantiles import exact_median
+    with pytest.raises(TypeError):
+        exact_median(spark.createDataFrame([("g", 0.29)], "g string, v double"), "g", "v")
+
+
+def test_documented_quarantine_catches_missing_customers(spark):
+    from marketlake.plans import checks, silver
+    orders = spark.createDataFrame([("o1", "c1"), (None, "c2"), ("o3", None), (None, None)], "order_id string, customer_id string")
+    raw = {"olist_orders": orders}
+    coded = {r.motivo_rejeicao for r in silver.quarantine(raw).collect()}
+    documented = [r.motivo_rejeicao for r in silver.quarantine(raw, silver.ORDER_RULES_DOC).collect()]
+    assert coded == {"order_id nulo"} and sorted(documented) == ["customer_id nulo", "order_id nulo", "order_id nulo"]
+    assert silver.quarantine_rate(raw, silver.ORDER_RULES_DOC).collect()[0].qtd_quarentena == 3
+    assert checks.rejection_reason is silver.rejection_reason
+
+
+def test_shared_folder_is_needed_on_a_cluster(monkeypatch):
+    from marketlake import session
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Conf:
+        def get(self, key, default):
+            return default
+
+    class Spark:
+        sparkContext, conf = Context(), Conf()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.shared_dir(Spark())

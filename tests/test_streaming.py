@@ -72,8 +72,7 @@ def test_header_checked_against_declared_schema(spark, tmp_base):
     landing = f"{tmp_base}/landing"
     _write(f"{landing}/olist_order_reviews_dataset.csv", "wrong,header\n1,2\n")
     with pytest.raises(Exception):
-        ingest_csv(spark, landing, "olist_order_reviews*.csv", f"{tmp_base}/t", f"{tmp_base}/ck", REVIEWS,
-                   enforce_header=True)
+        ingest_csv(spark, landing, "olist_order_reviews*.csv", f"{tmp_base}/t", f"{tmp_base}/ck", REVIEWS)
 
 
 def test_append_with_added_column_reads_with_merge_schema(spark, tmp_base):
@@ -105,3 +104,86 @@ def test_backlog_is_drained_in_bounded_batches(spark, tmp_base):
                      datasets={"olist_order_reviews": "*.csv"}, subfolders=True, max_files_per_trigger=2)
     assert res["olist_order_reviews"].rows_added == 5
     assert res["olist_order_reviews"].batches == 3
+
+
+SELLERS = RAW_SCHEMAS["olist_sellers"]
+
+
+def test_columns_are_found_by_name_and_new_ones_added(spark, tmp_base):
+    from marketlake.sources.files import read_path
+    landing, out, ck = f"{tmp_base}/landing", f"{tmp_base}/t", f"{tmp_base}/ck"
+    _write(f"{landing}/s1.csv", "seller_id,seller_city,seller_state,seller_zip_code_prefix\ns1,campinas,SP,13023\n")
+    ingest_csv(spark, landing, "s*.csv", out, ck, SELLERS)
+    _write(f"{landing}/s2.csv", "channel,seller_state,seller_id,seller_zip_code_prefix,seller_city\nweb,RJ,s2,20000,rio\n")
+    r = ingest_csv(spark, landing, "s*.csv", out, ck, SELLERS)
+    assert r.rows_added == 1 and r.new_columns == ("channel",)
+    _write(f"{landing}/s3.csv", "seller_id,seller_city,seller_state,seller_zip_code_prefix\ns3,mogi,SP,08730\n")
+    ingest_csv(spark, landing, "s*.csv", out, ck, SELLERS)
+    rows = {x.seller_id: (x.seller_state, x.seller_zip_code_prefix, x.channel) for x in read_path(spark, out).collect()}
+    assert rows == {"s1": ("SP", "13023", None), "s2": ("RJ", "20000", "web"), "s3": ("SP", "08730", None)}
+
+
+def test_new_columns_can_be_refused_and_the_load_repeated(spark, tmp_base):
+    import pytest
+    from marketlake.sources.files import read_path
+    from marketlake.streaming.ingest import HeaderError
+    landing, out, ck = f"{tmp_base}/landing", f"{tmp_base}/t", f"{tmp_base}/ck"
+    _write(f"{landing}/s.csv", "seller_id,seller_city,seller_state,seller_zip_code_prefix,x\ns1,a,SP,1,2\n")
+    with pytest.raises(HeaderError):
+        ingest_csv(spark, landing, "s*.csv", out, ck, SELLERS, on_new_column="reject")
+    assert ingest_csv(spark, landing, "s*.csv", out, ck, SELLERS).rows_added == 1  # nothing was lost
+    assert ingest_csv(spark, landing, "s*.csv", out, ck, SELLERS).rows_added == 0
+    assert read_path(spark, out).count() == 1
+
+
+def test_records_that_do_not_parse_are_kept_and_counted(spark, tmp_base):
+    from marketlake.sources.files import read_path
+    landing, out, ck = f"{tmp_base}/landing", f"{tmp_base}/t", f"{tmp_base}/ck"
+    items = RAW_SCHEMAS["olist_order_items"]
+    _write(f"{landing}/i.csv", "order_id,order_item_id,product_id,seller_id,price,freight_value\n"
+                               "o1,1,p1,s1,10.00,1.00\no2,abc,p1,s1,10.00,1.00\no3,1,p1,s1,x,1.00\n")
+    r = ingest_csv(spark, landing, "*.csv", out, ck, items)
+    assert (r.rows_added, r.corrupt_rows) == (3, 2)
+    bad = {x.order_id: x._corrupt_record for x in read_path(spark, out).where("_corrupt_record IS NOT NULL").collect()}
+    assert bad == {"o2": "o2,abc,p1,s1,10.00,1.00", "o3": "o3,1,p1,s1,x,1.00"}
+
+
+def test_single_line_datasets_fail_on_records_over_several_lines(spark, tmp_base):
+    import pytest
+    from marketlake.streaming.ingest import CorruptRecordError
+    landing, out, ck = f"{tmp_base}/landing", f"{tmp_base}/t", f"{tmp_base}/ck"
+    _write(f"{landing}/s.csv", 'seller_id,seller_city,seller_state,seller_zip_code_prefix\ns1,"two\nlines",SP,1\n')
+    with pytest.raises(CorruptRecordError):
+        ingest_csv(spark, landing, "s*.csv", out, ck, SELLERS, multi_line=False)
+    assert ingest_csv(spark, landing, "s*.csv", out, ck, SELLERS).rows_added == 1
+
+
+def test_row_counts_over_more_than_a_hundred_batches(spark, tmp_base):
+    from marketlake.sources.files import read_path
+    landing = f"{tmp_base}/landing"
+    for i in range(104):
+        _write(f"{landing}/s{i}.csv", f"seller_id,seller_city,seller_state,seller_zip_code_prefix\ns{i},a,SP,1\nt{i},a,SP,1\n")
+    r = ingest_csv(spark, landing, "s*.csv", f"{tmp_base}/t", f"{tmp_base}/ck", SELLERS, max_files_per_trigger=1)
+    assert (r.rows_added, r.batches) == (208, 104)
+    assert read_path(spark, f"{tmp_base}/t").count() == 208
+
+
+def test_time_out_raises_and_stops_the_streams(spark, tmp_base):
+    import pytest
+    landing = f"{tmp_base}/landing"
+    for i in range(30):
+        _write(f"{landing}/olist_order_reviews/r{i}.csv", HEADER + f"r{i},o{i},5,,ok,2018-01-01 00:00:00,2018-01-02 00:00:00\n")
+    with pytest.raises(TimeoutError):
+        ingest_all(spark, landing, tmp_base, f"{tmp_base}/ck", datasets={"olist_order_reviews": "*.csv"}, subfolders=True,
+                   max_files_per_trigger=1, timeout_s=0.2)
+    assert not [q for q in spark.streams.active if q.isActive]
+    res = ingest_all(spark, landing, tmp_base, f"{tmp_base}/ck", datasets={"olist_order_reviews": "*.csv"}, subfolders=True)
+    assert res["olist_order_reviews"].rows_added == 30  # the next run takes up what was left
+
+
+def test_unreadable_remembered_schema_is_an_error(spark, tmp_base):
+    import pytest
+    from marketlake.streaming.ingest import remembered_schema
+    _write(f"{tmp_base}/ck/schema", "not json")
+    with pytest.raises(ValueError):
+        remembered_schema(spark, f"{tmp_base}/landing", "*.csv", f"{tmp_base}/ck/schema")
