@@ -39,8 +39,8 @@ def jaccard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     own = classes.where((F.col("n_shingles") == 0) | F.col("component_id").isNull() | F.col("doc_id").eqNullSafe(F.col("component_id")))
     keep = own.groupBy(F.col("doc_id").alias("_id")).agg(F.min("tk").alias("_tk"))
     named = keep.where("_id IS NOT NULL")
-    stay = docs.join(named, (docs["doc_id"] == named["_id"]) & (text_key() == named["_tk"])).select(*docs.columns)
-    stay = stay.dropDuplicates(["doc_id"])
+    # joined on the id alone, so the rows are already together for the last step
+    stay = docs.join(named, docs["doc_id"] == named["_id"]).where(text_key() == F.col("_tk")).select(*docs.columns).dropDuplicates(["doc_id"])
     unnamed = own.where("doc_id IS NULL").select(F.col("tk").alias("_tk")).distinct()
     return stay.unionByName(docs.where(F.col("doc_id").isNull()).join(unnamed, text_key() == unnamed["_tk"], "left_semi"))
 
