@@ -129,4 +129,40 @@ SELECT doc_id, count(*)::BIGINT AS n_lines, (count(*) FILTER (WHERE dropped))::B
 FROM marked GROUP BY doc_id
 """
 
-ORACLE_SQL: dict[str, str] = {"op7_line_dedup": OP7_SQL}
+# Links by cosine and their components, in DuckDB; all pairs, so for small tables.
+OP8_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, [x::DOUBLE FOR x IN embedding] AS e FROM embeddings
+  WHERE len(embedding) > 0 AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0 AND len([x FOR x IN embedding IF x <> 0]) > 0),
+n AS (SELECT vec_id, e, sqrt(list_dot_product(e, e)) AS norm FROM v),
+links AS (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM n a JOIN n b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_dot_product(a.e, b.e) / (a.norm * b.norm) >= 0.95),
+reach(node, origin) AS (
+  SELECT vec_id, vec_id FROM embeddings
+  UNION SELECT l.y, r.origin FROM reach r JOIN links l ON l.x = r.node),
+least AS (SELECT node, min(origin) AS component_id FROM reach GROUP BY node),
+degree AS (SELECT x, count(*) AS k FROM links GROUP BY x)
+SELECT vec_id, coalesce(k, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN least ON node = vec_id LEFT JOIN degree ON x = vec_id
+"""
+
+# Exact Jaccard of 3-word shingle sets and the components of the links, in DuckDB; for small tables.
+OP10_SQL = r"""
+WITH RECURSIVE cut AS (
+  SELECT doc_id, [w FOR w IN string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                '[\x20\x09-\x0D]+') IF w <> ''] AS w FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct([w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] FOR i IN range(1, len(w) - 1)]) END AS s FROM cut),
+members AS (SELECT doc_id, unnest(s) AS shingle, len(s) AS n FROM sets),
+links AS (
+  SELECT a.doc_id AS x, b.doc_id AS y FROM members a JOIN members b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id HAVING 100 * count(*) >= 90 * (any_value(a.n) + any_value(b.n) - count(*))),
+reach(node, origin) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION SELECT l.y, r.origin FROM reach r JOIN links l ON l.x = r.node)
+SELECT doc_id, len(s)::BIGINT AS n_shingles, min(origin) AS component_id FROM sets JOIN reach ON node = doc_id GROUP BY doc_id, s
+"""
+
+ORACLE_SQL: dict[str, str] = {"op7_line_dedup": OP7_SQL, "op8_embedding_dedup": OP8_SQL, "op10_ngram_jaccard": OP10_SQL}
