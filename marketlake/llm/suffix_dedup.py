@@ -34,7 +34,8 @@ from .windows import GRAM, pair, sliding_min, window_names
 
 WIDTH = 200
 CHUNK = 1 << 20
-SMALL_GROUP = 256
+SMALL_GROUP = 20_000  # runs of one name that a task holds: about 6 MB of text and 30 MB of window names
+SLICE = 2048
 RUNS = "m long, c long, doc_id long, tk int, lo int, n int, self boolean"
 RANKED = "m long, doc_id long, tk int, lo int, n int, whole boolean, need boolean"
 CONTENTS = "m long, doc_id long, tk int, lo int, weight int, body binary"
@@ -157,15 +158,20 @@ def _contents(width: int):
 
 
 def _windows(rows: pa.Table, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Windows of all bodies: row, offset in the body, name."""
+    """Windows of all bodies: row, offset in the body, name. Names are made for a slice of rows at a time."""
+    parts = [_slice_windows(rows.slice(i, SLICE), i, width) for i in range(0, rows.num_rows, SLICE)]
+    return tuple(np.concatenate(column) for column in zip(*parts))
+
+
+def _slice_windows(rows: pa.Table, first: int, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     bodies = rows.column("body").to_pylist()
     lengths = np.array(list(map(len, bodies)))
     starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
     n = lengths - width + 1
-    row = np.repeat(np.arange(len(bodies)), n)
-    offset = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+    row = np.repeat(np.arange(len(bodies), dtype=np.int32), n)
+    offset = (np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)).astype(np.int32)
     _, names = window_names(np.frombuffer(b"".join(bodies), np.uint8), width)
-    return row, offset, names[starts[row] + offset]
+    return row + np.int32(first), offset, names[starts[row] + offset]
 
 
 def _spans(rows: pa.Table, row: np.ndarray, offset: np.ndarray, width: int) -> pa.RecordBatch:
