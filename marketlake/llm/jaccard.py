@@ -188,10 +188,11 @@ def near_duplicates(docs: DataFrame, n: int = 5, num: int = 8, den: int = 10, id
     members = cut(groups.join(classes.drop("keys"), "fp"), "members")
 
     tiles = cut(_tiles(members, num, den), "tiles")
-    wanted = members.select("fp", F.col("rep.doc_id").alias("r_id"), F.col("rep.tk").alias("r_tk"))
+    # merge joins at every size: their skewed partitions are split, and small tables run the plan of large ones
+    wanted = members.select("fp", F.col("rep.doc_id").alias("r_id"), F.col("rep.tk").alias("r_tk")).hint("merge")
     source = rows.join(wanted, F.col("doc_id").eqNullSafe(F.col("r_id")) & (F.col("tk") == F.col("r_tk"))).select("fp", "text")
     sets = source.mapInArrow(_sets(n), "fp binary, shingles binary")
-    found = (sets.join(tiles, "fp").select("grp", "x", "y", "side", "fp", "shingles")
+    found = (sets.join(tiles.hint("merge"), "fp").select("grp", "x", "y", "side", "fp", "shingles")
              .groupBy("grp", "x", "y").applyInPandas(_tile(num, den), "a binary, b binary"))
     linked = components(found).withColumnRenamed("node", "fp")
     named = linked.join(classes.select("fp", "least_id"), "fp")
