@@ -31,7 +31,7 @@ WINDOW = 2.0
 SORT_WINDOW = 4.0
 MISS = 1e-4
 TILE = 4096
-ROWS = 256
+ROWS = 64
 DENSE = 0.02
 
 
@@ -72,38 +72,55 @@ def _classes(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pydict({"vec_id": b.column(0), "fp": pa.array(prints, pa.binary()), "raw": pa.array(raws, pa.binary()), "p0": pa.array(firsts, pa.float64())})
 
 
+def quantised(a: np.ndarray, b: np.ndarray, width: float) -> tuple[np.ndarray, np.ndarray, np.uint16]:
+    """Projections as 16-bit steps, those of ``b`` by projection and shifted, so that a pair is inside a window
+    if and only if a - b, which wraps around, is at most the third result. Rounding widens windows only."""
+    scale = 30_000 / max(np.abs(a).max(), np.abs(b).max())
+    steps = math.ceil(width * scale) + 1
+    low = np.rint(a * scale).astype(np.int16).view(np.uint16)
+    high = np.ascontiguousarray(np.rint(b * scale).astype(np.int16).view(np.uint16).T) - np.uint16(steps)
+    return low, high, np.uint16(2 * steps)
+
+
 def tile_links(a: np.ndarray, b: np.ndarray | None, wa: np.ndarray, wb: np.ndarray | None, cosine: float) -> tuple[np.ndarray, list[tuple[int, int]]]:
     """Weighted link counts of the rows of ``a`` and then ``b``, and a spanning forest of their links.
 
-    With ``b`` None the links within ``a``, else those between ``a`` and ``b``.
+    Rows come in the order of the sort projection. With ``b`` None the links within ``a``, else those between ``a`` and ``b``.
     """
     same = b is None
     both = a if same else np.concatenate([a, b])
     other, weight = (a, wa) if same else (b, wb)
     shift = 0 if same else len(a)
-    project = directions(a.shape[1])
-    pa_, pb_ = a @ project, np.ascontiguousarray((other @ project).T)
-    width, least = WINDOW * math.sqrt(2 - 2 * cosine), needed()
+    project, first = directions(a.shape[1]), directions(a.shape[1], 1)[:, 0]
+    qa, qb, window = quantised(a @ project, other @ project, WINDOW * math.sqrt(2 - 2 * cosine))
+    # both sides are in the order of the sort projection, so the sort window is a range of rows
+    sa, sb, reach, least = a @ first, other @ first, SORT_WINDOW * math.sqrt(2 - 2 * cosine), needed()
     counts, label, forest = np.zeros(len(both), np.int64), np.arange(len(both)), []
     for lo in range(0, len(a), ROWS):
         mine = a[lo:lo + ROWS]
-        hits = np.zeros((len(mine), len(other)), np.uint8)
-        for p in range(pb_.shape[0]):
-            hits += np.abs(pa_[lo:lo + ROWS, p, None] - pb_[p]) <= width
+        begin, end = np.searchsorted(sb, [sa[lo] - reach, sa[min(lo + ROWS, len(a)) - 1] + reach])
+        hits = np.zeros((len(mine), end - begin), np.uint8)
+        apart, inside = np.empty(hits.shape, np.uint16), np.empty(hits.shape, bool)
+        for p in range(len(qb)):
+            np.subtract(qa[lo:lo + ROWS, p, None], qb[p, begin:end], out=apart)
+            np.less_equal(apart, window, out=inside)
+            np.add(hits, inside.view(np.uint8), out=hits)
         passed = hits >= least
         if same:
-            passed[np.arange(len(mine)), np.arange(lo, lo + len(mine))] = False
+            passed[np.arange(len(mine)), np.arange(lo, lo + len(mine)) - begin] = False
+        if not passed.any():
+            continue
         if passed.mean() > DENSE:
-            passed &= mine @ other.T >= cosine
+            passed &= mine @ other[begin:end].T >= cosine
         else:
             r, c = np.nonzero(passed)
-            low = np.einsum("ij,ij->i", mine[r], other[c]) < cosine
+            low = np.einsum("ij,ij->i", mine[r], other[begin + c]) < cosine
             passed[r[low], c[low]] = False
-        counts[lo:lo + len(mine)] += passed @ weight
+        counts[lo:lo + len(mine)] += passed @ weight[begin:end]
         if not same:
-            counts[shift:] += wa[lo:lo + len(mine)] @ passed
+            counts[shift + begin:shift + end] += wa[lo:lo + len(mine)] @ passed
         for r in np.flatnonzero(passed.any(axis=1)):
-            c = np.flatnonzero(passed[r]) + shift
+            c = np.flatnonzero(passed[r]) + begin + shift
             c = c[label[c] != label[lo + r]]
             while len(c):
                 forest.append((lo + int(r), int(c[0])))
@@ -114,7 +131,7 @@ def tile_links(a: np.ndarray, b: np.ndarray | None, wa: np.ndarray, wb: np.ndarr
 
 def _tile(cosine: float):
     def run(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values(["side", "fp"])
+        part = part.sort_values(["side", "p0", "fp"])
         fp, side = part["fp"].tolist(), part["side"].to_numpy()
         vectors = unit(np.stack([np.frombuffer(x, float) for x in part["raw"]]))
         weight = part["weight"].to_numpy(np.int64)
@@ -172,7 +189,7 @@ def classes_of(ranged: DataFrame) -> DataFrame:
 
 
 def _meet(tiled: DataFrame, reach: float) -> DataFrame:
-    """Rows of every tile once for each tile its window reaches: (x, y, dim, side, fp, raw, weight), x <= y."""
+    """Rows of every tile once for each tile its window reaches: (x, y, dim, side, fp, p0, raw, weight), x <= y."""
     spark = tiled.sparkSession
     # one row per tile and vector length
     spans = tiled.groupBy("dim", "tile").agg(F.min("p0").alias("low"), F.max("p0").alias("high")).orderBy("dim", "tile").collect()
@@ -185,4 +202,4 @@ def _meet(tiled: DataFrame, reach: float) -> DataFrame:
             reached[k][3] = s["tile"]
     table = F.broadcast(spark.createDataFrame([tuple(r) for r in reached], "dim int, tile long, first long, last long"))
     other = tiled.join(table, ["dim", "tile"]).withColumn("o", F.explode(F.sequence("first", "last")))
-    return other.select(F.least("tile", "o").alias("x"), F.greatest("tile", "o").alias("y"), "dim", (F.col("tile") > F.col("o")).cast("int").alias("side"), "fp", "raw", "weight")
+    return other.select(F.least("tile", "o").alias("x"), F.greatest("tile", "o").alias("y"), "dim", (F.col("tile") > F.col("o")).cast("int").alias("side"), "fp", "p0", "raw", "weight")
