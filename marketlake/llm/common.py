@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,6 +11,22 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 
 
+_holder: str | None = None
+_caches: dict[str, Callable[[], None]] = {}
+
+
+def hold_cache(name: str, empty: Callable[[], None]) -> None:
+    """Called by a task that fills a cache kept in its Python worker: the caches that tasks of other operators
+    left there are emptied first, so a worker holds one operator's cache at a time."""
+    global _holder
+    if _holder != name:
+        for other, empty_other in _caches.items():
+            if other != name:
+                empty_other()
+        _holder = name
+    _caches[name] = empty
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

@@ -20,6 +20,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import hold_cache
+
 EDIT_RATE = 0.05
 BLOCK_CHARS = 1_000_000
 LEAKS = "array<struct<item_id:bigint,distance:int,start:int,end:int>>"
@@ -132,6 +134,7 @@ def _finder_column(block, edit_rate: float):
 
     @F.pandas_udf(LEAKS)
     def find(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        hold_cache("decontaminate", _finders.clear)
         finder = _finders.get(name)
         if finder is None:
             _finders.clear()

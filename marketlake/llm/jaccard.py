@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batches, components, cut, text_key
+from .common import batches, components, cut, hold_cache, text_key
 
 ROWS = 4
 MISS = 1e-9
@@ -94,6 +94,7 @@ def keys(s: np.ndarray, count: int, rows: int = ROWS) -> np.ndarray:
 
 def _signatures(n: int, count: int):
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold_cache("jaccard", _words.clear)
         for b in batches(it, 256):
             sizes, prints, all_keys, ends = [], [], [], [0]
             for text in b.column(2).to_pylist():
@@ -112,6 +113,7 @@ def _signatures(n: int, count: int):
 
 def _sets(n: int):
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold_cache("jaccard", _words.clear)
         for b in batches(it, 256):
             yield pa.RecordBatch.from_pydict({
                 "fp": b.column(0), "shingles": pa.array([shingles(t or "", n).tobytes() for t in b.column(1).to_pylist()], pa.binary())})

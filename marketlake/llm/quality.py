@@ -21,6 +21,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import hold_cache
+
 BITS = 18
 MAX_TRAIN_ROWS = 24_000
 SHARDS = 6
@@ -135,6 +137,7 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col
             .join(F.broadcast(sample), "_id"))
 
     def fit(part: pd.DataFrame) -> pd.DataFrame:
+        hold_cache("quality", _words.clear)
         part = part.sort_values(["_order", "_text"])
         m = fit_rows(part["_text"].tolist(), part["_y"].tolist())
         return pd.DataFrame({"weights": [m.weights.tobytes()], "intercept": [m.intercept]})
@@ -153,6 +156,7 @@ def score(docs: DataFrame, model: Model, out_col: str = "score", text_col: str =
 
     @F.pandas_udf("double")
     def scored(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        hold_cache("quality", _words.clear)
         m = shared.value
         for texts in parts:
             yield pd.Series([m.score(t or "") for t in texts], dtype="float64")

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batches
+from .common import batches, hold_cache
 
 DEFAULT_VOCABULARY = "piece_bpe_32k.model"
 WORD_BEGIN = "▁"
@@ -122,6 +122,7 @@ _counters: dict[str, Counter] = {}
 
 def counter(path: str) -> Counter:
     """The automaton of this Python worker for a vocabulary file; kept between tasks."""
+    hold_cache("token_counts", _counters.clear)
     if path not in _counters:
         _counters[path] = Counter(*load_vocabulary(path))
     return _counters[path]

@@ -6,6 +6,8 @@ import os
 
 import numpy as np
 
+from .common import hold_cache
+
 DEFAULT_VOCABULARY = "byte_bpe_50k.json"
 CACHE_ENTRIES = 1_200_000
 
@@ -19,6 +21,7 @@ def default_vocabulary() -> str:
 
 def encoder(path: str) -> "TextEncoder":
     """The encoder of this Python worker for a vocabulary file; kept between tasks."""
+    hold_cache("tokens", _encoders.clear)
     if path not in _encoders:
         _encoders[path] = TextEncoder(path)
     return _encoders[path]
