@@ -1,7 +1,7 @@
 """Token counts by a linear longest-match automaton.
 
 The vocabulary has pieces that begin a word and pieces that continue one. Both go into one trie with two
-roots. When no piece goes on with the next character, a failure link leads to the place that the automaton
+roots; the bare word-begin mark, if it is a piece, leads from the first root to the second. When no piece goes on with the next character, a failure link leads to the place that the automaton
 would have after cutting off the longest pieces, and the link's count says how many pieces that were. A
 word is counted in one pass over its characters, and no piece is ever built.
 """
@@ -32,7 +32,7 @@ def default_vocabulary() -> str:
 
 
 def load_vocabulary(path: str) -> tuple[list[str], list[str]]:
-    """Pieces that begin a word and pieces that continue one, from a sentencepiece model."""
+    """Pieces that begin a word (without the mark, so the bare mark is empty) and pieces that continue one, from a sentencepiece model."""
     import sentencepiece
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     begin, go_on = [], []
@@ -52,10 +52,11 @@ class Counter:
 
     def __init__(self, begin: Iterable[str], go_on: Iterable[str]):
         self.children: list[dict[str, int]] = [{}, {}]
-        ends = set()
+        ends, bare = set(), False
         for root, pieces in ((BEGIN, begin), (CONTINUE, go_on)):
             for piece in pieces:
                 node = root
+                bare |= root == BEGIN and not piece
                 for c in piece:
                     node = self.children[node].setdefault(c, len(self.children))
                     if node == len(self.children):
@@ -64,6 +65,8 @@ class Counter:
                     ends.add(node)
         self.fail = [-1] * len(self.children)  # -1: no way on, the word is unknown
         self.popped = [0] * len(self.children)
+        if bare:  # the word-begin mark is a piece itself: any word may go on after it
+            self.fail[BEGIN], self.popped[BEGIN] = CONTINUE, 1
         queue = deque([BEGIN, CONTINUE])
         while queue:
             parent = queue.popleft()

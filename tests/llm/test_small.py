@@ -178,6 +178,38 @@ def test_token_counts(docs, no_docs):
     assert token_counts.count_tokens(no_docs).count() == 0
 
 
+def unsplit_greedy(word, pieces):
+    """Greedy cut of the marked word over the whole piece list."""
+    word, n, at = token_counts.WORD_BEGIN + word, 0, 0
+    while at < len(word):
+        end = next((e for e in range(len(word), at, -1) if word[at:e] in pieces), None)
+        if end is None:
+            return token_counts.UNKNOWN
+        at, n = end, n + 1
+    return n
+
+
+def test_words_that_begin_with_the_bare_mark():
+    import sentencepiece
+    path = token_counts.default_vocabulary()
+    model = sentencepiece.SentencePieceProcessor(model_file=path)
+    pieces = {model.id_to_piece(i) for i in range(model.get_piece_size()) if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i))}
+    c = token_counts.Counter(*token_counts.load_vocabulary(path))
+    words = ["2024", "3.14", "2024-01-01", "ñandú", "ño", "日本語", "中文的一个段落没有空格", "hello", "(x)", "é2", "\U0001f600", *WORDS]
+    assert [c.word(w) for w in words] == [unsplit_greedy(w, pieces) for w in words]
+    assert [c.word(w) for w in words[:3]] == [5, 5, 11]
+    assert c.text("2024 hello") == (2, 5 + c.word("hello"), 0)
+    r = np.random.default_rng(2)
+    for _ in range(30):
+        make = lambda k: {"".join(r.choice(list("abc"), r.integers(1, 6))) for _ in range(k)}
+        begin, go_on = make(12) | {""}, make(12)
+        c = token_counts.Counter(begin, go_on)
+        whole = {token_counts.WORD_BEGIN + p for p in begin} | go_on
+        for _ in range(300):
+            w = "".join(r.choice(list("abcd"), r.integers(1, 12), p=[.32, .32, .32, .04]))
+            assert c.word(w) == unsplit_greedy(w, whole), (w, begin, go_on)
+
+
 # --- op4
 
 def plain_spans(text):
