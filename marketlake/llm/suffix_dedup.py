@@ -11,8 +11,8 @@ positions, since sorting every position would move many times the input:
 2. Runs are range-sorted by the pair (least name, name of all their bytes) and reranked by their neighbours:
    a name that stands alone is dropped, equal pairs are repeated as a whole, and runs that share the name
    only go on to the next step.
-3. Those are compared window by window at the full width among the runs of one name: in a task where there
-   are few, else as rows of one aggregate, so a frequent name is spread over all tasks.
+3. Those are compared window by window at the full width among the runs of one name: in a task where their
+   windows fit in its memory, else as rows of one aggregate, so a frequent name is spread over all tasks.
 
 The result is exact up to collisions of two 64-bit names at once. A group of any size is sorted by position as
 well, so it is cut into as many ranges as it needs, and a range's edge only makes step 3 look at more runs.
@@ -24,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame
@@ -34,7 +35,10 @@ from .windows import GRAM, pair, sliding_min, window_names
 
 WIDTH = 200
 CHUNK = 1 << 20
-SMALL_GROUP = 20_000  # runs of one name that a task holds: about 6 MB of text and 30 MB of window names
+TASK_BYTES = 256 << 20  # memory that a task may take to compare windows
+WINDOW_BYTES = 100  # that one window takes there: 73 measured, and some in reserve
+SMALL_GROUP = TASK_BYTES // WINDOW_BYTES  # windows of one name that a task compares by itself
+BODY_SHARE = 32  # bytes of text that take the memory of a window: three copies of them
 SLICE = 2048
 RUNS = "m long, c long, doc_id long, tk int, lo int, n int, self boolean"
 RANKED = "m long, doc_id long, tk int, lo int, n int, whole boolean, need boolean"
@@ -186,8 +190,23 @@ def _spans(rows: pa.Table, row: np.ndarray, offset: np.ndarray, width: int) -> p
         "start": at[begin].astype(np.int32), "end": (at[end] + width).astype(np.int32)})
 
 
+def _sizes(rows: pa.Table, width: int) -> np.ndarray:
+    """What each body counts towards ``SMALL_GROUP``, as in ``_size``."""
+    lengths = pc.binary_length(rows.column("body")).to_numpy().astype(np.int64)
+    return lengths - width + 1 + lengths // BODY_SHARE
+
+
+def _size(width: int):
+    return F.length("body").cast("long") - (width - 1) + F.floor(F.length("body") / BODY_SHARE)
+
+
+def _large(contents: DataFrame, width: int) -> DataFrame:
+    """Names with more windows than a task compares by itself: at most about one for each ``SMALL_GROUP`` bytes of text."""
+    return contents.groupBy("m").agg(F.sum(_size(width)).alias("size")).where(F.col("size") > SMALL_GROUP).select("m")
+
+
 def _compare(width: int):
-    """Windows that recur among the bodies of one name; rows come sorted by name, with few of each."""
+    """Windows that recur among the bodies of one name; rows come sorted by name, with few windows of each."""
     def done(rows: pa.Table) -> pa.RecordBatch:
         row, offset, names = _windows(rows, width)
         weight = rows.column("weight").to_numpy()
@@ -196,6 +215,17 @@ def _compare(width: int):
         again = (np.bincount(inverse, weights=weight[row])[inverse] > 1) & (weight[row] == 1)
         return _spans(rows, row[again], offset[again], width)
 
+    def by_names(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        """As many whole names at a time as a task may hold windows of."""
+        m = rows.column("m").to_numpy()
+        ends = np.append(np.flatnonzero(m[1:] != m[:-1]) + 1, len(m))
+        upto = np.cumsum(_sizes(rows, width))[ends - 1]
+        lo = before = 0
+        for i, end in enumerate(ends):
+            if i + 1 == len(ends) or upto[i + 1] - before > SMALL_GROUP:
+                yield done(rows.slice(lo, end - lo))
+                lo, before = end, upto[i]
+
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.Table | None = None
         for b in batches(it, 1024):
@@ -208,24 +238,43 @@ def _compare(width: int):
             last = len(m) - int(np.argmax(m[::-1] != m[-1])) if m[0] != m[-1] else 0
             held = rows.slice(last)
             if last:
-                yield done(rows.slice(0, last))
+                yield from by_names(rows.slice(0, last))
         if held is not None:
-            yield done(held)
+            yield from by_names(held)
     return run
 
 
 def _window_rows(width: int):
+    """Windows of bodies as rows: those of one name that touch or overlap within a body are one row with their number.
+
+    A periodic body has as many names as its period is long, so it makes few rows however long it is.
+    """
+    def done(rows: pa.Table) -> pa.RecordBatch:
+        row, offset, names = _windows(rows, width)
+        order = np.lexsort((offset, names, row))
+        row, offset, names = row[order], offset[order], names[order]
+        first = np.ones(len(row), bool)
+        first[1:] = (row[1:] != row[:-1]) | (names[1:] != names[:-1]) | (offset[1:] - offset[:-1] > width)
+        at = np.flatnonzero(first)
+        last = np.append(at[1:], len(row)) - 1
+        row, start, end = row[at], offset[at], offset[last] + width
+        which, lo = pa.array(row), rows.column("lo").to_numpy()[row]
+        column = lambda k: rows.column(k).combine_chunks().take(which)
+        return pa.RecordBatch.from_pydict({
+            "m": column("m"), "name": names[at].view(np.int64), "doc_id": column("doc_id"), "tk": column("tk"), "start": (lo + start).astype(np.int32),
+            "end": (lo + end).astype(np.int32), "weight": column("weight"), "k": (last - at + 1) * rows.column("weight").to_numpy()[row].astype(np.int64)})
+
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches(it):
             if not b.num_rows:
                 continue
             rows = pa.Table.from_batches([b])
-            row, offset, names = _windows(rows, width)
-            which = pa.array(row)
-            column = lambda k: rows.column(k).combine_chunks().take(which)
-            yield pa.RecordBatch.from_pydict({
-                "m": column("m"), "name": names.view(np.int64), "doc_id": column("doc_id"), "tk": column("tk"),
-                "start": (rows.column("lo").to_numpy()[row] + offset).astype(np.int32), "weight": column("weight")})
+            upto = np.cumsum(_sizes(rows, width))
+            lo = before = 0
+            for end in range(1, len(upto) + 1):  # a body at least, at most about CHUNK windows
+                if end == len(upto) or upto[end] - before > CHUNK:
+                    yield done(rows.slice(lo, end - lo))
+                    lo, before = end, upto[end - 1]
     return run
 
 
@@ -248,12 +297,12 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id",
     joined = texts.join(wanted, texts["doc_id"].eqNullSafe(wanted["w_id"]) & (texts["tk"] == wanted["w_tk"]))
     contents = cut(joined.select("doc_id", "tk", "z", "wanted").mapInArrow(_contents(width), CONTENTS), "contents")
 
-    large = contents.groupBy("m").count().where(F.col("count") > SMALL_GROUP).select("m")
+    large = F.broadcast(_large(contents, width))
     few = contents.join(large, "m", "left_anti").repartition("m").sortWithinPartitions("m").mapInArrow(_compare(width), SPANS)
     many = contents.join(large, "m", "left_semi").select(*contents.columns).mapInArrow(
-        _window_rows(width), "m long, name long, doc_id long, tk int, start int, weight int")
-    again = many.groupBy("m", "name").agg(F.sum("weight").alias("k")).where("k > 1").drop("k")
-    spread = many.where("weight = 1").join(again, ["m", "name"]).select("doc_id", "tk", "start", (F.col("start") + width).alias("end"))
+        _window_rows(width), "m long, name long, doc_id long, tk int, start int, end int, weight int, k long")
+    again = cut(many.groupBy("m", "name").agg(F.sum("k").alias("total")).where("total > 1").select("m", "name"), "again")
+    spread = many.where("weight = 1").join(again, ["m", "name"]).select("doc_id", "tk", "start", "end")  # the join of a hot name can be split
     return whole.unionByName(few).unionByName(spread)
 
 

@@ -6,6 +6,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -301,6 +302,54 @@ def test_repeated_bytes_of_tricky_texts(spark, monkeypatch):
     check_suffix(spark, texts)
 
 
+def periodic_texts(n, least, unit):
+    return [(k, f"{prose(20, 700 + k)} {(unit * (least + 37 * k))[:least + 37 * k]} {prose(20, 900 + k)}") for k in range(n)]
+
+
+def contents_of(bodies):
+    """(m, body) pairs as rows of the comparison."""
+    n = len(bodies)
+    return pa.RecordBatch.from_pydict({"m": pa.array([m for m, _ in bodies], pa.int64()), "doc_id": pa.array(range(n), pa.int64()), "tk": pa.array([1] * n, pa.int32()),
+                                       "lo": pa.array([7] * n, pa.int32()), "weight": pa.array([1] * n, pa.int32()), "body": pa.array([b for _, b in bodies], pa.binary())})
+
+
+def test_long_periodic_runs(spark, monkeypatch):
+    texts = [t for unit in ("-", "= ", "AAAB") for t in periodic_texts(6, 2000, unit)]
+    check_suffix(spark, texts)
+    monkeypatch.setattr(suffix_dedup, "SMALL_GROUP", 3000)
+    check_suffix(spark, texts)
+
+
+def test_few_or_many_is_decided_by_windows(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "SMALL_GROUP", 3000)
+    frame = spark.createDataFrame([(1, bytes(2000))] * 2 + [(2, bytes(201))] * 50 + [(3, bytes(250))] * 100, "m long, body binary")
+    assert {r["m"] for r in suffix_dedup._large(frame, 200).collect()} == {1, 3}
+
+
+def test_a_task_holds_a_bounded_number_of_windows(monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "SMALL_GROUP", 3000)
+    held, windows = [], suffix_dedup._windows
+    monkeypatch.setattr(suffix_dedup, "_windows", lambda rows, width: held.append(windows(rows, width)) or held[-1])
+    r = np.random.default_rng(11)
+    bodies = [(m, r.bytes(300 + m)) for m in range(40)]
+    bodies = [b for m, x in bodies for b in ((m, x), (m, b"q" + x))]
+    out = list(suffix_dedup._compare(200)(iter([contents_of(bodies)])))
+    assert max(len(h[0]) for h in held) <= 3000
+    spans = sorted((d, s, e) for b in out for d, s, e in zip(b.column(0).to_pylist(), b.column(2).to_pylist(), b.column(3).to_pylist()))
+    assert spans == sorted((2 * m + k, 7 + k, 7 + k + 300 + m) for m in range(40) for k in (0, 1))
+
+
+def test_periodic_bodies_make_few_window_rows(monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "CHUNK", 30_000)
+    held, windows = [], suffix_dedup._windows
+    monkeypatch.setattr(suffix_dedup, "_windows", lambda rows, width: held.append(windows(rows, width)) or held[-1])
+    bodies = [(1, b"=" * (20_000 + k)) for k in range(10)] + [(1, b"AB" * 10_000)]
+    out = pa.Table.from_batches(list(suffix_dedup._window_rows(200)(iter([contents_of(bodies)]))))
+    assert out.num_rows == 12 and max(len(h[0]) for h in held) <= 30_000
+    assert sorted(zip(*(out.column(c).to_pylist() for c in ("doc_id", "start", "end", "k")))) == [
+        *((k, 7, 20_007 + k, 19_801 + k) for k in range(10)), (10, 7, 20_007, 9901), (10, 8, 20_006, 9900)]
+
+
 def test_runs_over_chunks_find_the_same(monkeypatch):
     r = np.random.default_rng(2)
     text = "".join(r.choice(list("abcd"), 3000)).encode()
