@@ -29,19 +29,19 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def jaccard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: the one with the smallest id.
+    """One document of each group of near copies stays: the one with the smallest id, of several texts with that id one.
 
-    Five-word shingles and a similarity of 0.8 or more. Texts without words are no one's copies and stay.
-    Of rows that repeat that id one stays; rows with a null id stay unless their group has a named document.
+    Five-word shingles and a similarity of 0.8 or more. Texts without words are no one's copies and stay. Rows that
+    repeat an id with texts that are not near copies are in groups of their own. Of rows that repeat id and text
+    one stays; rows with a null id stay unless their group has a named document.
     """
-    classes = jaccard.near_duplicates(docs, n=5, num=8, den=10).groupBy("doc_id", "tk", "component_id").agg(
-        F.max("n_shingles").alias("n_shingles"))
-    own = classes.where((F.col("n_shingles") == 0) | F.col("component_id").isNull() | F.col("doc_id").eqNullSafe(F.col("component_id")))
-    keep = own.groupBy(F.col("doc_id").alias("_id")).agg(F.min("tk").alias("_tk"))
-    named = keep.where("_id IS NOT NULL")
-    # joined on the id alone, so the rows are already together for the last step
-    stay = docs.join(named, docs["doc_id"] == named["_id"]).where(text_key() == F.col("_tk")).select(*docs.columns).dropDuplicates(["doc_id"])
-    unnamed = own.where("doc_id IS NULL").select(F.col("tk").alias("_tk")).distinct()
+    groups = jaccard.near_duplicates(docs, n=5, num=8, den=10)
+    first = (F.col("doc_id") == F.col("component_id")) & (F.col("tk") == F.col("first_tk"))
+    own = groups.where((F.col("n_shingles") == 0) | F.col("component_id").isNull() | first).select(F.col("doc_id").alias("_id"), F.col("tk").alias("_tk")).distinct()
+    # joined on id and text key, so the rows are already together for the last step
+    keyed = docs.withColumn("_key", text_key())
+    stay = keyed.join(own, (F.col("doc_id") == F.col("_id")) & (F.col("_key") == F.col("_tk"))).dropDuplicates(["doc_id", "_key"]).select(*docs.columns)
+    unnamed = own.where("_id IS NULL").select("_tk")
     return stay.unionByName(docs.where(F.col("doc_id").isNull()).join(unnamed, text_key() == unnamed["_tk"], "left_semi"))
 
 

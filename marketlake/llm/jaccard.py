@@ -168,19 +168,20 @@ def _tile(num: int, den: int):
 
 
 def near_duplicates(docs: DataFrame, n: int = 5, num: int = 8, den: int = 10, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row of ``docs``: doc_id, tk, n_shingles, component_id.
+    """Per row of ``docs``: doc_id, tk, n_shingles, component_id, first_tk.
 
     Two documents link when den * intersection >= num * union of their n-word shingle sets. ``component_id``
     is the smallest id reachable by links, the row's own included. Texts without words (null too) have an empty
     set and link with nothing. Every row stands for itself: rows that repeat an id with another text may be in
     different components, and rows with a null id link like others but never name a component (it is null
-    when no member has an id). Other columns are ignored; an empty table gives an empty result.
+    when no member has an id). ``first_tk`` is the least ``tk`` of the component's rows with that id, so it tells
+    components of one id apart. Other columns are ignored; an empty table gives an empty result.
     """
     count = n_keys(num, den)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_key(text_col).alias("tk"), F.col(text_col).alias("text"))
     signed = cut(rows.mapInArrow(_signatures(n, count), "doc_id long, tk long, n long, fp binary, keys array<long>"), "signatures")
     classes = (signed.where("fp IS NOT NULL").groupBy("fp")
-               .agg(F.min("doc_id").alias("least_id"), F.min(F.struct("doc_id", "tk")).alias("rep"), F.first("n").alias("n"), F.first("keys").alias("keys")))
+               .agg(F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "tk"))).alias("least"), F.min(F.struct("doc_id", "tk")).alias("rep"), F.first("n").alias("n"), F.first("keys").alias("keys")))
     classes = cut(classes, "classes")
 
     keyed = classes.select("fp", F.explode("keys").alias("key"))
@@ -197,12 +198,14 @@ def near_duplicates(docs: DataFrame, n: int = 5, num: int = 8, den: int = 10, id
     found = (sets.join(tiles.hint("merge"), "fp").select("grp", "x", "y", "side", "fp", "shingles")
              .groupBy("grp", "x", "y").applyInPandas(_tile(num, den), "a binary, b binary"))
     linked = components(found).withColumnRenamed("node", "fp")
-    named = linked.join(classes.select("fp", "least_id"), "fp")
-    least = named.groupBy("component").agg(F.min("least_id").alias("component_id"))
-    of_class = named.join(least, "component").select("fp", "component_id")
-    whole = classes.select("fp", "least_id").join(of_class, "fp", "left").select("fp", F.coalesce("component_id", "least_id").alias("component_id"))
+    named = linked.join(classes.select("fp", "least"), "fp")
+    least = named.groupBy("component").agg(F.min("least").alias("first"))
+    of_class = named.join(least, "component").select("fp", "first")
+    whole = classes.select("fp", "least").join(of_class, "fp", "left").select("fp", F.coalesce("first", "least").alias("first"))
+    textless = F.col("fp").isNull()
     return (signed.drop("keys").join(whole, "fp", "left")
-            .select("doc_id", "tk", F.col("n").alias("n_shingles"), F.when(F.col("fp").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")))
+            .select("doc_id", "tk", F.col("n").alias("n_shingles"), F.when(textless, F.col("doc_id")).otherwise(F.col("first.doc_id")).alias("component_id"),
+                    F.when(textless, F.col("tk")).otherwise(F.col("first.tk")).alias("first_tk")))
 
 
 def _tiles(members: DataFrame, num: int, den: int) -> DataFrame:

@@ -10,6 +10,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from marketlake.llm import (decontaminate, embedding_dedup, jaccard, line_dedup, packing, pii, quality, queries, suffix_dedup,
                             token_counts, token_store, tokens)
 from marketlake.llm.common import components
@@ -584,6 +585,18 @@ def test_no_documents_to_join(no_docs):
     assert jaccard.near_duplicates(no_docs).count() == 0
 
 
+def test_one_text_of_each_group_stays(spark):
+    a, b = prose(60, 21), prose(60, 22)
+    near = b + " more"
+    rows = [(5, a), (5, b), (9, near), (6, a), (7, prose(60, 23)), (7, prose(60, 23)), (7, prose(60, 24)), (8, ""), (8, "  "), (None, near), (None, prose(60, 25))]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    out = Counter(map(tuple, corpus_pipeline.jaccard_stage(spark, frame, "").collect()))
+    assert out == Counter([(5, a), (5, b), (7, prose(60, 23)), (7, prose(60, 24)), (8, ""), (8, "  "), (None, prose(60, 25))])
+    more = spark.createDataFrame([(5, a), (5, a + " end"), (5, b), (9, near)], "doc_id long, text string")
+    texts = [r["text"] for r in corpus_pipeline.jaccard_stage(spark, more, "").collect()]
+    assert len(texts) == 2 and b in texts and near not in texts
+
+
 # --- op1
 
 def edit_distance(a, b):
