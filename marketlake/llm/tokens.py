@@ -32,7 +32,7 @@ class TextEncoder:
 
     Pre-tokens are encoded independently of each other, and a space after another character than white
     space always begins one, so ids can be put together word by word. A text with a space after white
-    space is encoded whole. The cache holds at most ``CACHE_ENTRIES`` words and is emptied when full;
+    space, or with the string of an added token, is encoded whole. The cache holds at most ``CACHE_ENTRIES`` words and is emptied when full;
     it changes the time only.
     """
 
@@ -40,7 +40,7 @@ class TextEncoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.words: dict[str, bytes | None] = {}
         self.tails: dict[str, bytes] = {}
 
@@ -48,7 +48,8 @@ class TextEncoder:
         """Little-endian unsigned 32-bit ids of each text."""
         if len(self.words) > CACHE_ENTRIES:
             self.words, self.tails = {}, {}
-        parts = [t.split(" ") for t in texts]
+        whole = [any(a in t for a in self.added) for t in texts]
+        parts = [[t] if w else t.split(" ") for t, w in zip(texts, whole)]
         heads = [p[0] for p in parts]
         for p in parts:
             del p[0]

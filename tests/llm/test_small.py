@@ -82,6 +82,16 @@ def test_encoder_equals_library(text):
         assert [np.frombuffer(b, "<u4").tolist() for b in enc.encode([text, BASE])] == [ids_of(text), ids_of(BASE)]
 
 
+@pytest.mark.parametrize("text", ["a<|endoftext|> b", "<|endoftext|>", "x <|endoftext|>  y<|endoftext|><|endoftext|>. z", "\n<|endoftext|> \n a  b", "<|endoftext |> c"])
+def test_added_tokens_as_the_library_from_the_file(text):
+    from tokenizers import Tokenizer
+    fresh = Tokenizer.from_file(tokens.default_vocabulary())
+    enc = tokens.TextEncoder(tokens.default_vocabulary())
+    for _ in range(2):
+        assert [np.frombuffer(b, "<u4").tolist() for b in enc.encode([BASE, text])] == [fresh.encode(t, add_special_tokens=False).ids for t in (BASE, text)]
+    assert (50256 in np.frombuffer(enc.encode([text])[0], "<u4")) == ("<|endoftext|>" in text)
+
+
 def test_encoder_with_full_cache(monkeypatch):
     monkeypatch.setattr(tokens, "CACHE_ENTRIES", 10)
     enc = tokens.TextEncoder(tokens.default_vocabulary())
