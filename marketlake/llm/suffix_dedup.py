@@ -1,4 +1,4 @@
-"""Suffix-array dedup: prefix doubling over positions, sorted and reranked by Spark.
+"""Dedup of repeated bytes by runs of equal window names, in place of a suffix array by prefix doubling.
 
 Which bytes lie in a ``width``-byte string that also starts elsewhere? Prefix doubling answers it by naming
 positions with their first h bytes, pairing the names at offset h, and sorting again, until names are unique
@@ -14,7 +14,8 @@ positions, since sorting every position would move many times the input:
 3. Those are compared window by window at the full width among the runs of one name: in a task where their
    windows fit in its memory, else as rows of one aggregate, so a frequent name is spread over all tasks.
 
-The result is exact up to collisions of two 64-bit names at once. A group of any size is sorted by position as
+The rank loop itself (sort position and rank pairs, rerank, double the offset, repeat) is not built: there is one
+range sort and one rerank pass. The result is exact up to collisions of two 64-bit names at once. A group of any size is sorted by position as
 well, so it is cut into as many ranges as it needs, and a range's edge only makes step 3 look at more runs.
 """
 
