@@ -27,12 +27,22 @@ BLOCK_CHARS = 1_000_000
 LEAKS = "array<struct<item_id:bigint,distance:int,start:int,end:int>>"
 
 _SPACE = re.compile(r"\s+")
+#: Thai, Lao, Burmese, Khmer, kana and Han letters are written without spaces, so a word may end between any two
+_UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
 
 
 def normalise(text: str) -> str:
     return _SPACE.sub(" ", text.lower()).strip()
 
 
+def inside_word(text: str, at: int) -> bool:
+    """Whether a word goes on over the place before ``text[at]``."""
+    if not 0 < at < len(text):
+        return False
+    around = text[at - 1:at + 1]
+    return around[0].isalnum() and around[1].isalnum() and not _UNSPACED.search(around)
+
+
 def best_match(pattern: str, text: str, most: int) -> tuple[int, int] | None:
     """Least edit distance of ``pattern`` to a substring of ``text`` and the end of the first such, or None above ``most``."""
     m = len(pattern)
@@ -95,6 +105,8 @@ class Finder:
                 _, item, k = self.items[at]
                 if at in best and best[at][0] == 0:
                     continue
+                if k == 0 and (inside_word(text, start) or inside_word(text, end + 1)):
+                    continue
                 lo, hi = max(0, start - offset - k), start - offset + len(item) + k
                 if looked.get(at) == (lo, hi):
                     continue
@@ -115,7 +127,7 @@ def leaks(text: Column, items: DataFrame, id_col: str = "item_id", text_col: str
 
     Null or empty texts and items match nothing. Items that repeat a text are reported each; repeated rows
     with one id and one text count once. An item shorter than ``1 / edit_rate`` characters has to be found
-    exactly. An empty benchmark gives empty arrays.
+    exactly and not inside a longer word ('yes' isn't in 'yesterday'). An empty benchmark gives empty arrays.
     """
     known = items.where(F.col(text_col).isNotNull()).select(F.col(id_col).cast("long").alias("i"), F.col(text_col).alias("t")).distinct()
     chars = known.agg(F.coalesce(F.sum(F.length("t")), F.lit(0))).first()[0]

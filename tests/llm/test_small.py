@@ -651,6 +651,16 @@ def test_every_item_within_budget_is_found():
             assert edit_distance(part, item) <= d
 
 
+def test_short_items_are_not_found_inside_words():
+    finder = decontaminate.Finder([(1, "yes"), (2, "A"), (3, "True"), (4, "东京"), (5, "c++")])
+    ids = lambda text: [f["item_id"] for f in finder.find(text)]
+    assert ids("yesterday eyes untrue banana truest") == [] and ids("") == []
+    assert ids("yesterday, YES.") == [1] and ids("yes") == [1] and ids("(a) true") == [2, 3]
+    assert ids("他住在东京市") == [4] and ids("in c++.") == [5] and ids("eyes yes")[0] == 1
+    found = finder.find("yesterday yes")[0]
+    assert (found["start"], found["end"], found["distance"]) == (10, 13, 0)
+
+
 def test_contaminated_rows(spark, docs, no_docs, monkeypatch):
     items = spark.createDataFrame([(1, PASSAGE), (1, PASSAGE), (2, None), (3, ""), (None, PASSAGE), (4, "two words")], "item_id long, text string")
     expected = Counter({(8, 1): 1, (8, None): 1, (9, 1): 1, (9, None): 1, (14, 1): 1, (14, None): 1, (6, 4): 1, (7, 4): 1})
