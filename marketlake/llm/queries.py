@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import decontaminate, embedding_dedup, jaccard, line_dedup, packing, pii, quality, suffix_dedup, token_counts, token_store
+from . import byte_pairs, decontaminate, embedding_dedup, jaccard, line_dedup, packing, pii, quality, suffix_dedup, token_counts, token_store
 from .common import batches, table
 
 
@@ -97,6 +97,13 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"), n=3, num=90, den=100).select("doc_id", "n_shingles", "component_id")
 
 
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    decoded = byte_pairs.decode(byte_pairs.encode(table(spark, sf_dir, "documents")))
+    return decoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                          F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+                          F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -108,6 +115,7 @@ QUERIES = {
     "op8_embedding_dedup": op8_embedding_dedup,
     "op9_quality": op9_quality,
     "op10_ngram_jaccard": op10_ngram_jaccard,
+    "op11_byte_bpe": op11_byte_bpe,
 }
 
 # Dropping repeated lines, in DuckDB.
