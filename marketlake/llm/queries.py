@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import byte_pairs, decontaminate, embedding_dedup, jaccard, line_dedup, packing, pii, quality, suffix_dedup, token_counts, token_store
+from . import byte_pairs, conversation_repair, decontaminate, embedding_dedup, fill_in_middle, jaccard, line_dedup, packing, pii, quality, suffix_dedup, token_counts, token_store
 from .common import batches, table
 
 
@@ -104,6 +104,16 @@ def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                           F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shaped = fill_in_middle.fill_in_middle(table(spark, sf_dir, "documents"))
+    return shaped.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                         F.sha2(fill_in_middle.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repaired_digests(conversation_repair.damage(table(spark, sf_dir, "conversations")))
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -116,6 +126,8 @@ QUERIES = {
     "op9_quality": op9_quality,
     "op10_ngram_jaccard": op10_ngram_jaccard,
     "op11_byte_bpe": op11_byte_bpe,
+    "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
 # Dropping repeated lines, in DuckDB.
@@ -173,4 +185,26 @@ reach(node, origin) AS (
 SELECT doc_id, len(s)::BIGINT AS n_shingles, min(origin) AS component_id FROM sets JOIN reach ON node = doc_id GROUP BY doc_id, s
 """
 
-ORACLE_SQL: dict[str, str] = {"op7_line_dedup": OP7_SQL, "op8_embedding_dedup": OP8_SQL, "op10_ngram_jaccard": OP10_SQL}
+# Units as a list, cut by the digest of the id, in DuckDB. What is rebuilt is the text itself.
+OP12_SQL = r"""
+WITH units AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u,
+         sha256('1:' || coalesce(doc_id::VARCHAR, 'null')) AS h FROM documents),
+drawn AS (
+  SELECT doc_id, text, u, len(u) AS n, ('0x' || substr(h, 1, 8))::BIGINT % (len(u) + 1) AS a, ('0x' || substr(h, 9, 8))::BIGINT % (len(u) + 1) AS b,
+         ('0x' || substr(h, 17, 8))::BIGINT % 100 AS p, ('0x' || substr(h, 25, 8))::BIGINT % 100 AS s FROM units),
+parts AS (
+  SELECT doc_id, n, text,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR p >= 90 THEN 'plain'
+              WHEN s < 20 THEN 'spm' ELSE 'psm' END AS form,
+         array_to_string(u[1:least(a, b)], '') AS pre, array_to_string(u[least(a, b) + 1:greatest(a, b)], '') AS mid,
+         array_to_string(u[greatest(a, b) + 1:], '') AS suf FROM drawn)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(pre)::BIGINT END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(mid)::BIGINT END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+                   ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256, sha256(text) AS restored_sha256
+FROM parts
+"""
+
+ORACLE_SQL: dict[str, str] = {"op7_line_dedup": OP7_SQL, "op8_embedding_dedup": OP8_SQL, "op10_ngram_jaccard": OP10_SQL,
+                              "op12_fill_in_middle": OP12_SQL}
