@@ -22,26 +22,27 @@ import base64
 import heapq
 import json
 import zlib
-from collections import Counter
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import batches, cut, hold_cache
+from .common import cut, hold_cache
 
 DEFAULT_VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 FOLD_BYTES = 64
-HOT_WORDS = 600_000
-CACHE_UNITS = 400_000
-CACHED_CHARS = 128
+HOT_WORDS = 1_000_000
+SEEN_WORDS = 1_000_000
+SLICE_BYTES = 8 << 20
+DECODED_IDS = 1 << 20
 BUCKETS = 4096
 PLACE_BITS = 20
 NO_RANK = 2**31 - 1
 
-_workers: dict[object, "Words"] = {}
+_workers: dict[int, tuple] = {}
 
 
 def default_vocabulary() -> str:
@@ -156,64 +157,105 @@ def merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
 # --- words of texts
 
 # white space (and what Python takes for it) before a space: the units of such a text may hold white space
-_WHITE_BEFORE_SPACE = [chr(c) + " " for c in range(0x3001) if chr(c).isspace()]
+_WHITE_BEFORE_SPACE = "[" + "".join(f"\\x{{{c:x}}}" for c in range(0x3001) if chr(c).isspace()) + "] "
 
 
-class Words:
-    """Cuts texts into units at each space after another character than white space, where a word always begins,
-    and units into words by the pattern. A unit that begins with such a space is named without it."""
+def _slices(it: Iterator[pa.RecordBatch], text: int) -> Iterator[pa.RecordBatch]:
+    """Runs of rows with about ``SLICE_BYTES`` of text; a longer text is a slice of its own."""
+    for b in it:
+        ends = np.cumsum(pc.binary_length(b.column(text)).fill_null(0).to_numpy(zero_copy_only=False))
+        lo = 0
+        while lo < b.num_rows:
+            before = int(ends[lo - 1]) if lo else 0
+            hi = max(lo + 1, int(np.searchsorted(ends, before + SLICE_BYTES, "right")))
+            yield b.slice(lo, hi - lo)
+            lo = hi
 
-    def __init__(self, pattern: str):
-        import regex
-        self.words = regex.compile(pattern).findall
-        self.cut = regex.compile(r"(?<=\S) ").split
 
-    def units(self, text: str) -> tuple[str, list[str]]:
-        """The beginning of the text, up to the first cut, and the units behind it."""
-        parts = self.cut(text) if any(w in text for w in _WHITE_BEFORE_SPACE) else text.split(" ")
-        return parts[0], parts[1:]
+def _gathered(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray, picks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs ``values[start:start + size]`` of the picked numbers one after another, and where each run ends."""
+    size = sizes[picks]
+    ends = np.cumsum(size)
+    places = np.repeat(starts[picks] - (ends - size), size)
+    places += np.arange(len(places))
+    return values[places], ends
+
 
-    def of_unit(self, unit: str) -> list[str]:
-        if unit.isalpha():
-            return [" " + unit]
-        core = unit.rstrip(".,")
-        if core != unit and core.isalpha():
-            return [" " + core, unit[len(core):]]
-        return self.words(" " + unit)
+class Cut:
+    """The words of some texts, as numbers into their distinct words.
 
+    A text is cut into units at each space after another character than white space, where a word always begins.
+    Distinct units are cut into words by the pattern; units of letters, with full stops or commas behind them,
+    without asking it. ``words``: distinct words; the words of unit u are ``of_unit[start[u]:start[u] + size[u]]``;
+    the units of text t are ``units[ends[t - 1]:ends[t]]``.
+    """
 
-def _short(word: str) -> bool:
-    return len(word) <= FOLD_BYTES and len(word.encode()) <= FOLD_BYTES
+    def __init__(self, pattern: str, texts: pa.Array):
+        import regex
+        find = regex.compile(pattern).findall
+        texts = texts.fill_null("")
+        odd = pc.match_substring_regex(texts, _WHITE_BEFORE_SPACE)
+        if odd.true_count:
+            split = regex.compile(r"(?<=\S) ").split
+            parts = pa.array([split(t) if o else t.split(" ") for t, o in zip(texts.to_pylist(), odd.to_pylist())], pa.list_(pa.string()))
+        else:
+            parts = pc.split_pattern(texts, " ")
+        flat = parts.flatten()
+        offsets = parts.offsets.to_numpy() - parts.offsets[0].as_py()
+        self.ends = offsets[1:]
+        coded = flat.dictionary_encode()
+        units = coded.dictionary
+        self.units = coded.indices.to_numpy().copy()
+        # the beginning of a text has no space before it: a unit of its own for each text
+        begins = flat.take(pa.array(offsets[:-1]))
+        self.units[offsets[:-1]] = np.arange(len(units), len(units) + len(texts))
+        core = pc.utf8_rtrim(units, characters=".,")
+        plain = pc.utf8_is_alpha(core).to_numpy(zero_copy_only=False)
+        cut_at = pc.binary_length(core).to_numpy(zero_copy_only=False)
+        tailed = plain & (pc.binary_length(units).to_numpy(zero_copy_only=False) > cut_at)
+        asked = [find(" " + u) for u in units.filter(pa.array(~plain)).to_pylist()] + [find(h) for h in begins.to_pylist()]
+        asked_words = pa.array([w for found in asked for w in found], pa.string())
+        stems = pc.binary_join_element_wise("", core.filter(pa.array(plain)), " ")
+        tails = pc.replace_substring_regex(units.filter(pa.array(tailed)), r"^[^.,]*", "")
+        coded = pa.concat_arrays([stems, tails, asked_words]).dictionary_encode()
+        self.words, codes = coded.dictionary, coded.indices.to_numpy()
+        self.size = np.zeros(len(units) + len(texts), np.int64)
+        self.size[:len(units)][plain] = 1
+        self.size[:len(units)][tailed] = 2
+        other = np.concatenate([np.flatnonzero(~plain), np.arange(len(units), len(self.size))])
+        self.size[other] = np.fromiter(map(len, asked), np.int64, len(asked))
+        ends = np.cumsum(self.size)
+        self.start = ends - self.size
+        self.of_unit = np.zeros(int(ends[-1]) if len(ends) else 0, np.int64)
+        a, z = len(stems), len(stems) + len(tails)
+        self.of_unit[self.start[:len(units)][plain]] = codes[:a]
+        self.of_unit[self.start[:len(units)][tailed] + 1] = codes[a:z]
+        asked_at, _ = _gathered(np.arange(len(self.of_unit)), self.start, self.size, other)
+        self.of_unit[asked_at] = codes[z:]
+
+    def short(self) -> np.ndarray:
+        return pc.binary_length(self.words).to_numpy(zero_copy_only=False) <= FOLD_BYTES
 
 
 def _count_words(pattern: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cutter, units = Words(pattern), Counter()
-
-        def told() -> pa.RecordBatch:
-            words: Counter = Counter()
-            for unit, n in units.items():
-                for w in cutter.of_unit(unit):
-                    if len(w) <= FOLD_BYTES:
-                        words[w] += n
-            short = [w for w in words if _short(w)]
-            return pa.RecordBatch.from_pydict({"word": pa.array(short, pa.string()), "n": pa.array([words[w] for w in short], pa.int64())})
-
-        for b in batches(it):
-            for text in b.column(0).to_pylist():
-                if text:
-                    units.update(cutter.units(text)[1])
-            if len(units) > CACHE_UNITS:
-                yield told()
-                units = Counter()
-        yield told()
+        for b in _slices(it, 0):
+            found = Cut(pattern, b.column(0))
+            met = np.bincount(found.units, minlength=len(found.size))
+            n = np.bincount(found.of_unit, np.repeat(met, found.size), len(found.words)).astype(np.int64)
+            often = pa.array((n > 1) & found.short())
+            yield pa.RecordBatch.from_arrays([found.words.filter(often), pa.array(n).filter(often)], ["word", "n"])
     return run
 
 
 def hot_words(docs: DataFrame, pattern: str, text: str = "text", most: int = HOT_WORDS) -> DataFrame:
-    """The words met most often in all texts, ``most`` at most: those over a count that is read off a histogram."""
+    """The words met most often, ``most`` at most: those over a count that is read off a histogram.
+
+    Counted in all texts; a word met once in a slice of texts is left out there, which matters to nothing but the
+    choice of the words that are merged in advance.
+    """
     counts = cut(docs.select(F.col(text).alias("text")).mapInArrow(_count_words(pattern), "word string, n long")
-                 .groupBy("word").agg(F.sum("n").alias("n")).where("n > 1"), "words")
+                 .groupBy("word").agg(F.sum("n").alias("n")), "words")
     level = F.floor(8 * F.log2("n")).cast("int")
     histogram = sorted(counts.groupBy(level.alias("level")).count().collect(), key=lambda r: -r["level"])
     least, total = 10**6, 0
@@ -225,102 +267,79 @@ def hot_words(docs: DataFrame, pattern: str, text: str = "text", most: int = HOT
     return counts.where(level >= least).select("word")
 
 
+def _unknown(words: pa.Array, known: pa.Array) -> np.ndarray:
+    return pc.index_in(words, value_set=known).is_null().to_numpy(zero_copy_only=False)
+
+
 def _new_words(pattern: str, hot) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Adds to each row the words that no earlier row of the partition has; ``fresh`` where counting begins anew."""
+    """Adds to the first row of each slice the words that no earlier slice of the partition has and that aren't hot;
+    ``fresh`` where counting begins anew."""
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cutter = Words(pattern)
-        known = _hot_ids(hot)
-        units: set[str] = set()
-        words: set[str] = set()
-        anew = True
-        for b in batches(it):
-            fresh, lists = [], []
-            for t in b.column(1).to_pylist():
-                if len(units) > CACHE_UNITS or len(words) > CACHE_UNITS:
-                    units, words, anew = set(), set(), True
-                fresh.append(anew)
-                anew, new = False, []
-                if t:
-                    head, rest = cutter.units(t)
-                    met = cutter.words(head)
-                    for u in set(rest).difference(units):
-                        if len(u) <= CACHED_CHARS:
-                            units.add(u)
-                        met += cutter.of_unit(u)
-                    for w in met:
-                        if w not in known and w not in words and _short(w):
-                            words.add(w)
-                            new.append(w)
-                lists.append(new)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(fresh, pa.bool_()), pa.array(lists, pa.list_(pa.string()))],
+        known = _hot(hot)[0]
+        none = pa.array([], pa.string())
+        seen, anew = none, True
+        for b in _slices(it, 1):
+            if len(seen) > SEEN_WORDS:
+                seen, anew = none, True
+            found = Cut(pattern, b.column(1))
+            new = found.words.filter(pa.array(found.short() & _unknown(found.words, known) & _unknown(found.words, seen)))
+            seen = pa.concat_arrays([seen, new])
+            fresh = np.zeros(b.num_rows, bool)
+            fresh[0], anew = anew, False
+            ends = np.full(b.num_rows + 1, len(new), np.int32)
+            ends[0] = 0
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(fresh), pa.ListArray.from_arrays(pa.array(ends), new)],
                                              ["doc_id", "text", "fresh", "words"])
     return run
 
 
-def _hot_ids(hot) -> dict[str, bytes]:
-    """The broadcast words and their ids, as little-endian 32-bit numbers; once for each Python worker."""
+def _hot(hot) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The broadcast words and, for each, its ids: all of them end to end, and how many; once for each Python worker."""
     hold_cache("byte_pairs", _workers.clear)
     raw = hot.value
-    key = ("hot", zlib.crc32(raw))
+    key = zlib.crc32(raw)
     if key not in _workers:
         _workers.clear()
-        table = pa.ipc.open_stream(raw).read_all()
-        known: dict[str, bytes] = {}
-        for b in table.to_batches():
-            known.update(zip(b.column(0).to_pylist(), _slices(b.column(1))))
-        _workers[key] = known
+        table = pa.ipc.open_stream(raw).read_all().combine_chunks()
+        words = table.column(0).combine_chunks()
+        _workers[key] = (words, *_runs(table.column(1).combine_chunks()))
     return _workers[key]
 
 
-def _slices(lists: pa.ListArray) -> list[bytes]:
-    """The 32-bit numbers of each list as bytes."""
-    ends = lists.offsets.to_numpy().tolist()
-    raw = np.ascontiguousarray(lists.values.to_numpy(), dtype="<i4").tobytes()
-    return [raw[4 * a:4 * z] for a, z in zip(ends, ends[1:])]
+def _runs(lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    return lists.flatten().to_numpy().astype(np.int32), np.diff(lists.offsets.to_numpy())
 
 
 def _put_together(pattern: str, hot, vocabulary) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cutter, known = Words(pattern), _hot_ids(hot)
-        ranks: dict[bytes, int] = {}
-        units: dict[str, bytes] = {}
-        words: dict[str, bytes] = {}
-
-        def of_words(found: list[str]) -> bytes:
-            out = []
-            for w in found:
-                ids = known.get(w)
-                if ids is None:
-                    ids = words.get(w)
-                if ids is None:  # longer than the fold takes
-                    if not ranks:
-                        ranks.update(vocabulary.value)
-                    ids = np.array(merge_long(w.encode(), ranks), "<i4").tobytes()
-                out.append(ids)
-            return b"".join(out)
-
-        for b in batches(it):
-            fresh, lists, merged = b.column(2).to_pylist(), b.column(3), b.column(4)
-            new, got = lists.flatten().to_pylist(), _slices(merged.flatten())
-            at = (lists.offsets.to_numpy() - lists.offsets[0].as_py()).tolist()
-            out = []
-            for k, t in enumerate(b.column(1).to_pylist()):
-                if fresh[k]:
-                    units, words = {}, {}
-                words.update(zip(new[at[k]:at[k + 1]], got[at[k]:at[k + 1]]))
-                if not t:
-                    out.append(b"")
+        known = _hot(hot)
+        words, values, sizes = known
+        for whole in it:
+            cuts = np.flatnonzero(whole.column(2).to_numpy(zero_copy_only=False))
+            for lo, hi in zip([0, *cuts], [*cuts, whole.num_rows]):
+                part = whole.slice(lo, hi - lo)
+                if not part.num_rows:
                     continue
-                head, rest = cutter.units(t)
-                long: dict[str, bytes] = {}
-                for u in set(rest).difference(units):
-                    (units if len(u) <= CACHED_CHARS else long)[u] = of_words(cutter.of_unit(u))
-                get = units.__getitem__ if not long else lambda u: units[u] if u in units else long[u]
-                out.append(of_words(cutter.words(head)) + b"".join(map(get, rest)))
-            ends = np.zeros(len(out) + 1, np.int32)
-            np.cumsum([len(o) // 4 for o in out], out=ends[1:])
-            values = pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, pa.py_buffer(b"".join(out))])
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.ListArray.from_arrays(pa.array(ends), values)], ["doc_id", "ids"])
+                if part.column(2)[0].as_py():
+                    words, values, sizes = known
+                new = part.column(3).flatten()
+                if len(new):
+                    more, size = _runs(part.column(4).flatten())
+                    words, values, sizes = pa.concat_arrays([words, new]), np.concatenate([values, more]), np.concatenate([sizes, size])
+                for b in _slices(iter([part]), 1):
+                    found = Cut(pattern, b.column(1))
+                    at = pc.index_in(found.words, value_set=words)
+                    long = np.flatnonzero(at.is_null().to_numpy(zero_copy_only=False))
+                    merged = [merge_long(w.encode(), vocabulary.value) for w in found.words.take(pa.array(long)).to_pylist()]
+                    number = at.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+                    number[long] = np.arange(len(sizes), len(sizes) + len(long))
+                    all_sizes = np.concatenate([sizes, np.fromiter(map(len, merged), np.int64, len(merged))])
+                    all_values = np.concatenate([values, np.array([i for m in merged for i in m], np.int32)])
+                    of_unit, unit_ends = _gathered(all_values, np.cumsum(all_sizes) - all_sizes, all_sizes, number[found.of_unit])
+                    unit_size = np.diff(np.concatenate([[0], unit_ends])[np.append(found.start, len(found.of_unit))])
+                    ids, ends = _gathered(of_unit, np.cumsum(unit_size) - unit_size, unit_size, found.units)
+                    text_ends = np.concatenate([[0], ends])[np.append(0, found.ends)].astype(np.int32)
+                    yield pa.RecordBatch.from_arrays([b.column(0), pa.ListArray.from_arrays(pa.array(text_ends), pa.array(ids))], ["doc_id", "ids"])
     return run
 
 
@@ -330,12 +349,12 @@ def encode(docs: DataFrame, vocabulary: str | None = None, pattern: str | None =
     spark = docs.sparkSession
     ranks = load_ranks(vocabulary or default_vocabulary())
     pattern = pattern or default_pattern()
-    most = hot_words(docs, pattern, text, hot)
     # at most ``hot`` words of at most FOLD_BYTES bytes
-    raw = most.repartition(spark.sparkContext.defaultParallelism).select("word", merged_ids(F.array("word"), ranks)[0].alias("ids")).toArrow()
+    merged = (hot_words(docs, pattern, text, hot).repartition(spark.sparkContext.defaultParallelism)
+              .select("word", merged_ids(F.array("word"), ranks)[0].alias("ids")).toArrow())
     sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, raw.schema) as w:
-        w.write_table(raw.combine_chunks(), max_chunksize=65536)
+    with pa.ipc.new_stream(sink, merged.schema) as w:
+        w.write_table(merged)
     known = spark.sparkContext.broadcast(sink.getvalue().to_pybytes())
     table = spark.sparkContext.broadcast(ranks)
     id_type = docs.schema[id].dataType.simpleString()
@@ -348,11 +367,26 @@ def encode(docs: DataFrame, vocabulary: str | None = None, pattern: str | None =
 def _pieces(vocabulary) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         piece = {r: p for p, r in vocabulary.value.items()}
-        for b in batches(it, 64):
-            ids = b.column(b.num_columns - 1)
-            ends, flat = ids.offsets.to_pylist(), ids.values
-            out = [b"".join(map(piece.__getitem__, flat.slice(a, z - a).to_pylist())) for a, z in zip(ends, ends[1:])]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.binary())], [*b.schema.names, "decoded"])
+        sizes = np.full(max(piece) + 1, -1, np.int64)
+        for r, p in piece.items():
+            sizes[r] = len(p)
+        starts = np.cumsum(np.maximum(sizes, 0)) - np.maximum(sizes, 0)
+        data = np.frombuffer(b"".join(piece[r] for r in sorted(piece)), np.uint8)
+        for whole in it:
+            lists = whole.column(1)
+            ends = lists.offsets.to_numpy()
+            lo = 0
+            while lo < whole.num_rows:
+                hi = max(lo + 1, int(np.searchsorted(ends, ends[lo] + DECODED_IDS, "right")) - 1)
+                b = whole.slice(lo, hi - lo)
+                ids = b.column(1).flatten().to_numpy()
+                if len(ids) and (ids.min() < 0 or ids.max() >= len(sizes) or sizes[ids].min() < 0):
+                    raise ValueError("an id is not in the vocabulary")
+                raw, byte_ends = _gathered(data, starts, sizes, ids)
+                at = np.concatenate([[0], byte_ends])[ends[lo:hi + 1] - ends[lo]].astype(np.int32)
+                decoded = pa.Array.from_buffers(pa.binary(), hi - lo, [None, pa.py_buffer(at), pa.py_buffer(raw)])
+                yield pa.RecordBatch.from_arrays([*b.columns, decoded], ["doc_id", "ids", "decoded"])
+                lo = hi
     return run
 
 
