@@ -34,9 +34,9 @@ from .common import cut, hold_cache
 
 DEFAULT_VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 FOLD_BYTES = 64
-HOT_WORDS = 1_000_000
+HOT_WORDS = 800_000
 SEEN_WORDS = 1_000_000
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 5 << 20
 DECODED_IDS = 1 << 20
 BUCKETS = 4096
 PLACE_BITS = 20
@@ -195,11 +195,13 @@ class Cut:
         find = regex.compile(pattern).findall
         texts = texts.fill_null("")
         odd = pc.match_substring_regex(texts, _WHITE_BEFORE_SPACE)
+        parts = pc.split_pattern(texts, " ")
         if odd.true_count:
             split = regex.compile(r"(?<=\S) ").split
-            parts = pa.array([split(t) if o else t.split(" ") for t, o in zip(texts.to_pylist(), odd.to_pylist())], pa.list_(pa.string()))
-        else:
-            parts = pc.split_pattern(texts, " ")
+            kept = pa.array([split(t) for t in texts.filter(odd).to_pylist()], pa.list_(pa.string()))
+            at = np.arange(len(texts))
+            at[odd.to_numpy(zero_copy_only=False)] = np.arange(len(texts), len(texts) + len(kept))
+            parts = pa.concat_arrays([parts, kept]).take(pa.array(at))
         flat = parts.flatten()
         offsets = parts.offsets.to_numpy() - parts.offsets[0].as_py()
         self.ends = offsets[1:]
@@ -243,19 +245,15 @@ def _count_words(pattern: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[
             found = Cut(pattern, b.column(0))
             met = np.bincount(found.units, minlength=len(found.size))
             n = np.bincount(found.of_unit, np.repeat(met, found.size), len(found.words)).astype(np.int64)
-            often = pa.array((n > 1) & found.short())
-            yield pa.RecordBatch.from_arrays([found.words.filter(often), pa.array(n).filter(often)], ["word", "n"])
+            short = pa.array(found.short())
+            yield pa.RecordBatch.from_arrays([found.words.filter(short), pa.array(n).filter(short)], ["word", "n"])
     return run
 
 
 def hot_words(docs: DataFrame, pattern: str, text: str = "text", most: int = HOT_WORDS) -> DataFrame:
-    """The words met most often, ``most`` at most: those over a count that is read off a histogram.
-
-    Counted in all texts; a word met once in a slice of texts is left out there, which matters to nothing but the
-    choice of the words that are merged in advance.
-    """
+    """The words met most often in all texts, ``most`` at most: those over a count that is read off a histogram."""
     counts = cut(docs.select(F.col(text).alias("text")).mapInArrow(_count_words(pattern), "word string, n long")
-                 .groupBy("word").agg(F.sum("n").alias("n")), "words")
+                 .groupBy("word").agg(F.sum("n").alias("n")).where("n > 1"), "words")
     level = F.floor(8 * F.log2("n")).cast("int")
     histogram = sorted(counts.groupBy(level.alias("level")).count().collect(), key=lambda r: -r["level"])
     least, total = 10**6, 0
@@ -307,13 +305,34 @@ def _hot(hot) -> tuple[pa.Array, np.ndarray, np.ndarray]:
 
 
 def _runs(lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
-    return lists.flatten().to_numpy().astype(np.int32), np.diff(lists.offsets.to_numpy())
+    return lists.flatten().to_numpy().astype(np.int32, copy=False), np.diff(lists.offsets.to_numpy())
+
+
+class Pieces:
+    """The binary pieces of a vocabulary end to end, by id."""
 
+    def __init__(self, ranks: dict[bytes, int]):
+        piece = {r: p for p, r in ranks.items()}
+        self.sizes = np.full(max(piece) + 1, -1, np.int64)
+        for r, p in piece.items():
+            self.sizes[r] = len(p)
+        self.starts = np.cumsum(np.maximum(self.sizes, 0)) - np.maximum(self.sizes, 0)
+        self.data = np.frombuffer(b"".join(piece[r] for r in sorted(piece)), np.uint8)
+
+    def decoded(self, ids: np.ndarray, ends: np.ndarray) -> pa.Array:
+        """The pieces of each run ``ids[ends[k]:ends[k + 1]]`` one after another."""
+        if len(ids) and (ids.min() < 0 or ids.max() >= len(self.sizes) or self.sizes[ids].min() < 0):
+            raise ValueError("an id is not in the vocabulary")
+        raw, byte_ends = _gathered(self.data, self.starts, self.sizes, ids)
+        at = np.concatenate([[0], byte_ends])[ends].astype(np.int32)
+        return pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer(at), pa.py_buffer(raw)])
 
-def _put_together(pattern: str, hot, vocabulary) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+
+def _put_together(pattern: str, hot, vocabulary, decoded: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _hot(hot)
         words, values, sizes = known
+        pieces = Pieces(vocabulary.value) if decoded else None
         for whole in it:
             cuts = np.flatnonzero(whole.column(2).to_numpy(zero_copy_only=False))
             for lo, hi in zip([0, *cuts], [*cuts, whole.num_rows]):
@@ -339,13 +358,17 @@ def _put_together(pattern: str, hot, vocabulary) -> Callable[[Iterator[pa.Record
                     unit_size = np.diff(np.concatenate([[0], unit_ends])[np.append(found.start, len(found.of_unit))])
                     ids, ends = _gathered(of_unit, np.cumsum(unit_size) - unit_size, unit_size, found.units)
                     text_ends = np.concatenate([[0], ends])[np.append(0, found.ends)].astype(np.int32)
-                    yield pa.RecordBatch.from_arrays([b.column(0), pa.ListArray.from_arrays(pa.array(text_ends), pa.array(ids))], ["doc_id", "ids"])
+                    columns = {"doc_id": b.column(0), "ids": pa.ListArray.from_arrays(pa.array(text_ends), pa.array(ids))}
+                    if pieces:
+                        columns["decoded"] = pieces.decoded(ids, text_ends)
+                    yield pa.RecordBatch.from_pydict(columns)
     return run
 
 
 def encode(docs: DataFrame, vocabulary: str | None = None, pattern: str | None = None, id: str = "doc_id", text: str = "text",
-           hot: int = HOT_WORDS) -> DataFrame:
-    """(doc_id, ids array<int>) of every row of ``docs``: each match of ``pattern`` encoded by itself, no special tokens."""
+           hot: int = HOT_WORDS, decoded: bool = False) -> DataFrame:
+    """(doc_id, ids array<int>) of every row of ``docs``: each match of ``pattern`` encoded by itself, no special tokens.
+    ``decoded`` adds what ``decode`` gives for the ids, in the same tasks."""
     spark = docs.sparkSession
     ranks = load_ranks(vocabulary or default_vocabulary())
     pattern = pattern or default_pattern()
@@ -354,38 +377,27 @@ def encode(docs: DataFrame, vocabulary: str | None = None, pattern: str | None =
               .select("word", merged_ids(F.array("word"), ranks)[0].alias("ids")).toArrow())
     sink = pa.BufferOutputStream()
     with pa.ipc.new_stream(sink, merged.schema) as w:
-        w.write_table(merged)
+        w.write_table(merged.combine_chunks())  # one batch, so workers read it in place
     known = spark.sparkContext.broadcast(sink.getvalue().to_pybytes())
     table = spark.sparkContext.broadcast(ranks)
     id_type = docs.schema[id].dataType.simpleString()
     met = (docs.select(F.col(id).alias("doc_id"), F.col(text).alias("text"))
            .mapInArrow(_new_words(pattern, known), f"doc_id {id_type}, text string, fresh boolean, words array<string>"))
     return (met.select("doc_id", "text", "fresh", "words", merged_ids(F.col("words"), ranks).alias("merged"))
-            .mapInArrow(_put_together(pattern, known, table), f"doc_id {id_type}, ids array<int>"))
+            .mapInArrow(_put_together(pattern, known, table, decoded), f"doc_id {id_type}, ids array<int>" + ", decoded binary" * decoded))
 
 
-def _pieces(vocabulary) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _decode(vocabulary) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        piece = {r: p for p, r in vocabulary.value.items()}
-        sizes = np.full(max(piece) + 1, -1, np.int64)
-        for r, p in piece.items():
-            sizes[r] = len(p)
-        starts = np.cumsum(np.maximum(sizes, 0)) - np.maximum(sizes, 0)
-        data = np.frombuffer(b"".join(piece[r] for r in sorted(piece)), np.uint8)
+        pieces = Pieces(vocabulary.value)
         for whole in it:
-            lists = whole.column(1)
-            ends = lists.offsets.to_numpy()
+            ends = whole.column(1).offsets.to_numpy()
             lo = 0
             while lo < whole.num_rows:
                 hi = max(lo + 1, int(np.searchsorted(ends, ends[lo] + DECODED_IDS, "right")) - 1)
                 b = whole.slice(lo, hi - lo)
-                ids = b.column(1).flatten().to_numpy()
-                if len(ids) and (ids.min() < 0 or ids.max() >= len(sizes) or sizes[ids].min() < 0):
-                    raise ValueError("an id is not in the vocabulary")
-                raw, byte_ends = _gathered(data, starts, sizes, ids)
-                at = np.concatenate([[0], byte_ends])[ends[lo:hi + 1] - ends[lo]].astype(np.int32)
-                decoded = pa.Array.from_buffers(pa.binary(), hi - lo, [None, pa.py_buffer(at), pa.py_buffer(raw)])
-                yield pa.RecordBatch.from_arrays([*b.columns, decoded], ["doc_id", "ids", "decoded"])
+                found = pieces.decoded(b.column(1).flatten().to_numpy(), ends[lo:hi + 1] - ends[lo])
+                yield pa.RecordBatch.from_arrays([*b.columns, found], ["doc_id", "ids", "decoded"])
                 lo = hi
     return run
 
@@ -395,4 +407,4 @@ def decode(encoded: DataFrame, vocabulary: str | None = None) -> DataFrame:
     is not in the vocabulary is an error."""
     table = encoded.sparkSession.sparkContext.broadcast(load_ranks(vocabulary or default_vocabulary()))
     rows = encoded.select("doc_id", F.coalesce("ids", F.array().cast("array<int>")).alias("ids"))
-    return rows.mapInArrow(_pieces(table), f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, ids array<int>, decoded binary")
+    return rows.mapInArrow(_decode(table), f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, ids array<int>, decoded binary")

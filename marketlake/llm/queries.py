@@ -98,7 +98,7 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    decoded = byte_pairs.decode(byte_pairs.encode(table(spark, sf_dir, "documents")))
+    decoded = byte_pairs.encode(table(spark, sf_dir, "documents"), decoded=True)
     return decoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                           F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
                           F.sha2("decoded", 256).alias("decoded_sha256"))
