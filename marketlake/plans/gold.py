@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..config import DEFAULT
 from ..functions.exprs import date_key, days_between, month_key, nps, safe_ratio
 from ..operators.joins import KeyLookup, sized_broadcast
+from ..operators.key_map import KeyMap
 from ..operators.modeling import (calendar_columns, calendar_frame, calendar_pt_columns,
                                   latest_per_key, surrogate_key, with_unknown_member)
 from ..session import stage
@@ -232,26 +233,32 @@ def reviews_context(reviews_enriched_df: DataFrame, orders_sla: DataFrame, items
     )
 
 
-def dim_customers_keyed(dim_customers_df: DataFrame, geo: DataFrame, s=DEFAULT) -> DataFrame:
-    """Customer dimension with surrogate key, centroid and the Unknown member."""
+def _numbered(d: DataFrame, business: str, surrogate: str, keys: KeyMap | None, s) -> DataFrame:
+    """Rows with their stored numbers, or numbered anew for this frame alone."""
+    if keys is not None:
+        return keys.keyed(d)
+    return surrogate_key(d, business, surrogate, s.surrogate_bucket_hex).select(surrogate, *d.columns)
+
+
+def dim_customers_keyed(dim_customers_df: DataFrame, geo: DataFrame, s=DEFAULT, keys: KeyMap | None = None) -> DataFrame:
+    """Customer dimension with surrogate key, centroid and the Unknown member. ``keys`` holds the numbers of
+    earlier loads (those of this load must have been assigned); without it, rows are numbered anew."""
     g = _geo(geo, False).select("zip_code_prefix", "lat", "lng")
     d = dim_customers_df.join(g, dim_customers_df.customer_zip_code_prefix == g.zip_code_prefix, "left")
     d = d.select(F.col("customer_unique_id"), F.col("customer_city").alias("cidade"),
                  F.col("customer_state").alias("estado"), "regiao_brasil", "lat", "lng")
-    keyed = surrogate_key(d, "customer_unique_id", "customer_key", s.surrogate_bucket_hex)
-    return with_unknown_member(keyed.select("customer_key", *d.columns), "customer_key")
+    return with_unknown_member(_numbered(d, "customer_unique_id", "customer_key", keys, s), "customer_key")
 
 
-def dim_sellers_keyed(dim_sellers_df: DataFrame, geo: DataFrame, s=DEFAULT) -> DataFrame:
+def dim_sellers_keyed(dim_sellers_df: DataFrame, geo: DataFrame, s=DEFAULT, keys: KeyMap | None = None) -> DataFrame:
     g = _geo(geo, False).select("zip_code_prefix", "lat", "lng")
     d = dim_sellers_df.join(g, dim_sellers_df.seller_zip_code_prefix == g.zip_code_prefix, "left")
     d = d.select("seller_id", F.col("seller_city").alias("cidade"), F.col("seller_state").alias("estado"),
                  "regiao_brasil", "lat", "lng")
-    keyed = surrogate_key(d, "seller_id", "seller_key", s.surrogate_bucket_hex)
-    return with_unknown_member(keyed.select("seller_key", *d.columns), "seller_key")
+    return with_unknown_member(_numbered(d, "seller_id", "seller_key", keys, s), "seller_key")
 
 
-def dim_products_keyed(products: DataFrame, categories: DataFrame, s=DEFAULT) -> DataFrame:
+def dim_products_keyed(products: DataFrame, categories: DataFrame, s=DEFAULT, keys: KeyMap | None = None) -> DataFrame:
     """Product key, PT and EN category, weight, volume_cm3."""
     t = sized_broadcast(categories.select(F.col("product_category_name").alias("_cat"),
                                           F.col("product_category_name_english").alias("category_en")))
@@ -263,8 +270,7 @@ def dim_products_keyed(products: DataFrame, categories: DataFrame, s=DEFAULT) ->
         F.col("product_weight_g").alias("peso_g"),
         (F.col("product_length_cm") * F.col("product_height_cm") * F.col("product_width_cm")).alias("volume_cm3"),
     )
-    keyed = surrogate_key(d, "product_id", "product_key", s.surrogate_bucket_hex)
-    return with_unknown_member(keyed.select("product_key", *d.columns), "product_key")
+    return with_unknown_member(_numbered(d, "product_id", "product_key", keys, s), "product_key")
 
 
 FACT_SALES_ITEM_COLUMNS = [

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, Settings
+from ..operators.key_map import key_map
 from ..operators.quality import enforce, log_frame
 from ..sources.files import ensure_layout, read_table, table_path, write_table
 from . import checks, gold, silver
@@ -129,9 +130,15 @@ def _documented_star(spark, bronze, silver_t, stored, base, report, s) -> dict[s
     G = s.gold
     geo = silver_t["geolocation_aggregated"]
     oe = silver_t["orders_enriched"]
-    _write(report, gold.dim_customers_keyed(stored["dim_customers"], geo, s), base, G, "dim_customers_keyed")
-    _write(report, gold.dim_sellers_keyed(stored["dim_sellers"], geo, s), base, G, "dim_sellers_keyed")
-    _write(report, gold.dim_products_keyed(bronze["olist_products"], bronze["product_category_names"], s),
+    # numbers are kept over runs, so facts stored by an earlier run still point at the same members
+    keys = {}
+    for business, surrogate, rows in (("customer_unique_id", "customer_key", stored["dim_customers"]), ("seller_id", "seller_key", stored["dim_sellers"]),
+                                      ("product_id", "product_key", bronze["olist_products"])):
+        keys[surrogate] = key_map(spark, base, business, surrogate, s)
+        keys[surrogate].assign(rows, report.run_id)
+    _write(report, gold.dim_customers_keyed(stored["dim_customers"], geo, s, keys["customer_key"]), base, G, "dim_customers_keyed")
+    _write(report, gold.dim_sellers_keyed(stored["dim_sellers"], geo, s, keys["seller_key"]), base, G, "dim_sellers_keyed")
+    _write(report, gold.dim_products_keyed(bronze["olist_products"], bronze["product_category_names"], s, keys["product_key"]),
            base, G, "dim_products_keyed")
     keyed = {t: read_table(spark, base, G, t) for t in ("dim_customers_keyed", "dim_sellers_keyed",
                                                         "dim_products_keyed")}

@@ -383,6 +383,32 @@ def q_surrogate_key_nulls(spark, sf_dir):
     return surrogate_key(lake(spark, sf_dir).raw["olist_orders"].select("order_id").distinct(), "order_id", "order_key")
 
 
+def _two_key_loads(spark, lk: Lake):
+    """Customers numbered in two loads: those with an order before 1996, then all; the second load is repeated."""
+    from ..operators.key_map import KeyMap
+    from ..session import scratch_path
+    early = lk.raw["olist_orders"].where(F.col("order_purchase_timestamp") < F.lit("1996-01-01").cast("timestamp_ntz"))
+    first = lk.raw["olist_customers"].join(early.select("customer_id"), "customer_id", "left_semi")
+    keys = KeyMap(spark, scratch_path(spark, "keys"), "customer_unique_id", "customer_key")
+    keys.assign(first, "1995")
+    for _ in range(2):
+        keys.assign(lk.raw["olist_customers"], "2000")
+    return keys
+
+
+@register("surrogate_key_second_load")
+def q_surrogate_key_second_load(spark, sf_dir):
+    """M1: keys of a first load stay, new business keys come above them, a repeated load gives none."""
+    return _two_key_loads(spark, lake(spark, sf_dir)).pairs()
+
+
+@register("fk_stored_keys")
+def q_fk_stored_keys(spark, sf_dir):
+    """Orders resolved through the stored keys of two loads."""
+    lk = lake(spark, sf_dir)
+    return _two_key_loads(spark, lk).lookup().resolve(lk.fact_sales.select("order_id", "customer_unique_id"))
+
+
 @register("median_scale")
 def q_median_scale(spark, sf_dir):
     """Exact median of a decimal with four places: the discount of every item, per return flag."""

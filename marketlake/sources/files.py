@@ -8,12 +8,14 @@ from __future__ import annotations
 
 import json
 import uuid
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import DEFAULT
+from .snapshots import VERSION, current, file_system, leaves, partition_of, publish, read_folders, read_small_text
 
 
 def table_path(base: str, layer: str, name: str) -> str:
@@ -27,7 +29,11 @@ def read_table(spark: SparkSession, base: str, layer: str, name: str, merge_sche
     partitioned table without rows has no files to infer a schema from; it is then read through its
     catalog entry when that entry points at the same location."""
     from pyspark.errors import AnalysisException
-    path = current_path(spark, table_path(base, layer, name))
+    root = table_path(base, layer, name)
+    folders = current(spark, root)[1]
+    if len(folders) > 1:
+        return read_folders(spark, root, folders)
+    path = f"{root}/{folders[0]}" if folders else root
     recorded = recorded_schema(spark, path)
     if recorded is not None:
         return spark.read.schema(recorded).parquet(path)
@@ -46,26 +52,9 @@ def read_path(spark: SparkSession, path: str) -> DataFrame:
     return (spark.read.schema(recorded) if recorded is not None else spark.read).parquet(path)
 
 
-def _fs(spark: SparkSession, path: str):
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
-
-
-def read_small_text(spark: SparkSession, path: str) -> str | None:
-    """Content of a small metadata file, or None if there is no such file."""
-    fs, p = _fs(spark, path)
-    if not fs.exists(p):
-        return None
-    stream = fs.open(p)
-    try:
-        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-    finally:
-        stream.close()
-
-
 def write_small_text(spark: SparkSession, path: str, text: str) -> None:
     """Replace a small metadata file: write beside it, then rename."""
-    fs, p = _fs(spark, path)
+    fs, p = file_system(spark, path)
     tmp = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.tmp")
     stream = fs.create(tmp, True)
     stream.write(bytearray(text.encode()))
@@ -87,14 +76,16 @@ def record_schema(spark: SparkSession, path: str, schema: T.StructType) -> None:
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _fs(spark, path)
+    fs, p = file_system(spark, path)
     return bool(fs.exists(p))
 
 
 def current_path(spark: SparkSession, path: str) -> str:
-    """Where a table's data are: the version its pointer names, or the folder itself."""
-    version = read_small_text(spark, f"{path}/_current")
-    return f"{path}/{version.strip()}" if version else path
+    """The one folder that holds a table's data: its current version, or the table's own folder if it has no versions."""
+    folders = current(spark, path)[1]
+    if len(folders) > 1:
+        raise ValueError(f"{path} has partitions of several versions: read it with read_table")
+    return f"{path}/{folders[0]}" if folders else path
 
 
 def _normalise(path: str) -> str:
@@ -109,9 +100,12 @@ def _catalog_location(spark: SparkSession, fq: str) -> str | None:
 
 
 def register(spark: SparkSession, base: str, layer: str, name: str, schema=None) -> None:
-    """Register the Parquet directory as an external table (schema given, so empty tables work)."""
+    """Register the Parquet directory as an external table (schema given, so empty tables work). A table with
+    partitions of several versions has no one folder: it is taken out of the catalog and read with ``read_table``."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
     spark.sql(f"DROP TABLE IF EXISTS {layer}.{name}")
+    if len(current(spark, table_path(base, layer, name))[1]) > 1:
+        return
     path = current_path(spark, table_path(base, layer, name))
     spark.catalog.createTable(f"{layer}.{name}", path=path, source="parquet", schema=schema)
 
@@ -122,9 +116,9 @@ def write_table(df: DataFrame, base: str, layer: str, name: str, mode: str = "ov
                 observation=None, files_per_partition: int = 8) -> str:
     """Full refresh (overwrite data and schema) or append; optional Hive-style partitions.
 
-    A full refresh writes a new version folder and then switches the table's pointer file to it, so
-    a failed write leaves the old table as it was and readers never see half a table; the version
-    before the last is deleted. The refresh may read the table it replaces.
+    A full refresh writes a new version folder and then publishes it (``snapshots``), so a failed write leaves
+    the old table as it was and readers find one whole table at any time; the version before the last is
+    deleted. The refresh may read the table it replaces.
     With ``cluster_by``, partitioned writes are first hash-distributed on the partition columns and
     ``cluster_by`` modulo ``files_per_partition``: a partition value is written by at most that many
     tasks, so a hot one is split, the file count stays bounded, and no sampling pass is needed.
@@ -147,11 +141,9 @@ def write_table(df: DataFrame, base: str, layer: str, name: str, mode: str = "ov
     if dynamic_partitions:
         w = w.option("partitionOverwriteMode", "dynamic")
     if refresh:
-        old = read_small_text(spark, f"{root}/_current")
-        version = f"v-{uuid.uuid4().hex[:12]}"
-        w.parquet(f"{root}/{version}")
-        write_small_text(spark, f"{root}/_current", version)
-        _drop_versions(spark, root, {version, (old or "").strip()})
+        number = current(spark, root)[0] + 1
+        w.parquet(f"{root}/{VERSION}={number}")
+        publish(spark, root, number, [f"{VERSION}={number}"])
     else:
         w.parquet(current_path(spark, root))
     if register_table:
@@ -159,15 +151,6 @@ def write_table(df: DataFrame, base: str, layer: str, name: str, mode: str = "ov
     return current_path(spark, root)
 
 
-def _drop_versions(spark: SparkSession, root: str, keep: set[str]) -> None:
-    """Delete versions that are neither current nor the one before (which running reads may hold)."""
-    fs, p = _fs(spark, root)
-    for status in fs.listStatus(p):
-        name = status.getPath().getName()
-        if name.startswith("v-") and name not in keep:
-            fs.delete(status.getPath(), True)
-
-
 def ensure_layout(spark: SparkSession, base: str, s=DEFAULT) -> DataFrame:
     """One namespace per layer, a quality log table in each; returns the layer namespaces."""
     from ..operators.quality import LOG_SCHEMA
@@ -206,13 +189,13 @@ def upsert_partitions(changes: DataFrame, base: str, layer: str, name: str, key:
     partition value changed leaves its old partition); the latter come from a semi-join that reads
     key and partition columns only. Touched partitions are read through a semi-join with their
     values (at most ``max_partitions`` rows, checked), which prunes the scan, merged with
-    ``upsert_latest``, staged, and written with dynamic partition overwrite; partitions left without
-    rows are deleted. All others stay as they are. A failure before the write changes nothing; after
-    it, a rerun of the same changes gives the same table.
+    ``upsert_latest``, and written as partitions of a new version. Publishing that version switches all of
+    them at once; partitions left without rows are not part of it, all others stay the same folders. A failure
+    before the switch changes nothing, and a rerun of the same changes gives the same table.
     """
-    from ..session import remove_path, remove_staged, stage
     spark = changes.sparkSession
-    path = current_path(spark, table_path(base, layer, name))
+    root = table_path(base, layer, name)
+    number, folders = current(spark, root)
     existing = read_table(spark, base, layer, name)
     moved = existing.select(*key, *partition_cols).join(changes.select(*key), key, "left_semi")
     parts = changes.select(*partition_cols).unionByName(moved.select(*partition_cols)).distinct()
@@ -220,26 +203,18 @@ def upsert_partitions(changes: DataFrame, base: str, layer: str, name: str, key:
     if len(rows) > max_partitions:
         raise ValueError(f"the changes touch more than {max_partitions} partitions of {layer}.{name}: refresh the table instead")
     if not rows:
-        return path
+        return root
     schema = T.StructType([T.StructField(c, existing.schema[c].dataType, True) for c in partition_cols])
     touched = spark.createDataFrame(rows, schema)
     t = touched.select(*[F.col(c).alias(f"_t_{c}") for c in partition_cols])
     same = [existing[c].eqNullSafe(t[f"_t_{c}"]) for c in partition_cols]
-    current = existing.join(F.broadcast(t), same, "left_semi")
-    before = {_parent(r[0]) for r in current.select(F.input_file_name()).distinct().collect()}
-    staged = stage(upsert_latest(current, changes.select(*existing.columns), key, order_col, tie_breakers), f"upsert-{name}")
-    write_table(staged, base, layer, name, mode="overwrite", partition_by=partition_cols, dynamic_partitions=True,
-                register_table=_catalog_location(spark, f"{layer}.{name}") == _normalise(path))
-    # partitions without rows are not overwritten: what they held has moved
-    filled = spark.createDataFrame(staged.select(*partition_cols).distinct().collect(), schema)
-    k = filled.select(*[F.col(c).alias(f"_k_{c}") for c in partition_cols])
-    after = read_table(spark, base, layer, name)
-    full = after.join(F.broadcast(k), [after[c].eqNullSafe(k[f"_k_{c}"]) for c in partition_cols], "left_semi")
-    for folder in before - {_parent(r[0]) for r in full.select(F.input_file_name()).distinct().collect()}:
-        remove_path(spark, folder)
-    remove_staged(staged)
-    return path
-
-
-def _parent(path: str) -> str:
-    return path.rpartition("/")[0]
+    at_hand = existing.join(F.broadcast(t), same, "left_semi")
+    left = {partition_of(unquote(r[0]).rpartition("/")[0]) for r in at_hand.select(F.input_file_name()).distinct().collect()}
+    merged = upsert_latest(at_hand, changes.select(*existing.columns), key, order_col, tie_breakers)
+    version = f"{VERSION}={number + 1}"
+    merged.write.mode("overwrite").partitionBy(*partition_cols).parquet(f"{root}/{version}")
+    before = [leaf for f in folders for leaf in leaves(spark, root, f, len(partition_cols) - partition_of(f).count("="))]
+    publish(spark, root, number + 1, [f for f in before if partition_of(f) not in left] + leaves(spark, root, version, len(partition_cols)))
+    if spark.catalog.tableExists(f"{layer}.{name}") and _catalog_location(spark, f"{layer}.{name}").startswith(_normalise(root)):
+        register(spark, base, layer, name, existing.schema)
+    return root

@@ -113,6 +113,20 @@ q("suite_gold", C.gold_suite())
 from .base import GOLD, sk  # noqa: E402
 
 q("surrogate_key", f"SELECT customer_unique_id, {sk('customer_unique_id')} AS customer_key FROM dim_customers")
+KEY_LOADS = {
+    "first_load": """
+SELECT DISTINCT customer_unique_id FROM olist_customers
+WHERE customer_id IN (SELECT customer_id FROM olist_orders WHERE order_purchase_timestamp < TIMESTAMP '1996-01-01')""",
+    "stored_keys": f"""
+SELECT customer_unique_id, {sk('customer_unique_id')} AS customer_key FROM first_load
+UNION ALL
+SELECT customer_unique_id, (SELECT COUNT(*) FROM first_load) + {sk('customer_unique_id')} AS customer_key
+FROM (SELECT DISTINCT customer_unique_id FROM olist_customers) WHERE customer_unique_id NOT IN (SELECT customer_unique_id FROM first_load)""",
+}
+q("surrogate_key_second_load", "SELECT customer_unique_id, customer_key FROM stored_keys", KEY_LOADS)
+q("fk_stored_keys", """
+SELECT f.order_id, f.customer_unique_id, COALESCE(k.customer_key, -1) AS customer_key
+FROM fact_sales f LEFT JOIN stored_keys k ON f.customer_unique_id = k.customer_unique_id""", KEY_LOADS)
 q("fk_or_unknown", """
 SELECT f.order_id, f.customer_unique_id, COALESCE(d.customer_key, -1) AS customer_key
 FROM fact_sales f LEFT JOIN (SELECT * FROM dim_customers_keyed WHERE customer_key <> -1) d
