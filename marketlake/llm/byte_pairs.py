@@ -36,13 +36,13 @@ DEFAULT_VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 FOLD_BYTES = 64
 HOT_WORDS = 800_000
 SEEN_WORDS = 1_000_000
-SLICE_BYTES = 5 << 20
+SLICE_BYTES = 4 << 20
 DECODED_IDS = 1 << 20
 BUCKETS = 4096
 PLACE_BITS = 20
 NO_RANK = 2**31 - 1
 
-_workers: dict[int, tuple] = {}
+_workers: dict[int, object] = {}
 
 
 def default_vocabulary() -> str:
@@ -265,42 +265,60 @@ def hot_words(docs: DataFrame, pattern: str, text: str = "text", most: int = HOT
     return counts.where(level >= least).select("word")
 
 
-def _unknown(words: pa.Array, known: pa.Array) -> np.ndarray:
-    return pc.index_in(words, value_set=known).is_null().to_numpy(zero_copy_only=False)
+def _found_at(words: pa.Array, known: pa.Array) -> np.ndarray:
+    """Where each of the distinct ``words`` is in ``known``, -1 if nowhere. The known words are looked up among the
+    words of a slice, not the other way round, so no table of all known words is built."""
+    where = np.full(len(words), -1, np.int64)
+    at = pc.index_in(known, value_set=words)
+    met = at.is_valid().to_numpy(zero_copy_only=False)
+    where[at.drop_null().to_numpy()] = np.flatnonzero(met)
+    return where
 
 
 def _new_words(pattern: str, hot) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Adds to the first row of each slice the words that no earlier slice of the partition has and that aren't hot;
     ``fresh`` where counting begins anew."""
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _hot(hot)[0]
+        known = _hot_words(hot)
         none = pa.array([], pa.string())
         seen, anew = none, True
         for b in _slices(it, 1):
             if len(seen) > SEEN_WORDS:
                 seen, anew = none, True
             found = Cut(pattern, b.column(1))
-            new = found.words.filter(pa.array(found.short() & _unknown(found.words, known) & _unknown(found.words, seen)))
+            new = found.words.filter(pa.array(found.short() & (_found_at(found.words, known) < 0) & (_found_at(found.words, seen) < 0)))
             seen = pa.concat_arrays([seen, new])
             fresh = np.zeros(b.num_rows, bool)
             fresh[0], anew = anew, False
             ends = np.full(b.num_rows + 1, len(new), np.int32)
             ends[0] = 0
+            del found
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(fresh), pa.ListArray.from_arrays(pa.array(ends), new)],
                                              ["doc_id", "text", "fresh", "words"])
     return run
 
 
-def _hot(hot) -> tuple[pa.Array, np.ndarray, np.ndarray]:
-    """The broadcast words and, for each, its ids: all of them end to end, and how many; once for each Python worker."""
+def _hot_words(hot) -> pa.Array:
+    """The broadcast words, read in place; once for each Python worker."""
+    return _kept(hot, lambda table: table.column(0).combine_chunks())
+
+
+def _hot_ids(hot) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The ids of the broadcast words: all end to end, where those of each word begin, and how many they are."""
+    def read(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        values, sizes = _runs(table.column(0).combine_chunks())
+        return values, np.cumsum(sizes) - sizes, sizes
+    return _kept(hot, read)
+
+
+def _kept(broadcast, read: Callable):
     hold_cache("byte_pairs", _workers.clear)
-    raw = hot.value
+    raw = broadcast.value
     key = zlib.crc32(raw)
     if key not in _workers:
-        _workers.clear()
-        table = pa.ipc.open_stream(raw).read_all().combine_chunks()
-        words = table.column(0).combine_chunks()
-        _workers[key] = (words, *_runs(table.column(1).combine_chunks()))
+        if len(_workers) > 1:  # of another run
+            _workers.clear()
+        _workers[key] = read(pa.ipc.open_stream(raw).read_all())
     return _workers[key]
 
 
@@ -328,11 +346,12 @@ class Pieces:
         return pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer(at), pa.py_buffer(raw)])
 
 
-def _put_together(pattern: str, hot, vocabulary, decoded: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _put_together(pattern: str, hot, hot_ids, vocabulary, decoded: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _hot(hot)
-        words, values, sizes = known
+        known, of_known = _hot_words(hot), _hot_ids(hot_ids)
         pieces = Pieces(vocabulary.value) if decoded else None
+        nothing = np.zeros(0, np.int64)
+        words, of_words = pa.array([], pa.string()), (nothing, nothing, nothing)
         for whole in it:
             cuts = np.flatnonzero(whole.column(2).to_numpy(zero_copy_only=False))
             for lo, hi in zip([0, *cuts], [*cuts, whole.num_rows]):
@@ -340,21 +359,31 @@ def _put_together(pattern: str, hot, vocabulary, decoded: bool) -> Callable[[Ite
                 if not part.num_rows:
                     continue
                 if part.column(2)[0].as_py():
-                    words, values, sizes = known
+                    words, of_words = words.slice(0, 0), (nothing, nothing, nothing)
                 new = part.column(3).flatten()
                 if len(new):
-                    more, size = _runs(part.column(4).flatten())
-                    words, values, sizes = pa.concat_arrays([words, new]), np.concatenate([values, more]), np.concatenate([sizes, size])
+                    values, sizes = _runs(part.column(4).flatten())
+                    words, sizes = pa.concat_arrays([words, new]), np.concatenate([of_words[2], sizes])
+                    of_words = (np.concatenate([of_words[0], values]), np.cumsum(sizes) - sizes, sizes)
                 for b in _slices(iter([part]), 1):
                     found = Cut(pattern, b.column(1))
-                    at = pc.index_in(found.words, value_set=words)
-                    long = np.flatnonzero(at.is_null().to_numpy(zero_copy_only=False))
-                    merged = [merge_long(w.encode(), vocabulary.value) for w in found.words.take(pa.array(long)).to_pylist()]
-                    number = at.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
-                    number[long] = np.arange(len(sizes), len(sizes) + len(long))
-                    all_sizes = np.concatenate([sizes, np.fromiter(map(len, merged), np.int64, len(merged))])
-                    all_values = np.concatenate([values, np.array([i for m in merged for i in m], np.int32)])
-                    of_unit, unit_ends = _gathered(all_values, np.cumsum(all_sizes) - all_sizes, all_sizes, number[found.of_unit])
+                    size, start = np.zeros(len(found.words), np.int64), np.zeros(len(found.words), np.int64)
+                    missing, parts, length = np.ones(len(found.words), bool), [], 0
+                    for have, (values, starts, sizes) in ((known, of_known), (words, of_words)):
+                        where = _found_at(found.words, have)
+                        here = np.flatnonzero(missing & (where >= 0))
+                        got, ends = _gathered(values, starts, sizes, where[here])
+                        size[here] = sizes[where[here]]
+                        start[here] = length + ends - size[here]
+                        parts.append(got)
+                        length += len(got)
+                        missing[here] = False
+                    for k in np.flatnonzero(missing).tolist():  # longer than the fold takes
+                        got = merge_long(found.words[k].as_py().encode(), vocabulary.value)
+                        start[k], size[k] = length, len(got)
+                        parts.append(np.array(got, np.int32))
+                        length += len(got)
+                    of_unit, unit_ends = _gathered(np.concatenate(parts).astype(np.int32, copy=False), start, size, found.of_unit)
                     unit_size = np.diff(np.concatenate([[0], unit_ends])[np.append(found.start, len(found.of_unit))])
                     ids, ends = _gathered(of_unit, np.cumsum(unit_size) - unit_size, unit_size, found.units)
                     text_ends = np.concatenate([[0], ends])[np.append(0, found.ends)].astype(np.int32)
@@ -362,9 +391,18 @@ def _put_together(pattern: str, hot, vocabulary, decoded: bool) -> Callable[[Ite
                     if pieces:
                         columns["decoded"] = pieces.decoded(ids, text_ends)
                     yield pa.RecordBatch.from_pydict(columns)
+                    pa.default_memory_pool().release_unused()
     return run
 
 
+def _as_stream(table: pa.Table) -> bytes:
+    """One batch, so that workers read it in place."""
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema) as w:
+        w.write_table(table.combine_chunks())
+    return sink.getvalue().to_pybytes()
+
+
 def encode(docs: DataFrame, vocabulary: str | None = None, pattern: str | None = None, id: str = "doc_id", text: str = "text",
            hot: int = HOT_WORDS, decoded: bool = False) -> DataFrame:
     """(doc_id, ids array<int>) of every row of ``docs``: each match of ``pattern`` encoded by itself, no special tokens.
@@ -375,16 +413,13 @@ def encode(docs: DataFrame, vocabulary: str | None = None, pattern: str | None =
     # at most ``hot`` words of at most FOLD_BYTES bytes
     merged = (hot_words(docs, pattern, text, hot).repartition(spark.sparkContext.defaultParallelism)
               .select("word", merged_ids(F.array("word"), ranks)[0].alias("ids")).toArrow())
-    sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, merged.schema) as w:
-        w.write_table(merged.combine_chunks())  # one batch, so workers read it in place
-    known = spark.sparkContext.broadcast(sink.getvalue().to_pybytes())
+    known, of_known = (spark.sparkContext.broadcast(_as_stream(merged.select([c]))) for c in ("word", "ids"))
     table = spark.sparkContext.broadcast(ranks)
     id_type = docs.schema[id].dataType.simpleString()
     met = (docs.select(F.col(id).alias("doc_id"), F.col(text).alias("text"))
            .mapInArrow(_new_words(pattern, known), f"doc_id {id_type}, text string, fresh boolean, words array<string>"))
     return (met.select("doc_id", "text", "fresh", "words", merged_ids(F.col("words"), ranks).alias("merged"))
-            .mapInArrow(_put_together(pattern, known, table, decoded), f"doc_id {id_type}, ids array<int>" + ", decoded binary" * decoded))
+            .mapInArrow(_put_together(pattern, known, of_known, table, decoded), f"doc_id {id_type}, ids array<int>" + ", decoded binary" * decoded))
 
 
 def _decode(vocabulary) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
