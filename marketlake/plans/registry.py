@@ -548,6 +548,39 @@ def q_upsert_moved_partition(spark, sf_dir):
     return read_table(spark, base, "gold", "pedidos").select("order_id", "order_status", "versao", "ano")
 
 
+def _kpi_changes(lk: Lake) -> list[dict[str, DataFrame]]:
+    """Two change sets: orders bought before 1998 and all their items first (later items wait for their orders); then the
+    orders of 1998, cancellations, orders that move by 40 days, items taken back, and reviews that change to one star."""
+    from .incremental import signed
+    raw = lk.raw
+    orders, items, reviews = raw["olist_orders"], raw["olist_order_items"], raw["olist_order_reviews"]
+    of = lambda rest: F.coalesce(F.substring("order_id", 2, 20).cast("bigint") % 100 == rest, F.lit(False))
+    year = lambda c: F.coalesce(F.year(c), F.lit(0)) >= 1998
+    late, late_review = year("order_purchase_timestamp"), year("review_creation_date")
+    first = {"olist_orders": signed(orders.where(~late), 1), "olist_order_items": signed(items, 1),
+             "olist_order_payments": signed(raw["olist_order_payments"], 1), "olist_order_reviews": signed(reviews.where(~late_review), 1)}
+    now = orders.where(late | of(7) | of(13)).withColumns({
+        "order_status": F.when(of(7), "canceled").otherwise(F.col("order_status")),
+        "order_purchase_timestamp": F.when(of(13), F.col("order_purchase_timestamp") + F.expr("INTERVAL 40 DAYS")).otherwise(F.col("order_purchase_timestamp"))})
+    rated = reviews.where(late_review | of(33)).withColumn("review_score", F.when(of(33), 1).otherwise(F.col("review_score")))
+    second = {"olist_orders": signed(now, 1).unionByName(signed(orders.where(~late & (of(7) | of(13))), -1)),
+              "olist_order_items": signed(items.where(of(21) & (F.col("order_item_id") == 1)), -1),
+              "olist_order_reviews": signed(rated, 1).unionByName(signed(reviews.where(~late_review & of(33)), -1))}
+    return [first, second]
+
+
+@register("kpi_incremental")
+def q_kpi_incremental(spark, sf_dir):
+    """B12 after two change sets with retractions: equal to a full refresh over the changed raw data."""
+    from ..session import scratch_path
+    from .incremental import IncrementalLake
+    lk = lake(spark, sf_dir)
+    inc = IncrementalLake(spark, scratch_path(spark, "incremental"))
+    for changes in _kpi_changes(lk):
+        inc.apply(changes, lk.raw["olist_customers"])
+    return present(inc.kpi())
+
+
 @register("quality_log")
 def q_quality_log(spark, sf_dir):
     """Q8: the log rows of the bronze suite (without the time of the check)."""

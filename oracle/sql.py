@@ -1,6 +1,6 @@
 """Per-query oracle SQL (DuckDB)."""
 
-from .base import ddiff, region_case, with_ctes
+from .base import RAW, ddiff, region_case, with_ctes
 
 ORACLE: dict[str, str] = {}
 
@@ -70,6 +70,16 @@ q("kpi_reviews_monthly", "SELECT * FROM kpi_reviews")
 q("kpi_marketplace_monthly",
   "SELECT * REPLACE (CAST(receita_total AS DOUBLE) AS receita_total) FROM kpi_marketplace_monthly")
 
+OF = "(CAST(substr(order_id, 2) AS BIGINT) % 100 = {})"
+q("kpi_incremental", "SELECT * REPLACE (CAST(receita_total AS DOUBLE) AS receita_total) FROM kpi_marketplace_monthly", {
+    "olist_orders": f"""
+SELECT * REPLACE (CASE WHEN {OF.format(7)} THEN 'canceled' ELSE order_status END AS order_status,
+                  CASE WHEN {OF.format(13)} THEN order_purchase_timestamp + INTERVAL 40 DAY ELSE order_purchase_timestamp END AS order_purchase_timestamp)
+FROM ({RAW['olist_orders']})""",
+    "olist_order_items": f"SELECT * FROM ({RAW['olist_order_items']}) WHERE NOT ({OF.format(21)} AND order_item_id = 1)",
+    "olist_order_reviews": f"""
+SELECT * REPLACE (CASE WHEN {OF.format(33)} THEN CAST(1 AS INTEGER) ELSE review_score END AS review_score) FROM ({RAW['olist_order_reviews']})"""})
+
 
 def oracle_queries() -> dict[str, str]:
     return dict(ORACLE)
