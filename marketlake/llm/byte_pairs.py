@@ -3,7 +3,7 @@
 ``merged_ids`` is the method itself, a Column: the bytes of a word are a string of hexadecimal digits, the state
 of the fold is one array with an entry (rank of the pair that begins here, place of its first byte) for each
 piece, and each step joins the pair of least rank, leftmost first, and looks up the two pairs that changed. The
-ranks are one literal in the plan: an array of small maps, found by the crc32 of a piece.
+ranks are one literal in the plan: an array of small maps, found by the hash of a piece.
 
 ``encode`` asks it for distinct words only. The words met most often in the whole table are merged once
 (``HOT_WORDS`` of them at most, a proven bound of what is broadcast); any other word is merged in the task that
@@ -23,10 +23,12 @@ import heapq
 import json
 import zlib
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,7 +40,7 @@ HOT_WORDS = 800_000
 SEEN_WORDS = 1_000_000
 SLICE_BYTES = 4 << 20
 DECODED_IDS = 1 << 20
-BUCKETS = 4096
+BUCKETS = 16384
 PLACE_BITS = 20
 NO_RANK = 2**31 - 1
 
@@ -67,12 +69,12 @@ def _rank_literal(ranks: dict[bytes, int]) -> Column:
     found: list[dict[str, int]] = [{} for _ in range(BUCKETS)]
     for piece, rank in ranks.items():
         digits = piece.hex().upper()
-        found[zlib.crc32(digits.encode()) % BUCKETS][digits] = rank
+        found[xxhash.xxh64_intdigest(digits, seed=42) % BUCKETS][digits] = rank  # as Spark's xxhash64
     return F.from_json(F.lit(json.dumps(found, separators=(",", ":"))), "array<map<string,int>>")
 
 
 def _rank(found: Column, piece: Column) -> Column:
-    bucket = F.element_at(found, (F.crc32(piece) % BUCKETS + 1).cast("int"))
+    bucket = F.element_at(found, (F.xxhash64(piece).bitwiseAND(F.lit(BUCKETS - 1)) + 1).cast("int"))
     return F.coalesce(F.element_at(bucket, piece), F.lit(NO_RANK))
 
 
@@ -215,8 +217,8 @@ class Cut:
         plain = pc.utf8_is_alpha(core).to_numpy(zero_copy_only=False)
         cut_at = pc.binary_length(core).to_numpy(zero_copy_only=False)
         tailed = plain & (pc.binary_length(units).to_numpy(zero_copy_only=False) > cut_at)
-        asked = [find(" " + u) for u in units.filter(pa.array(~plain)).to_pylist()] + [find(h) for h in begins.to_pylist()]
-        asked_words = pa.array([w for found in asked for w in found], pa.string())
+        asked = list(map(find, pc.binary_join_element_wise("", units.filter(pa.array(~plain)), " ").to_pylist() + begins.to_pylist()))
+        asked_words = pa.array(list(chain.from_iterable(asked)), pa.string())
         stems = pc.binary_join_element_wise("", core.filter(pa.array(plain)), " ")
         tails = pc.replace_substring_regex(units.filter(pa.array(tailed)), r"^[^.,]*", "")
         coded = pa.concat_arrays([stems, tails, asked_words]).dictionary_encode()
@@ -246,7 +248,10 @@ def _count_words(pattern: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[
             met = np.bincount(found.units, minlength=len(found.size))
             n = np.bincount(found.of_unit, np.repeat(met, found.size), len(found.words)).astype(np.int64)
             short = pa.array(found.short())
-            yield pa.RecordBatch.from_arrays([found.words.filter(short), pa.array(n).filter(short)], ["word", "n"])
+            told = pa.RecordBatch.from_arrays([found.words.filter(short), pa.array(n).filter(short)], ["word", "n"])
+            del found
+            yield told
+            pa.default_memory_pool().release_unused()
     return run
 
 
