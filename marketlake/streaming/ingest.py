@@ -1,16 +1,14 @@
 """Incremental CSV ingest into raw (bronze) tables with Structured Streaming.
 
-Two steps per dataset:
-
-1. A file stream over a shared landing folder, filtered to the dataset's file name pattern, appends each new
-   file's path to an arrivals table, exactly once per file (its checkpoint remembers every file);
-   ``availableNow`` drains what is there, in bounded batches, and stops. File contents aren't read.
-2. Arrived files are read in loads of at most ``max_files_per_trigger``. A load is planned (its number and
-   files are written down) before its data are written, and its data go to a folder of its own, so a load
-   that failed is repeated into the same folder: no file is lost or counted twice.
-
-Files are read by their own header: columns are found by name, whatever their order. A file that lacks a
-declared column is refused; a column that isn't declared is added to the table as text (or refused).
+One file stream per dataset over a shared landing folder, filtered to the dataset's file name pattern, gives each new
+file's path exactly once (its checkpoint remembers them); file contents aren't read by it. ``availableNow`` drains
+what is there in micro-batches of at most ``max_files_per_trigger`` files and stops. Each micro-batch is a load
+(``foreachBatch``): its number is the stream's own batch number, and its rows go to a folder of that number, so a
+load that failed is repeated by the stream into the same folder: no file is lost or counted twice. The driver
+holds one batch's paths, whatever was loaded before.
+
+Files are read by their own header, which tasks read: columns are found by name, whatever their order. A file that
+lacks a declared column is refused; a column that isn't declared is added to the table as text (or refused).
 Records that don't fit are kept with their raw text in ``_corrupt_record`` and counted.
 """
 
@@ -19,16 +17,20 @@ from __future__ import annotations
 import csv
 import json
 import time
+import uuid
 from collections import defaultdict
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import RAW_FILES, RAW_SCHEMAS
-from ..sources.files import read_small_text, record_schema, recorded_schema, write_small_text
+from ..session import remove_path
+from ..sources.files import record_schema, recorded_schema, write_small_text
+from ..sources.snapshots import read_small_text
 
 CSV_OPTIONS = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"',
                "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
@@ -76,7 +78,7 @@ class CorruptRecordError(ValueError):
     """A dataset declared to have one line per record has records that don't parse."""
 
 
-# ---------------- step 1: arrivals ----------------
+# ---------------- arrivals ----------------
 
 def arrivals_stream(spark: SparkSession, landing_dir: str, file_glob: str, max_files: int = MAX_FILES,
                     recursive: bool = False) -> DataFrame:
@@ -87,11 +89,6 @@ def arrivals_stream(spark: SparkSession, landing_dir: str, file_glob: str, max_f
     return r.load(landing_dir).select("path", "length")
 
 
-def start_arrivals(stream: DataFrame, checkpoint: str):
-    return (stream.writeStream.format("parquet").outputMode("append").option("checkpointLocation", f"{checkpoint}/stream")
-            .trigger(availableNow=True).start(f"{checkpoint}/arrivals"))
-
-
 def await_all(queries: Mapping[str, object], timeout_s: float | None = None) -> None:
     """Wait until every stream has drained. If one fails or the time runs out, stop the others and raise."""
     deadline = None if timeout_s is None else time.monotonic() + timeout_s
@@ -109,18 +106,40 @@ def await_all(queries: Mapping[str, object], timeout_s: float | None = None) ->
                 q.stop()
 
 
-# ---------------- step 2: loads ----------------
+# ---------------- loads ----------------
 
-def header_of(spark: SparkSession, path: str) -> tuple[str, ...]:
-    """Column names in a file's first line (only that line is read); () for an empty file."""
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    stream = p.getFileSystem(spark._jsc.hadoopConfiguration()).open(p)
-    try:
-        line = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8")).readLine()
-    finally:
-        stream.close()
-    return tuple(next(csv.reader([line.lstrip("﻿")]))) if line else ()
+FIRST_READ = 1 << 16
+
+
+def first_line(uri: str) -> str:
+    """The first line of a file; only as much of it is read."""
+    from pyarrow import fs
+    store, path = fs.FileSystem.from_uri(uri if "://" in uri else uri.replace("file:", "file://", 1))
+    head = b""
+    with store.open_input_stream(path) as f:
+        while b"\n" not in head and (more := f.read(FIRST_READ)):
+            head += more
+    return head.partition(b"\n")[0].rstrip(b"\r").decode("utf-8-sig")
+
+
+def _headers(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in it:
+        lines = [first_line(p) for p in b.column(0).to_pylist()]
+        yield pa.RecordBatch.from_pydict({"path": b.column(0), "header": pa.array(lines, pa.string())})
+
+
+def layouts_of(batch: DataFrame) -> dict[tuple[str, ...], list[str]]:
+    """Column names -> the batch's files that begin with them, read in tasks; files without a line are left out.
+
+    Tasks reach the files through ``pyarrow.fs`` (mounted folders, HDFS, S3, GCS)."""
+    sc = batch.sparkSession.sparkContext
+    # no more rows than files of one micro-batch
+    found = batch.select("path").repartition(sc.defaultParallelism).mapInArrow(_headers, "path string, header string").collect()
+    layouts = defaultdict(list)
+    for r in sorted(found):
+        if r["header"]:
+            layouts[tuple(next(csv.reader([r["header"]])))].append(r["path"])
+    return layouts
 
 
 def read_layout(spark: SparkSession, paths: list[str], header: tuple[str, ...], schema: T.StructType,
@@ -135,76 +154,85 @@ def read_layout(spark: SparkSession, paths: list[str], header: tuple[str, ...],
         CORRUPT, "_ingestion_timestamp", "_source_file")
 
 
-def _plan_path(checkpoint: str, load: int) -> str:
-    return f"{checkpoint}/loads/{load:08d}.json"
-
-
-def _planned(spark: SparkSession, checkpoint: str) -> dict[int, dict]:
-    """All loads planned so far: number -> {"files": [...], "done": bool}."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/loads")
-    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(folder):
-        return {}
-    names = [s.getPath().getName() for s in fs.listStatus(folder)]
-    return {int(n[:-5]): json.loads(read_small_text(spark, f"{checkpoint}/loads/{n}")) for n in sorted(names) if n.endswith(".json")}
-
-
-def load_arrivals(spark: SparkSession, name: str, table_path: str, checkpoint: str, schema: T.StructType,
-                  multi_line: bool = True, on_new_column: str = "widen", max_files: int = MAX_FILES,
-                  deadline: float | None = None) -> IngestResult:
-    """Load every arrived file that no finished load holds; unfinished loads are repeated first."""
-    planned = _planned(spark, checkpoint)
-    listed = {f for plan in planned.values() for f in plan["files"]}
-    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/arrivals")
-    if folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
-        arrived = [r["path"] for r in spark.read.schema("path string").parquet(f"{checkpoint}/arrivals").collect()]  # names of files
-    else:
-        arrived = []
-    fresh = sorted(set(arrived) - listed)
-    number = max(planned, default=-1) + 1
-    for i in range(0, len(fresh), max_files):
-        planned[number] = {"files": fresh[i:i + max_files], "done": False}
-        write_small_text(spark, _plan_path(checkpoint, number), json.dumps(planned[number]))
-        number += 1
-
-    known = recorded_schema(spark, table_path)
-    added = [f.name for f in known.fields if f.name not in schema.names and f.name not in METADATA] if known else []
-    result = IngestResult(table_path, 0, 0)
-    for load, plan in sorted(planned.items()):
-        if plan["done"]:
-            continue
-        if deadline is not None and time.monotonic() > deadline:
-            raise TimeoutError(f"ingest of {name} did not finish in time; load {load} is repeated by the next run")
-        layouts = defaultdict(list)
-        for path in plan["files"]:
-            header = header_of(spark, path)
-            if header:
-                layouts[header].append(path)
+@dataclass
+class Dataset:
+    """One dataset's ingest: where its files go and how they are read. ``load`` is the stream's batch function."""
+
+    name: str
+    table_path: str
+    checkpoint: str
+    schema: T.StructType
+    multi_line: bool = True
+    on_new_column: str = "widen"
+
+    def __post_init__(self):
+        self.result = IngestResult(self.table_path, 0, 0)
+        self.failure: Exception | None = None
+
+    def claim(self, spark: SparkSession) -> None:
+        """Bind the table to this checkpoint: batch numbers of another one would overwrite its loads."""
+        own = read_small_text(spark, f"{self.checkpoint}/ingest_id")
+        if own is None:
+            own = uuid.uuid4().hex
+            write_small_text(spark, f"{self.checkpoint}/ingest_id", own)
+        held = read_small_text(spark, f"{self.table_path}/_ingest_id")
+        if held is None:
+            write_small_text(spark, f"{self.table_path}/_ingest_id", own)
+        elif held != own:
+            raise ValueError(f"{self.table_path} was loaded with another checkpoint than {self.checkpoint}")
+
+    def load(self, batch: DataFrame, number: int) -> None:
+        try:
+            self._load(batch, number)
+        except Exception as e:  # kept for the caller, as the stream reports its text only
+            self.failure = e
+            raise
+
+    def _load(self, batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        known = recorded_schema(spark, self.table_path)
+        added = [f.name for f in known.fields if f.name not in self.schema.names and f.name not in METADATA] if known else []
+        layouts, fresh = layouts_of(batch), []
         for header, paths in layouts.items():
-            missing = [c for c in schema.names if c not in header]
-            new = [c for c in header if c not in schema.names and c not in added]
-            if missing or len(set(header)) < len(header) or (new and on_new_column != "widen"):
-                raise HeaderError(f"{name}: header {header} of {paths[0]} lacks {missing}, has undeclared {new}")
-            added += new
-            result.new_columns += tuple(new)
-        columns = [*schema.names, *added]
-        frames = [read_layout(spark, paths, header, schema, columns, multi_line) for header, paths in layouts.items()]
-        if frames:
-            rows = frames[0]
-            for f in frames[1:]:
-                rows = rows.unionByName(f)
-            seen = Observation(f"load_{name}_{load}")
-            rows = rows.observe(seen, F.count(F.lit(1)).alias("rows"), F.count_if(F.col(CORRUPT).isNotNull()).alias("corrupt"))
-            target = f"{table_path}/{LOAD}={load}"
-            rows.write.mode("overwrite").parquet(target)
-            if not multi_line and seen.get["corrupt"]:
-                raise CorruptRecordError(f"{name}: {seen.get['corrupt']} records of load {load} don't parse line by line; declare it multi-line")
-            record_schema(spark, table_path, T.StructType([*rows.schema.fields, T.StructField(LOAD, T.IntegerType(), True)]))
-            result.rows_added += seen.get["rows"]
-            result.corrupt_rows += seen.get["corrupt"]
-            result.batches += 1
-        write_small_text(spark, _plan_path(checkpoint, load), json.dumps(plan | {"done": True}))
-    return result
+            missing = [c for c in self.schema.names if c not in header]
+            new = [c for c in header if c not in self.schema.names and c not in added + fresh]
+            if missing or len(set(header)) < len(header) or (new and self.on_new_column != "widen"):
+                raise HeaderError(f"{self.name}: header {header} of {paths[0]} lacks {missing}, has undeclared {new}")
+            fresh += new
+        columns = [*self.schema.names, *added, *fresh]
+        frames = [read_layout(spark, paths, header, self.schema, columns, self.multi_line) for header, paths in layouts.items()]
+        if not frames:
+            return
+        rows = frames[0]
+        for f in frames[1:]:
+            rows = rows.unionByName(f)
+        seen = Observation(f"load_{number}_{uuid.uuid4().hex[:8]}")
+        rows = rows.observe(seen, F.count(F.lit(1)).alias("rows"), F.count_if(F.col(CORRUPT).isNotNull()).alias("corrupt"))
+        target = f"{self.table_path}/{LOAD}={number}"
+        rows.write.mode("overwrite").parquet(target)
+        if not self.multi_line and seen.get["corrupt"]:
+            remove_path(spark, target)
+            raise CorruptRecordError(f"{self.name}: {seen.get['corrupt']} records of load {number} don't parse line by line; declare it multi-line")
+        if fresh or known is None:
+            record_schema(spark, self.table_path, T.StructType([*rows.schema.fields, T.StructField(LOAD, T.IntegerType(), True)]))
+        self.result.new_columns += tuple(fresh)
+        self.result.rows_added += seen.get["rows"]
+        self.result.corrupt_rows += seen.get["corrupt"]
+        self.result.batches += 1
+
+
+def drain(spark: SparkSession, arrivals: Mapping[str, DataFrame], datasets: Mapping[str, Dataset], timeout_s: float | None = None) -> None:
+    """Run the streams of some datasets side by side until each has loaded what is there; the first failure is raised."""
+    for d in datasets.values():
+        d.claim(spark)
+    queries = {t: stream.writeStream.foreachBatch(datasets[t].load).option("checkpointLocation", f"{datasets[t].checkpoint}/stream")
+               .trigger(availableNow=True).start() for t, stream in arrivals.items()}
+    try:
+        await_all(queries, timeout_s)
+    except TimeoutError:
+        raise
+    except Exception as e:
+        raise next((d.failure for d in datasets.values() if d.failure is not None), e) from None
 
 
 # ---------------- whole ingest ----------------
@@ -220,18 +248,17 @@ def ingest_csv(spark: SparkSession, landing_dir: str, file_glob: str, table_path
     """
     checkpoint = checkpoint.rstrip("/")
     schema = schema or remembered_schema(spark, landing_dir, file_glob, f"{checkpoint}/schema")
-    max_files = max_files_per_trigger or MAX_FILES
-    deadline = None if timeout_s is None else time.monotonic() + timeout_s
-    await_all({file_glob: start_arrivals(arrivals_stream(spark, landing_dir, file_glob, max_files, recursive), checkpoint)}, timeout_s)
-    return load_arrivals(spark, file_glob, table_path, checkpoint, schema, multi_line, on_new_column, max_files, deadline)
+    dataset = Dataset(file_glob, table_path.rstrip("/"), checkpoint, schema, multi_line, on_new_column)
+    drain(spark, {file_glob: arrivals_stream(spark, landing_dir, file_glob, max_files_per_trigger or MAX_FILES, recursive)}, {file_glob: dataset}, timeout_s)
+    return dataset.result
 
 
 def ingest_all(spark: SparkSession, landing_dir: str, base: str, checkpoint_base: str, layer: str = "bronze",
                datasets: dict[str, str] | None = None, schemas: Mapping[str, T.StructType | None] | None = None,
                timeout_s: float | None = None, subfolders: bool = False, max_files_per_trigger: int | None = MAX_FILES,
                single_line: frozenset[str] = frozenset(), on_new_column: str = "widen") -> dict[str, IngestResult]:
-    """Ingest every dataset; each has its own checkpoint. The arrival streams run concurrently and are
-    awaited together (one failure or the time-out stops all of them and raises); then each dataset is loaded.
+    """Ingest every dataset; each has its own checkpoint. The streams run side by side and are awaited together
+    (one failure or the time-out stops all of them and raises).
     Files are matched by name in one shared landing folder, or with ``subfolders=True`` in
     ``<landing>/<table>/``. ``single_line`` names the datasets declared to have one line per record; all
     others are read as multi-line. A dataset whose schema is None has it inferred once and remembered."""
@@ -239,14 +266,14 @@ def ingest_all(spark: SparkSession, landing_dir: str, base: str, checkpoint_base
     datasets = datasets or RAW_FILES
     schemas = schemas or RAW_SCHEMAS
     max_files = max_files_per_trigger or MAX_FILES
-    deadline = None if timeout_s is None else time.monotonic() + timeout_s
     folder = {t: f"{landing_dir.rstrip('/')}/{t}" if subfolders else landing_dir for t in datasets}
-    checkpoint = {t: f"{checkpoint_base.rstrip('/')}/{t}" for t in datasets}
-    await_all({t: start_arrivals(arrivals_stream(spark, folder[t], glob, max_files), checkpoint[t]) for t, glob in datasets.items()}, timeout_s)
-    return {t: load_arrivals(spark, t, table_path(base, layer, t), checkpoint[t],
-                             schemas[t] or remembered_schema(spark, folder[t], glob, f"{checkpoint[t]}/schema"),
-                             t not in single_line, on_new_column, max_files, deadline)
-            for t, glob in datasets.items()}
+    loads = {}
+    for t, glob in datasets.items():
+        checkpoint = f"{checkpoint_base.rstrip('/')}/{t}"
+        schema = schemas[t] or remembered_schema(spark, folder[t], glob, f"{checkpoint}/schema")
+        loads[t] = Dataset(t, table_path(base, layer, t), checkpoint, schema, t not in single_line, on_new_column)
+    drain(spark, {t: arrivals_stream(spark, folder[t], glob, max_files) for t, glob in datasets.items()}, loads, timeout_s)
+    return {t: d.result for t, d in loads.items()}
 
 
 def write_landing_csv(df: DataFrame, landing_dir: str) -> str:
