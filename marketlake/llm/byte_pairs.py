@@ -38,9 +38,9 @@ DEFAULT_VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 FOLD_BYTES = 64
 HOT_WORDS = 800_000
 SEEN_WORDS = 1_000_000
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 3 << 20
 DECODED_IDS = 1 << 20
-BUCKETS = 16384
+BUCKETS = 8192
 PLACE_BITS = 20
 NO_RANK = 2**31 - 1
 
@@ -178,8 +178,9 @@ def _gathered(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray, picks:
     """The runs ``values[start:start + size]`` of the picked numbers one after another, and where each run ends."""
     size = sizes[picks]
     ends = np.cumsum(size)
-    places = np.repeat(starts[picks] - (ends - size), size)
-    places += np.arange(len(places))
+    kind = np.int32 if max(len(values), int(ends[-1]) if len(ends) else 0) < 2**31 else np.int64
+    places = np.repeat((starts[picks] - (ends - size)).astype(kind), size)
+    places += np.arange(len(places), dtype=kind)
     return values[places], ends
 
 
