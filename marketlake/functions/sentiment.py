@@ -91,3 +91,30 @@ def pandas_lexicon_scorer(df: DataFrame, text_col: str, out_col: str) -> DataFra
             yield pdf.assign(**{out_col: out})
 
     return df.mapInPandas(label, schema)
+
+
+# ---------- learnt from review scores ----------
+
+def score_label(score="review_score") -> Column:
+    """The sentiment that a review's own score stands for: 4 and 5 positive, 3 neutral, 1 and 2 negative."""
+    s = col(score)
+    return F.when(s >= 4, POSITIVE).when(s == 3, NEUTRAL).when(s <= 2, NEGATIVE)
+
+
+def held_out(key="order_id", of: int = 5) -> Column:
+    """Orders that never train a scorer: a fifth, by a hash of their id."""
+    return F.crc32(F.coalesce(col(key).cast("string"), F.lit(""))) % of == 0
+
+
+def learned_scorer(reviews: DataFrame, text: str = "review_comment_message", score: str = "review_score", key: str = "order_id", **options) -> Scorer:
+    """A scorer fitted on the commented reviews of orders that aren't held out; labels come from their scores.
+
+    It labels blank and NULL comments ``sem_comentario``, as the lexicon scorer does, and runs as native expressions."""
+    from ..operators.text_model import fit
+    train = reviews.where(non_blank(text) & ~held_out(key)).select(F.col(text).alias("_text"), score_label(score).alias("_score"))
+    model = fit(train, "_text", "_score", **options)
+
+    def scorer(df: DataFrame, text_col: str, out_col: str) -> DataFrame:
+        return df.withColumn(out_col, F.when(~non_blank(text_col), F.lit(NO_COMMENT)).otherwise(model.label(text_col)))
+    scorer.model = model
+    return scorer

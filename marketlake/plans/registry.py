@@ -106,6 +106,18 @@ def q_reviews_enriched(spark, sf_dir):
     return lake(spark, sf_dir).reviews_enriched
 
 
+@register("sentiment_learned")
+def q_sentiment_learned(spark, sf_dir):
+    """Sentiment learnt from review scores, for all labelled reviews, next to the lexicon's."""
+    from ..functions import sentiment
+    from ..sources.raw_views import labelled_reviews
+    reviews = labelled_reviews(spark, sf_dir)
+    message = "review_comment_message"
+    scored = sentiment.learned_scorer(reviews)(sentiment.lexicon_scorer(reviews, message, "sentimento_lexico"), message, "sentimento")
+    return scored.select("review_id", "review_score", sentiment.held_out().alias("fora_do_treino"), sentiment.score_label().alias("sentimento_da_nota"),
+                         "sentimento", "sentimento_lexico")
+
+
 # ---------------- gold ----------------
 
 @register("dim_customers")

@@ -196,3 +196,16 @@ class RawTables:
 
     def as_dict(self) -> dict[str, DataFrame]:
         return {n: self[n] for n in RAW_BUILDERS}
+
+
+def labelled_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reviews with texts of their own, for learning: the labelled documents as comments, whose quality label gives
+    the score (1 and 2, or 4 and 5). The nine raw datasets' reviews have six messages, unrelated to their scores."""
+    from .tables import read_base
+    labels = read_base(spark, sf_dir, "labels").select("doc_id", "quality")
+    docs = read_base(spark, sf_dir, "documents").select("doc_id", "text")
+    half = F.pmod("doc_id", F.lit(2)).cast("int")
+    return docs.join(labels, "doc_id").select(
+        _k("d", "doc_id").alias("review_id"), _k("d", "doc_id").alias("order_id"),
+        F.when(F.col("quality") == 1, 4 + half).when(F.col("quality") == 0, 1 + half).cast("int").alias("review_score"),
+        F.col("text").alias("review_comment_message"))
