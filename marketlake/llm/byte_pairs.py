@@ -36,9 +36,10 @@ from .common import cut, hold_cache
 
 DEFAULT_VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 FOLD_BYTES = 64
-HOT_WORDS = 800_000
+HOT_WORDS = 1_200_000
 SEEN_WORDS = 1_000_000
-SLICE_BYTES = 3 << 20
+LONG = 1 << 30
+SLICE_BYTES = 4 << 20
 DECODED_IDS = 1 << 20
 BUCKETS = 8192
 PLACE_BITS = 20
@@ -244,15 +245,23 @@ class Cut:
 
 def _count_words(pattern: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def told() -> Iterator[pa.RecordBatch]:
+            summed = pa.Table.from_batches(met).group_by("word").aggregate([("n", "sum")]).rename_columns(["word", "n"])
+            met.clear()
+            yield from summed.to_batches(max_chunksize=1 << 16)
+            pa.default_memory_pool().release_unused()
+
+        met: list[pa.RecordBatch] = []
         for b in _slices(it, 0):
             found = Cut(pattern, b.column(0))
-            met = np.bincount(found.units, minlength=len(found.size))
-            n = np.bincount(found.of_unit, np.repeat(met, found.size), len(found.words)).astype(np.int64)
+            units = np.bincount(found.units, minlength=len(found.size))
+            n = np.bincount(found.of_unit, np.repeat(units, found.size), len(found.words)).astype(np.int64)
             short = pa.array(found.short())
-            told = pa.RecordBatch.from_arrays([found.words.filter(short), pa.array(n).filter(short)], ["word", "n"])
-            del found
-            yield told
-            pa.default_memory_pool().release_unused()
+            met.append(pa.RecordBatch.from_arrays([found.words.filter(short), pa.array(n).filter(short)], ["word", "n"]))
+            if sum(x.num_rows for x in met) > SEEN_WORDS:
+                yield from told()
+        if met:
+            yield from told()
     return run
 
 
@@ -281,9 +290,16 @@ def _found_at(words: pa.Array, known: pa.Array) -> np.ndarray:
     return where
 
 
+_CUT = "doc_id {}, units binary, fresh boolean, words array<string>, long array<string>, refs binary, of_unit binary, size binary"
+
+
 def _new_words(pattern: str, hot) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Adds to the first row of each slice the words that no earlier slice of the partition has and that aren't hot;
-    ``fresh`` where counting begins anew."""
+    """Texts as numbers of their units, and what a slice's units are made of, on its first row.
+
+    ``words``: those that no earlier slice of the partition has and that aren't hot, to be merged next; ``long``:
+    those the fold doesn't take. ``refs``: for each word of the slice, its number among the hot words, or beyond them
+    among the words met so far, or from ``LONG`` among the long ones. ``fresh`` where "so far" begins anew.
+    """
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _hot_words(hot)
         none = pa.array([], pa.string())
@@ -292,18 +308,35 @@ def _new_words(pattern: str, hot) -> Callable[[Iterator[pa.RecordBatch]], Iterat
             if len(seen) > SEEN_WORDS:
                 seen, anew = none, True
             found = Cut(pattern, b.column(1))
-            new = found.words.filter(pa.array(found.short() & (_found_at(found.words, known) < 0) & (_found_at(found.words, seen) < 0)))
-            seen = pa.concat_arrays([seen, new])
+            refs = _found_at(found.words, known)
+            earlier = _found_at(found.words, seen)
+            refs = np.where((refs < 0) & (earlier >= 0), earlier + len(known), refs)
+            short = found.short()
+            new, long = (refs < 0) & short, (refs < 0) & ~short
+            refs[new] = np.arange(len(known) + len(seen), len(known) + len(seen) + int(new.sum()))
+            refs[long] = np.arange(LONG, LONG + int(long.sum()))
+            words = found.words.filter(pa.array(new))
+            seen = pa.concat_arrays([seen, words])
+            rest = [None] * (b.num_rows - 1)
             fresh = np.zeros(b.num_rows, bool)
             fresh[0], anew = anew, False
-            ends = np.full(b.num_rows + 1, len(new), np.int32)
-            ends[0] = 0
+            units, ends = found.units.astype("<i4").tobytes(), np.append(0, found.ends) * 4
+            own = pa.Array.from_buffers(pa.binary(), b.num_rows, [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(units)])
+            tables = [pa.array([x.astype("<i4").tobytes(), *rest], pa.binary()) for x in (refs, found.of_unit, found.size)]
+            lists = [_on_first_row(x, b.num_rows) for x in (words, found.words.filter(pa.array(long)))]
             del found
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(fresh), pa.ListArray.from_arrays(pa.array(ends), new)],
-                                             ["doc_id", "text", "fresh", "words"])
+            yield pa.RecordBatch.from_arrays([b.column(0), own, pa.array(fresh), *lists, *tables],
+                                             ["doc_id", "units", "fresh", "words", "long", "refs", "of_unit", "size"])
+            pa.default_memory_pool().release_unused()
     return run
 
 
+def _on_first_row(values: pa.Array, rows: int) -> pa.ListArray:
+    ends = np.full(rows + 1, len(values), np.int32)
+    ends[0] = 0
+    return pa.ListArray.from_arrays(pa.array(ends), values)
+
+
 def _hot_words(hot) -> pa.Array:
     """The broadcast words, read in place; once for each Python worker."""
     return _kept(hot, lambda table: table.column(0).combine_chunks())
@@ -352,52 +385,55 @@ class Pieces:
         return pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer(at), pa.py_buffer(raw)])
 
 
-def _put_together(pattern: str, hot, hot_ids, vocabulary, decoded: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _put_together(hot_ids, vocabulary, decoded: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, of_known = _hot_words(hot), _hot_ids(hot_ids)
+        hot = _hot_ids(hot_ids)
         pieces = Pieces(vocabulary.value) if decoded else None
         nothing = np.zeros(0, np.int64)
-        words, of_words = pa.array([], pa.string()), (nothing, nothing, nothing)
-        for whole in it:
-            cuts = np.flatnonzero(whole.column(2).to_numpy(zero_copy_only=False))
-            for lo, hi in zip([0, *cuts], [*cuts, whole.num_rows]):
-                part = whole.slice(lo, hi - lo)
-                if not part.num_rows:
+        met = (nothing, nothing, nothing)
+        unit_ids = unit_start = unit_size = None
+        for b in it:
+            firsts = np.flatnonzero(b.column("refs").is_valid().to_numpy(zero_copy_only=False)).tolist()
+            for lo, hi in zip([0, *firsts], [*firsts, b.num_rows]):
+                if lo == hi:
                     continue
-                if part.column(2)[0].as_py():
-                    words, of_words = words.slice(0, 0), (nothing, nothing, nothing)
-                new = part.column(3).flatten()
-                if len(new):
-                    values, sizes = _runs(part.column(4).flatten())
-                    words, sizes = pa.concat_arrays([words, new]), np.concatenate([of_words[2], sizes])
-                    of_words = (np.concatenate([of_words[0], values]), np.cumsum(sizes) - sizes, sizes)
-                for b in _slices(iter([part]), 1):
-                    found = Cut(pattern, b.column(1))
-                    size, start = np.zeros(len(found.words), np.int64), np.zeros(len(found.words), np.int64)
-                    missing, parts, length = np.ones(len(found.words), bool), [], 0
-                    for have, (values, starts, sizes) in ((known, of_known), (words, of_words)):
-                        where = _found_at(found.words, have)
-                        here = np.flatnonzero(missing & (where >= 0))
-                        got, ends = _gathered(values, starts, sizes, where[here])
-                        size[here] = sizes[where[here]]
+                part = b.slice(lo, hi - lo)
+                first = {c: part.column(c)[0] for c in ("fresh", "long", "refs", "of_unit", "size")}
+                if first["refs"].is_valid:
+                    if first["fresh"].as_py():
+                        met = (nothing, nothing, nothing)
+                    new = part.column("merged").slice(0, 1).flatten()
+                    if len(new):
+                        values, sizes = _runs(new)
+                        sizes = np.concatenate([met[2], sizes])
+                        met = (np.concatenate([met[0], values]), np.cumsum(sizes) - sizes, sizes)
+                    refs, of_unit, unit_words = (np.frombuffer(first[c].as_buffer(), "<i4") for c in ("refs", "of_unit", "size"))
+                    long = [np.array(merge_long(w.encode(), vocabulary.value), np.int32) for w in first["long"].as_py()]
+                    long_size = np.fromiter(map(len, long), np.int64, len(long))
+                    of_long = (np.concatenate([nothing, *long]), np.cumsum(long_size) - long_size, long_size)
+                    size, start = np.zeros(len(refs), np.int64), np.zeros(len(refs), np.int64)
+                    parts, length = [], 0
+                    for begin, end, (values, starts, sizes) in ((0, len(hot[2]), hot), (len(hot[2]), LONG, met), (LONG, 2 * LONG, of_long)):
+                        here = np.flatnonzero((refs >= begin) & (refs < end))
+                        got, ends = _gathered(values, starts, sizes, refs[here] - begin)
+                        size[here] = sizes[refs[here] - begin]
                         start[here] = length + ends - size[here]
-                        parts.append(got)
-                        length += len(got)
-                        missing[here] = False
-                    for k in np.flatnonzero(missing).tolist():  # longer than the fold takes
-                        got = merge_long(found.words[k].as_py().encode(), vocabulary.value)
-                        start[k], size[k] = length, len(got)
-                        parts.append(np.array(got, np.int32))
+                        parts.append(got.astype(np.int32, copy=False))
                         length += len(got)
-                    of_unit, unit_ends = _gathered(np.concatenate(parts).astype(np.int32, copy=False), start, size, found.of_unit)
-                    unit_size = np.diff(np.concatenate([[0], unit_ends])[np.append(found.start, len(found.of_unit))])
-                    ids, ends = _gathered(of_unit, np.cumsum(unit_size) - unit_size, unit_size, found.units)
-                    text_ends = np.concatenate([[0], ends])[np.append(0, found.ends)].astype(np.int32)
-                    columns = {"doc_id": b.column(0), "ids": pa.ListArray.from_arrays(pa.array(text_ends), pa.array(ids))}
-                    if pieces:
-                        columns["decoded"] = pieces.decoded(ids, text_ends)
-                    yield pa.RecordBatch.from_pydict(columns)
-                    pa.default_memory_pool().release_unused()
+                    unit_ids, ends = _gathered(np.concatenate(parts), start, size, of_unit)
+                    at = np.append(0, np.cumsum(unit_words, dtype=np.int64))
+                    unit_size = np.diff(np.append(0, ends)[at])
+                    unit_start = np.cumsum(unit_size) - unit_size
+                units = part.column("units")
+                at = np.frombuffer(units.buffers()[1], np.int32)[units.offset:units.offset + len(units) + 1]
+                picks = np.frombuffer(units.buffers()[2], "<i4", int(at[-1] - at[0]) // 4, int(at[0]))
+                ids, ends = _gathered(unit_ids, unit_start, unit_size, picks)
+                text_ends = np.append(0, ends)[(at - at[0]) // 4].astype(np.int32)
+                columns = {"doc_id": part.column("doc_id"), "ids": pa.ListArray.from_arrays(pa.array(text_ends), pa.array(ids, pa.int32()))}
+                if pieces:
+                    columns["decoded"] = pieces.decoded(ids, text_ends)
+                yield pa.RecordBatch.from_pydict(columns)
+                pa.default_memory_pool().release_unused()
     return run
 
 
@@ -422,10 +458,10 @@ def encode(docs: DataFrame, vocabulary: str | None = None, pattern: str | None =
     known, of_known = (spark.sparkContext.broadcast(_as_stream(merged.select([c]))) for c in ("word", "ids"))
     table = spark.sparkContext.broadcast(ranks)
     id_type = docs.schema[id].dataType.simpleString()
-    met = (docs.select(F.col(id).alias("doc_id"), F.col(text).alias("text"))
-           .mapInArrow(_new_words(pattern, known), f"doc_id {id_type}, text string, fresh boolean, words array<string>"))
-    return (met.select("doc_id", "text", "fresh", "words", merged_ids(F.col("words"), ranks).alias("merged"))
-            .mapInArrow(_put_together(pattern, known, of_known, table, decoded), f"doc_id {id_type}, ids array<int>" + ", decoded binary" * decoded))
+    cut_up = (docs.select(F.col(id).alias("doc_id"), F.col(text).alias("text"))
+              .mapInArrow(_new_words(pattern, known), _CUT.format(id_type)))
+    return (cut_up.select("doc_id", "units", "fresh", merged_ids(F.col("words"), ranks).alias("merged"), "long", "refs", "of_unit", "size")
+            .mapInArrow(_put_together(of_known, table, decoded), f"doc_id {id_type}, ids array<int>" + ", decoded binary" * decoded))
 
 
 def _decode(vocabulary) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
