@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, hold_cache
+from .common import WHITE_BEFORE_SPACE, cut, found_at, gathered, hold_cache, slices
 
 DEFAULT_VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 FOLD_BYTES = 64
@@ -159,32 +159,6 @@ def merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 # --- words of texts
 
-# white space (and what Python takes for it) before a space: the units of such a text may hold white space
-_WHITE_BEFORE_SPACE = "[" + "".join(f"\\x{{{c:x}}}" for c in range(0x3001) if chr(c).isspace()) + "] "
-
-
-def _slices(it: Iterator[pa.RecordBatch], text: int) -> Iterator[pa.RecordBatch]:
-    """Runs of rows with about ``SLICE_BYTES`` of text; a longer text is a slice of its own."""
-    for b in it:
-        ends = np.cumsum(pc.binary_length(b.column(text)).fill_null(0).to_numpy(zero_copy_only=False))
-        lo = 0
-        while lo < b.num_rows:
-            before = int(ends[lo - 1]) if lo else 0
-            hi = max(lo + 1, int(np.searchsorted(ends, before + SLICE_BYTES, "right")))
-            yield b.slice(lo, hi - lo)
-            lo = hi
-
-
-def _gathered(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray, picks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The runs ``values[start:start + size]`` of the picked numbers one after another, and where each run ends."""
-    size = sizes[picks]
-    ends = np.cumsum(size)
-    kind = np.int32 if max(len(values), int(ends[-1]) if len(ends) else 0) < 2**31 else np.int64
-    places = np.repeat((starts[picks] - (ends - size)).astype(kind), size)
-    places += np.arange(len(places), dtype=kind)
-    return values[places], ends
-
-
 class Cut:
     """The words of some texts, as numbers into their distinct words.
 
@@ -198,7 +172,7 @@ class Cut:
         import regex
         find = regex.compile(pattern).findall
         texts = texts.fill_null("")
-        odd = pc.match_substring_regex(texts, _WHITE_BEFORE_SPACE)
+        odd = pc.match_substring_regex(texts, WHITE_BEFORE_SPACE)
         parts = pc.split_pattern(texts, " ")
         if odd.true_count:
             split = regex.compile(r"(?<=\S) ").split
@@ -236,7 +210,7 @@ class Cut:
         a, z = len(stems), len(stems) + len(tails)
         self.of_unit[self.start[:len(units)][plain]] = codes[:a]
         self.of_unit[self.start[:len(units)][tailed] + 1] = codes[a:z]
-        asked_at, _ = _gathered(np.arange(len(self.of_unit)), self.start, self.size, other)
+        asked_at, _ = gathered(np.arange(len(self.of_unit)), self.start, self.size, other)
         self.of_unit[asked_at] = codes[z:]
 
     def short(self) -> np.ndarray:
@@ -252,7 +226,7 @@ def _count_words(pattern: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[
             pa.default_memory_pool().release_unused()
 
         met: list[pa.RecordBatch] = []
-        for b in _slices(it, 0):
+        for b in slices(it, 0, SLICE_BYTES):
             found = Cut(pattern, b.column(0))
             units = np.bincount(found.units, minlength=len(found.size))
             n = np.bincount(found.of_unit, np.repeat(units, found.size), len(found.words)).astype(np.int64)
@@ -280,16 +254,6 @@ def hot_words(docs: DataFrame, pattern: str, text: str = "text", most: int = HOT
     return counts.where(level >= least).select("word")
 
 
-def _found_at(words: pa.Array, known: pa.Array) -> np.ndarray:
-    """Where each of the distinct ``words`` is in ``known``, -1 if nowhere. The known words are looked up among the
-    words of a slice, not the other way round, so no table of all known words is built."""
-    where = np.full(len(words), -1, np.int64)
-    at = pc.index_in(known, value_set=words)
-    met = at.is_valid().to_numpy(zero_copy_only=False)
-    where[at.drop_null().to_numpy()] = np.flatnonzero(met)
-    return where
-
-
 _CUT = "doc_id {}, units binary, fresh boolean, words array<string>, long array<string>, refs binary, of_unit binary, size binary"
 
 
@@ -304,12 +268,12 @@ def _new_words(pattern: str, hot) -> Callable[[Iterator[pa.RecordBatch]], Iterat
         known = _hot_words(hot)
         none = pa.array([], pa.string())
         seen, anew = none, True
-        for b in _slices(it, 1):
+        for b in slices(it, 1, SLICE_BYTES):
             if len(seen) > SEEN_WORDS:
                 seen, anew = none, True
             found = Cut(pattern, b.column(1))
-            refs = _found_at(found.words, known)
-            earlier = _found_at(found.words, seen)
+            refs = found_at(found.words, known)
+            earlier = found_at(found.words, seen)
             refs = np.where((refs < 0) & (earlier >= 0), earlier + len(known), refs)
             short = found.short()
             new, long = (refs < 0) & short, (refs < 0) & ~short
@@ -380,7 +344,7 @@ class Pieces:
         """The pieces of each run ``ids[ends[k]:ends[k + 1]]`` one after another."""
         if len(ids) and (ids.min() < 0 or ids.max() >= len(self.sizes) or self.sizes[ids].min() < 0):
             raise ValueError("an id is not in the vocabulary")
-        raw, byte_ends = _gathered(self.data, self.starts, self.sizes, ids)
+        raw, byte_ends = gathered(self.data, self.starts, self.sizes, ids)
         at = np.concatenate([[0], byte_ends])[ends].astype(np.int32)
         return pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer(at), pa.py_buffer(raw)])
 
@@ -415,19 +379,19 @@ def _put_together(hot_ids, vocabulary, decoded: bool) -> Callable[[Iterator[pa.R
                     parts, length = [], 0
                     for begin, end, (values, starts, sizes) in ((0, len(hot[2]), hot), (len(hot[2]), LONG, met), (LONG, 2 * LONG, of_long)):
                         here = np.flatnonzero((refs >= begin) & (refs < end))
-                        got, ends = _gathered(values, starts, sizes, refs[here] - begin)
+                        got, ends = gathered(values, starts, sizes, refs[here] - begin)
                         size[here] = sizes[refs[here] - begin]
                         start[here] = length + ends - size[here]
                         parts.append(got.astype(np.int32, copy=False))
                         length += len(got)
-                    unit_ids, ends = _gathered(np.concatenate(parts), start, size, of_unit)
+                    unit_ids, ends = gathered(np.concatenate(parts), start, size, of_unit)
                     at = np.append(0, np.cumsum(unit_words, dtype=np.int64))
                     unit_size = np.diff(np.append(0, ends)[at])
                     unit_start = np.cumsum(unit_size) - unit_size
                 units = part.column("units")
                 at = np.frombuffer(units.buffers()[1], np.int32)[units.offset:units.offset + len(units) + 1]
                 picks = np.frombuffer(units.buffers()[2], "<i4", int(at[-1] - at[0]) // 4, int(at[0]))
-                ids, ends = _gathered(unit_ids, unit_start, unit_size, picks)
+                ids, ends = gathered(unit_ids, unit_start, unit_size, picks)
                 text_ends = np.append(0, ends)[(at - at[0]) // 4].astype(np.int32)
                 columns = {"doc_id": part.column("doc_id"), "ids": pa.ListArray.from_arrays(pa.array(text_ends), pa.array(ids, pa.int32()))}
                 if pieces:

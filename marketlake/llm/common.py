@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -62,6 +64,42 @@ def batches(it: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.Record
             yield b.slice(i, rows)
 
 
+def slices(it: Iterator[pa.RecordBatch], text: int, size: int) -> Iterator[pa.RecordBatch]:
+    """Runs of rows with about ``size`` bytes in the column ``text``; a row with more is a slice of its own."""
+    for b in it:
+        ends = np.cumsum(pc.binary_length(b.column(text)).fill_null(0).to_numpy(zero_copy_only=False))
+        lo = 0
+        while lo < b.num_rows:
+            before = int(ends[lo - 1]) if lo else 0
+            hi = max(lo + 1, int(np.searchsorted(ends, before + size, "right")))
+            yield b.slice(lo, hi - lo)
+            lo = hi
+
+
+def gathered(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray, picks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs ``values[start:start + size]`` of the picked numbers one after another, and where each run ends."""
+    size = sizes[picks]
+    ends = np.cumsum(size)
+    kind = np.int32 if max(len(values), int(ends[-1]) if len(ends) else 0) < 2**31 else np.int64
+    places = np.repeat((starts[picks] - (ends - size)).astype(kind), size)
+    places += np.arange(len(places), dtype=kind)
+    return values[places], ends
+
+
+def found_at(words: pa.Array, known: pa.Array) -> np.ndarray:
+    """Where each of the distinct ``words`` is in ``known``, -1 if nowhere. The known words are looked up among the
+    words of a slice, not the other way round, so no table of all known words is built."""
+    where = np.full(len(words), -1, np.int64)
+    at = pc.index_in(known, value_set=words)
+    met = at.is_valid().to_numpy(zero_copy_only=False)
+    where[at.drop_null().to_numpy()] = np.flatnonzero(met)
+    return where
+
+
+# white space (and what Python takes for it) before a space: words can't be told from spaces alone
+WHITE_BEFORE_SPACE = "[" + "".join(f"\\x{{{c:x}}}" for c in range(0x3001) if chr(c).isspace()) + "] "
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 60) -> DataFrame:
     """Connected components of an undirected graph: one row (node, component) per node of ``edges``.
 

@@ -24,8 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batches, cut
-from .tokens import default_vocabulary, encoder
+from .common import cut, slices
+from .tokens import SLICE_BYTES, default_vocabulary, encoder
 
 CAPACITY = 1024
 END_ID = 2
@@ -35,9 +35,9 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 def _cut_documents(vocabulary: str, capacity: int, end_id: int) -> Callable:
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, end = encoder(vocabulary).encode, np.array([end_id], "<u4").tobytes()
-        for b in batches(it):
+        for b in slices(it, 1, SLICE_BYTES):
             rows = []
-            for doc, raw in zip(b.column(0).to_pylist(), encode([t or "" for t in b.column(1).to_pylist()])):
+            for doc, raw in zip(b.column(0).to_pylist(), encode(b.column(1))):
                 raw = memoryview(raw + end)
                 n = len(raw) // 4
                 lo, hi, piece = 0, n % capacity or min(n, capacity), 0

@@ -24,8 +24,8 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import batches, cut
-from .tokens import default_vocabulary, encoder
+from .common import cut, slices
+from .tokens import SLICE_BYTES, default_vocabulary, encoder
 
 MAGIC = b"DACT0001"
 SEGMENT = 1 << 18
@@ -186,8 +186,8 @@ def _writer(base: str, vocabulary: str, end_id: int) -> Callable:
         from pyspark import TaskContext
         shard, path, out = TaskContext.get().partitionId(), None, None
         encode, end = encoder(vocabulary).encode, np.array([end_id], "<u4")
-        for b in batches(it):
-            ids, texts = b.column(0).to_pylist(), [t or "" for t in b.column(1).to_pylist()]
+        for b in slices(it, 1, SLICE_BYTES):
+            ids, texts = b.column(0).to_pylist(), b.column(1)
             if out is None:
                 path = f"{base}/shard-{shard:06d}-{uuid.uuid4().hex}.dac"
                 out = ShardWriter(path)
@@ -235,6 +235,10 @@ def _reader(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def read_documents(manifest: DataFrame) -> DataFrame:
-    """Per document, from the files: doc_id, start over all shards, n_tokens, ids_crc32."""
+    """Per document, from the files: doc_id, start over all shards, n_tokens, ids_crc32.
+
+    Shards are read side by side: the manifest is small, so its rows are dealt by a count (one task for each shard, up
+    to what runs at once), which Spark doesn't merge again as it does with small partitions dealt by a key alone."""
+    n = max(1, min(manifest.count(), 4 * manifest.sparkSession.sparkContext.defaultParallelism))
     shards = manifest.select("path", "start")
-    return shards.repartition("path").mapInArrow(_reader, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return shards.repartition(n).mapInArrow(_reader, "doc_id long, start long, n_tokens long, ids_crc32 long")

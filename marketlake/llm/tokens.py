@@ -5,11 +5,14 @@ from __future__ import annotations
 import os
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-from .common import hold_cache
+from .common import WHITE_BEFORE_SPACE, found_at, gathered, hold_cache
 
 DEFAULT_VOCABULARY = "byte_bpe_50k.json"
-CACHE_ENTRIES = 1_200_000
+CACHE_ENTRIES = 1_500_000
+SLICE_BYTES = 4 << 20
 
 _encoders: dict[str, "TextEncoder"] = {}
 
@@ -32,8 +35,8 @@ class TextEncoder:
 
     Pre-tokens are encoded independently of each other, and a space after another character than white
     space always begins one, so ids can be put together word by word. A text with a space after white
-    space, or with the string of an added token, is encoded whole. The cache holds at most ``CACHE_ENTRIES`` words and is emptied when full;
-    it changes the time only.
+    space, or with the string of an added token, is encoded whole. Words and ids are kept in arrays: at most about
+    ``CACHE_ENTRIES`` words, emptied when full, which changes the time only.
     """
 
     def __init__(self, path: str):
@@ -41,61 +44,84 @@ class TextEncoder:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.words: dict[str, bytes | None] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known = pa.array([], pa.string())
+        self.values, self.sizes = np.zeros(0, "<u4"), np.zeros(0, np.int64)
         self.tails: dict[str, bytes] = {}
 
-    def encode(self, texts: list[str]) -> list[bytes]:
+    def encode(self, texts: list[str] | pa.Array) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        if len(self.words) > CACHE_ENTRIES:
-            self.words, self.tails = {}, {}
-        whole = [any(a in t for a in self.added) for t in texts]
-        parts = [[t] if w else t.split(" ") for t, w in zip(texts, whole)]
-        heads = [p[0] for p in parts]
-        for p in parts:
-            del p[0]
-        self._learn(list(set().union(*parts).difference(self.words)))
-        get = self.words.__getitem__
-        out = []
-        for text, head, words in zip(texts, heads, parts):
-            try:
-                if head[-1:].isspace() and words:
-                    raise TypeError
-                out.append(self._whole(head) + b"".join(map(get, words)))
-            except TypeError:  # a word is marked None: white space before a space
-                out.append(self._whole(text))
+        if len(self.known) > CACHE_ENTRIES:
+            self._forget()
+        texts = (texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())).fill_null("")
+        if not len(texts):
+            return []
+        whole = pc.match_substring_regex(texts, WHITE_BEFORE_SPACE)
+        for a in self.added:
+            whole = pc.or_(whole, pc.match_substring(texts, a))
+        parts = pc.split_pattern(pc.if_else(whole, "", texts), " ")
+        flat, offsets = parts.flatten(), parts.offsets.to_numpy()
+        at = offsets - offsets[0]
+        coded = flat.dictionary_encode()
+        units, picks = coded.dictionary, coded.indices.to_numpy().copy()
+        # the beginning of a text has no space before it
+        heads = [self._whole(h) if h else b"" for h in flat.take(pa.array(at[:-1])).to_pylist()]
+        picks[at[:-1]] = np.arange(len(units), len(units) + len(heads))
+        place = found_at(units, self.known)
+        new = place < 0
+        if new.any():
+            self._learn(units.filter(pa.array(new)).to_pylist())
+            place[new] = found_at(units.filter(pa.array(new)), self.known)
+        head_sizes = np.fromiter(map(len, heads), np.int64, len(heads)) // 4
+        sizes = np.concatenate([self.sizes[place], head_sizes])
+        starts = np.concatenate([(np.cumsum(self.sizes) - self.sizes)[place], len(self.values) + np.cumsum(head_sizes) - head_sizes])
+        ids, ends = gathered(np.concatenate([self.values, np.frombuffer(b"".join(heads), "<u4")]), starts, sizes, picks)
+        raw, ends = ids.tobytes(), (4 * np.append(0, ends)[at]).tolist()
+        out = [raw[a:z] for a, z in zip(ends, ends[1:])]
+        for k in np.flatnonzero(whole.to_numpy(zero_copy_only=False)).tolist():
+            out[k] = self._whole(texts[k].as_py())
         return out
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def _learn(self, words: list[str]) -> None:
-        """Each of ``words`` as it stands after a space."""
+        """Each of ``words``, none of them known, as it stands after a space."""
+        fresh: dict[str, bytes] = {}
         plain, ended = set(), []
         for w in words:
-            if not w or w[-1].isspace():
-                self.words[w] = None
+            if not w or w[-1].isspace():  # at the end of a text
+                fresh[w] = self._whole(" " + w)
                 continue
             core = w.rstrip(".,")
             if core != w and core[-1:].isalnum():  # a run of punctuation is a pre-token of its own
                 ended.append((w, core))
                 w = core
-            if w not in self.words:
-                plain.add(w)
-        if plain:
-            self._encode_words(list(plain))
+            plain.add(w)
+        need = list(plain)
+        place = found_at(pa.array(need, pa.string()), self.known)
+        starts = np.cumsum(self.sizes) - self.sizes
+        ids = {w: self.values[starts[k]:starts[k] + self.sizes[k]].tobytes() for w, k in zip(need, place.tolist()) if k >= 0}
+        asked = [w for w in need if w not in ids]
+        if asked:
+            met = self._encode_words(asked)
+            ids.update(met)
+            fresh.update(met)
         for w, core in ended:
             tail = w[len(core):]
             if tail not in self.tails:
                 self.tails[tail] = self._whole(tail)
-            self.words[w] = self.words[core] + self.tails[tail]
+            fresh[w] = ids[core] + self.tails[tail]
+        self.known = pa.concat_arrays([self.known, pa.array(list(fresh), pa.string())])
+        self.values = np.concatenate([self.values, np.frombuffer(b"".join(fresh.values()), "<u4")])
+        self.sizes = np.concatenate([self.sizes, np.fromiter(map(len, fresh.values()), np.int64, len(fresh)) // 4])
 
-    def _encode_words(self, plain: list[str]) -> None:
+    def _encode_words(self, plain: list[str]) -> dict[str, bytes]:
         joined = self.tokenizer.encode(" " + " ".join(plain), add_special_tokens=False)
         starts = np.array(joined.offsets, dtype=np.int64)[:, 0]
         ends = np.cumsum(np.fromiter(map(len, plain), np.int64, len(plain)) + 1)
         cuts = np.searchsorted(starts, ends).tolist()
-        ids, lo = np.array(joined.ids, dtype="<u4"), 0
-        raw = ids.tobytes()
-        for w, hi in zip(plain, cuts):
-            self.words[w] = raw[4 * lo:4 * hi]
-            lo = hi
+        raw = np.array(joined.ids, dtype="<u4").tobytes()
+        return {w: raw[4 * lo:4 * hi] for w, lo, hi in zip(plain, [0, *cuts], cuts)}
