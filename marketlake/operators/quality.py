@@ -106,10 +106,20 @@ def _row(check: Check, i: int, layer: str, table: str) -> Column:
     )
 
 
-def table_checks(df: DataFrame, layer: str, table: str, checks: list[Check]) -> DataFrame:
-    """All column checks of one table in one aggregate pass -> one row per check."""
-    metrics = [m for i, ch in enumerate(checks) for m in _metrics(ch, i)]
-    one = df.agg(F.count(F.lit(1)).alias("_total"), *metrics)
+def check_metrics(checks: list[Check]) -> list[Column]:
+    """What the checks of a table count, as aggregates over its rows. They serve a scan (``table_checks``) and, as
+    ``DataFrame.observe`` metrics, the job that writes the table."""
+    return [F.count(F.lit(1)).alias("_total"), *[m for i, ch in enumerate(checks) for m in _metrics(ch, i)]]
+
+
+def table_checks(df: DataFrame, layer: str, table: str, checks: list[Check], measured: dict | None = None) -> DataFrame:
+    """All column checks of one table in one aggregate pass -> one row per check. ``measured`` holds the metrics if
+    they were counted while the table was written; the table isn't read then."""
+    if measured is None:
+        one = df.agg(*check_metrics(checks))
+    else:
+        named = ["_total", *[f"{k}{i}" for i, ch in enumerate(checks) for k in ("m", "n") if f"{k}{i}" in measured]]
+        one = df.sparkSession.createDataFrame([tuple(int(measured[c] or 0) for c in named)], ", ".join(f"{c} bigint" for c in named))
     rows = F.array(*[_row(ch, i, layer, table) for i, ch in enumerate(checks)])
     return one.select(F.inline(rows))
 

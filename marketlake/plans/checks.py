@@ -15,40 +15,44 @@ from ..operators.quality import (Check, check_fk_integrity, check_no_duplicates,
 from .silver import ORDER_RULES_CODE, rejection_reason
 
 
-def bronze_suite(raw: Mapping[str, DataFrame], s=DEFAULT, expected_counts: Mapping[str, int] | None = None) -> DataFrame:
+Measured = Mapping[str, dict]
+
+
+def column_checks(table: str, s=DEFAULT, expected_counts: Mapping[str, int] | None = None) -> list[Check]:
+    """The checks of a table that count over its rows alone (Q1-Q3, Q5, Q16): those a write can measure."""
+    checks = [Check("non_empty")]
+    checks += {
+        "olist_orders": [Check("not_null", "order_id"),
+                         Check("date_range", "order_purchase_timestamp", s.data_min_date, s.data_max_date, blocking=False)],
+        "olist_order_reviews": [Check("value_range", "review_score", s.review_score_min, s.review_score_max)],
+        "geolocation_aggregated": [Check("not_null", "zip_code_prefix"), Check("value_range", "lat", s.lat_min, s.lat_max),
+                                   Check("value_range", "lng", s.lng_min, s.lng_max)],
+        "orders_enriched": [Check("not_null", "order_id"), Check("value_range", "valor_total_pedido", s.order_total_min, s.order_total_max)],
+        "reviews_enriched": [Check("not_null", "review_id"), Check("value_range", "review_score", s.review_score_min, s.review_score_max)],
+        "fact_sales": [Check("not_null", "date_key")],
+        "fact_reviews": [Check("not_null", "date_key")],
+    }.get(table, [])
+    if table in (expected_counts or {}):
+        checks.append(Check("expected_count", lo=expected_counts[table], blocking=False))
+    return checks
+
+
+def bronze_suite(raw: Mapping[str, DataFrame], s=DEFAULT, expected_counts: Mapping[str, int] | None = None, measured: Measured | None = None) -> DataFrame:
     """Q9: every raw table non-empty; orders: order_id not NULL, purchase date in the expected
-    period (logged only); reviews: score in 1..5. Optional expected volumes (Q16, not blocking)."""
-    exp = expected_counts or {}
-    frames = []
-    for t in s.bronze_tables:
-        checks = [Check("non_empty")]
-        if t == "olist_orders":
-            checks += [Check("not_null", "order_id"),
-                       Check("date_range", "order_purchase_timestamp", s.data_min_date, s.data_max_date, blocking=False)]
-        if t == "olist_order_reviews":
-            checks += [Check("value_range", "review_score", s.review_score_min, s.review_score_max)]
-        if t in exp:
-            checks += [Check("expected_count", lo=exp[t], blocking=False)]
-        frames.append(table_checks(raw[t], s.bronze, t, checks))
-    return union_results(frames)
+    period (logged only); reviews: score in 1..5. Optional expected volumes (Q16, not blocking).
+    Tables whose metrics are in ``measured`` are not read."""
+    m = measured or {}
+    return union_results([table_checks(raw[t], s.bronze, t, column_checks(t, s, expected_counts), m.get(t)) for t in s.bronze_tables])
 
 
 def silver_suite(raw: Mapping[str, DataFrame], silver: Mapping[str, DataFrame], s=DEFAULT,
-                 rules=ORDER_RULES_CODE) -> DataFrame:
+                 rules=ORDER_RULES_CODE, measured: Measured | None = None) -> DataFrame:
     """Q10 (coded) + Q13/Q17 (documented): geo, orders_enriched, reviews_enriched checks,
     quarantine rate under ``rules``, duplicate order ids, score range and sentiment coverage."""
-    L = s.silver
-    geo, oe, rv = silver["geolocation_aggregated"], silver["orders_enriched"], silver["reviews_enriched"]
+    L, m = s.silver, measured or {}
+    oe, rv = silver["orders_enriched"], silver["reviews_enriched"]
     frames = [
-        table_checks(geo, L, "geolocation_aggregated", [
-            Check("non_empty"), Check("not_null", "zip_code_prefix"),
-            Check("value_range", "lat", s.lat_min, s.lat_max), Check("value_range", "lng", s.lng_min, s.lng_max)]),
-        table_checks(oe, L, "orders_enriched", [
-            Check("non_empty"), Check("not_null", "order_id"),
-            Check("value_range", "valor_total_pedido", s.order_total_min, s.order_total_max)]),
-        table_checks(rv, L, "reviews_enriched", [
-            Check("non_empty"), Check("not_null", "review_id"),
-            Check("value_range", "review_score", s.review_score_min, s.review_score_max)]),
+        *[table_checks(silver[t], L, t, column_checks(t, s), m.get(t)) for t in ("geolocation_aggregated", "orders_enriched", "reviews_enriched")],
         check_ratio(raw["olist_orders"], L, "quarantine", "quarantine_rate",
                     F.count_if(rejection_reason(rules).isNotNull()), F.count(F.lit(1)), max_rate=s.max_quarantine_rate),
         check_no_duplicates(oe, L, "orders_enriched", ["order_id"]),
@@ -64,16 +68,11 @@ GOLD_TABLES = ["dim_customers", "dim_sellers", "dim_products", "dim_calendar", "
                "fact_order_items", "fact_reviews", "kpi_marketplace_monthly"]
 
 
-def gold_suite(gold: Mapping[str, DataFrame], s=DEFAULT) -> DataFrame:
+def gold_suite(gold: Mapping[str, DataFrame], s=DEFAULT, measured: Measured | None = None) -> DataFrame:
     """Q11: gold tables non-empty, date keys not NULL in facts, revenue reconciliation.
     Documented Q14/Q15/Q6 checks run when keyed tables are present."""
-    L = s.gold
-    frames = []
-    for t in GOLD_TABLES:
-        checks = [Check("non_empty")]
-        if t in ("fact_sales", "fact_reviews"):
-            checks.append(Check("not_null", "date_key"))
-        frames.append(table_checks(gold[t], L, t, checks))
+    L, m = s.gold, measured or {}
+    frames = [table_checks(gold[t], L, t, column_checks(t, s), m.get(t)) for t in GOLD_TABLES]
     frames.append(check_reconciliation(gold["fact_sales"], "valor_total_pedido",
                                        gold["kpi_marketplace_monthly"], "receita_total", L, "kpi_marketplace_monthly"))
     frames += _star_dims(gold, L)

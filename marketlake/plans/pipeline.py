@@ -1,7 +1,7 @@
 """Layer runners (R1): bronze -> silver -> gold, each followed by its quality suite.
 
-Each table is written once (the write is the only action of its plan). The suite of
-a layer runs over the stored tables, its rows are appended to the layer's quality log
+Each table is written once (the write is the only action of its plan), and its column checks are measured
+by that write. The suite of a layer reads the stored tables only for keys, shares and reconciliation; its rows are appended to the layer's quality log
 in one write, and only then the gate raises if a blocking check failed (Q7).
 """
 
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULT, Settings
 from ..operators.key_map import key_map
-from ..operators.quality import enforce, log_frame
+from ..operators.quality import check_metrics, enforce, log_frame
 from ..sources.files import ensure_layout, read_table, table_path, write_table
 from . import checks, gold, silver
 from .lake import Lake
@@ -31,16 +31,19 @@ class RunReport:
     seconds: dict[str, float] = field(default_factory=dict)
     rows: dict[str, int] = field(default_factory=dict)
     table_seconds: dict[str, float] = field(default_factory=dict)
+    metrics: dict[str, dict] = field(default_factory=dict)
 
 
-def _write(report: RunReport, df: DataFrame, base: str, layer: str, name: str, **kw) -> str:
-    """Write once and take the row count from the same job (``observe``), not from a re-run."""
+def _write(report: RunReport, df: DataFrame, base: str, layer: str, name: str, s: Settings = DEFAULT, **kw) -> str:
+    """Write once, and take the row count and what the table's column checks count from the same job
+    (``observe``), not from another run of its plan or a scan of what was written."""
     t0 = time.perf_counter()
     obs = Observation(f"rows_{layer}_{name}_{report.run_id}")
-    path = write_table(df, base, layer, name, observation=obs, **kw)
+    path = write_table(df, base, layer, name, observation=obs, metrics=check_metrics(checks.column_checks(name, s)), **kw)
     report.table_seconds[name] = round(time.perf_counter() - t0, 3)
     report.tables[name] = path
-    report.rows[name] = int(obs.get.get("rows", 0))
+    report.metrics[name] = obs.get
+    report.rows[name] = int(obs.get.get("_total", 0))
     return path
 
 
@@ -69,24 +72,24 @@ def run_bronze(spark: SparkSession, raw: Mapping[str, DataFrame] | None, base: s
     were already written by the streaming ingest (``streaming.ingest_all``) and are only checked."""
     if raw is not None:
         for t in s.bronze_tables:
-            _write(report, raw[t], base, s.bronze, t)
+            _write(report, raw[t], base, s.bronze, t, s)
     stored = {t: read_table(spark, base, s.bronze, t) for t in s.bronze_tables}
-    _gate(spark, checks.bronze_suite(stored, s), base, s.bronze, report.run_id, report, gate, relax)
+    _gate(spark, checks.bronze_suite(stored, s, measured=report.metrics), base, s.bronze, report.run_id, report, gate, relax)
     return stored
 
 
 def run_silver(spark: SparkSession, bronze: Mapping[str, DataFrame], base: str, report: RunReport,
                s: Settings = DEFAULT, gate: bool = True, relax=frozenset()) -> dict[str, DataFrame]:
-    _write(report, silver.geolocation_aggregated(bronze, s), base, s.silver, "geolocation_aggregated")
-    _write(report, silver.orders_enriched(bronze), base, s.silver, "orders_enriched")
+    _write(report, silver.geolocation_aggregated(bronze, s), base, s.silver, "geolocation_aggregated", s)
+    _write(report, silver.orders_enriched(bronze), base, s.silver, "orders_enriched", s)
     # quarantine: partitioned by run, so a re-run replaces its own rows and keeps other runs
     q = silver.quarantine(bronze).withColumn("run_id", F.lit(report.run_id))
-    _write(report, q, base, s.silver, "quarantine", mode="overwrite", partition_by=["run_id"],
+    _write(report, q, base, s.silver, "quarantine", s, mode="overwrite", partition_by=["run_id"],
            cluster_by=["customer_id", "order_purchase_timestamp"], dynamic_partitions=True)
-    _write(report, silver.reviews_enriched(bronze), base, s.silver, "reviews_enriched")
+    _write(report, silver.reviews_enriched(bronze), base, s.silver, "reviews_enriched", s)
     stored = {t: read_table(spark, base, s.silver, t)
               for t in ("geolocation_aggregated", "orders_enriched", "reviews_enriched")}
-    _gate(spark, checks.silver_suite(bronze, stored, s), base, s.silver, report.run_id, report, gate, relax)
+    _gate(spark, checks.silver_suite(bronze, stored, s, measured=report.metrics), base, s.silver, report.run_id, report, gate, relax)
     return stored
 
 
@@ -103,20 +106,20 @@ def run_gold(spark: SparkSession, bronze: Mapping[str, DataFrame], silver_t: Map
         "dim_calendar": gold.dim_calendar(oe, s),
     }
     for t, df in out.items():
-        _write(report, df, base, G, t)
+        _write(report, df, base, G, t, s)
     fs = gold.fact_sales(oe).withColumns({"ano": (F.col("date_key") / 10000).cast("int"),
                                           "mes": (F.col("date_key") / 100 % 100).cast("int")})
     # Fact partitioned by year and month (partition pruning for period filters)
-    _write(report, fs, base, G, "fact_sales", partition_by=["ano", "mes"], cluster_by=["order_id"])
-    _write(report, gold.fact_reviews(rv), base, G, "fact_reviews")
-    _write(report, gold.fact_order_items(bronze["olist_order_items"]), base, G, "fact_order_items")
+    _write(report, fs, base, G, "fact_sales", s, partition_by=["ano", "mes"], cluster_by=["order_id"])
+    _write(report, gold.fact_reviews(rv), base, G, "fact_reviews", s)
+    _write(report, gold.fact_order_items(bronze["olist_order_items"]), base, G, "fact_order_items", s)
     stored = {t: read_table(spark, base, G, t) for t in report.tables if t in checks.GOLD_TABLES}
     kpi = gold.kpi_marketplace_monthly(stored["fact_sales"], stored["fact_reviews"], bronze["olist_order_items"])
-    _write(report, kpi, base, G, "kpi_marketplace_monthly")
+    _write(report, kpi, base, G, "kpi_marketplace_monthly", s)
     stored["kpi_marketplace_monthly"] = read_table(spark, base, G, "kpi_marketplace_monthly")
     if documented:
         stored.update(_documented_star(spark, bronze, silver_t, stored, base, report, s))
-    results = checks.gold_suite({t: stored[t] for t in checks.GOLD_TABLES}, s)
+    results = checks.gold_suite({t: stored[t] for t in checks.GOLD_TABLES}, s, measured=report.metrics)
     if documented:
         results = results.unionByName(checks.star_suite(stored, bronze["olist_order_items"], oe, s))
     _gate(spark, results, base, G, report.run_id, report, gate, relax)
@@ -136,24 +139,24 @@ def _documented_star(spark, bronze, silver_t, stored, base, report, s) -> dict[s
                                       ("product_id", "product_key", bronze["olist_products"])):
         keys[surrogate] = key_map(spark, base, business, surrogate, s)
         keys[surrogate].assign(rows, report.run_id)
-    _write(report, gold.dim_customers_keyed(stored["dim_customers"], geo, s, keys["customer_key"]), base, G, "dim_customers_keyed")
-    _write(report, gold.dim_sellers_keyed(stored["dim_sellers"], geo, s, keys["seller_key"]), base, G, "dim_sellers_keyed")
+    _write(report, gold.dim_customers_keyed(stored["dim_customers"], geo, s, keys["customer_key"]), base, G, "dim_customers_keyed", s)
+    _write(report, gold.dim_sellers_keyed(stored["dim_sellers"], geo, s, keys["seller_key"]), base, G, "dim_sellers_keyed", s)
     _write(report, gold.dim_products_keyed(bronze["olist_products"], bronze["product_category_names"], s, keys["product_key"]),
-           base, G, "dim_products_keyed")
+           base, G, "dim_products_keyed", s)
     keyed = {t: read_table(spark, base, G, t) for t in ("dim_customers_keyed", "dim_sellers_keyed",
                                                         "dim_products_keyed")}
     sources = {"customer": keyed["dim_customers_keyed"], "product": keyed["dim_products_keyed"],
                "seller": keyed["dim_sellers_keyed"]}
     fsi = gold.fact_sales_item(bronze["olist_order_items"], oe, keyed["dim_customers_keyed"],
                                keyed["dim_products_keyed"], keyed["dim_sellers_keyed"], sources)
-    _write(report, fsi, base, G, "fact_sales_item", partition_by=["ano", "mes"], cluster_by=["order_id"])
+    _write(report, fsi, base, G, "fact_sales_item", s, partition_by=["ano", "mes"], cluster_by=["order_id"])
     rc = gold.reviews_context(silver_t["reviews_enriched"], silver.orders_sla(bronze), bronze["olist_order_items"],
                               bronze["olist_products"], bronze["olist_sellers"], bronze["product_category_names"])
-    _write(report, rc, base, G, "reviews_context")
+    _write(report, rc, base, G, "reviews_context", s)
     frk = gold.fact_reviews_keyed(read_table(spark, base, G, "reviews_context"), oe, keyed["dim_customers_keyed"],
                                   keyed["dim_products_keyed"], keyed["dim_sellers_keyed"], sources)
-    _write(report, frk, base, G, "fact_reviews_keyed")
-    _write(report, gold.dim_time_pt(gold.documented_bounds(spark, s)), base, G, "dim_time_pt")
+    _write(report, frk, base, G, "fact_reviews_keyed", s)
+    _write(report, gold.dim_time_pt(gold.documented_bounds(spark, s)), base, G, "dim_time_pt", s)
     # items that no valid order claims are counted, not lost in silence
     report.rows["items_without_order"] = gold.items_without_order(bronze["olist_order_items"], oe).count()
     out = dict(keyed)

@@ -593,6 +593,51 @@ def q_kpi_incremental(spark, sf_dir):
     return present(inc.kpi())
 
 
+def _stored_sketches(spark, lk: Lake):
+    from ..session import scratch_path
+    from . import sketches
+    base = scratch_path(spark, "sketches")
+    sketches.store(lk, base)
+    return sketches.stored_states(spark, base)
+
+
+@register("distinct_sketch_quarters")
+def q_distinct_sketch_quarters(spark, sf_dir):
+    """Distinct customers and sellers per quarter and state from stored daily sketches, next to the exact
+    counts; whether they agree within four standard errors."""
+    from . import sketches
+    lk = lake(spark, sf_dir)
+    states, _ = _stored_sketches(spark, lk)
+    quarter = ((F.col("date_key") / 10000).cast("int") * 10 + F.ceil((F.col("date_key") / 100 % 100).cast("int") / 3).cast("int")).alias("ano_trimestre")
+    estimated = sketches.distinct_in(states, 19960101, 19971231, by=[quarter, F.col("estado")])
+    of_state = lk.customer_latest.select("customer_unique_id", F.col("customer_state").alias("estado"))
+    sold = lk.fact_sales.where("date_key BETWEEN 19960101 AND 19971231").join(of_state, "customer_unique_id")
+    sellers = sold.join(lk.raw["olist_order_items"].select("order_id", "seller_id"), "order_id")
+    exact = (sold.groupBy(quarter, "estado").agg(F.count_distinct("customer_unique_id").alias("_c"))
+             .join(sellers.groupBy(quarter, "estado").agg(F.count_distinct("seller_id").alias("_s")), ["ano_trimestre", "estado"], "left"))
+    near = lambda a, b: F.abs(F.col(a) - F.col(b)) <= F.greatest(F.lit(1.0), 4 * sketches.DISTINCT_ERROR * F.col(b))
+    return estimated.join(exact, ["ano_trimestre", "estado"], "full").select(
+        "ano_trimestre", "estado", "qtd_pedidos", F.col("_c").alias("clientes_exatos"), F.col("_s").alias("sellers_exatos"),
+        near("clientes", "_c").alias("clientes_no_limite"), near("sellers", "_s").alias("sellers_no_limite"))
+
+
+@register("price_sketch_by_category")
+def q_price_sketch_by_category(spark, sf_dir):
+    """Median and 90th percentile price per category from stored daily sketches: whether their exact ranks
+    are within the rank error."""
+    from . import sketches
+    lk = lake(spark, sf_dir)
+    _, states = _stored_sketches(spark, lk)
+    q = sketches.prices_in(states, 19960101, 19971231, [0.5, 0.9], by=["categoria"])
+    day = lk.fact_sales.where("date_key BETWEEN 19960101 AND 19971231").select("order_id")
+    items = lk.fact_order_items.where("preco_produto IS NOT NULL").join(day, "order_id").join(lk.dim_products, "product_id", "left")
+    ranked = items.select(F.coalesce("product_category", F.lit("unknown")).alias("categoria"), F.col("preco_produto").cast("double").alias("p")).join(q, "categoria")
+    rank = lambda c: F.count_if(F.col("p") < F.col(c)) / F.count(F.lit(1)).cast("double")
+    upto = lambda c: F.count_if(F.col("p") <= F.col(c)) / F.count(F.lit(1)).cast("double")
+    within = lambda c, at: (rank(c) <= at + 2 * sketches.RANK_ERROR) & (upto(c) >= at - 2 * sketches.RANK_ERROR)
+    return ranked.groupBy("categoria").agg(F.max("qtd_itens").alias("qtd_itens"), within("q50", 0.5).alias("mediana_no_limite"), within("q90", 0.9).alias("p90_no_limite"))
+
+
 @register("quality_log")
 def q_quality_log(spark, sf_dir):
     """Q8: the log rows of the bronze suite (without the time of the check)."""

@@ -113,7 +113,7 @@ def register(spark: SparkSession, base: str, layer: str, name: str, schema=None)
 def write_table(df: DataFrame, base: str, layer: str, name: str, mode: str = "overwrite",
                 partition_by: list[str] | None = None, dynamic_partitions: bool = False,
                 register_table: bool = True, cluster_by: list[str] | None = None,
-                observation=None, files_per_partition: int = 8) -> str:
+                observation=None, files_per_partition: int = 8, metrics: list | None = None) -> str:
     """Full refresh (overwrite data and schema) or append; optional Hive-style partitions.
 
     A full refresh writes a new version folder and then publishes it (``snapshots``), so a failed write leaves
@@ -124,8 +124,8 @@ def write_table(df: DataFrame, base: str, layer: str, name: str, mode: str = "ov
     tasks, so a hot one is split, the file count stays bounded, and no sampling pass is needed.
     Without it the frame's own distribution is kept (never one task per partition value).
     ``dynamic_partitions`` overwrites only the partitions present in ``df`` (incremental loads); it and
-    ``append`` work on the current version. ``observation`` (a ``pyspark.sql.Observation``) receives the
-    written row count as ``rows``.
+    ``append`` work on the current version. ``observation`` (a ``pyspark.sql.Observation``) receives ``metrics``
+    of the written rows, or their count as ``rows``.
     """
     spark = df.sparkSession
     root = table_path(base, layer, name)
@@ -134,7 +134,7 @@ def write_table(df: DataFrame, base: str, layer: str, name: str, mode: str = "ov
         salt = F.pmod(F.xxhash64(*cluster_by), F.lit(files_per_partition))
         df = df.repartition(*[F.col(c) for c in partition_by], salt)
     if observation is not None:
-        df = df.observe(observation, F.count(F.lit(1)).alias("rows"))
+        df = df.observe(observation, *(metrics or [F.count(F.lit(1)).alias("rows")]))
     w = df.write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)

@@ -80,6 +80,20 @@ FROM ({RAW['olist_orders']})""",
     "olist_order_reviews": f"""
 SELECT * REPLACE (CASE WHEN {OF.format(33)} THEN CAST(1 AS INTEGER) ELSE review_score END AS review_score) FROM ({RAW['olist_order_reviews']})"""})
 
+SOLD = """
+SELECT f.order_id, f.date_key, f.customer_unique_id, c.customer_state AS estado,
+       CAST(f.date_key // 10000 * 10 + ceil(f.date_key // 100 % 100 / 3.0) AS INTEGER) AS ano_trimestre
+FROM fact_sales f JOIN dim_customers c ON f.customer_unique_id = c.customer_unique_id
+WHERE f.date_key BETWEEN 19960101 AND 19971231"""
+q("distinct_sketch_quarters", """
+SELECT ano_trimestre, estado, COUNT(DISTINCT s.order_id) AS qtd_pedidos, COUNT(DISTINCT customer_unique_id) AS clientes_exatos,
+       COUNT(DISTINCT seller_id) AS sellers_exatos, TRUE AS clientes_no_limite, TRUE AS sellers_no_limite
+FROM sold s LEFT JOIN olist_order_items i ON i.order_id = s.order_id GROUP BY ALL""", {"sold": SOLD})
+q("price_sketch_by_category", """
+SELECT COALESCE(product_category, 'unknown') AS categoria, COUNT(*) AS qtd_itens, TRUE AS mediana_no_limite, TRUE AS p90_no_limite
+FROM fact_order_items i JOIN fact_sales f ON f.order_id = i.order_id LEFT JOIN dim_products p ON p.product_id = i.product_id
+WHERE i.preco_produto IS NOT NULL AND f.date_key BETWEEN 19960101 AND 19971231 GROUP BY 1""")
+
 
 def oracle_queries() -> dict[str, str]:
     return dict(ORACLE)
