@@ -23,7 +23,6 @@ import heapq
 import json
 import zlib
 from collections.abc import Callable, Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +31,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WHITE_BEFORE_SPACE, cut, found_at, gathered, hold_cache, slices
+from .common import cut, found_at, gathered, hold_cache, slices
+from .words import Cut, default_pattern
 
 DEFAULT_VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 FOLD_BYTES = 64
@@ -53,11 +53,6 @@ def default_vocabulary() -> str:
     return public_tokenizers.path(DEFAULT_VOCABULARY)
 
 
-def default_pattern() -> str:
-    import public_tokenizers
-    return public_tokenizers.PATTERN
-
-
 def load_ranks(path: str) -> dict[bytes, int]:
     """Piece -> rank (which is also its id) of a rank file: a base64 piece and a number on each line."""
     with open(path, "rb") as f:
@@ -159,64 +154,6 @@ def merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 # --- words of texts
 
-class Cut:
-    """The words of some texts, as numbers into their distinct words.
-
-    A text is cut into units at each space after another character than white space, where a word always begins.
-    Distinct units are cut into words by the pattern; units of letters, with full stops or commas behind them,
-    without asking it. ``words``: distinct words; the words of unit u are ``of_unit[start[u]:start[u] + size[u]]``;
-    the units of text t are ``units[ends[t - 1]:ends[t]]``.
-    """
-
-    def __init__(self, pattern: str, texts: pa.Array):
-        import regex
-        find = regex.compile(pattern).findall
-        texts = texts.fill_null("")
-        odd = pc.match_substring_regex(texts, WHITE_BEFORE_SPACE)
-        parts = pc.split_pattern(texts, " ")
-        if odd.true_count:
-            split = regex.compile(r"(?<=\S) ").split
-            kept = pa.array([split(t) for t in texts.filter(odd).to_pylist()], pa.list_(pa.string()))
-            at = np.arange(len(texts))
-            at[odd.to_numpy(zero_copy_only=False)] = np.arange(len(texts), len(texts) + len(kept))
-            parts = pa.concat_arrays([parts, kept]).take(pa.array(at))
-        flat = parts.flatten()
-        offsets = parts.offsets.to_numpy() - parts.offsets[0].as_py()
-        self.ends = offsets[1:]
-        coded = flat.dictionary_encode()
-        units = coded.dictionary
-        self.units = coded.indices.to_numpy().copy()
-        # the beginning of a text has no space before it: a unit of its own for each text
-        begins = flat.take(pa.array(offsets[:-1]))
-        self.units[offsets[:-1]] = np.arange(len(units), len(units) + len(texts))
-        core = pc.utf8_rtrim(units, characters=".,")
-        plain = pc.utf8_is_alpha(core).to_numpy(zero_copy_only=False)
-        cut_at = pc.binary_length(core).to_numpy(zero_copy_only=False)
-        tailed = plain & (pc.binary_length(units).to_numpy(zero_copy_only=False) > cut_at)
-        asked = list(map(find, pc.binary_join_element_wise("", units.filter(pa.array(~plain)), " ").to_pylist() + begins.to_pylist()))
-        asked_words = pa.array(list(chain.from_iterable(asked)), pa.string())
-        stems = pc.binary_join_element_wise("", core.filter(pa.array(plain)), " ")
-        tails = pc.replace_substring_regex(units.filter(pa.array(tailed)), r"^[^.,]*", "")
-        coded = pa.concat_arrays([stems, tails, asked_words]).dictionary_encode()
-        self.words, codes = coded.dictionary, coded.indices.to_numpy()
-        self.size = np.zeros(len(units) + len(texts), np.int64)
-        self.size[:len(units)][plain] = 1
-        self.size[:len(units)][tailed] = 2
-        other = np.concatenate([np.flatnonzero(~plain), np.arange(len(units), len(self.size))])
-        self.size[other] = np.fromiter(map(len, asked), np.int64, len(asked))
-        ends = np.cumsum(self.size)
-        self.start = ends - self.size
-        self.of_unit = np.zeros(int(ends[-1]) if len(ends) else 0, np.int64)
-        a, z = len(stems), len(stems) + len(tails)
-        self.of_unit[self.start[:len(units)][plain]] = codes[:a]
-        self.of_unit[self.start[:len(units)][tailed] + 1] = codes[a:z]
-        asked_at, _ = gathered(np.arange(len(self.of_unit)), self.start, self.size, other)
-        self.of_unit[asked_at] = codes[z:]
-
-    def short(self) -> np.ndarray:
-        return pc.binary_length(self.words).to_numpy(zero_copy_only=False) <= FOLD_BYTES
-
-
 def _count_words(pattern: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def told() -> Iterator[pa.RecordBatch]:
@@ -230,7 +167,7 @@ def _count_words(pattern: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[
             found = Cut(pattern, b.column(0))
             units = np.bincount(found.units, minlength=len(found.size))
             n = np.bincount(found.of_unit, np.repeat(units, found.size), len(found.words)).astype(np.int64)
-            short = pa.array(found.short())
+            short = pa.array(found.short(FOLD_BYTES))
             met.append(pa.RecordBatch.from_arrays([found.words.filter(short), pa.array(n).filter(short)], ["word", "n"]))
             if sum(x.num_rows for x in met) > SEEN_WORDS:
                 yield from told()
@@ -275,7 +212,7 @@ def _new_words(pattern: str, hot) -> Callable[[Iterator[pa.RecordBatch]], Iterat
             refs = found_at(found.words, known)
             earlier = found_at(found.words, seen)
             refs = np.where((refs < 0) & (earlier >= 0), earlier + len(known), refs)
-            short = found.short()
+            short = found.short(FOLD_BYTES)
             new, long = (refs < 0) & short, (refs < 0) & ~short
             refs[new] = np.arange(len(known) + len(seen), len(known) + len(seen) + int(new.sum()))
             refs[long] = np.arange(LONG, LONG + int(long.sum()))

@@ -1,4 +1,4 @@
-"""Byte-pair token ids of whole texts, with a cache of space-delimited words per Python worker."""
+"""Byte-pair token ids of whole texts; the library is asked once per distinct word and Python worker."""
 
 from __future__ import annotations
 
@@ -8,10 +8,12 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from .common import WHITE_BEFORE_SPACE, found_at, gathered, hold_cache
+from .common import found_at, gathered, hold_cache
+from .words import Cut, default_pattern
 
 DEFAULT_VOCABULARY = "byte_bpe_50k.json"
-CACHE_ENTRIES = 1_500_000
+CACHE_WORDS = 1_500_000
+CACHE_BYTES = 64 << 20
 SLICE_BYTES = 4 << 20
 
 _encoders: dict[str, "TextEncoder"] = {}
@@ -31,12 +33,12 @@ def encoder(path: str) -> "TextEncoder":
 
 
 class TextEncoder:
-    """Ids of the tokenizers library, asked once for each distinct space-delimited word.
+    """Ids of the tokenizers library, asked once for each distinct word.
 
-    Pre-tokens are encoded independently of each other, and a space after another character than white
-    space always begins one, so ids can be put together word by word. A text with a space after white
-    space, or with the string of an added token, is encoded whole. Words and ids are kept in arrays: at most about
-    ``CACHE_ENTRIES`` words, emptied when full, which changes the time only.
+    Words are those of the byte-level pattern: the library cuts a text at the same places and encodes each word by
+    itself, so ids can be put together word by word (a word that the library cuts further gives the same ids too). A
+    text with the string of an added token is encoded whole. Words and ids are kept in arrays, and forgotten when there
+    are over ``CACHE_WORDS`` or ``CACHE_BYTES``, which changes the time only.
     """
 
     def __init__(self, path: str):
@@ -44,41 +46,35 @@ class TextEncoder:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.pattern = default_pattern()
         self._forget()
 
     def _forget(self) -> None:
         self.known = pa.array([], pa.string())
         self.values, self.sizes = np.zeros(0, "<u4"), np.zeros(0, np.int64)
-        self.tails: dict[str, bytes] = {}
 
     def encode(self, texts: list[str] | pa.Array) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        if len(self.known) > CACHE_ENTRIES:
+        if len(self.known) > CACHE_WORDS or self.known.nbytes > CACHE_BYTES:
             self._forget()
         texts = (texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())).fill_null("")
         if not len(texts):
             return []
-        whole = pc.match_substring_regex(texts, WHITE_BEFORE_SPACE)
+        whole = pa.array(np.zeros(len(texts), bool))
         for a in self.added:
             whole = pc.or_(whole, pc.match_substring(texts, a))
-        parts = pc.split_pattern(pc.if_else(whole, "", texts), " ")
-        flat, offsets = parts.flatten(), parts.offsets.to_numpy()
-        at = offsets - offsets[0]
-        coded = flat.dictionary_encode()
-        units, picks = coded.dictionary, coded.indices.to_numpy().copy()
-        # the beginning of a text has no space before it
-        heads = [self._whole(h) if h else b"" for h in flat.take(pa.array(at[:-1])).to_pylist()]
-        picks[at[:-1]] = np.arange(len(units), len(units) + len(heads))
-        place = found_at(units, self.known)
+        found = Cut(self.pattern, pc.if_else(whole, "", texts) if whole.true_count else texts)
+        place = found_at(found.words, self.known)
         new = place < 0
         if new.any():
-            self._learn(units.filter(pa.array(new)).to_pylist())
-            place[new] = found_at(units.filter(pa.array(new)), self.known)
-        head_sizes = np.fromiter(map(len, heads), np.int64, len(heads)) // 4
-        sizes = np.concatenate([self.sizes[place], head_sizes])
-        starts = np.concatenate([(np.cumsum(self.sizes) - self.sizes)[place], len(self.values) + np.cumsum(head_sizes) - head_sizes])
-        ids, ends = gathered(np.concatenate([self.values, np.frombuffer(b"".join(heads), "<u4")]), starts, sizes, picks)
-        raw, ends = ids.tobytes(), (4 * np.append(0, ends)[at]).tolist()
+            fresh = found.words.filter(pa.array(new))
+            place[new] = np.arange(len(self.known), len(self.known) + len(fresh))
+            self._learn(fresh)
+        starts = (np.cumsum(self.sizes) - self.sizes)[place]
+        unit_ids, ends = gathered(self.values, starts, self.sizes[place], found.of_unit)
+        size = np.diff(np.append(0, ends)[np.append(found.start, len(found.of_unit))])
+        ids, ends = gathered(unit_ids, np.cumsum(size) - size, size, found.units)
+        raw, ends = ids.tobytes(), (4 * np.append(0, ends)[np.append(0, found.ends)]).tolist()
         out = [raw[a:z] for a, z in zip(ends, ends[1:])]
         for k in np.flatnonzero(whole.to_numpy(zero_copy_only=False)).tolist():
             out[k] = self._whole(texts[k].as_py())
@@ -87,41 +83,22 @@ class TextEncoder:
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
-    def _learn(self, words: list[str]) -> None:
-        """Each of ``words``, none of them known, as it stands after a space."""
-        fresh: dict[str, bytes] = {}
-        plain, ended = set(), []
-        for w in words:
-            if not w or w[-1].isspace():  # at the end of a text
-                fresh[w] = self._whole(" " + w)
-                continue
-            core = w.rstrip(".,")
-            if core != w and core[-1:].isalnum():  # a run of punctuation is a pre-token of its own
-                ended.append((w, core))
-                w = core
-            plain.add(w)
-        need = list(plain)
-        place = found_at(pa.array(need, pa.string()), self.known)
-        starts = np.cumsum(self.sizes) - self.sizes
-        ids = {w: self.values[starts[k]:starts[k] + self.sizes[k]].tobytes() for w, k in zip(need, place.tolist()) if k >= 0}
-        asked = [w for w in need if w not in ids]
-        if asked:
-            met = self._encode_words(asked)
-            ids.update(met)
-            fresh.update(met)
-        for w, core in ended:
-            tail = w[len(core):]
-            if tail not in self.tails:
-                self.tails[tail] = self._whole(tail)
-            fresh[w] = ids[core] + self.tails[tail]
-        self.known = pa.concat_arrays([self.known, pa.array(list(fresh), pa.string())])
-        self.values = np.concatenate([self.values, np.frombuffer(b"".join(fresh.values()), "<u4")])
-        self.sizes = np.concatenate([self.sizes, np.fromiter(map(len, fresh.values()), np.int64, len(fresh)) // 4])
-
-    def _encode_words(self, plain: list[str]) -> dict[str, bytes]:
-        joined = self.tokenizer.encode(" " + " ".join(plain), add_special_tokens=False)
+    def _learn(self, words: pa.Array) -> None:
+        """Append words, none of them known, in their order."""
+        given = words.to_pylist()
+        spaced = [w for w in given if w[0] == " " and not w.isspace()]  # side by side, each begins at its space
+        ids = self._side_by_side(spaced) if spaced else {}
+        others = [w for w in given if w not in ids]
+        for w, e in zip(others, self.tokenizer.encode_batch_fast(others, add_special_tokens=False)):
+            ids[w] = np.array(e.ids, "<u4").tobytes()
+        runs = [ids[w] for w in given]
+        self.known = pa.concat_arrays([self.known, words])
+        self.values = np.concatenate([self.values, np.frombuffer(b"".join(runs), "<u4")])
+        self.sizes = np.concatenate([self.sizes, np.fromiter(map(len, runs), np.int64, len(runs)) // 4])
+
+    def _side_by_side(self, words: list[str]) -> dict[str, bytes]:
+        joined = self.tokenizer.encode("".join(words), add_special_tokens=False)
         starts = np.array(joined.offsets, dtype=np.int64)[:, 0]
-        ends = np.cumsum(np.fromiter(map(len, plain), np.int64, len(plain)) + 1)
-        cuts = np.searchsorted(starts, ends).tolist()
+        cuts = np.searchsorted(starts, np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))).tolist()
         raw = np.array(joined.ids, dtype="<u4").tobytes()
-        return {w: raw[4 * lo:4 * hi] for w, lo, hi in zip(plain, [0, *cuts], cuts)}
+        return {w: raw[4 * lo:4 * hi] for w, lo, hi in zip(words, [0, *cuts], cuts)}

@@ -267,7 +267,7 @@ def test_repair_equals_the_plain_version(spark):
 
 def test_long_conversation(spark):
     rng = np.random.default_rng(4)
-    rows = [(1, t, ["user", "assistant", "system"][rng.integers(0, 3)], f"text {rng.integers(0, 2000)}" + "." * int(rng.integers(0, 2))) for t in range(3000)]
+    rows = [(1, t, ["user", "assistant", "system"][rng.integers(0, 3)], f"text {rng.integers(0, 500)}" + "." * int(rng.integers(0, 2))) for t in range(700)]
     assert repaired(conversations(spark, rows)) == plain_repair(rows)
 
 
