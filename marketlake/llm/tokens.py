@@ -12,7 +12,7 @@ from .common import found_at, gathered, hold_cache
 from .words import Cut, default_pattern
 
 DEFAULT_VOCABULARY = "byte_bpe_50k.json"
-CACHE_WORDS = 1_500_000
+CACHE_ENTRIES = 1_500_000
 CACHE_BYTES = 64 << 20
 SLICE_BYTES = 4 << 20
 
@@ -38,7 +38,7 @@ class TextEncoder:
     Words are those of the byte-level pattern: the library cuts a text at the same places and encodes each word by
     itself, so ids can be put together word by word (a word that the library cuts further gives the same ids too). A
     text with the string of an added token is encoded whole. Words and ids are kept in arrays, and forgotten when there
-    are over ``CACHE_WORDS`` or ``CACHE_BYTES``, which changes the time only.
+    are over ``CACHE_ENTRIES`` or ``CACHE_BYTES``, which changes the time only.
     """
 
     def __init__(self, path: str):
@@ -55,7 +55,7 @@ class TextEncoder:
 
     def encode(self, texts: list[str] | pa.Array) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        if len(self.known) > CACHE_WORDS or self.known.nbytes > CACHE_BYTES:
+        if len(self.known) > CACHE_ENTRIES or self.known.nbytes > CACHE_BYTES:
             self._forget()
         texts = (texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())).fill_null("")
         if not len(texts):
