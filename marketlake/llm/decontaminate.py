@@ -66,9 +66,22 @@ def best_match(pattern: str, text: str, most: int) -> tuple[int, int] | None:
         pv, mv = mh | ~(xv | ph) & full, ph & xv
         if score <= most and (best is None or score < best[0]):
             best = (score, j + 1)
+            if not score:
+                break
     return best
 
 
+def _merged(windows: list[list[int]]) -> list[list[int]]:
+    """Windows that overlap as one, in ascending order."""
+    out: list[list[int]] = []
+    for lo, hi in sorted(windows):
+        if out and lo <= out[-1][1]:
+            out[-1][1] = max(hi, out[-1][1])
+        else:
+            out.append([lo, hi])
+    return out
+
+
 class Finder:
     """Finds the items of one block in texts."""
 
@@ -87,7 +100,12 @@ class Finder:
                 pieces.setdefault(text[lo:hi], []).append((at, lo))
         self.automaton = ahocorasick.Automaton()
         for piece, places in pieces.items():
-            self.automaton.add_word(piece, (len(piece), places))
+            # a piece that an item repeats: its first and its last place there bound all windows between
+            spans: dict[int, tuple[int, int]] = {}
+            for at, offset in places:
+                lo, hi = spans.get(at, (offset, offset))
+                spans[at] = (min(lo, offset), max(hi, offset))
+            self.automaton.add_word(piece, (len(piece), [(at, lo, hi) for at, (lo, hi) in spans.items()]))
         if pieces:
             self.automaton.make_automaton()
         self.empty = not pieces
@@ -98,24 +116,31 @@ class Finder:
             return []
         text = normalise(text)
         best: dict[int, tuple[int, int, int]] = {}
-        looked: dict[int, tuple[int, int]] = {}
+        windows: dict[int, list[list[int]]] = {}  # those of one item that overlap are one, so each stretch is searched once
         for end, (length, places) in self.automaton.iter(text):
             start = end - length + 1
-            for at, offset in places:
+            for at, first, last in places:
                 _, item, k = self.items[at]
-                if at in best and best[at][0] == 0:
-                    continue
-                if k == 0 and (inside_word(text, start) or inside_word(text, end + 1)):
-                    continue
-                lo, hi = max(0, start - offset - k), start - offset + len(item) + k
-                if looked.get(at) == (lo, hi):
+                if k == 0:  # the piece is the whole item
+                    if at not in best and not inside_word(text, start) and not inside_word(text, end + 1):
+                        best[at] = (0, start, end + 1)
                     continue
-                looked[at] = (lo, hi)
-                found = best_match(item, text[lo:hi], k)
-                if found and (at not in best or found[0] < best[at][0]):
+                lo, hi = max(0, start - last - k), start - first + len(item) + k
+                known = windows.setdefault(at, [])
+                if known and known[-1][0] <= hi and lo <= known[-1][1]:
+                    known[-1][0], known[-1][1] = min(lo, known[-1][0]), max(hi, known[-1][1])
+                else:
+                    known.append([lo, hi])
+        for at, known in windows.items():
+            _, item, k = self.items[at]
+            for lo, hi in _merged(known):
+                found = best_match(item, text[lo:hi], k if at not in best else best[at][0] - 1)
+                if found:
                     stop = lo + found[1]
                     back = best_match(item[::-1], text[max(0, stop - len(item) - k):stop][::-1], found[0])
                     best[at] = (found[0], stop - back[1], stop)
+                    if not found[0]:
+                        break
         return [{"item_id": self.items[at][0], "distance": d, "start": s, "end": e} for at, (d, s, e) in sorted(best.items())]
 
 
@@ -153,7 +178,7 @@ def _finder_column(block, edit_rate: float):
             finder = _finders[name] = Finder(block.value, edit_rate)
         for texts in parts:
             yield pd.Series([finder.find(t) for t in texts], dtype=object)
-    return find
+    return find.asNondeterministic()  # or a filter on the result would run it a second time
 
 
 def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", edit_rate: float = EDIT_RATE) -> DataFrame:

@@ -133,6 +133,8 @@ def _kept_text(text, keep, n_lines):
 
 def drop_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS) -> DataFrame:
     """All rows and columns of ``docs``; the text has lost its repeated lines."""
-    joined = with_bitmaps(docs, keep_bitmaps(docs, id_col, text_col, min_chars), id_col, text_col)
-    kept_text = F.udf(_kept_text, "string", useArrow=True)
-    return joined.withColumn(text_col, kept_text(F.col(text_col), F.col("_keep"), F.col("_n_lines"))).select(*docs.columns)
+    # the row goes as one column, so that none of its names can clash with those used here
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    joined = with_bitmaps(rows, keep_bitmaps(rows, "id", "text", min_chars), "id", "text")
+    kept = F.udf(_kept_text, "string", useArrow=True)(F.col("text"), F.col("_keep"), F.col("_n_lines"))
+    return joined.select(*[(kept if c == text_col else F.col("row").getField(c)).alias(c) for c in docs.columns])

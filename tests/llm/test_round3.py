@@ -313,3 +313,60 @@ def test_repair_query(spark):
     rows = [tuple(r) for r in spark.read.parquet(f"{SF}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
     got = {r[0]: tuple(r)[1:] for r in QUERIES["op13_conversation_repair"](spark, SF).collect()}
     assert got == plain_repair(rows)
+
+
+# --- the pipeline and decontamination
+
+HELPERS = ("_score", "_keep", "_n_lines", "_key", "_id", "_tk", "_b_id", "_b_tk", "row", "id", "doc", "tk", "component_id", "first_tk", "n_shingles", "leaks",
+           "score", "keep", "fp", "h1", "h2", "pos", "kind", "length", "piece", "start", "a.b")
+
+
+@pytest.mark.parametrize("stage", [0, 1, 2, 3])
+def test_stages_keep_columns_with_names_of_helpers(spark, stage):
+    import corpus_pipeline
+    name, function = corpus_pipeline.STAGES[stage]
+    words = [" ".join(f"w{i}x{j}" for j in range(60)) for i in range(6)]
+    rows = [(i, w, i * 10, *[f"{h}-{i}" for h in HELPERS]) for i, w in enumerate(words)] + [(6, None, 0, *["n"] * len(HELPERS)), (7, "", 0, *["e"] * len(HELPERS))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars long, " + ", ".join(f"`{h}` string" for h in HELPERS))
+    out = function(spark, docs, SF)
+    assert out.columns == docs.columns
+    got = {r["doc_id"]: tuple(r)[3:] for r in out.collect()}
+    assert got and all(got[r[0]] == r[3:] for r in rows if r[0] in got)
+    if name != "quality":
+        assert set(got) == {r[0] for r in rows}
+
+
+def test_pipeline_of_no_documents(spark, tmp_path):
+    import corpus_pipeline
+    for t in ("documents", "labels", "benchmark"):
+        df = spark.read.parquet(f"{SF}/{t}.parquet")
+        (df.limit(0) if t == "documents" else df).write.parquet(str(tmp_path / f"{t}.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+def test_periodic_text_of_a_megabyte_is_searched_once():
+    import time
+    from marketlake.llm.decontaminate import Finder
+    finder = Finder([(1, "ab" * 170), (2, "ab" * 169 + "zz")])
+    began = time.process_time()
+    found = finder.find("ab" * 500_000)
+    assert time.process_time() - began < 5
+    assert [(f["item_id"], f["distance"]) for f in found] == [(1, 0), (2, 2)]
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.text("ab ", min_size=21, max_size=45), st.text("abc ", max_size=120), st.integers(0, 100), st.integers(0, 2))
+def test_budgeted_matches_equal_a_table_of_distances(item, text, at, edits):
+    from marketlake.llm.decontaminate import Finder, normalise
+    text = text[:at] + item[:7] + "c" * edits + item[7:] + text[at:]
+    pattern, given_text = normalise(item), normalise(text)
+    k = int(len(pattern) * 0.05)
+    row = [0] * (len(given_text) + 1)
+    for i, c in enumerate(pattern, 1):
+        new = [i]
+        for j, d in enumerate(given_text, 1):
+            new.append(min(row[j] + 1, new[j - 1] + 1, row[j - 1] + (c != d)))
+        row = new
+    found = Finder([(1, item)]).find(text)
+    if pattern and k > 0:
+        assert [f["distance"] for f in found] == ([min(row)] if min(row) <= k else [])
