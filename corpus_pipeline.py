@@ -7,7 +7,7 @@ All stages but the last return the columns of ``documents``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlake.llm import decontaminate, jaccard, line_dedup, packing, quality
@@ -16,16 +16,28 @@ from marketlake.llm.common import cut, table, text_key
 REJECT_BELOW = 0.5
 
 
+def wrapped(docs: DataFrame) -> DataFrame:
+    """``doc_id``, ``text`` and the whole row as ``row``: no name of a column of ``docs`` can clash with a helper's."""
+    return docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+
+
+def unwrapped(rows: DataFrame, **changed: Column) -> DataFrame:
+    """The columns of ``docs`` again, some of them changed."""
+    return rows.select(*[changed.get(f.name, F.col("row").getField(f.name)).alias(f.name) for f in rows.schema["row"].dataType.fields])
+
+
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose score is under ``REJECT_BELOW`` go."""
+    """Documents whose score is under ``REJECT_BELOW`` go. Null and empty texts are scored as empty, repeated rows each;
+    without labels every score is 0.5 and all documents stay."""
     model = quality.train(docs, table(spark, sf_dir, "labels"))
-    return quality.score(docs, model, "_score").where(F.col("_score") >= REJECT_BELOW).select(*docs.columns)
+    return unwrapped(quality.score(wrapped(docs), model, "_score").where(F.col("_score") >= REJECT_BELOW))
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines repeated across documents stay in the first document only; no document goes."""
-    out = line_dedup.drop_lines(docs)
-    return out.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else out
+    out = line_dedup.drop_lines(wrapped(docs))
+    n_chars = {"n_chars": F.length("text").cast("long")} if "n_chars" in docs.columns else {}
+    return unwrapped(out, text=F.col("text"), **n_chars)
 
 
 def jaccard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,23 +47,26 @@ def jaccard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     repeat an id with texts that are not near copies are in groups of their own. Of rows that repeat id and text
     one stays; rows with a null id stay unless their group has a named document.
     """
-    groups = jaccard.near_duplicates(docs, n=5, num=8, den=10)
+    groups = jaccard.near_duplicates(docs.select("doc_id", "text"), n=5, num=8, den=10)
     first = (F.col("doc_id") == F.col("component_id")) & (F.col("tk") == F.col("first_tk"))
     own = groups.where((F.col("n_shingles") == 0) | F.col("component_id").isNull() | first).select(F.col("doc_id").alias("_id"), F.col("tk").alias("_tk")).distinct()
     # joined on id and text key, so the rows are already together for the last step
-    keyed = docs.withColumn("_key", text_key())
-    stay = keyed.join(own, (F.col("doc_id") == F.col("_id")) & (F.col("_key") == F.col("_tk"))).dropDuplicates(["doc_id", "_key"]).select(*docs.columns)
+    rows = wrapped(docs)
+    keyed = rows.withColumn("_key", text_key())
+    stay = keyed.join(own, (F.col("doc_id") == F.col("_id")) & (F.col("_key") == F.col("_tk"))).dropDuplicates(["doc_id", "_key"]).select(*rows.columns)
     unnamed = own.where("_id IS NULL").select("_tk")
-    return stay.unionByName(docs.where(F.col("doc_id").isNull()).join(unnamed, text_key() == unnamed["_tk"], "left_semi"))
+    return unwrapped(stay.unionByName(rows.where(F.col("doc_id").isNull()).join(unnamed, text_key() == unnamed["_tk"], "left_semi")))
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark item go."""
+    """Documents that hold a benchmark item go. Null and empty texts hold none; each repeated row is judged; an empty
+    benchmark lets all stay."""
     return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Places of all pieces of the documents in sequences of at most 1024 tokens."""
+    """Places of all pieces of the documents in sequences of at most 1024 tokens. Null and empty texts are their end id
+    alone; repeated rows are packed each; no documents give no pieces."""
     return packing.pack_documents(docs)
 
 
