@@ -1,13 +1,18 @@
 """Personal data: regular expressions propose spans, checksums confirm them, context words adjust a score.
 
-The base kinds (email, ip, card, phone) are fixed by their expressions and checks and always stay. The method
-adds bank accounts (iban, confirmed by mod 97) and national numbers (ssn), which need context words to reach
-``MIN_SCORE``. Every scan is linear in the text: expressions start at the beginning of a run only.
+The base kinds (email, ip, card, phone) are fixed by their expressions and checks and always stay; their score tells
+how sure a reader can be. The method adds bank accounts (iban, confirmed by mod 97), national numbers (ssn) and
+secrets (access tokens and keys: long runs of letters and digits whose characters are spread as random ones are).
+An added span stays if its score reaches ``MIN_SCORE``: words near it, in the four languages of the documents, raise
+the score or lower it, the nearer the more. A number alone is no ssn and a run alone no secret, and a valid account
+in an example is dropped. Every scan is linear in the text: expressions start at the beginning of a run only.
 """
 
 from __future__ import annotations
 
+import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -17,24 +22,30 @@ from pyspark.sql import functions as F
 
 from .common import batches
 
-KINDS = ("email", "ip", "card", "phone", "iban", "ssn")
+KINDS = ("email", "ip", "card", "phone", "iban", "ssn", "secret")
 BASE_KINDS = KINDS[:4]
 CONTEXT_CHARS = 40
 MIN_SCORE = 0.5
 SPANS = "array<struct<kind:string,start:int,end:int,score:double>>"
 
-# Score of a kind before context, words near it that speak for and against it.
-BASE_SCORE = {"email": 0.9, "ip": 0.6, "card": 0.8, "phone": 0.6, "iban": 0.8, "ssn": 0.3}
+BASE_SCORE = {"email": 0.9, "ip": 0.6, "card": 0.8, "phone": 0.6, "iban": 0.8, "ssn": 0.3, "secret": 0.3}
+# words near a span that speak for its kind: English, German, French, Spanish
 CONTEXT_FOR = {
-    "email": ("mail", "contact", "write"),
-    "ip": ("ip", "address", "host", "server", "login"),
-    "card": ("card", "visa", "mastercard", "credit", "payment"),
-    "phone": ("phone", "tel", "call", "mobile", "fax"),
-    "iban": ("iban", "account", "bank", "transfer"),
-    "ssn": ("ssn", "social", "security", "taxpayer"),
+    "email": "mail email contact write kontakt schreiben adresse contacter courriel correo contacto escribir",
+    "ip": "ip address host server login adresse rechner serveur connexion servidor conexión",
+    "card": "card visa mastercard credit payment karte kreditkarte zahlung carte crédit paiement tarjeta crédito pago",
+    "phone": "phone tel call mobile fax telefon anruf handy téléphone appeler portable teléfono llamar móvil",
+    "iban": "iban account bank transfer konto überweisung compte virement banque cuenta banco transferencia",
+    "ssn": "ssn social security taxpayer sozialversicherung steuer sécurité sociale seguridad contribuyente",
+    "secret": "token secret key password bearer apikey api passwort schlüssel geheim jeton clé passe clave contraseña secreto",
 }
-CONTEXT_AGAINST = ("example", "version", "invoice", "order", "isbn", "part")
-STEP_FOR, STEP_AGAINST = 0.3, 0.2
+CONTEXT_FOR = {kind: frozenset(words.split()) for kind, words in CONTEXT_FOR.items()}
+# and those that speak against it
+CONTEXT_AGAINST = frozenset("example sample version invoice order isbn part checksum commit beispiel muster rechnung bestellung teil exemple facture "
+                            "commande pièce ejemplo factura pedido pieza".split())
+STEP_FOR, STEP_AGAINST = 0.3, 0.4
+NEAR_CHARS = 15  # words beyond count half
+MIN_BITS = 2.8  # per character of a secret; sixteen digits evenly used have four
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -45,7 +56,8 @@ _CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
 _SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
-_WORD = re.compile(r"[a-z]+")
+_SECRET = re.compile(r"(?<![A-Za-z0-9_+/-])[A-Za-z0-9_+/-]{20,200}+(?![A-Za-z0-9_+/-])")
+_WORD = re.compile(r"[^\W\d_]+")
 
 
 class Span(NamedTuple):
@@ -72,6 +84,15 @@ def _digits(text: str) -> str:
     return "".join(c for c in text if "0" <= c <= "9")
 
 
+def random_like(run: str) -> bool:
+    """Letters and digits, mixed as in a random run: as many bits a character, and digits all over it."""
+    digits = sum("0" <= c <= "9" for c in run)
+    if not 0.1 * len(run) <= digits < len(run):
+        return False
+    bits = -sum(n / len(run) * math.log2(n / len(run)) for n in Counter(run.lower()).values())
+    return bits >= MIN_BITS
+
+
 def _emails(text: str) -> Iterator[tuple[int, int]]:
     """Leftmost non-overlapping matches, one try per @: the part before it can't hold another."""
     free, at = 0, text.find("@")
@@ -110,15 +131,41 @@ def _proposed(text: str) -> Iterator[tuple[str, int, int]]:
             yield "iban", *m.span()
     for m in _SSN.finditer(text):
         yield "ssn", *m.span()
+    for m in _SECRET.finditer(text):
+        if random_like(m.group()):
+            yield "secret", *m.span()
+
+
+def _context(kind: str, text: str, start: int, end: int) -> float:
+    """What the words near a span add to its score: the nearest word for its kind, less the nearest one against it
+    unless that is further off (the ``example`` of an address behind the span speaks of the address)."""
+    raised = lowered = CONTEXT_CHARS + 1
+    for gap, word in _words_near(text, start, end):
+        if word in CONTEXT_FOR[kind]:
+            raised = min(raised, gap)
+        if word in CONTEXT_AGAINST:
+            lowered = min(lowered, gap)
+
+    def share(gap: int) -> float:
+        return 0.0 if gap > CONTEXT_CHARS else 1.0 if gap <= NEAR_CHARS else 0.5
+    return STEP_FOR * share(raised) - STEP_AGAINST * (share(lowered) if lowered <= raised else 0.0)
+
+
+def _words_near(text: str, start: int, end: int) -> Iterator[tuple[int, str]]:
+    """Whole words within ``CONTEXT_CHARS`` characters, in lower case, with their distance from the span."""
+    lo = max(0, start - CONTEXT_CHARS)
+    for m in _WORD.finditer(text[lo:start].lower()):
+        yield start - lo - m.end(), m.group()
+    for m in _WORD.finditer(text[end:end + CONTEXT_CHARS].lower()):
+        yield m.start(), m.group()
 
 
 def find(text: str | None) -> list[Span]:
     """Spans by kind in the order of ``KINDS``, then start; code points, end exclusive. Null text: none."""
     out = []
     for kind, start, end in _proposed(text or ""):
-        near = set(_WORD.findall((text[max(0, start - CONTEXT_CHARS):start] + " " + text[end:end + CONTEXT_CHARS]).lower()))
-        score = BASE_SCORE[kind] + STEP_FOR * any(w in near for w in CONTEXT_FOR[kind]) - STEP_AGAINST * any(w in near for w in CONTEXT_AGAINST)
-        if kind in BASE_KINDS or score >= MIN_SCORE:
+        score = BASE_SCORE[kind] + _context(kind, text, start, end)
+        if kind in BASE_KINDS or round(score, 2) >= MIN_SCORE:
             out.append(Span(kind, start, end, round(min(1.0, max(0.0, score)), 2)))
     return out
 

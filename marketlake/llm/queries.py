@@ -29,7 +29,7 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _pii_digests(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     kinds = pii.BASE_KINDS
     for b in batches(it):
-        counts, digests, spans = {k: [] for k in kinds}, [], []
+        counts, digests, spans, scores = {k: [] for k in kinds}, [], [], []
         for found in b.column(1).to_pylist():
             told = [f"{s['kind']}:{s['start']}:{s['end']}" for s in found]
             base = [t for s, t in zip(found, told) if s["kind"] in kinds]
@@ -37,13 +37,15 @@ def _pii_digests(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 counts[k].append(sum(s["kind"] == k for s in found))
             digests.append(hashlib.sha256(",".join(base).encode()).hexdigest())
             spans.append(",".join(told))
+            scores.append(",".join(f"{s['score']:.2f}" for s in found))
         yield pa.RecordBatch.from_pydict({"doc_id": b.column(0), **{f"n_{k}": pa.array(counts[k], pa.int64()) for k in kinds},
-                                          "base_sha256": pa.array(digests, pa.string()), "spans": pa.array(spans, pa.string())})
+                                          "base_sha256": pa.array(digests, pa.string()), "spans": pa.array(spans, pa.string()),
+                                          "scores": pa.array(scores, pa.string())})
 
 
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find_pii(table(spark, sf_dir, "documents"))
-    return found.mapInArrow(_pii_digests, "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string")
+    return found.mapInArrow(_pii_digests, "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, scores string")
 
 
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -370,3 +370,34 @@ def test_budgeted_matches_equal_a_table_of_distances(item, text, at, edits):
     found = Finder([(1, item)]).find(text)
     if pattern and k > 0:
         assert [f["distance"] for f in found] == ([min(row)] if min(row) <= k else [])
+
+
+# --- personal data
+
+TOKEN = "04dbebab91ab85687d33eeaaf9ac699e1188f962"
+
+
+@pytest.mark.parametrize("text, kinds", [
+    (f'config: token = "{TOKEN}" end', ["secret"]), (f"Das Passwort lautet {TOKEN}.", ["secret"]), (f"el secreto y la contraseña {TOKEN}", ["secret"]),
+    (f"la clé {TOKEN}", ["secret"]), (f"commit {TOKEN}", []), (f"words {TOKEN} words", []), ("token = " + "a" * 40, []), ("token " + "1" * 40, []),
+    ("token = aaaaaaaaaaaaaaaaaaaaaaaaaaaa1aaa2aaa3aaa", []), ("token antidisestablishmentarianismwords", []),
+    ("Konto GB82 WEST 1234 5698 7654 32", ["iban"]), ("Beispiel: GB82 WEST 1234 5698 7654 32", []), ("ejemplo GB82WEST12345698765432", []),
+    ("example account GB82WEST12345698765432", ["iban"]), ("sécurité sociale 078-05-1120", ["ssn"]), ("steuer 078-05-1120 rechnung", []),
+])
+def test_context_in_four_languages_raises_and_drops_added_kinds(text, kinds):
+    from marketlake.llm import pii
+    assert [s.kind for s in pii.find(text) if s.kind not in pii.BASE_KINDS] == kinds
+
+
+def test_nearer_words_count_more():
+    from marketlake.llm import pii
+    near, far = (pii.find(f"card {gap}4111111111111111")[0].score for gap in ("", "und mehr Worte dazwischen "))
+    assert near > far > pii.find("x 4111111111111111")[0].score
+
+
+def test_scores_and_secrets_of_the_query(spark):
+    rows = QUERIES["op4_pii"](spark, "/root/testdata/sf0.01").collect()
+    assert all(len(r.scores.split(",")) == len(r.spans.split(",")) for r in rows)
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()}
+    planted = {d for d, t in texts.items() if re.search('(?i)token = "[0-9a-f]{40}"', t)}
+    assert planted and planted == {r.doc_id for r in rows if "secret:" in r.spans}
