@@ -253,6 +253,18 @@ def delivery_scatter(lk: Lake) -> DataFrame:
         "order_id", "dias_para_entrega", "dias_estimados")
 
 
+# N16 for a chart of any number of orders
+def delivery_scatter_binned(lk: Lake, width: int = 5, most: int = 60) -> DataFrame:
+    """Orders per cell of a grid over actual and estimated days: cells of ``width`` days, the first and the last of
+    each side take what lies beyond 0 and ``most``. At most ((most / width) + 2) squared rows, from a partial count on
+    every map task, where the scatter itself has a row for each order."""
+    def cell(days: str):
+        return F.least(F.greatest(F.floor(F.col(days) / width), F.lit(-1)), F.lit(most // width)).cast("int") * width
+    both = lk.priced_orders.where(F.col("dias_para_entrega").isNotNull() & F.col("dias_estimados").isNotNull())
+    return both.groupBy(cell("dias_para_entrega").alias("dias_de"), cell("dias_estimados").alias("estimados_de")).agg(
+        F.count(F.lit(1)).alias("qtd_pedidos"), F.count_if("entregue_no_prazo").alias("qtd_no_prazo"))
+
+
 # N17 / A16
 def delivery_histogram(lk: Lake, lo: int = 0, hi: int = 60, width: int = 5) -> DataFrame:
     d = F.col("dias_para_entrega")

@@ -638,6 +638,46 @@ def q_price_sketch_by_category(spark, sf_dir):
     return ranked.groupBy("categoria").agg(F.max("qtd_itens").alias("qtd_itens"), within("q50", 0.5).alias("mediana_no_limite"), within("q90", 0.9).alias("p90_no_limite"))
 
 
+@register("orders_priced_bucketed")
+def q_orders_priced_bucketed(spark, sf_dir):
+    """Orders with payments and items, joined from tables stored by buckets of the order id."""
+    import uuid
+    from ..session import scratch_path
+    from ..sources.buckets import write_orders
+    from . import silver
+    raw = write_orders(lake(spark, sf_dir).raw, scratch_path(spark, "buckets"), f"buckets_{uuid.uuid4().hex[:8]}", 8)
+    return present(silver.orders_priced(raw).select(
+        "order_id", "order_status", "valor_total_pedido", "quantidade_itens", "forma_pagamento_principal", "max_parcelas", "dias_para_entrega", "entregue_no_prazo"))
+
+
+@register("delivery_scatter_binned")
+def q_delivery_scatter_binned(spark, sf_dir):
+    """N16 as a grid of bounded size: orders per cell of actual and estimated days."""
+    return A.delivery_scatter_binned(lake(spark, sf_dir), 5, 60)
+
+
+def sliceable_items(lk: Lake) -> DataFrame:
+    """Items with the columns that dashboards slice by: month, customer state, seller state, category."""
+    day = lk.fact_sales.select("order_id", "customer_unique_id", (F.col("date_key") / 100).cast("int").alias("ano_mes"))
+    state = lk.customer_latest.select("customer_unique_id", F.col("customer_state").alias("estado_cliente"))
+    seller = lk.raw["olist_sellers"].select("seller_id", F.col("seller_state").alias("estado_vendedor"))
+    category = lk.dim_products.select("product_id", F.col("product_category").alias("categoria"))
+    return (lk.fact_order_items.join(day, "order_id").join(state, "customer_unique_id").join(seller, "seller_id").join(category, "product_id")
+            .select("order_id", "order_item_id", "preco_produto", "ano_mes", "estado_cliente", "estado_vendedor", "categoria"))
+
+
+@register("clustered_slices")
+def q_clustered_slices(spark, sf_dir):
+    """Items stored in Morton order over month, both states and category; one state and one category of them."""
+    from ..session import scratch_path
+    from ..sources.clustering import write_clustered
+    from ..sources.files import read_table
+    base = scratch_path(spark, "clustered")
+    write_clustered(sliceable_items(lake(spark, sf_dir)), base, "gold", "itens", ["categoria", "estado_cliente", "ano_mes", "estado_vendedor"], "order_id", 32)
+    items = read_table(spark, base, "gold", "itens").where("estado_cliente = 'SP' AND categoria = 'economy_en'")
+    return items.groupBy("ano_mes").agg(F.count(F.lit(1)).alias("qtd_itens"), F.sum("preco_produto").cast("double").alias("preco_total"))
+
+
 @register("quality_log")
 def q_quality_log(spark, sf_dir):
     """Q8: the log rows of the bronze suite (without the time of the check)."""

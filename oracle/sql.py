@@ -94,6 +94,21 @@ SELECT COALESCE(product_category, 'unknown') AS categoria, COUNT(*) AS qtd_itens
 FROM fact_order_items i JOIN fact_sales f ON f.order_id = i.order_id LEFT JOIN dim_products p ON p.product_id = i.product_id
 WHERE i.preco_produto IS NOT NULL AND f.date_key BETWEEN 19960101 AND 19971231 GROUP BY 1""")
 
+q("orders_priced_bucketed", """
+SELECT order_id, order_status, CAST(valor_total_pedido AS DOUBLE) AS valor_total_pedido, quantidade_itens, forma_pagamento_principal, max_parcelas,
+       dias_para_entrega, entregue_no_prazo FROM orders_enriched""")
+q("delivery_scatter_binned", """
+SELECT CAST(least(greatest(floor(dias_para_entrega / 5.0), -1), 12) AS INTEGER) * 5 AS dias_de,
+       CAST(least(greatest(floor(dias_estimados / 5.0), -1), 12) AS INTEGER) * 5 AS estimados_de,
+       COUNT(*) AS qtd_pedidos, CAST(count_if(entregue_no_prazo) AS BIGINT) AS qtd_no_prazo
+FROM fact_sales WHERE dias_para_entrega IS NOT NULL AND dias_estimados IS NOT NULL GROUP BY 1, 2""")
+q("clustered_slices", """
+SELECT f.date_key // 100 AS ano_mes, COUNT(*) AS qtd_itens, CAST(SUM(i.preco_produto) AS DOUBLE) AS preco_total
+FROM fact_order_items i JOIN fact_sales f ON f.order_id = i.order_id
+JOIN dim_customers c ON c.customer_unique_id = f.customer_unique_id
+JOIN dim_products p ON p.product_id = i.product_id
+WHERE c.customer_state = 'SP' AND p.product_category = 'economy_en' GROUP BY 1""")
+
 
 def oracle_queries() -> dict[str, str]:
     return dict(ORACLE)
