@@ -31,7 +31,7 @@ def read_table(spark: SparkSession, base: str, layer: str, name: str, merge_sche
     from pyspark.errors import AnalysisException
     root = table_path(base, layer, name)
     folders = current(spark, root)[1]
-    if len(folders) > 1:
+    if _of_partitions(folders):
         return read_folders(spark, root, folders)
     path = f"{root}/{folders[0]}" if folders else root
     recorded = recorded_schema(spark, path)
@@ -80,10 +80,15 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def _of_partitions(folders: list[str]) -> bool:
+    """Whether a version is a list of partition folders, and not one folder."""
+    return any(partition_of(f) for f in folders)
+
+
 def current_path(spark: SparkSession, path: str) -> str:
     """The one folder that holds a table's data: its current version, or the table's own folder if it has no versions."""
     folders = current(spark, path)[1]
-    if len(folders) > 1:
+    if _of_partitions(folders):
         raise ValueError(f"{path} has partitions of several versions: read it with read_table")
     return f"{path}/{folders[0]}" if folders else path
 
@@ -104,7 +109,7 @@ def register(spark: SparkSession, base: str, layer: str, name: str, schema=None)
     partitions of several versions has no one folder: it is taken out of the catalog and read with ``read_table``."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
     spark.sql(f"DROP TABLE IF EXISTS {layer}.{name}")
-    if len(current(spark, table_path(base, layer, name))[1]) > 1:
+    if _of_partitions(current(spark, table_path(base, layer, name))[1]):
         return
     path = current_path(spark, table_path(base, layer, name))
     spark.catalog.createTable(f"{layer}.{name}", path=path, source="parquet", schema=schema)
