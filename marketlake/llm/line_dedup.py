@@ -133,8 +133,11 @@ def _kept_text(text, keep, n_lines):
 
 def drop_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS) -> DataFrame:
     """All rows and columns of ``docs``; the text has lost its repeated lines."""
-    # the row goes as one column, so that none of its names can clash with those used here
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    # the other columns go as one, so that none of their names can clash with those used here
+    rest = [c for c in docs.columns if c not in (id_col, text_col)]
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"),
+                       (F.struct(*[F.col(f"`{c}`") for c in rest]) if rest else F.lit(None).cast("int")).alias("rest"))
     joined = with_bitmaps(rows, keep_bitmaps(rows, "id", "text", min_chars), "id", "text")
     kept = F.udf(_kept_text, "string", useArrow=True)(F.col("text"), F.col("_keep"), F.col("_n_lines"))
-    return joined.select(*[(kept if c == text_col else F.col("row").getField(c)).alias(c) for c in docs.columns])
+    given = {c: F.col("rest").getField(c) for c in rest} | {id_col: F.col("id"), text_col: kept}
+    return joined.select(*[given[c].alias(c) for c in docs.columns])
