@@ -17,27 +17,29 @@ REJECT_BELOW = 0.5
 
 
 def wrapped(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``text`` and the whole row as ``row``: no name of a column of ``docs`` can clash with a helper's."""
-    return docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    """``doc_id``, ``text`` and the other columns as one, ``rest``: none of their names can clash with a helper's."""
+    rest = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]
+    return docs.select("doc_id", "text", F.struct(*rest).alias("rest") if rest else F.lit(None).cast("int").alias("rest"))
 
 
-def unwrapped(rows: DataFrame, **changed: Column) -> DataFrame:
+def unwrapped(rows: DataFrame, docs: DataFrame, **changed: Column) -> DataFrame:
     """The columns of ``docs`` again, some of them changed."""
-    return rows.select(*[changed.get(f.name, F.col("row").getField(f.name)).alias(f.name) for f in rows.schema["row"].dataType.fields])
+    given = {c: F.col(c) if c in ("doc_id", "text") else F.col("rest").getField(c) for c in docs.columns}
+    return rows.select(*[c.alias(name) for name, c in (given | changed).items()])
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose score is under ``REJECT_BELOW`` go. Null and empty texts are scored as empty, repeated rows each;
     without labels every score is 0.5 and all documents stay."""
     model = quality.train(docs, table(spark, sf_dir, "labels"))
-    return unwrapped(quality.score(wrapped(docs), model, "_score").where(F.col("_score") >= REJECT_BELOW))
+    return unwrapped(quality.score(wrapped(docs), model, "_score").where(F.col("_score") >= REJECT_BELOW), docs)
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines repeated across documents stay in the first document only; no document goes."""
     out = line_dedup.drop_lines(wrapped(docs))
     n_chars = {"n_chars": F.length("text").cast("long")} if "n_chars" in docs.columns else {}
-    return unwrapped(out, text=F.col("text"), **n_chars)
+    return unwrapped(out, docs, **n_chars)
 
 
 def jaccard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,7 +57,7 @@ def jaccard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     keyed = rows.withColumn("_key", text_key())
     stay = keyed.join(own, (F.col("doc_id") == F.col("_id")) & (F.col("_key") == F.col("_tk"))).dropDuplicates(["doc_id", "_key"]).select(*rows.columns)
     unnamed = own.where("_id IS NULL").select("_tk")
-    return unwrapped(stay.unionByName(rows.where(F.col("doc_id").isNull()).join(unnamed, text_key() == unnamed["_tk"], "left_semi")))
+    return unwrapped(stay.unionByName(rows.where(F.col("doc_id").isNull()).join(unnamed, text_key() == unnamed["_tk"], "left_semi")), docs)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
