@@ -115,11 +115,11 @@ class IncrementalLake:
         staged = [touched]
         before, after, folders = {}, {}, []
         for t in RAW:
-            old = self._of(self.read(t, months), touched)
-            after[t] = self._after(t, old, changes, after.get("orders"))
+            stored = self.read(t, months)
+            before[t] = self._of(stored, touched)
+            after[t] = self._after(t, before[t], changes, after.get("orders"))
             staged.append(after[t])
-            before[t] = old
-            folders += self._rewrite(t, number, self._of(self.read(t, months), touched, "left_anti").unionByName(after[t]), "order_id")
+            folders += self._rewrite(t, number, self._of(stored, touched, "left_anti").unionByName(after[t]), "order_id")
         new_fact = stage(self._fact({RAW[t]: after[t].drop(MONTH) for t in RAW}, customers), "fact")
         staged.append(new_fact)
         stored = self.read("fact_sales", months)
@@ -187,8 +187,10 @@ class IncrementalLake:
         return rows.join(touched, rows["order_id"].eqNullSafe(touched["_touched"]), how)
 
     def _months(self, touched: DataFrame, changes: Mapping[str, DataFrame]) -> set[int]:
-        """Months of the touched orders, as stored (a scan of ids and partition values alone) and as they will be."""
-        found = self._of(self.read("orders").select("order_id", MONTH), touched).select(MONTH)
+        """Months of the touched orders, as stored (a scan of ids and partition values alone) and as they will be.
+        Rows without an order id are in no fact: a change to one concerns the month it names, not those of all others."""
+        known = self.read("orders").where(F.col("order_id").isNotNull()).select("order_id", MONTH)
+        found = self._of(known, touched).select(MONTH)
         if (orders := self._changed(changes, "olist_orders")) is not None:
             found = found.unionByName(orders.select(_month().alias(MONTH)))
         rows = found.distinct().limit(MAX_MONTHS + 1).collect()

@@ -561,23 +561,27 @@ def q_upsert_moved_partition(spark, sf_dir):
 
 
 def _kpi_changes(lk: Lake) -> list[dict[str, DataFrame]]:
-    """Two change sets: orders bought before 1998 and all their items first (later items wait for their orders); then the
-    orders of 1998, cancellations, orders that move by 40 days, items taken back, and reviews that change to one star."""
+    """Two change sets: orders bought before 2001 and all items first (later items wait for their orders); then the
+    orders of 2001, and of 1996 cancellations, orders that move by 40 days, items taken back, and reviews that change
+    to one star."""
     from .incremental import signed
     raw = lk.raw
     orders, items, reviews = raw["olist_orders"], raw["olist_order_items"], raw["olist_order_reviews"]
+    year = lambda c: F.coalesce(F.year(c), F.lit(0))
     of = lambda rest: F.coalesce(F.substring("order_id", 2, 20).cast("bigint") % 100 == rest, F.lit(False))
-    year = lambda c: F.coalesce(F.year(c), F.lit(0)) >= 1998
-    late, late_review = year("order_purchase_timestamp"), year("review_creation_date")
+    bought, rated = year("order_purchase_timestamp"), year("review_creation_date")
+    late, late_review = bought >= 2001, rated >= 2001
+    canceled, moved, starred = of(7) & (bought == 1996), of(13) & (bought == 1996), of(33) & (rated == 1996)
     first = {"olist_orders": signed(orders.where(~late), 1), "olist_order_items": signed(items, 1),
              "olist_order_payments": signed(raw["olist_order_payments"], 1), "olist_order_reviews": signed(reviews.where(~late_review), 1)}
-    now = orders.where(late | of(7) | of(13)).withColumns({
-        "order_status": F.when(of(7), "canceled").otherwise(F.col("order_status")),
-        "order_purchase_timestamp": F.when(of(13), F.col("order_purchase_timestamp") + F.expr("INTERVAL 40 DAYS")).otherwise(F.col("order_purchase_timestamp"))})
-    rated = reviews.where(late_review | of(33)).withColumn("review_score", F.when(of(33), 1).otherwise(F.col("review_score")))
-    second = {"olist_orders": signed(now, 1).unionByName(signed(orders.where(~late & (of(7) | of(13))), -1)),
-              "olist_order_items": signed(items.where(of(21) & (F.col("order_item_id") == 1)), -1),
-              "olist_order_reviews": signed(rated, 1).unionByName(signed(reviews.where(~late_review & of(33)), -1))}
+    now = orders.where(late | canceled | moved).withColumns({
+        "order_status": F.when(canceled, "canceled").otherwise(F.col("order_status")),
+        "order_purchase_timestamp": F.when(moved, F.col("order_purchase_timestamp") + F.expr("INTERVAL 40 DAYS")).otherwise(F.col("order_purchase_timestamp"))})
+    back = items.where(of(21) & (F.col("order_item_id") == 1)).join(orders.where(bought == 1996).select("order_id"), "order_id", "left_semi")
+    one_star = reviews.where(late_review | starred).withColumn("review_score", F.when(starred, 1).otherwise(F.col("review_score")))
+    second = {"olist_orders": signed(now, 1).unionByName(signed(orders.where(canceled | moved), -1)),
+              "olist_order_items": signed(back, -1),
+              "olist_order_reviews": signed(one_star, 1).unionByName(signed(reviews.where(starred), -1))}
     return [first, second]
 
 

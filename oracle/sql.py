@@ -70,15 +70,18 @@ q("kpi_reviews_monthly", "SELECT * FROM kpi_reviews")
 q("kpi_marketplace_monthly",
   "SELECT * REPLACE (CAST(receita_total AS DOUBLE) AS receita_total) FROM kpi_marketplace_monthly")
 
-OF = "(CAST(substr(order_id, 2) AS BIGINT) % 100 = {})"
+OF = "(CAST(substr(order_id, 2) AS BIGINT) % 100 = {} AND year({}) = 1996)"
+BOUGHT_OF = "order_purchase_timestamp"
 q("kpi_incremental", "SELECT * REPLACE (CAST(receita_total AS DOUBLE) AS receita_total) FROM kpi_marketplace_monthly", {
     "olist_orders": f"""
-SELECT * REPLACE (CASE WHEN {OF.format(7)} THEN 'canceled' ELSE order_status END AS order_status,
-                  CASE WHEN {OF.format(13)} THEN order_purchase_timestamp + INTERVAL 40 DAY ELSE order_purchase_timestamp END AS order_purchase_timestamp)
+SELECT * REPLACE (CASE WHEN {OF.format(7, BOUGHT_OF)} THEN 'canceled' ELSE order_status END AS order_status,
+                  CASE WHEN {OF.format(13, BOUGHT_OF)} THEN order_purchase_timestamp + INTERVAL 40 DAY ELSE order_purchase_timestamp END AS order_purchase_timestamp)
 FROM ({RAW['olist_orders']})""",
-    "olist_order_items": f"SELECT * FROM ({RAW['olist_order_items']}) WHERE NOT ({OF.format(21)} AND order_item_id = 1)",
+    "olist_order_items": f"""
+SELECT i.* FROM ({RAW['olist_order_items']}) i LEFT JOIN (SELECT order_id, order_purchase_timestamp FROM ({RAW['olist_orders']})) o ON o.order_id = i.order_id
+WHERE NOT (order_item_id = 1 AND coalesce({OF.format(21, BOUGHT_OF).replace('order_id', 'i.order_id')}, FALSE))""",
     "olist_order_reviews": f"""
-SELECT * REPLACE (CASE WHEN {OF.format(33)} THEN CAST(1 AS INTEGER) ELSE review_score END AS review_score) FROM ({RAW['olist_order_reviews']})"""})
+SELECT * REPLACE (CASE WHEN {OF.format(33, 'review_creation_date')} THEN CAST(1 AS INTEGER) ELSE review_score END AS review_score) FROM ({RAW['olist_order_reviews']})"""})
 
 SOLD = """
 SELECT f.order_id, f.date_key, f.customer_unique_id, c.customer_state AS estado,
