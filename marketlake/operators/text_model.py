@@ -53,21 +53,21 @@ def places(text, bits: int = BITS) -> Column:
     return F.array_sort(F.array_distinct(F.transform(F.array(words), hashed)[0]))
 
 
-def _scale(at: Column, bits: int) -> Column:
-    """The value of each word place: 1 / sqrt(number of word places)."""
-    return 1 / F.sqrt(F.greatest(F.size(F.filter(at, lambda p: p < 2 ** bits)), F.lit(1)).cast("double"))
+def _parts(at: Column, bits: int) -> Column:
+    """Word places, mark places, and the value of each word place: 1 / sqrt(number of word places)."""
+    words, marks = F.filter(at, lambda p: p < 2 ** bits), F.filter(at, lambda p: p >= 2 ** bits)
+    return F.transform(F.array(F.struct(words.alias("words"), marks.alias("marks"))), lambda s: F.struct(
+        s["words"].alias("words"), s["marks"].alias("marks"), (1 / F.sqrt(F.greatest(F.size(s["words"]), F.lit(1)).cast("double"))).alias("x")))[0]
 
 
-def _margin(at: Column, weights: list[float], bias: float, bits: int) -> Column:
+def _margin(parts: Column, weights: list[float], bias: float) -> Column:
     """bias + sum over the places of weight times value."""
     literal = F.from_json(F.lit(json.dumps(weights)), "array<double>")
 
     def total(w: Column) -> Column:
-        def add(s: Column, p: Column) -> Column:
-            return F.when(p < 2 ** bits, F.struct((s["words"] + F.element_at(w, p + 1)).alias("words"), s["marks"].alias("marks"))) \
-                .otherwise(F.struct(s["words"].alias("words"), (s["marks"] + F.element_at(w, p + 1)).alias("marks")))
-        zero = F.struct(F.lit(0.0).alias("words"), F.lit(0.0).alias("marks"))
-        return F.aggregate(at, zero, add, lambda s: s["words"] * _scale(at, bits) + s["marks"])
+        def added(at: Column) -> Column:
+            return F.aggregate(at, F.lit(0.0), lambda s, p: s + F.element_at(w, p + 1))
+        return added(parts["words"]) * parts["x"] + added(parts["marks"])
     return F.lit(bias) + F.transform(F.array(literal), total)[0]
 
 
@@ -80,9 +80,9 @@ class TextModel:
     bits: int = BITS
     losses: list[float] = field(default_factory=list)
 
-    def probabilities(self, at: Column) -> Column:
-        """An array with the probability of each class."""
-        margins = F.array(*[_margin(at, w, b, self.bits) for w, b in zip(self.weights, self.biases)])
+    def probabilities(self, parts: Column) -> Column:
+        """An array with the probability of each class, of a text's ``_parts``."""
+        margins = F.array(*[_margin(parts, w, b) for w, b in zip(self.weights, self.biases)])
 
         def softmax(m: Column) -> Column:
             top = F.array_max(m)
@@ -92,33 +92,43 @@ class TextModel:
 
     def label(self, text) -> Column:
         """The most likely class (ties: the first in name order); ``fallback`` for a text without words."""
-        def best(at: Column) -> Column:
-            scored = F.array(*[F.struct((-_margin(at, w, b, self.bits)).alias("m"), F.lit(c).alias("c")) for c, w, b in zip(self.classes, self.weights, self.biases)])
-            return F.when(F.size(at) == 0, F.lit(self.fallback)).otherwise(F.array_min(scored)["c"])
-        return F.transform(F.array(places(text, self.bits)), best)[0]
+        def best(parts: Column) -> Column:
+            scored = F.array(*[F.struct((-_margin(parts, w, b)).alias("m"), F.lit(c).alias("c")) for c, w, b in zip(self.classes, self.weights, self.biases)])
+            return F.when(F.size(parts["words"]) + F.size(parts["marks"]) == 0, F.lit(self.fallback)).otherwise(F.array_min(scored)["c"])
+        return F.transform(F.transform(F.array(places(text, self.bits)), lambda at: _parts(at, self.bits)), best)[0]
+
+
+def _each_place(data: DataFrame, model: TextModel) -> DataFrame:
+    """A row per place of a text: the errors of the text's classes, the value of its words, its loss. All of a text is
+    reckoned before its places become rows, so the work grows with a text's length, not with its square.
+    Place -1 gathers the bias and the loss."""
+    scored = data.select("_label", "_parts", model.probabilities(F.col("_parts")).alias("_p"))
+    error = [F.element_at("_p", k + 1) - (F.col("_label") == c).cast("double") for k, c in enumerate(model.classes)]
+    chosen = F.element_at("_p", F.array_position(F.array(*[F.lit(c) for c in model.classes]), F.col("_label")).cast("int"))
+    of_text = scored.select(F.concat(F.array(F.lit(-1)), "_parts.words", "_parts.marks").alias("_at"), F.col("_parts.x").alias("_x"),
+                            *[e.alias(f"_e{k}") for k, e in enumerate(error)], (-F.log(F.greatest(chosen, F.lit(1e-300)))).alias("_loss"))
+    return of_text.select(F.explode("_at").alias("_place"), "_x", *[f"_e{k}" for k in range(len(error))], "_loss")
 
 
 def fit(rows: DataFrame, text: str, label: str, bits: int = BITS, iterations: int = ITERATIONS, rate: float = RATE, ridge: float = RIDGE) -> TextModel:
     """Fit on all rows with a label and words."""
     known = rows.where(F.col(label).isNotNull()).repartition(rows.sparkSession.sparkContext.defaultParallelism)
-    data = stage(known.select(F.col(label).alias("_label"), places(text, bits).alias("_at")).where(F.size("_at") > 0), "text-model")
+    parts = F.transform(F.array(places(text, bits)), lambda at: _parts(at, bits))[0]
+    # stored before texts without words are left out: a filter on the places would find them a second time, before the shuffle
+    stored = stage(known.select(F.col(label).alias("_label"), parts.alias("_parts")), "text-model")
+    data = stored.where(F.size("_parts.words") + F.size("_parts.marks") > 0)
     counts = {r[0]: r[1] for r in data.groupBy("_label").count().collect()}
     classes = sorted(counts)
     n = sum(counts.values())
     if len(classes) < 2:
-        remove_staged(data)
+        remove_staged(stored)
         raise ValueError(f"labels of two classes at least are needed, there are {classes}")
     size = 2 ** bits + MARKS
     model = TextModel(classes, [[0.0] * size for _ in classes], [math.log(counts[c] / n) for c in classes], max(classes, key=lambda c: (counts[c], c)), bits)
     moved = [[1e-12] * size for _ in classes]
     moved_bias = [1e-12] * len(classes)
     for _ in range(iterations):
-        scored = data.select("_label", "_at", model.probabilities(F.col("_at")).alias("_p"))
-        error = [F.element_at("_p", k + 1) - (F.col("_label") == c).cast("double") for k, c in enumerate(classes)]
-        chosen = F.element_at("_p", F.array_position(F.array(*[F.lit(c) for c in classes]), F.col("_label")).cast("int"))
-        # place -1 gathers the bias and the loss
-        each = scored.select(F.explode(F.concat(F.array(F.lit(-1)), "_at")).alias("_place"), *[e.alias(f"_e{k}") for k, e in enumerate(error)],
-                             _scale(F.col("_at"), bits).alias("_x"), (-F.log(F.greatest(chosen, F.lit(1e-300)))).alias("_loss"))
+        each = _each_place(data, model)
         x = F.when((F.col("_place") < 0) | (F.col("_place") >= 2 ** bits), F.lit(1.0)).otherwise(F.col("_x"))
         sums = each.groupBy("_place").agg(*[F.sum(F.col(f"_e{k}") * x).alias(f"g{k}") for k in range(len(classes))],
                                           F.sum(F.when(F.col("_place") < 0, F.col("_loss"))).alias("loss")).collect()
@@ -134,5 +144,5 @@ def fit(rows: DataFrame, text: str, label: str, bits: int = BITS, iterations: in
                     model.weights[k][r["_place"]] -= rate * g / math.sqrt(moved[k][r["_place"]])
             if r["_place"] < 0:
                 model.losses.append(r["loss"] / n)
-    remove_staged(data)
+    remove_staged(stored)
     return model

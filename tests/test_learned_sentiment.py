@@ -81,6 +81,23 @@ def test_fit_equals_plain_numpy(spark):
     assert np.allclose(np.array(model.weights).T, w, atol=1e-9) and np.allclose(model.biases, b, atol=1e-9)
 
 
+def test_nothing_of_a_whole_text_is_reckoned_per_place(spark):
+    at = spark.createDataFrame([("a", [1, 2, 70]), ("b", [3])], "_label string, at array<int>")
+    model = text_model.TextModel(["a", "b"], [[0.0] * (2 ** 6 + text_model.MARKS)] * 2, [0.0, 0.0], "a", 6)
+    rows = text_model._each_place(at.select("_label", text_model._parts(F.col("at"), 6).alias("_parts")), model)
+    above, explode, _ = rows._jdf.queryExecution().optimizedPlan().toString().partition("Generate explode")
+    assert explode and "lambda" not in above and "size(" not in above
+    assert [(r._place, round(r._x, 9), r._e0) for r in rows.where("_label = 'a'").collect()] == [(p, round(1 / math.sqrt(2), 9), -0.5) for p in (-1, 1, 2, 70)]
+
+
+def test_words_are_found_once_per_text(spark, monkeypatch):
+    seen = []
+    real = text_model.stage
+    monkeypatch.setattr(text_model, "stage", lambda df, name: seen.append(df._jdf.queryExecution().optimizedPlan().toString()) or real(df, name))
+    text_model.fit(spark.createDataFrame([("a b", "p"), ("c d", "n"), ("", "n")], "text string, label string"), "text", "label", 6, 1)
+    assert len(seen) == 1 and not [line for line in seen[0].splitlines() if "Filter" in line and "lambda" in line]
+
+
 def test_one_class_is_refused(spark):
     with pytest.raises(ValueError, match="two classes"):
         text_model.fit(spark.createDataFrame([("a", "p"), ("b", "p")], "text string, label string"), "text", "label")
