@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.joins import sized_broadcast
+from ..session import remove_staged, stage
 from .files import write_table
 
 BITS = 8
@@ -48,7 +49,13 @@ def with_morton(df: DataFrame, columns: list[str], out: str, bits: int = BITS) -
 
 
 def write_clustered(df: DataFrame, base: str, layer: str, name: str, columns: list[str], key: str, files: int, bits: int = BITS) -> str:
-    """Store ``df`` in ``files`` files of about equal size in Morton order over ``columns``."""
-    coded = with_morton(df, columns, "_morton", bits).withColumn("_spread", F.xxhash64(key))
+    """Store ``df`` in ``files`` files of about equal size in Morton order over ``columns``.
+
+    The rows are computed once, into the shared folder: the counts of each column, the sample that finds the ranges
+    and the write read them there."""
+    rows = stage(df, "unordered")
+    coded = with_morton(rows, columns, "_morton", bits).withColumn("_spread", F.xxhash64(key))
     ranged = coded.repartitionByRange(files, "_morton", "_spread").sortWithinPartitions("_morton", "_spread")
-    return write_table(ranged.drop("_morton", "_spread"), base, layer, name, register_table=False)
+    path = write_table(ranged.drop("_morton", "_spread"), base, layer, name, register_table=False)
+    remove_staged(rows)
+    return path

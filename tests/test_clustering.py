@@ -66,3 +66,18 @@ def test_filters_on_two_columns_read_under_a_quarter(stored, condition):
     sliced = table.where(condition).select("preco")
     assert rows_read(sliced) < df.count() / 4
     assert sliced.agg(F.sum("preco"), F.count(F.lit(1))).first() == df.where(condition).agg(F.sum("preco"), F.count(F.lit(1))).first()
+
+
+def test_rows_are_computed_once(spark, tmp_base):
+    """The counts of the columns, the range sample and the write read stored rows, however costly ``df`` is."""
+    computed = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            computed.add(b.num_rows)
+            yield b
+    df = spark.range(400).selectExpr("cast(id as string) k", "cast(id % 7 as int) a", "cast(id % 5 as string) b").mapInArrow(count, "k string, a int, b string")
+    clustering.write_clustered(df, tmp_base, "gold", "g", ["a", "b"], "k", 4)
+    table = read_table(spark, tmp_base, "gold", "g")
+    assert computed.value == 400 and table.count() == 400
+    assert table.select("k").distinct().count() == 400
