@@ -12,6 +12,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from ..config import DEFAULT, Settings
+from ..session import stage
 from . import gold, silver
 
 
@@ -34,6 +35,11 @@ class Lake:
         s = kw.get("settings", DEFAULT)
         return cls({t: read_table(spark, base, layer, t) for t in s.bronze_tables}, **kw)
 
+    def hold(self, name: str, columns: list[str]) -> None:
+        """Compute some columns of a frame once, into the shared folder, for a job that reads it several times.
+        The lake's property then is that frame, with those columns alone."""
+        setattr(self, name, stage(getattr(self, name).select(*columns), name))
+
     # silver
     @cached_property
     def geolocation_aggregated(self) -> DataFrame:

@@ -601,6 +601,9 @@ def _stored_sketches(spark, lk: Lake):
     from ..session import scratch_path
     from . import sketches
     base = scratch_path(spark, "sketches")
+    # read by both tables and by the exact figures beside them
+    lk.hold("fact_sales", ["order_id", "date_key", "customer_unique_id"])
+    lk.hold("customer_latest", ["customer_unique_id", "customer_state"])
     sketches.store(lk, base)
     return sketches.stored_states(spark, base)
 

@@ -49,7 +49,8 @@ def _by_year(states: DataFrame) -> DataFrame:
 
 
 def store(lk: Lake, base: str, layer: str = "gold") -> None:
-    """Store both tables, by year; the rows of a year are written by a few tasks."""
+    """Store both tables, by year; the rows of a year are written by a few tasks. Both read the sales fact: a lake that
+    computes it from raw data should hold it first (``Lake.hold``)."""
     for name, states, slice_ in (("sketch_distinct", distinct_states(lk), "estado"), ("sketch_prices", price_states(lk), "categoria")):
         write_table(states, base, layer, name, partition_by=["ano"], cluster_by=[slice_], register_table=False, files_per_partition=4)
 

@@ -57,3 +57,25 @@ def test_quantile_ranks(stored):
     for at, v in ((0.1, q.q10), (0.5, q.q50), (0.99, q.q99)):
         below, upto = sum(x < v for x in values) / len(values), sum(x <= v for x in values) / len(values)
         assert below - 2 * sketches.RANK_ERROR <= at <= upto + 2 * sketches.RANK_ERROR
+
+
+def test_held_frames_are_read_from_files(spark):
+    lk = Lake.from_testdata(spark, SF_SMALL)
+    expected = sorted(map(tuple, lk.fact_sales.select("order_id", "date_key").collect()))
+    lk.hold("fact_sales", ["order_id", "date_key"])
+    plan = lk.fact_sales._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "lineitem" not in plan
+    assert sorted(map(tuple, lk.fact_sales.collect())) == expected
+
+
+@pytest.mark.parametrize("name", ["distinct_sketch_quarters", "price_sketch_by_category"])
+def test_the_queries_compute_their_facts_once(spark, monkeypatch, name):
+    from marketlake.plans import registry
+    made = []
+    real = sketches.store
+    monkeypatch.setattr(sketches, "store", lambda lk, base: (made.append((lk.fact_sales, lk.customer_latest)), real(lk, base)))
+    df = registry.QUERIES[name](spark, SF_SMALL)
+    for held in made[0]:
+        plan = held._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "lineitem" not in plan and "orders.parquet" not in plan
+    assert df.count() > 0
