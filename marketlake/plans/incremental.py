@@ -33,6 +33,7 @@ SIGN = "_sign"
 MONTH = "ano_mes"
 NO_MONTH = 0  # orders without a purchase date, items and payments without an order
 MAX_MONTHS = 10_000
+SALTS = 8  # tasks that write a month at most
 
 RAW = {"orders": "olist_orders", "items": "olist_order_items", "payments": "olist_order_payments"}
 WIDE = "decimal(38,2)"
@@ -80,6 +81,10 @@ def _month(purchase: str = "order_purchase_timestamp") -> Column:
     return F.coalesce(month_key(date_key(purchase)), F.lit(NO_MONTH))
 
 
+def _salt(key: str, salts: int = SALTS) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(salts))
+
+
 class IncrementalLake:
     """The stored tables ``orders items payments fact_sales sales customers sellers reviews kpi``, by month."""
 
@@ -110,20 +115,16 @@ class IncrementalLake:
         number = current(self.spark, self.root)[0] + 1
         if not self._schemas():
             self._begin(changes, customers)
-        touched = stage(self._touched(changes), "touched")
+        stored_any = any(self.folders(t) for t in RAW)
+        touched = stage(self._touched(changes if stored_any else {}), "touched")
         months = self._months(touched, changes)
         staged = [touched]
         before, after, folders = {}, {}, []
         for t in RAW:
-            stored = self.read(t, months)
-            before[t] = self._of(stored, touched)
-            after[t] = self._after(t, before[t], changes, after.get("orders"))
-            staged.append(after[t])
-            folders += self._rewrite(t, number, self._of(stored, touched, "left_anti").unionByName(after[t]), "order_id")
-        new_fact = stage(self._fact({RAW[t]: after[t].drop(MONTH) for t in RAW}, customers), "fact")
-        staged.append(new_fact)
+            before[t] = self._of(self.read(t, months), touched)
+            after[t] = self._carry(t, number, months, touched, self._after(t, before[t], changes, after.get("orders")), staged, folders)
+        new_fact = self._carry("fact_sales", number, months, touched, self._fact({RAW[t]: after[t].drop(MONTH) for t in RAW}, customers), staged, folders)
         stored = self.read("fact_sales", months)
-        folders += self._rewrite("fact_sales", number, self._of(stored, touched, "left_anti").unionByName(new_fact), "order_id")
         old_fact = self._of(stored, touched)
         facts = signed(new_fact, 1).unionByName(signed(old_fact, -1))
         sold = (new_fact.select("order_id", MONTH).join(after["items"].select("order_id", "seller_id"), "order_id").withColumn(SIGN, F.lit(1))
@@ -204,22 +205,39 @@ class IncrementalLake:
         rows = signed(old.drop(MONTH), 1)
         if (change := self._changed(changes, RAW[t])) is not None:
             rows = rows.unionByName(change.select(*rows.columns))
-        rows = consolidated(rows)
+        columns = [c for c in rows.columns if c != SIGN]
         if orders is None:
-            return stage(rows.withColumn(MONTH, _month()), t)
+            # dealt as the month will be written, so adding up needs no shuffle of its own
+            dealt = rows.withColumns({MONTH: _month(), "_salt": _salt("order_id")}).repartition(MONTH, "_salt")
+            return consolidated(dealt).select(*columns, MONTH)
         of_order = orders.where(F.col("order_id").isNotNull()).groupBy("order_id").agg(F.min(MONTH).alias(MONTH))
-        return stage(rows.join(of_order, "order_id", "left").select(*rows.columns, F.coalesce(MONTH, F.lit(NO_MONTH)).alias(MONTH)), t)
+        # one shuffle by order both adds rows up and finds their month; rows without an order have no place in it
+        named = consolidated(rows.where(F.col("order_id").isNotNull()).repartition("order_id"))
+        named = named.join(of_order, "order_id", "left").select(*columns, F.coalesce(MONTH, F.lit(NO_MONTH)).alias(MONTH))
+        return named.unionByName(consolidated(rows.where(F.col("order_id").isNull())).withColumn(MONTH, F.lit(NO_MONTH)))
+
+    def _carry(self, t: str, number: int, months: set[int], touched: DataFrame, rows: DataFrame, staged: list[DataFrame], folders: list[str]) -> DataFrame:
+        """Write a table's touched months with the touched orders' rows as they are now; a frame of those rows. Where
+        nothing is stored of these months, it reads what was written, else a staged copy. Adds to ``staged`` and ``folders``."""
+        if not self.folders(t, months):
+            written = self._rewrite(t, number, rows, "order_id", dealt=t == "orders")
+            folders += written
+            return read_folders(self.spark, f"{self.root}/{t}", [f.partition("/")[2] for f in written], self._schemas()[t]).select(*rows.columns)
+        staged.append(stage(rows, t))
+        folders += self._rewrite(t, number, self._of(self.read(t, months), touched, "left_anti").unionByName(staged[-1]), "order_id")
+        return staged[-1]
 
     @staticmethod
     def _fact(raw: Mapping[str, DataFrame], customers: DataFrame) -> DataFrame:
         fact = gold.fact_sales(silver.orders_enriched({**raw, "olist_customers": customers}))
         return fact.withColumn(MONTH, F.coalesce(month_key("date_key"), F.lit(NO_MONTH)))
 
-    def _rewrite(self, t: str, number: int, rows: DataFrame, spread: str | None = None, salts: int = 8) -> list[str]:
-        """Write a table's touched months for the next version; its folders. A month is written by at most ``salts`` tasks."""
-        keys = [F.col(MONTH)] + ([F.pmod(F.xxhash64(spread), F.lit(salts))] if spread else [])
+    def _rewrite(self, t: str, number: int, rows: DataFrame, spread: str | None = None, salts: int = SALTS, dealt: bool = False) -> list[str]:
+        """Write a table's touched months for the next version; its folders. A month is written by at most ``salts`` tasks;
+        ``dealt`` rows are by month and salt already."""
+        keys = [F.col(MONTH)] + ([_salt(spread, salts)] if spread else [])
         path = f"{t}/{VERSION}={number}"
-        rows.repartition(*keys).write.mode("overwrite").partitionBy(MONTH).parquet(f"{self.root}/{path}")
+        (rows if dealt else rows.repartition(*keys)).write.mode("overwrite").partitionBy(MONTH).parquet(f"{self.root}/{path}")
         return leaves(self.spark, self.root, path, 1)
 
     def _state(self, t: str, number: int, months: set[int], delta: DataFrame, key: list[str], sums: list[str], rows: str) -> list[str]:

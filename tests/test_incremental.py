@@ -191,3 +191,23 @@ def test_versions_before_the_last_are_deleted(lake):
         inc.apply(truth.change(orders=([old], [order("o1", month)])), truth.customers)
     assert len(os.listdir(f"{inc.root}/_versions")) - sum(f.startswith(".") for f in os.listdir(f"{inc.root}/_versions")) == 2
     assert rows(inc.kpi()) == rows(truth.kpi())
+
+
+def test_first_load_writes_each_table_once(spark, tmp_base, monkeypatch):
+    truth, names = Truth(spark), []
+    real = incremental.stage
+    monkeypatch.setattr(incremental, "stage", lambda df, name: (names.append(name), real(df, name))[1])
+    inc = IncrementalLake(spark, f"{tmp_base}/inc")
+    inc.apply({t: signed(frame(spark, r, SCHEMAS[t]), 1) for t, r in START.items()}, truth.customers)
+    assert names == ["touched"]
+    assert rows(inc.kpi()) == rows(truth.kpi())
+
+
+def test_rows_are_added_up_and_find_their_month_in_one_shuffle(lake):
+    truth, inc = lake
+    change = {"olist_order_items": signed(frame(inc.spark, [item("o1", 1, "s1"), item(None, 1, "s1"), item(None, 1, "s1")], ITEM), 1)}
+    after = inc._after("items", inc.read("items").limit(0), change, inc.read("orders"))
+    dealt = [x.partition("hashpartitioning(")[2] for x in after._jdf.queryExecution().executedPlan().toString().splitlines() if "hashpartitioning(" in x]
+    assert sum("REPARTITION_BY_COL" in x for x in dealt) == 1
+    assert sum("order_item_id" in x for x in dealt) == 1  # the rows without an order alone
+    assert sorted((r.order_id or "", r.ano_mes) for r in after.collect()) == [("", 0), ("", 0), ("o1", 201801)]
